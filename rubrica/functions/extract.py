@@ -61,7 +61,7 @@ def last_boxed(c: Column) -> Column:
     def tail_from(marker: str) -> Column:
         return F.concat(F.lit(marker), F.substring_index(c, marker, -1))
 
-    return F.when(has(c, BOXED), balanced(tail_from(BOXED))).when(has(c, FBOX), balanced(tail_from(FBOX)))
+    return let(F.when(has(c, BOXED), tail_from(BOXED)).when(has(c, FBOX), tail_from(FBOX)), balanced)
 
 
 def remove_boxed(c: Column) -> Column:

@@ -87,11 +87,14 @@ def constant_value(c: Column) -> Column:
 
 def _same_constant(a: Column, b: Column) -> Column:
     return let(
-        F.struct(constant_value(a).alias("a"), constant_value(b).alias("b")),
-        lambda v: v["a"]["num"] * v["b"]["den"] == v["b"]["num"] * v["a"]["den"],
+        F.transform(F.array(a, b), constant_value), lambda v: v[0]["num"] * v[1]["den"] == v[1]["num"] * v[0]["den"]
     )
 
 
+def _integerness_differs(a: Column, b: Column) -> Column:
+    return let(F.transform(F.array(a, b), is_integer_text), lambda v: v[0] != v[1])
+
+
 def _difference(truth: Column, given: Column) -> Column:
     return F.concat(F.lit("("), truth, F.lit(")-("), given, F.lit(")"))
 
@@ -105,7 +108,7 @@ def element_equal(truth: Column, given: Column) -> Column:
     decided = F.coalesce(F.when(truth == given, True).otherwise(_same_constant(truth, given)), F.lit(False))
     return (
         F.when(is_fraction_text(truth) & is_fraction_text(given), truth == given)
-        .when(is_integer_text(truth) != is_integer_text(given), False)
+        .when(_integerness_differs(truth, given), False)
         .when(may_evaluate(_difference(truth, given)), decided)
         .otherwise(False)
     )
@@ -115,7 +118,7 @@ def element_needs_algebra(truth: Column, given: Column) -> Column:
     unresolved = (truth != given) & _same_constant(truth, given).isNull()
     return (
         F.when(is_fraction_text(truth) & is_fraction_text(given), False)
-        .when(is_integer_text(truth) != is_integer_text(given), False)
+        .when(_integerness_differs(truth, given), False)
         .otherwise(may_evaluate(_difference(truth, given)) & unresolved)
     )
 
@@ -124,7 +127,7 @@ def _pairwise(given_plain: Column, truth_plain: Column, per_element: Callable, f
     """Fold an element test over two plain-form answers of the same outer brackets and length, else false."""
 
     def compare(sides: Column) -> Column:
-        truths, givens = sides["truths"], sides["givens"]
+        truths, givens = sides[0], sides[1]
         same_ends = (F.left(truth_plain, F.lit(1)) == F.left(given_plain, F.lit(1))) & (
             F.right(truth_plain, F.lit(1)) == F.right(given_plain, F.lit(1))
         )
@@ -132,9 +135,7 @@ def _pairwise(given_plain: Column, truth_plain: Column, per_element: Callable, f
         pairs = F.arrays_zip(truths.alias("t"), givens.alias("g"))
         return F.when(comparable, fold(pairs, lambda p: per_element(p["t"], p["g"]))).otherwise(False)
 
-    return let(
-        F.struct(split_tuple(truth_plain).alias("truths"), split_tuple(given_plain).alias("givens")), compare
-    )
+    return let(F.transform(F.array(truth_plain, given_plain), split_tuple), compare)
 
 
 def plain_forms_equal(given_plain: Column, truth_plain: Column) -> Column:
@@ -209,35 +210,38 @@ def truth_text(truth: Column) -> Column:
     return F.when(has(truth, BOXED), extract_answer(truth)).otherwise(truth)
 
 
+def _forms(text: Column) -> Column:
+    return F.struct(text.alias("raw"), normalize_mathd(text).alias("mathd"), normalize_plain(text).alias("plain"))
+
+
 def prepare_truths(truths: Column) -> Column:
     """Normal forms of every truth, computed once per prompt and then shared by all rollouts of the prompt."""
+    return F.transform(truths, lambda truth: let(truth_text(truth), _forms))
 
-    def forms(truth: Column) -> Column:
-        return let(
-            truth_text(truth),
-            lambda t: F.struct(t.alias("raw"), normalize_mathd(t).alias("mathd"), normalize_plain(t).alias("plain")),
-        )
-
-    return F.transform(truths, forms)
 
+def _matches_any(given: Column, forms: Column) -> Column:
+    def match(f: Column) -> Column:
+        return F.when(f["mathd"] == given["mathd"], True).otherwise(plain_forms_equal(given["plain"], f["plain"]))
 
-def grade_prepared(answer: Column, forms: Column) -> Column:
-    """True when an answer matches any prepared truth: same text, else same mathd form, else same plain form."""
+    return F.coalesce(F.exists(forms, match), F.lit(False))
 
-    def any_of(test: Callable[[Column], Column]) -> Column:
-        return F.coalesce(F.exists(forms, test), F.lit(False))
 
-    def by_mathd(mathd: Column) -> Column:
-        return F.when(any_of(lambda f: f["mathd"] == mathd), True).otherwise(
-            let(normalize_plain(answer), lambda plain: any_of(lambda f: plain_forms_equal(plain, f["plain"])))
-        )
-
-    return F.when(any_of(lambda f: f["raw"] == answer), True).otherwise(let(normalize_mathd(answer), by_mathd))
+def grade_prepared(answer: Column, forms: Column) -> Column:
+    """True when an answer matches any prepared truth: same text, else same mathd form, else equal plain forms."""
+    same_text = F.array_contains(F.transform(forms, lambda f: f["raw"]), answer)
+    return F.when(same_text, True).otherwise(let(_forms(answer), lambda given: _matches_any(given, forms)))
 
 
 def grade_any(answer: Column, truths: Column) -> Column:
     """Any-of grading of a raw ``ARRAY<STRING>`` of truths; an empty list matches nothing."""
-    return let(prepare_truths(truths), lambda forms: grade_prepared(answer, forms))
+
+    def compare(texts: Column) -> Column:
+        everything = F.transform(F.concat(F.array(answer), texts), _forms)
+        return F.when(F.array_contains(texts, answer), True).otherwise(
+            let(everything, lambda all_: _matches_any(all_[0], F.slice(all_, F.lit(2), F.size(texts))))
+        )
+
+    return let(F.transform(truths, truth_text), compare)
 
 
 def reward(format_ok: Column, correct: Column) -> Column:
@@ -261,10 +265,8 @@ def r1_zero_answer(response: Column) -> Column:
 
 def _r1_zero(response: Column, is_correct: Callable[[Column], Column]) -> Column:
     verdict = let(r1_zero_answer(response), lambda a: F.when(a.isNull(), False).otherwise(is_correct(a)))
-    return let(
-        F.struct(has_answer_format(response).alias("ok"), verdict.alias("right")),
-        lambda v: reward(F.coalesce(v["ok"], F.lit(False)), v["right"]),
-    )
+    formatted = F.coalesce(has_answer_format(response), F.lit(False))
+    return let(F.struct(formatted.alias("ok"), verdict.alias("right")), lambda v: reward(v["ok"], v["right"]))
 
 
 def _question_only(response: Column, is_correct: Callable[[Column], Column]) -> Column:

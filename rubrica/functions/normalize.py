@@ -94,7 +94,7 @@ def remove_units(c: Column) -> Column:
         fold = F.aggregate(F.split(F.lit("|".join(unit_words())), r"\|"), text, step)
         return F.when(F.rlike(text, F.lit(any_unit_pattern())), fold).otherwise(text)
 
-    return let(let(c, one_round), one_round)
+    return F.aggregate(F.array(F.lit(1), F.lit(2)), c, lambda text, _: one_round(text))
 
 
 def _unwrap_text(c: Column, end: str = r"\z") -> Column:
@@ -168,7 +168,8 @@ def normalize_mathd(c: Column) -> Column:
 
 
 def normalize_minerva(c: Column) -> Column:
-    c = drop(swap(c, *MINERVA_REWRITES), *MINERVA_REMOVALS)
+    removals = F.split(F.lit("\t".join(MINERVA_REMOVALS)), "\t")
+    c = F.aggregate(removals, swap(c, *MINERVA_REWRITES), lambda text, gone: F.replace(text, gone, F.lit("")))
     c = F.regexp_replace(c, r"([^\n]*?)\$([^\n]*?)\$([^\n]*)", r"\$$2\$")
     for macro in ("text", "textbf", "overline"):
         c = F.regexp_replace(c, rf"\\{macro}\{{([^\n]*?)\}}", "$1")
@@ -254,11 +255,20 @@ def mixed_numbers(c: Column) -> Column:
     return F.regexp_replace(c, "([0-9]) +([0-9])", "$1+$2")
 
 
+def _remove_plain_units(c: Column) -> Column:
+    """Remove every unit, its plural and its power, in order; a unit that does not occur costs a substring test."""
+
+    def step(text: Column, unit: Column) -> Column:
+        cut = F.regexp_replace(text, F.concat(unit, F.lit(r"(?:es)?s? *(?:\^[0-9]+)?")), F.lit(""))
+        return F.when(F.contains(text, unit), cut).otherwise(text)
+
+    return F.aggregate(F.split(F.lit(" ".join(PLAIN_UNITS)), " "), c, step)
+
+
 def normalize_plain(c: Column) -> Column:
     c = let(c, lambda t: F.coalesce(_unwrap_text(t, r"\n?\z"), t))
     c = swap(c, ("\\%", "%"), ("\\$", "$"), ("$", ""), ("%", ""), (" or ", " , "), (" and ", " , "), *SCALE_WORDS)
-    for unit in PLAIN_UNITS:
-        c = F.regexp_replace(c, rf"{unit}(?:es)?s? *(?:\^[0-9]+)?", "")
+    c = _remove_plain_units(c)
     c = F.regexp_replace(c, r"\^ *\\circ", "")
     c = F.regexp_replace(c, r"(?s)\A\{(.*)\}\z", "$1")
     c = F.regexp_replace(c, r",\\! *", "")

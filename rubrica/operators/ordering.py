@@ -104,6 +104,6 @@ def assign_batches(df: DataFrame, key: str, batch_size: int, seed: str | int | N
     return placed.withColumns(
         {
             "batch_id": F.floor(F.col("_position") / batch_size).cast("bigint"),
-            "slot": (F.col("_position") % batch_size).cast("int"),
+            "slot": F.col("_position") % batch_size,
         }
     ).drop("_position")

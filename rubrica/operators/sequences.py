@@ -27,7 +27,7 @@ def pack_sequences(
     whole = F.concat(
         F.lit(list(prefix_ids)).cast("array<int>"), F.col(tokens), F.lit(list(suffix_ids)).cast("array<int>")
     )
-    docs = df.select(key, whole.alias("_ids")).where(F.size("_ids") > 0)
+    docs = df.select(key, whole.alias("_ids"))
     weight = F.size("_ids").cast("bigint")
     if seed is None:
         placed = with_position(docs, key, "_start", weight)
@@ -46,7 +46,7 @@ def pack_sequences(
             F.slice(F.col("_ids"), (begin + 1).cast("int"), (end - begin).cast("int")).alias("ids"),
         )
 
-    pieces = placed.select(F.explode(F.transform(F.sequence(first_chunk, last_chunk), piece)).alias("p"))
+    pieces = placed.where(F.size("_ids") > 0).select(F.explode(F.transform(F.sequence(first_chunk, last_chunk), piece)).alias("p"))
     window = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("p.at", "p.ids"))), lambda e: e["ids"]))
     return (
         pieces.groupBy(F.col("p.chunk_id").alias("chunk_id"))

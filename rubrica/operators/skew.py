@@ -49,3 +49,13 @@ def lookup_join(
         "_part", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     return left.drop("_parts").join(right.drop("_parts"), [*keys, "_part"], how).drop("_part")
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give a bare scan at least one task per core.
+
+    A small table in one row group is one scan task, however dear the work behind it. A scan that already has as many
+    splits as there are cores, as any large one has, is returned unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rubrica.functions.prompts import render
+from rubrica.operators.skew import spread
 from rubrica.plans.registry import table
 
 # (answer spelling, truth spelling)
@@ -85,7 +86,8 @@ def answers(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     a = (F.col("doc_id") % 50).cast("string")
     b = (F.col("n_chars") % 7 + 2).cast("string")
     a_truth = (F.col("doc_id") % 50 + F.when(F.col("n_chars") % 5 == 0, 1).otherwise(0)).cast("string")
-    return table(spark, sf_dir, "documents").select(
+    columns = dict.fromkeys(["doc_id", "n_chars", *keep])
+    return spread(table(spark, sf_dir, "documents").select(*columns), "doc_id").select(
         "doc_id",
         *keep,
         _choose(F.col("doc_id"), [render(g, a=a, b=b) for g, _ in SPELLINGS]).alias("given"),

@@ -7,6 +7,7 @@ from rubrica import templates
 from rubrica.functions import extract, grade, normalize, numerics, verdicts
 from rubrica.functions.prompts import render
 from rubrica.operators import curate, grading, repetition, report
+from rubrica.operators.skew import spread
 from rubrica.plans import sqlforms as S
 from rubrica.plans.derive import answers, completions, sql_answers, sql_completions, sql_render, sql_text
 from rubrica.plans.registry import query, table
@@ -297,7 +298,7 @@ def grade_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("repetition_flag")
 def repetition_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = repetition.flag_repetition(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    flagged = repetition.flag_repetition(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), "text")
     return flagged.select("doc_id", F.round("repetition", 9).alias("repetition"), "is_repetitive")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rubrica.functions import grade, losses, numerics
 from rubrica.functions.prompts import chat_text, message, safety_judge_messages
 from rubrica.operators import masked, ordering, rollouts, sequences
+from rubrica.operators.skew import spread
 from rubrica.plans.derive import sql_render, sql_text
 from rubrica.plans.registry import query, table
 from rubrica import templates
@@ -43,7 +44,7 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.col("vec_id").alias("seq_id"),
         F.floor(F.col("vec_id") / 16).alias("batch_id"),
-        "pos",
+        F.col("pos").cast("bigint").alias("pos"),
         (-F.abs(x)).alias("lp"),
         (x > 0).alias("mask"),
         x.alias("value"),
@@ -122,12 +123,12 @@ def sft_grad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "advantage_mean",
-    "SELECT event_id, round(value - avg(value) OVER (PARTITION BY user_id), 6) + 0.0 AS advantage FROM events",
+    "SELECT event_id, round(value - avg(value) OVER (PARTITION BY user_id), 9) + 0.0 AS advantage FROM events",
 )
 def advantage_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     scored = rollouts.group_advantages(events, "user_id", "value", "event_id")
-    return scored.select("event_id", (F.round("advantage", 6) + 0.0).alias("advantage"))
+    return scored.select("event_id", (F.round("advantage", 9) + 0.0).alias("advantage"))
 
 
 HASH_SQL = (
@@ -351,7 +352,7 @@ def shift_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("seq_id"), F.posexplode("embedding").alias("pos", "x")
     )
-    tokens = rows.select("seq_id", "pos", F.floor(F.col("x").cast("double") * 1000).alias("token_id"))
+    tokens = rows.select("seq_id", F.col("pos").cast("bigint").alias("pos"), F.floor(F.col("x").cast("double") * 1000).alias("token_id"))
     return sequences.shift_labels(tokens)
 
 
@@ -394,8 +395,8 @@ def _sql_pack(order: str) -> str:
                          AS ids, {order} AS k, doc_id FROM documents),
     placed AS (SELECT ids, coalesce(sum(len(ids)) OVER (ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING
                       AND 1 PRECEDING), 0)::BIGINT AS start FROM docs),
-    stream AS (SELECT start + unnest(range(len(ids))) AS at, unnest(ids) AS id FROM placed),
-    chunks AS (SELECT at // 128 AS chunk_id, list(id ORDER BY at) AS ids FROM stream GROUP BY at // 128),
+    stream AS (SELECT start + unnest(range(len(ids))) AS place, unnest(ids) AS id FROM placed),
+    chunks AS (SELECT place // 128 AS chunk_id, list(id ORDER BY place) AS ids FROM stream GROUP BY place // 128),
     joined AS (SELECT a.chunk_id, a.ids, list_append(a.ids[2:], b.ids[1]) AS next FROM chunks a
                JOIN chunks b ON b.chunk_id = a.chunk_id + 1)
     SELECT chunk_id, md5(array_to_string(ids, ',')) AS input_ids, md5(array_to_string(next, ',')) AS labels FROM joined
@@ -403,7 +404,8 @@ def _sql_pack(order: str) -> str:
 
 
 def _packed(spark: SparkSession, sf_dir: str, seed: str | None) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", _code_points("text").alias("ids"))
+    scan = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    documents = scan.select("doc_id", _code_points("text").alias("ids"))
     packed = sequences.pack_sequences(documents, "doc_id", "ids", 128, prefix_ids=[1], suffix_ids=[2], seed=seed)
     return packed.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), _digest("input_ids"), _digest("labels"))
 
