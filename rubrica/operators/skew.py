@@ -8,8 +8,7 @@ HOT_ROWS = 1_000_000
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimiser's own size estimate of a table is within spark.sql.autoBroadcastJoinThreshold."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit_bytes = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+    limit_bytes = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return limit_bytes >= 0 and size <= limit_bytes
 
