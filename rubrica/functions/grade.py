@@ -12,15 +12,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rubrica import schemas
+from rubrica.functions import normalize
 from rubrica.functions.extract import BOXED, extract_answer, has_answer_format, tagged_answer
-from rubrica.functions.normalize import (
-    as_float,
-    is_integer_text,
-    normalize_mathd,
-    normalize_plain,
-    strip_number_commas,
+from rubrica.functions.normalize import normalize_mathd, normalize_plain
+from rubrica.functions.sqltext import (
+    column_function,
+    column_predicate,
+    drop,
+    group,
+    matches,
+    strip,
+    text,
 )
-from rubrica.functions.text import has, let, strip
+from rubrica.functions.sqltext import let as let_text
+from rubrica.functions.text import has, let
 
 RewardFn = Callable[[Column, Column], Column]
 
@@ -28,133 +33,126 @@ RewardFn = Callable[[Column, Column], Column]
 TUPLE_CHARS = r"()\[\]"
 
 # sign-free mixed part, sign, integer digits, decimals, denominator, power of ten
-_CONSTANT = r"\A(?:(-?[0-9]{1,9})\+)?(-?)([0-9]{0,9})(?:\.([0-9]{0,6}))?(?:/([0-9]{1,8}))?(?:\*10\^([0-9]))?\z"
+CONSTANT = r"\A(?:(-?[0-9]{1,9})\+)?(-?)([0-9]{0,9})(?:\.([0-9]{0,6}))?(?:/([0-9]{1,8}))?(?:\*10\^([0-9]))?\z"
 
 
-def is_fraction_text(c: Column) -> Column:
-    return F.rlike(c, F.lit(r"\A-?[0-9]+[^\n]?/0*[1-9][0-9]*[^\n]?\n?\z"))
+def _is_fraction(x: str) -> str:
+    return matches(x, r"\A-?[0-9]+[^\n]?/0*[1-9][0-9]*[^\n]?\n?\z")
 
 
-def letter_count(c: Column) -> Column:
+def _letters(x: str) -> str:
     """Distinct letters of an expression, ``sqrt`` and ``frac`` not counted."""
-    rest = F.replace(F.replace(c, F.lit("sqrt"), F.lit("")), F.lit("frac"), F.lit(""))
-    return F.size(F.array_distinct(F.regexp_extract_all(rest, F.lit(r"(\p{L})"), F.lit(1))))
+    return f"size(array_distinct(regexp_extract_all({drop(x, 'sqrt', 'frac')}, {text(r'(\p{L})')}, 1)))"
 
 
-def may_evaluate(c: Column) -> Column:
+def _may_evaluate(x: str) -> str:
     """At most two unknowns and no exponent that is bracketed, chained or longer than one digit."""
-    return (
-        (letter_count(c) <= 2)
-        & ~has(c, "^{")
-        & ~has(c, "^(")
-        & ~F.rlike(c, F.lit(r"\^[0-9]+\^"))
-        & ~F.rlike(c, F.lit(r"\^[0-9][0-9]+"))
-    )
+    return f"({_letters(x)} <= 2 AND NOT {matches(x, r'\^[{(]|\^[0-9]+\^|\^[0-9][0-9]+')})"
 
 
-def split_tuple(c: Column) -> Column:
+def _elements(x: str) -> str:
     """Elements of a bracketed list; any other text is its own only element and empty text has none."""
 
-    def cut(text: Column) -> Column:
-        bracketed = F.rlike(text, F.lit(rf"(?s)\A[{TUPLE_CHARS}][^{TUPLE_CHARS}]+[{TUPLE_CHARS}]\z"))
-        inside = F.substring(text, F.lit(2), F.length(text) - 2)
-        elements = F.transform(F.split(inside, ","), strip)
-        empty = F.array().cast("array<string>")
-        return F.when(text == "", empty).when(bracketed, elements).otherwise(F.array(text))
+    def cut(t: str) -> str:
+        bracketed = matches(t, rf"(?s)\A[{TUPLE_CHARS}][^{TUPLE_CHARS}]+[{TUPLE_CHARS}]\z")
+        inside = f"transform(split(substring({t}, 2, length({t}) - 2), ','), e -> {strip('e')})"
+        return f"CASE WHEN {t} = '' THEN CAST(array() AS array<string>) WHEN {bracketed} THEN {inside} ELSE array({t}) END"
 
-    return let(strip_number_commas(c), cut)
+    return let_text(normalize.without_number_commas(x), cut)
 
 
-def constant_value(c: Column) -> Column:
+def _constant(x: str) -> str:
     """Exact numerator and denominator of an integer, decimal, ``a/b``, ``a+b/c`` or ``a*10^k``; NULL for the rest."""
 
-    def group(i: int, default: str) -> Column:
-        return F.coalesce(F.nullif(F.regexp_extract(c, _CONSTANT, i), F.lit("")), F.lit(default))
-
-    decimals = group(4, "")
-    scale = F.rpad(F.lit("1"), F.length(decimals) + 1, F.lit("0")).cast("decimal(7,0)")
-    power = F.rpad(F.lit("1"), group(6, "0").cast("int") + 1, F.lit("0")).cast("decimal(10,0)")
-    denominator = (group(5, "1").cast("decimal(8,0)") * scale).cast("decimal(14,0)")
-    fraction = (F.concat(group(2, ""), group(3, "0"), decimals).cast("decimal(15,0)") * power).cast("decimal(24,0)")
-    numerator = (group(1, "0").cast("decimal(9,0)") * denominator + fraction).cast("decimal(24,0)")
-    spelled = F.rlike(c, F.lit(_CONSTANT)) & F.rlike(c, F.lit(r"\A(?:-?[0-9]+\+)?-?(?:[0-9]|\.[0-9])"))
-    plain_zeros = ~F.rlike(c, F.lit(r"(?:\A|[+/-])0[0-9]+(?![0-9.])"))
-    return let(
-        F.when(spelled & plain_zeros, F.struct(numerator.alias("num"), denominator.alias("den"))),
-        lambda v: F.when(v["den"] != 0, v),
+    def part(i: int, default: str) -> str:
+        return f"coalesce(nullif({group(x, CONSTANT, i)}, ''), '{default}')"
+
+    scale = f"CAST(rpad('1', length({part(4, '')}) + 1, '0') AS decimal(7,0))"
+    power = f"CAST(rpad('1', CAST({part(6, '0')} AS int) + 1, '0') AS decimal(10,0))"
+    denominator = f"CAST(CAST({part(5, '1')} AS decimal(8,0)) * {scale} AS decimal(14,0))"
+    digits = f"CAST(concat({part(2, '')}, {part(3, '0')}, {part(4, '')}) AS decimal(15,0))"
+    numerator = f"CAST(CAST({part(1, '0')} AS decimal(9,0)) * {denominator} + {digits} * {power} AS decimal(24,0))"
+    value = let_text(
+        f"named_struct('num', {numerator}, 'den', {denominator})", lambda v: f"if({v}.den <> 0, {v}, NULL)"
     )
+    has_digits = matches(x, r"\A(?:-?[0-9]+\+)?-?(?:[0-9]|\.[0-9])")
+    padded = matches(x, r"(?:\A|[+/-])0[0-9]+(?![0-9.])")
+    return f"if({matches(x, CONSTANT)} AND {has_digits} AND NOT {padded}, {value}, NULL)"
 
 
-def _same_constant(a: Column, b: Column) -> Column:
-    return let(
-        F.transform(F.array(a, b), constant_value), lambda v: v[0]["num"] * v[1]["den"] == v[1]["num"] * v[0]["den"]
+def _same_constant(a: str, b: str) -> str:
+    """NULL when either side is no constant."""
+    x = "c"
+    return let_text(
+        f"transform(array({a}, {b}), {x} -> {_constant(x)})", lambda v: f"{v}[0].num * {v}[1].den = {v}[1].num * {v}[0].den"
     )
 
 
-def _integerness_differs(a: Column, b: Column) -> Column:
-    return let(F.transform(F.array(a, b), is_integer_text), lambda v: v[0] != v[1])
+def _integerness_differs(a: str, b: str) -> str:
+    return let_text(f"transform(array({a}, {b}), n -> {normalize.is_integer_text('n')})", lambda v: f"{v}[0] <> {v}[1]")
 
 
-def _difference(truth: Column, given: Column) -> Column:
-    return F.concat(F.lit("("), truth, F.lit(")-("), given, F.lit(")"))
+def _difference(truth: str, given: str) -> str:
+    return f"concat('(', {truth}, ')-(', {given}, ')')"
 
 
-def element_equal(truth: Column, given: Column) -> Column:
+def _element_equal(truth: str, given: str) -> str:
     """Equality of two tuple elements.
 
     Fractions must be spelled alike and an integer only equals an integer. Of what is left, identical texts and equal
     constants match; anything that would need algebra does not (see ``needs_algebra``).
     """
-    decided = F.coalesce(F.when(truth == given, True).otherwise(_same_constant(truth, given)), F.lit(False))
     return (
-        F.when(is_fraction_text(truth) & is_fraction_text(given), truth == given)
-        .when(_integerness_differs(truth, given), False)
-        .when(may_evaluate(_difference(truth, given)), decided)
-        .otherwise(False)
+        f"CASE WHEN {_is_fraction(truth)} AND {_is_fraction(given)} THEN {truth} = {given} "
+        f"WHEN {_integerness_differs(truth, given)} THEN false "
+        f"WHEN {let_text(_difference(truth, given), _may_evaluate)} "
+        f"THEN {truth} = {given} OR coalesce({_same_constant(truth, given)}, false) ELSE false END"
     )
 
 
-def element_needs_algebra(truth: Column, given: Column) -> Column:
-    unresolved = (truth != given) & _same_constant(truth, given).isNull()
+def _element_needs_algebra(truth: str, given: str) -> str:
     return (
-        F.when(is_fraction_text(truth) & is_fraction_text(given), False)
-        .when(_integerness_differs(truth, given), False)
-        .otherwise(may_evaluate(_difference(truth, given)) & unresolved)
+        f"CASE WHEN {_is_fraction(truth)} AND {_is_fraction(given)} THEN false "
+        f"WHEN {_integerness_differs(truth, given)} THEN false "
+        f"ELSE {let_text(_difference(truth, given), _may_evaluate)} AND {truth} <> {given} "
+        f"AND {_same_constant(truth, given)} IS NULL END"
     )
 
 
-def _pairwise(given_plain: Column, truth_plain: Column, per_element: Callable, fold: Callable) -> Column:
-    """Fold an element test over two plain-form answers of the same outer brackets and length, else false."""
+def _pairwise(given: str, truth: str, test: Callable[[str, str], str], quantifier: str) -> str:
+    """Quantify an element test over two plain-form answers of the same outer brackets and length, else false."""
 
-    def compare(sides: Column) -> Column:
-        truths, givens = sides[0], sides[1]
-        same_ends = (F.left(truth_plain, F.lit(1)) == F.left(given_plain, F.lit(1))) & (
-            F.right(truth_plain, F.lit(1)) == F.right(given_plain, F.lit(1))
-        )
-        comparable = (F.size(truths) == F.size(givens)) & ((F.size(truths) <= 1) | same_ends)
-        pairs = F.arrays_zip(truths.alias("t"), givens.alias("g"))
-        return F.when(comparable, fold(pairs, lambda p: per_element(p["t"], p["g"]))).otherwise(False)
+    def compare(v: str) -> str:
+        same_ends = f"left({truth}, 1) = left({given}, 1) AND right({truth}, 1) = right({given}, 1)"
+        comparable = f"size({v}[0]) = size({v}[1]) AND (size({v}[0]) <= 1 OR ({same_ends}))"
+        pairs = f"zip_with({v}[0], {v}[1], (t, g) -> {test('t', 'g')})"
+        return f"if({comparable}, {quantifier}({pairs}, b -> b), false)"
 
-    return let(F.transform(F.array(truth_plain, given_plain), split_tuple), compare)
+    return let_text(f"transform(array({truth}, {given}), s -> {_elements('s')})", compare)
 
 
-def plain_forms_equal(given_plain: Column, truth_plain: Column) -> Column:
-    verdict = (
-        F.when(truth_plain == given_plain, True)
-        .when(given_plain == "", False)
-        .otherwise(_pairwise(given_plain, truth_plain, element_equal, F.forall))
+def _plain_equal(given: str, truth: str) -> str:
+    return (
+        f"coalesce(CASE WHEN {truth} = {given} THEN true WHEN {given} = '' THEN false "
+        f"ELSE {_pairwise(given, truth, _element_equal, 'forall')} END, false)"
     )
-    return F.coalesce(verdict, F.lit(False))
 
 
-def needs_algebra(given: Column, truth: Column) -> Column:
-    """True when the verdict "not equal" rests on an expression only a computer algebra system could decide."""
+def _algebra_open(given: str, truth: str) -> str:
+    unresolved = _pairwise(given, truth, _element_needs_algebra, "exists")
+    return f"coalesce(NOT {_plain_equal(given, truth)} AND {unresolved}, false)"
 
-    def check(v: Column) -> Column:
-        unequal = ~plain_forms_equal(v["g"], v["t"])
-        return F.coalesce(unequal & _pairwise(v["g"], v["t"], element_needs_algebra, F.exists), F.lit(False))
 
-    return let(F.struct(normalize_plain(given).alias("g"), normalize_plain(truth).alias("t")), check)
+plain_forms_equal = column_predicate(_plain_equal)
+is_fraction_text = column_function(_is_fraction)
+letter_count = column_function(_letters)
+may_evaluate = column_function(_may_evaluate)
+split_tuple = column_function(_elements)
+
+
+def needs_algebra(given: Column, truth: Column) -> Column:
+    """True when the verdict "not equal" rests on an expression only a computer algebra system could decide."""
+    return column_predicate(_algebra_open)(normalize_plain(given), normalize_plain(truth))
 
 
 def grade_mathd(given: Column, truth: Column) -> Column:
@@ -162,8 +160,7 @@ def grade_mathd(given: Column, truth: Column) -> Column:
 
 
 def grade_plain(given: Column, truth: Column) -> Column:
-    forms = F.struct(normalize_plain(given).alias("g"), normalize_plain(truth).alias("t"))
-    return let(forms, lambda v: plain_forms_equal(v["g"], v["t"]))
+    return plain_forms_equal(normalize_plain(given), normalize_plain(truth))
 
 
 def latex_equal(given: Column, truth: Column, given_repeats: Column, truth_repeats: Column) -> Column:
@@ -176,26 +173,22 @@ def latex_equal(given: Column, truth: Column, given_repeats: Column, truth_repea
     return F.when(refused, False).otherwise(same)
 
 
-def value_equal(given: Column, truth: Column) -> Column:
-    """mathd forms are the same text or the same number (NaN equals nothing)."""
+def _any_float(x: str) -> str:
+    """as_float, and the spellings of infinity and NaN."""
+    bare = f"lower({strip(x)})"
+    special = f"if(contains({bare}, 'nan'), double('NaN'), if(startswith({bare}, '-'), double('-inf'), double('inf')))"
+    return f"if({matches(bare, r'\A[+-]?(?:inf|infinity|nan)\z')}, {special}, {normalize.as_float(x)})"
 
-    def check(v: Column) -> Column:
-        numbers = F.struct(_any_float(v["g"]).alias("g"), _any_float(v["t"]).alias("t"))
-        same_number = let(numbers, lambda n: (n["g"] == n["t"]) & ~F.isnan(n["g"]))
-        return F.when(F.equal_null(v["g"], v["t"]), True).otherwise(F.coalesce(same_number, F.lit(False)))
 
-    return let(F.struct(normalize_mathd(given).alias("g"), normalize_mathd(truth).alias("t")), check)
+def _value_equal(given: str, truth: str) -> str:
+    floats = f"transform(array({given}, {truth}), f -> {_any_float('f')})"
+    same_number = let_text(floats, lambda v: f"{v}[0] = {v}[1] AND NOT isnan({v}[0])")
+    return f"CASE WHEN {given} <=> {truth} THEN true ELSE coalesce({same_number}, false) END"
 
 
-def _any_float(c: Column) -> Column:
-    word = F.rlike(F.lower(strip(c)), F.lit(r"\A[+-]?(?:inf|infinity|nan)\z"))
-    negative = F.startswith(strip(c), F.lit("-"))
-    value = (
-        F.when(F.contains(F.lower(c), F.lit("nan")), float("nan"))
-        .when(negative, float("-inf"))
-        .otherwise(float("inf"))
-    )
-    return F.when(word, value).otherwise(as_float(c))
+def value_equal(given: Column, truth: Column) -> Column:
+    """mathd forms are the same text or the same number (NaN equals nothing)."""
+    return column_predicate(_value_equal)(normalize_mathd(given), normalize_mathd(truth))
 
 
 def numeric_close(a: Column, b: Column, rel_tol: float = 1e-4) -> Column:

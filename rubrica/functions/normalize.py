@@ -1,4 +1,4 @@
-"""Three normal forms of a math answer, as column expressions.
+"""Three normal forms of a math answer, as SQL expressions.
 
 ``mathd`` strips units and rewrites short LaTeX, ``minerva`` is the published clean-up for quantitative answers, and
 ``plain`` reduces an answer to lower-case text in which integers have one spelling. NULL in gives NULL out. Inside the
@@ -6,9 +6,23 @@
 """
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from rubrica.functions.text import NON_WORD, SPACE, drop, has, let, occurrences, strip, swap
+from rubrica.functions.sqltext import (
+    column_function,
+    drop,
+    fold,
+    group,
+    has,
+    let,
+    matches,
+    occurrences,
+    strip,
+    sub,
+    swap,
+    text,
+    words,
+)
+from rubrica.functions.text import NON_WORD, SPACE
 
 # Unit words of worded math problems, in the order they are removed. "." in a unit matches any character.
 UNIT_WORDS = [
@@ -78,222 +92,193 @@ def any_unit_pattern() -> str:
     return rf"(?:\A|{NON_WORD})(?:{'|'.join(dict.fromkeys(unit_words()))})(?:\z|{NON_WORD})"
 
 
-def remove_units(c: Column) -> Column:
+def without_units(x: str) -> str:
     """Remove every unit in order, twice over; a removal that would leave nothing is skipped.
 
     The plan holds one literal list, not one expression per unit. A text no unit pattern matches is returned at once
     (one regex), and inside the fold a unit costs a substring test unless its fixed part occurs.
     """
 
-    def step(text: Column, unit: Column) -> Column:
-        pattern = F.concat(F.lit(rf"(\A|{NON_WORD})"), unit, F.lit(rf"(\z|{NON_WORD})"))
-        cut = let(F.regexp_replace(text, pattern, F.lit("$1$2")), lambda t: F.when(t != "", t).otherwise(text))
-        return F.when(F.contains(text, F.substring_index(unit, ".", 1)), cut).otherwise(text)
+    def step(running: str, unit: str) -> str:
+        pattern = f"concat({text(rf'(\A|{NON_WORD})')}, {unit}, {text(rf'(\z|{NON_WORD})')})"
+        cut = let(f"regexp_replace({running}, {pattern}, '$1$2')", lambda t: f"if({t} <> '', {t}, {running})")
+        return f"if(contains({running}, substring_index({unit}, '.', 1)), {cut}, {running})"
 
-    def one_round(text: Column) -> Column:
-        fold = F.aggregate(F.split(F.lit("|".join(unit_words())), r"\|"), text, step)
-        return F.when(F.rlike(text, F.lit(any_unit_pattern())), fold).otherwise(text)
+    def one_round(running: str, _: str) -> str:
+        return f"if({matches(running, any_unit_pattern())}, {fold(words(unit_words()), running, step)}, {running})"
 
-    return F.aggregate(F.array(F.lit(1), F.lit(2)), c, lambda text, _: one_round(text))
+    return fold("array(1, 2)", x, one_round)
 
 
-def _unwrap_text(c: Column, end: str = r"\z") -> Column:
+def _unwrapped(x: str, end: str = r"\z") -> str:
     """The inside of an answer that is one ``\\text{...}`` on one line; NULL otherwise."""
     pattern = r"\A\\text\{([^\n]+?)\}" + end
-    return F.when(F.rlike(c, F.lit(pattern)), F.regexp_extract(c, pattern, 1))
+    return f"if({matches(x, pattern)}, {group(x, pattern, 1)}, NULL)"
 
 
-def _drop_text_unit(c: Column) -> Column:
-    rest = strip(F.regexp_replace(c, r"\\text\{[^\n]*?\}\z", ""))
-    return let(rest, lambda r: F.when(r != "", r).otherwise(c))
+def _without_text_unit(x: str) -> str:
+    return let(strip(sub(x, r"\\text\{[^\n]*?\}\z", "")), lambda rest: f"if({rest} <> '', {rest}, {x})")
 
 
-def _cut_right_unit(c: Column) -> Column:
+def _without_right_unit(x: str) -> str:
     marker = "\\text{ "
-    return F.when(occurrences(c, marker) <= 1, F.substring_index(c, marker, 1))
+    return f"if({occurrences(x, marker)} <= 1, substring_index({x}, {text(marker)}, 1), NULL)"
 
 
-def _drop_short_prefix(c: Column) -> Column:
-    is_short = (occurrences(c, "=") == 1) & (F.length(F.substring_index(c, "=", 1)) <= 2)
-    return F.when(is_short, F.substring_index(c, "=", -1)).otherwise(c)
+def _without_short_prefix(x: str) -> str:
+    is_short = f"{occurrences(x, '=')} = 1 AND length(substring_index({x}, '=', 1)) <= 2"
+    return f"if({is_short}, substring_index({x}, '=', -1), {x})"
 
 
-def fix_sqrt(c: Column) -> Column:
+def _with_root_braces(x: str) -> str:
     """``\\sqrt3`` to ``\\sqrt{3}``; NULL when a root has no argument."""
-    bare = has(c, "\\sqrt\\sqrt") | F.endswith(c, F.lit("\\sqrt"))
-    return F.when(~bare, F.regexp_replace(c, r"\\sqrt([^{])", r"\\sqrt{$1}"))
+    bare = matches(x, r"\\sqrt(?:\z|\\sqrt)")
+    return f"if({bare}, NULL, {sub(x, r'\\sqrt([^{])', r'\\sqrt{$1}')})"
 
 
-def fix_fracs(c: Column) -> Column:
+def _with_fraction_braces(x: str) -> str:
     """``\\frac12`` to ``\\frac{1}{2}`` and ``\\frac1{b}`` to ``\\frac{1}{b}``.
 
     The first fraction without both arguments decides: with no argument at all the result is NULL, with a single
     character the whole text stays as it is.
     """
     broken = r"\\frac([^{]?)(?:\z|(?=\\frac))"
-    braced = F.regexp_replace(c, r"\\frac([^{])([^{])", r"\\frac{$1}{$2}")
-    braced = F.regexp_replace(braced, r"\\frac([^{])\{", r"\\frac{$1}{")
+    braced = sub(sub(x, r"\\frac([^{])([^{])", r"\\frac{$1}{$2}"), r"\\frac([^{])\{", r"\\frac{$1}{")
     return (
-        F.when(~has(c, "\\frac"), c)
-        .when(~F.rlike(c, F.lit(broken)), braced)
-        .when(F.regexp_extract(c, broken, 1) != "", c)
+        f"CASE WHEN NOT {has(x, '\\frac')} THEN {x} WHEN NOT {matches(x, broken)} THEN {braced} "
+        f"WHEN {group(x, broken, 1)} <> '' THEN {x} END"
     )
 
 
-def fix_slash(c: Column) -> Column:
-    """A whole answer ``a/b`` of two plainly written integers to ``\\frac{a}{b}``."""
-    return F.regexp_replace(c, r"\A(0|-?[1-9][0-9]*)/(0|-?[1-9][0-9]*)\z", r"\\frac{$1}{$2}")
+def _without_notation(x: str) -> str:
+    x = swap(drop(x, "\n", "\\!"), ("\\\\", "\\"))
+    x = sub(x, r"\\begin\{array\}\{[^\n]*?\}", r"\\begin{pmatrix}")
+    x = swap(x, ("\\end{array}", "\\end{pmatrix}"), ("bmatrix", "pmatrix"), ("tfrac", "frac"), ("dfrac", "frac"))
+    x = swap(x, ("\\neq", "\\ne"), ("\\leq", "\\le"), ("\\geq", "\\ge"))
+    x = without_units(let(drop(x, "\\left", "\\right"), _without_text_unit))
+    x = drop(let(drop(x, "^{\\circ}", "^\\circ", "\\$"), _without_right_unit), "\\%")
+    x = sub(swap(x, (" .", " 0."), ("{.", "{0.")), r"\A\.", "0.")
+    x = let(let(x, _without_short_prefix), _with_root_braces)
+    x = let(drop(x, " "), _with_fraction_braces)
+    x = sub(x, r"\A0\.5\z", r"\\frac{1}{2}")
+    # a whole answer a/b of two plainly written integers
+    return sub(x, r"\A(0|-?[1-9][0-9]*)/(0|-?[1-9][0-9]*)\z", r"\\frac{$1}{$2}")
 
 
-def _strip_notation(c: Column) -> Column:
-    c = drop(c, "\n", "\\!")
-    c = swap(c, ("\\\\", "\\"))
-    c = F.regexp_replace(c, r"\\begin\{array\}\{[^\n]*?\}", r"\\begin{pmatrix}")
-    c = swap(c, ("\\end{array}", "\\end{pmatrix}"), ("bmatrix", "pmatrix"), ("tfrac", "frac"), ("dfrac", "frac"))
-    c = swap(c, ("\\neq", "\\ne"), ("\\leq", "\\le"), ("\\geq", "\\ge"))
-    c = drop(c, "\\left", "\\right")
-    c = remove_units(let(c, _drop_text_unit))
-    c = drop(c, "^{\\circ}", "^\\circ", "\\$")
-    c = drop(let(c, _cut_right_unit), "\\%")
-    c = swap(c, (" .", " 0."), ("{.", "{0."))
-    c = F.regexp_replace(c, r"\A\.", "0.")
-    c = let(let(c, _drop_short_prefix), fix_sqrt)
-    c = let(drop(c, " "), fix_fracs)
-    return fix_slash(F.regexp_replace(c, r"\A0\.5\z", r"\\frac{1}{2}"))
+def mathd(x: str) -> str:
+    """Units and notation removed, short LaTeX written out; the trimmed answer where that fails."""
+    unwrapped = let(strip(x), lambda t: f"coalesce({strip(_unwrapped(t))}, {t})")
+    return let(unwrapped, lambda t: f"coalesce({_without_notation(t)}, {t})")
 
 
-def normalize_mathd(c: Column) -> Column:
-    unwrapped = let(strip(c), lambda t: F.coalesce(strip(_unwrap_text(t)), t))
-    return let(unwrapped, lambda t: F.coalesce(_strip_notation(t), t))
-
-
-def normalize_minerva(c: Column) -> Column:
-    removals = F.split(F.lit("\t".join(MINERVA_REMOVALS)), "\t")
-    c = F.aggregate(removals, swap(c, *MINERVA_REWRITES), lambda text, gone: F.replace(text, gone, F.lit("")))
-    c = F.regexp_replace(c, r"([^\n]*?)\$([^\n]*?)\$([^\n]*)", r"\$$2\$")
+def minerva(x: str) -> str:
+    """The published clean-up of quantitative answers."""
+    x = fold(words(MINERVA_REMOVALS), swap(x, *MINERVA_REWRITES), lambda running, gone: f"replace({running}, {gone}, '')")
+    x = sub(x, r"([^\n]*?)\$([^\n]*?)\$([^\n]*)", r"\$$2\$")
     for macro in ("text", "textbf", "overline"):
-        c = F.regexp_replace(c, rf"\\{macro}\{{([^\n]*?)\}}", "$1")
-    c = F.regexp_replace(c, r"\\boxed\{([^\n]*)\}", "$1")
-    c = F.regexp_replace(c, r"frac([^{])([^\n])", "frac{$1}{$2}")
-    c = drop(F.regexp_replace(c, r"sqrt([^{])", "sqrt{$1}"), "$")
+        x = sub(x, rf"\\{macro}\{{([^\n]*?)\}}", "$1")
+    x = sub(x, r"\\boxed\{([^\n]*)\}", "$1")
+    x = sub(sub(x, r"frac([^{])([^\n])", "frac{$1}{$2}"), r"sqrt([^{])", "sqrt{$1}")
     digits = r"\A,*[\p{Nd}²³¹⁰⁴-⁹₀-₉][\p{Nd}²³¹⁰⁴-⁹₀-₉,]*\z"
-    return let(c, lambda t: F.when(F.rlike(t, F.lit(digits)), drop(t, ",")).otherwise(t))
+    return let(drop(x, "$"), lambda t: f"if({matches(t, digits)}, {drop(t, ',')}, {t})")
 
 
-def strip_number_commas(c: Column) -> Column:
+def without_number_commas(x: str) -> str:
     """Remove thousands commas, repeating until nothing changes.
 
     A match eats the character after its three digits, so ``1,234,567,890`` ends as ``1234,567890``; a single
     look-ahead pass would not. There are at most as many rounds as commas.
     """
+    one_round = lambda t, _: sub(t, r"(\p{Nd}),(\p{Nd}{3})(\z|\P{Nd})", "$1$2$3")
+    return let(x, lambda t: f"if({has(t, ',')}, {fold(f'sequence(1, {occurrences(t, ",")})', t, one_round)}, {t})")
 
-    def fold(text: Column) -> Column:
-        rounds = F.sequence(F.lit(1), occurrences(text, ","))
-        one = F.aggregate(
-            rounds, text, lambda t, _: F.regexp_replace(t, r"(\p{Nd}),(\p{Nd}{3})(\z|\P{Nd})", "$1$2$3")
-        )
-        return F.when(has(text, ","), one).otherwise(text)
-
-    return let(c, fold)
 
-
-def as_float(c: Column) -> Column:
+def as_float(x: str) -> str:
     """The value of a text that spells a finite or overflowing decimal number, else NULL."""
     number = rf"\A[{SPACE}]*{NUMBER}[{SPACE}]*\z"
-    return F.when(F.rlike(c, F.lit(number)), drop(strip(c), "_").try_cast("double"))
+    return f"if({matches(x, number)}, try_cast({drop(strip(x), '_')} AS double), NULL)"
 
 
-def is_integral(x: Column) -> Column:
+def is_integral(v: str) -> str:
     """Within 1e-7 of an integer; NULL and infinities are not."""
-    return F.coalesce((F.abs(x) < 1e300) & (F.abs(x - F.rint(x)) <= 1e-7), F.lit(False))
+    return f"coalesce(abs({v}) < 1e300D AND abs({v} - rint({v})) <= 1e-7D, false)"
 
 
-def integer_text(x: Column) -> Column:
+def integer_text(v: str) -> str:
     """The decimal digits of an integral double; exact below 2**123, scientific beyond."""
-    high = F.floor(x / F.lit(float(_TWO_60)))
-    low = (x - high.cast("double") * F.lit(float(_TWO_60))).cast("bigint")
-    wide = high.cast("decimal(19,0)") * F.lit(_TWO_60).cast("decimal(19,0)") + low.cast("decimal(19,0)")
+    high = f"floor({v} / {_TWO_60}.0D)"
+    low = f"CAST({v} - CAST({high} AS double) * {_TWO_60}.0D AS bigint)"
+    wide = f"CAST({high} AS decimal(19,0)) * CAST({_TWO_60} AS decimal(19,0)) + CAST({low} AS decimal(19,0))"
     return (
-        F.when(F.abs(x) < 9.0e18, x.cast("bigint").cast("string"))
-        .when(F.abs(x) < 1.0e37, wide.cast("decimal(38,0)").cast("string"))
-        .otherwise(x.cast("string"))
+        f"CASE WHEN abs({v}) < 9.0e18D THEN CAST(CAST({v} AS bigint) AS string) "
+        f"WHEN abs({v}) < 1.0e37D THEN CAST(CAST({wide} AS decimal(38,0)) AS string) ELSE CAST({v} AS string) END"
     )
 
 
-def is_integer_text(c: Column) -> Column:
-    return is_integral(as_float(strip_number_commas(c)))
+def is_integer_text(x: str) -> str:
+    return let(let(without_number_commas(x), as_float), is_integral)
 
 
-def latex_to_plain(c: Column) -> Column:
+def latex_to_plain(x: str) -> str:
     """Fractions, roots and common symbols as plain text; any other macro stays as written (see latex_unsupported)."""
-    c = swap(c, ("\\tfrac", "\\frac"), ("\\dfrac", "\\frac"), ("\\frac", " \\frac"))
-    c = F.regexp_replace(c, r"\\frac\s*([0-9a-zA-Z])\s*([0-9a-zA-Z])", "$1/$2")
-    c = F.regexp_replace(c, r"\\sqrt\s*([0-9a-zA-Z])", "sqrt($1)")
-
-    def innermost(text: Column, _: Column) -> Column:
-        text = F.regexp_replace(text, r"\\frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2")
-        return F.regexp_replace(text, r"\\sqrt\s*\{([^{}]*)\}", "sqrt($1)")
-
-    c = let(
-        c,
-        lambda t: F.aggregate(
-            F.sequence(F.lit(0), occurrences(t, "\\frac") + occurrences(t, "\\sqrt")), t, innermost
-        ),
-    )
-    for pattern, plain in PLAIN_SYMBOLS:
-        c = F.regexp_replace(c, pattern, plain)
-    return strip(c)
-
+    x = swap(x, ("\\tfrac", "\\frac"), ("\\dfrac", "\\frac"), ("\\frac", " \\frac"))
+    x = sub(x, r"\\frac\s*([0-9a-zA-Z])\s*([0-9a-zA-Z])", "$1/$2")
+    x = sub(x, r"\\sqrt\s*([0-9a-zA-Z])", "sqrt($1)")
 
-def latex_unsupported(c: Column) -> Column:
-    """True when an answer holds a macro the plain form leaves as written."""
-    return has(latex_to_plain(swap(drop(c, "\\%", "\\$", "^\\circ"), (",\\!", ""))), "\\")
+    def innermost(running: str, _: str) -> str:
+        running = sub(running, r"\\frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2")
+        return sub(running, r"\\sqrt\s*\{([^{}]*)\}", "sqrt($1)")
 
+    def all_levels(t: str) -> str:
+        return fold(f"sequence(0, {occurrences(t, '\\frac')} + {occurrences(t, '\\sqrt')})", t, innermost)
 
-def mixed_numbers(c: Column) -> Column:
-    """``7 3/4`` to ``7+3/4``."""
-    return F.regexp_replace(c, "([0-9]) +([0-9])", "$1+$2")
+    x = let(x, all_levels)
+    for pattern, plain_symbol in PLAIN_SYMBOLS:
+        x = sub(x, pattern, plain_symbol)
+    return strip(x)
 
 
-def _remove_plain_units(c: Column) -> Column:
+def _without_plain_units(x: str) -> str:
     """Remove every unit, its plural and its power, in order; a unit that does not occur costs a substring test."""
 
-    def step(text: Column, unit: Column) -> Column:
-        cut = F.regexp_replace(text, F.concat(unit, F.lit(r"(?:es)?s? *(?:\^[0-9]+)?")), F.lit(""))
-        return F.when(F.contains(text, unit), cut).otherwise(text)
+    def step(running: str, unit: str) -> str:
+        cut = f"regexp_replace({running}, concat({unit}, {text(r'(?:es)?s? *(?:\^[0-9]+)?')}), '')"
+        return f"if(contains({running}, {unit}), {cut}, {running})"
 
-    return F.aggregate(F.split(F.lit(" ".join(PLAIN_UNITS)), " "), c, step)
+    return fold(words(PLAIN_UNITS), x, step)
 
 
-def normalize_plain(c: Column) -> Column:
-    c = let(c, lambda t: F.coalesce(_unwrap_text(t, r"\n?\z"), t))
-    c = swap(c, ("\\%", "%"), ("\\$", "$"), ("$", ""), ("%", ""), (" or ", " , "), (" and ", " , "), *SCALE_WORDS)
-    c = _remove_plain_units(c)
-    c = F.regexp_replace(c, r"\^ *\\circ", "")
-    c = F.regexp_replace(c, r"(?s)\A\{(.*)\}\z", "$1")
-    c = F.regexp_replace(c, r",\\! *", "")
-    c = let(c, _whole_float)
-    c = let(c, lambda t: F.when(has(t, "\\"), latex_to_plain(t)).otherwise(t))
-    c = mixed_numbers(F.regexp_replace(c, "- *", "-"))
-    c = F.lower(drop(c, " ", "{", "}"))
-    return let(c, _integer_spelling)
+def _whole_float(x: str) -> str:
+    return let(as_float(x), lambda v: f"if({is_integral(v)}, {let(f'rint({v})', integer_text)}, {x})")
 
 
-def _whole_float(text: Column) -> Column:
-    return let(as_float(text), lambda x: F.when(is_integral(x), integer_text(F.rint(x))).otherwise(text))
-
-
-def _truncate(x: Column) -> Column:
-    whole = F.when(x < 0, F.ceil(x)).otherwise(F.floor(x)).cast("double")
-    return F.when(F.abs(x) < 9.0e15, whole).otherwise(x)
-
-
-def _integer_spelling(text: Column) -> Column:
+def _one_integer_spelling(x: str) -> str:
     """An integer, with or without thousands commas, in one spelling; the fraction left over is cut off."""
-    whole = let(as_float(drop(text, ",")), lambda x: integer_text(_truncate(x)))
-    may_be_number = F.rlike(text, F.lit(rf"\A[{SPACE}0-9+.,_eE-]+\z"))
-    return F.when(may_be_number & is_integer_text(text), whole).otherwise(text)
-
+    cut = lambda v: f"if(abs({v}) < 9.0e15D, CAST(if({v} < 0, ceil({v}), floor({v})) AS double), {v})"
+    whole = let(let(let(drop(x, ","), as_float), cut), integer_text)
+    may_be_number = matches(x, rf"\A[{SPACE}0-9+.,_eE-]+\z")
+    return f"if({may_be_number} AND {is_integer_text(x)}, {whole}, {x})"
+
+
+def plain(x: str) -> str:
+    """Lower-case text without units, spaces and braces, LaTeX in plain letters, integers in one spelling."""
+    x = let(x, lambda t: f"coalesce({_unwrapped(t, r'\n?\z')}, {t})")
+    x = swap(x, ("\\%", "%"), ("\\$", "$"), ("$", ""), ("%", ""), (" or ", " , "), (" and ", " , "), *SCALE_WORDS)
+    x = sub(_without_plain_units(x), r"\^ *\\circ", "")
+    x = sub(sub(x, r"(?s)\A\{(.*)\}\z", "$1"), r",\\! *", "")
+    x = let(let(x, _whole_float), lambda t: f"if({has(t, '\\')}, {latex_to_plain(t)}, {t})")
+    x = sub(sub(x, "- *", "-"), "([0-9]) +([0-9])", "$1+$2")
+    return let(f"lower({drop(x, ' ', '{', '}')})", _one_integer_spelling)
+
+
+normalize_mathd = column_function(mathd)
+normalize_minerva = column_function(minerva)
+normalize_plain = column_function(plain)
+remove_units = column_function(without_units)
+strip_number_commas = column_function(without_number_commas)
+latex_unsupported = column_function(
+    lambda x: has(latex_to_plain(swap(drop(x, "\\%", "\\$", "^\\circ"), (",\\!", ""))), "\\")
+)
 
 FORMS = {"mathd": normalize_mathd, "minerva": normalize_minerva, "plain": normalize_plain}
 
