@@ -256,35 +256,31 @@ def r1_zero_answer(response: Column) -> Column:
     return F.when(has_answer_format(response), answer)
 
 
-def _r1_zero(response: Column, is_correct: Callable[[Column], Column]) -> Column:
-    verdict = let(r1_zero_answer(response), lambda a: F.when(a.isNull(), False).otherwise(is_correct(a)))
+def r1_zero_parts(response: Column) -> Column:
+    """``STRUCT<formatted, answer>`` of a response that must carry its answer in tags."""
     formatted = F.coalesce(has_answer_format(response), F.lit(False))
-    return let(F.struct(formatted.alias("ok"), verdict.alias("right")), lambda v: reward(v["ok"], v["right"]))
+    return F.struct(formatted.alias("formatted"), r1_zero_answer(response).alias("answer"))
 
 
-def _question_only(response: Column, is_correct: Callable[[Column], Column]) -> Column:
+def question_only_parts(response: Column) -> Column:
+    """``STRUCT<formatted, answer>`` of a response that must carry its answer in a box."""
     return let(
-        extract_answer(response),
-        lambda a: let(
-            F.when(a.isNull(), False).otherwise(is_correct(a)), lambda right: reward(a.isNotNull(), right)
-        ),
+        extract_answer(response), lambda a: F.struct(a.isNotNull().alias("formatted"), a.alias("answer"))
     )
 
 
-def r1_zero_reward(response: Column, truths: Column) -> Column:
-    return _r1_zero(response, lambda a: grade_any(a, truths))
-
-
-def question_only_reward(response: Column, truths: Column) -> Column:
-    return _question_only(response, lambda a: grade_any(a, truths))
+def parts_reward(parts: Column, is_correct: Callable[[Column], Column]) -> Column:
+    """Reward of a parsed response; a response without an answer is never graded."""
+    right = F.when(parts["answer"].isNull(), False).otherwise(is_correct(parts["answer"]))
+    return let(right, lambda r: reward(parts["formatted"], r))
 
 
-def r1_zero_reward_prepared(response: Column, forms: Column) -> Column:
-    return _r1_zero(response, lambda a: grade_prepared(a, forms))
+def r1_zero_reward(response: Column, truths: Column) -> Column:
+    return let(r1_zero_parts(response), lambda p: parts_reward(p, lambda a: grade_any(a, truths)))
 
 
-def question_only_reward_prepared(response: Column, forms: Column) -> Column:
-    return _question_only(response, lambda a: grade_prepared(a, forms))
+def question_only_reward(response: Column, truths: Column) -> Column:
+    return let(question_only_parts(response), lambda p: parts_reward(p, lambda a: grade_any(a, truths)))
 
 
 def hash_reward(response: Column) -> Column:

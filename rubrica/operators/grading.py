@@ -9,7 +9,7 @@ from rubrica.functions.normalize import latex_unsupported, normalize
 from rubrica.operators.repetition import REPETITIVE, repetition_share
 from rubrica.operators.skew import lookup_join
 
-_PREPARED = {"r1_zero": grade.r1_zero_reward_prepared, "question_only": grade.question_only_reward_prepared}
+_PARTS = {"r1_zero": grade.r1_zero_parts, "question_only": grade.question_only_parts}
 _ANSWER = {"r1_zero": grade.r1_zero_answer, "question_only": extract_answer}
 _PARSERS = {
     "choice": verdicts.choice_letter,
@@ -64,24 +64,26 @@ def grade_completions(
 ) -> DataFrame:
     """Join completions to prompts and add ``metrics``.
 
-    Truths are normalised on the prompt side of the join; completions only as far as the cheap checks leave them open.
-    ``how="left"`` starts from the prompts and keeps those without a completion, with empty text and zero metrics.
+    Truths are normalised on the prompt side of the join and answers are cut out of the completions before it, so a plan
+    that needs only the metrics shuffles answers, not texts. Answers are normalised as far as cheap checks leave them
+    open. Where prompts have many completions each, ``salt_by`` names what tells them apart (the rollout number), and a
+    prompt with a large share of all completions is spread over tasks; without it the join is taken as one to one.
+    ``how="left"`` also keeps prompts without a completion, with empty text and zero metrics.
     """
-    reward = _mode(mode, _PREPARED)
-    prepared = prepare_prompts(prompts, truths)
-    if how == "inner":
-        joined = lookup_join(completions, prepared, on, salt_by or on, how="inner")
-        return score(joined, text, reward, F.col("truth_forms")).drop("truth_forms")
-    if how != "left":
+    if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    joined = prepared.join(completions, on, "left")
-    scored = score(joined, text, reward, F.col("truth_forms")).drop("truth_forms")
-    return scored.withColumns(
-        {
-            "metrics": F.when(F.col(text).isNull(), grade.zero_reward()).otherwise(F.col("metrics")),
-            text: F.coalesce(F.col(text), F.lit("")),
-        }
-    )
+    prepared = prepare_prompts(prompts, truths)
+    parsed = completions.withColumn(text, normalize_gap(F.col(text))).withColumn("_parts", _mode(mode, _PARTS)(F.col(text)))
+    if salt_by is None:
+        joined = parsed.join(prepared, on, "right" if how == "left" else "inner")
+    else:
+        joined = lookup_join(parsed, prepared, on, salt_by, how="inner")
+        if how == "left":
+            unserved = prepared.join(completions.select(on).distinct(), on, "left_anti")
+            joined = joined.unionByName(unserved, allowMissingColumns=True)
+    metrics = grade.parts_reward(F.col("_parts"), lambda a: grade.grade_prepared(a, F.col("truth_forms")))
+    served = F.when(F.col("_parts").isNull(), grade.zero_reward()).otherwise(metrics)
+    return joined.withColumns({"metrics": served, text: F.coalesce(F.col(text), F.lit(""))}).drop("_parts", "truth_forms")
 
 
 def score(df: DataFrame, text: str, reward: grade.RewardFn, truths: Column) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 
 def _range_count(df: DataFrame, n_ranges: int | None) -> int:
-    return n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Several ranges per shuffle partition, so that hashing ranges to partitions evens out."""
+    return n_ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _key_range(df: DataFrame, key: str, n_ranges: int) -> Column:

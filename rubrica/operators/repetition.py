@@ -10,30 +10,40 @@ from pyspark.sql import types as T
 REPETITIVE = 0.2
 
 
+def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dense ranks of the keys and their sort order."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    ranks = np.zeros(keys.size, dtype=np.int64)
+    ranks[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1])
+    return ranks, order
+
+
 def _duplicate_share(text: str) -> float:
     """Sum of common prefixes of neighbouring sorted suffixes over the number of substrings.
 
-    Prefix ranks are doubled with array sorts until all differ; the kept ranks then give every common prefix by halving.
+    Suffixes are ranked by their first three characters, then by ever doubled prefixes until all ranks differ. The kept
+    ranks give every common prefix by stepping from the widest to the narrowest.
     """
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64) + 1
     n = codes.size
     if n <= 1:
         return 0.0
-    ranks = [np.unique(codes, return_inverse=True)[1].astype(np.int64)]
-    width = 1
-    while width < n and ranks[-1].max() < n - 1:
-        later = np.full(n, -1, dtype=np.int64)
-        later[: n - width] = ranks[-1][width:]
-        ranks.append(np.unique(ranks[-1] * (n + 1) + later, return_inverse=True)[1].astype(np.int64))
+    padded = np.concatenate([codes, [0, 0]])
+    ranks, order = _ranked((padded[:-2] << 42) | (padded[1:-1] << 21) | padded[2:])
+    width = 3
+    levels = [(1, codes), (1, codes), (width, ranks)]
+    while width < n and ranks[order[-1]] < n - 1:
+        keys = ranks * (n + 1)
+        keys[: n - width] += ranks[width:] + 1
+        ranks, order = _ranked(keys)
         width *= 2
-    order = np.argsort(ranks[-1], kind="stable")
+        levels.append((width, ranks))
     left, right = order[:-1].copy(), order[1:].copy()
     shared = np.zeros(n - 1, dtype=np.int64)
-    for level in range(len(ranks) - 1, -1, -1):
-        step = 1 << level
-        inside = np.maximum(left, right) + step <= n
-        same = np.zeros(n - 1, dtype=bool)
-        same[inside] = ranks[level][left[inside]] == ranks[level][right[inside]]
+    for step, labels in reversed(levels):
+        same = np.maximum(left, right) + step <= n
+        same[same] = labels[left[same]] == labels[right[same]]
         shared[same] += step
         left[same] += step
         right[same] += step

@@ -17,6 +17,7 @@ def pack_sequences(
     prefix_ids: Sequence[int] = (),
     suffix_ids: Sequence[int] = (),
     seed: str | int | None = None,
+    length: str | None = None,
 ) -> DataFrame:
     """Concatenate all token arrays in order and cut the stream into rows of ``seq_length``.
 
@@ -27,26 +28,27 @@ def pack_sequences(
     whole = F.concat(
         F.lit(list(prefix_ids)).cast("array<int>"), F.col(tokens), F.lit(list(suffix_ids)).cast("array<int>")
     )
-    docs = df.select(key, whole.alias("_ids"))
-    weight = F.size("_ids").cast("bigint")
+    size = F.col(length) if length else F.size(tokens)
+    docs = df.select(key, whole.alias("_ids"), (size + len(prefix_ids) + len(suffix_ids)).cast("bigint").alias("_size"))
+    weight = F.col("_size")
     if seed is None:
         placed = with_position(docs, key, "_start", weight)
     else:
         placed = with_shuffled_position(docs, seed, key, "_start", weight)
     s = F.lit(seq_length)
     first_chunk = F.greatest(F.floor((F.col("_start") - 1) / s), F.lit(0))
-    last_chunk = F.floor((F.col("_start") + F.size("_ids") - 1) / s)
+    last_chunk = F.floor((F.col("_start") + F.col("_size") - 1) / s)
 
     def piece(chunk: Column) -> Column:
         begin = F.greatest(chunk * s - F.col("_start"), F.lit(0))
-        end = F.least((chunk + 1) * s + 1 - F.col("_start"), F.size("_ids").cast("bigint"))
+        end = F.least((chunk + 1) * s + 1 - F.col("_start"), F.col("_size"))
         return F.struct(
             chunk.alias("chunk_id"),
             (F.col("_start") + begin).alias("at"),
             F.slice(F.col("_ids"), (begin + 1).cast("int"), (end - begin).cast("int")).alias("ids"),
         )
 
-    pieces = placed.where(F.size("_ids") > 0).select(F.explode(F.transform(F.sequence(first_chunk, last_chunk), piece)).alias("p"))
+    pieces = placed.where(F.col("_size") > 0).select(F.explode(F.transform(F.sequence(first_chunk, last_chunk), piece)).alias("p"))
     window = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("p.at", "p.ids"))), lambda e: e["ids"]))
     return (
         pieces.groupBy(F.col("p.chunk_id").alias("chunk_id"))

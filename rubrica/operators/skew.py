@@ -1,9 +1,13 @@
 """Joins that hold when one key owns a large share of the rows."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+NULL_PARTS = 4096
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -26,7 +30,8 @@ def lookup_join(
     When the estimate says ``small`` fits a broadcast, this is a plain join and Spark broadcasts it. Otherwise keys with
     more than ``hot_rows`` rows in ``big`` are found by a key-only aggregate; there are at most rows / hot_rows of them,
     which bounds the one table broadcast here. Each hot key is cut into parts by a hash of ``salt_by`` (stable columns,
-    so a recomputed task sends its rows to the same part) and its lookup row is copied once per part.
+    so a recomputed task sends its rows to the same part) and its lookup row is copied once per part. Rows without a key
+    match nothing and are spread as well.
     """
     keys = [on] if isinstance(on, str) else list(on)
     salts = [salt_by] if isinstance(salt_by, str) else list(salt_by)
@@ -36,18 +41,20 @@ def lookup_join(
         return big.join(small, keys, how)
     hot = (
         big.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_parts"))
+        .agg(F.count(F.lit(1)).alias("_salt_rows"))
+        .where(F.col("_salt_rows") > hot_rows)
+        .select(*keys, F.ceil(F.col("_salt_rows") / F.lit(hot_rows)).cast("int").alias("_salt_parts"))
     )
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    parts = F.coalesce(F.col("_salt_parts"), F.lit(1))
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    choices = F.when(no_key, F.lit(NULL_PARTS)).otherwise(parts)
     left = big.join(F.broadcast(hot), keys, "left").withColumn(
-        "_part", F.pmod(F.xxhash64(*[F.col(s) for s in salts]), parts.cast("bigint")).cast("int")
+        "_salt", F.pmod(F.xxhash64(*[F.col(s) for s in salts]), choices.cast("bigint")).cast("int")
     )
     right = small.join(F.broadcast(hot), keys, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
+        "_salt", F.explode(F.sequence(F.lit(0), parts - 1))
     )
-    return left.drop("_parts").join(right.drop("_parts"), [*keys, "_part"], how).drop("_part")
+    return left.drop("_salt_parts").join(right.drop("_salt_parts"), [*keys, "_salt"], how).drop("_salt")
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

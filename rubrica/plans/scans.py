@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rubrica.operators.scratch import scratch_path
+from rubrica.operators.skew import spread
 from rubrica.plans.registry import query, table
 from rubrica.sources import files
 
@@ -21,7 +22,8 @@ DOCUMENT_SQL = "SELECT doc_id, text, lang, n_chars FROM documents"
 
 def _round_trip(spark: SparkSession, sf_dir: str, compression: str | None) -> DataFrame:
     path = scratch_path(spark, "documents-jsonl")
-    files.write_jsonl(table(spark, sf_dir, "documents").select(DOCUMENT.names), path, compression=compression)
+    documents = spread(table(spark, sf_dir, "documents").select(DOCUMENT.names), "doc_id")
+    files.write_jsonl(documents, path, compression=compression)
     return files.read_jsonl(spark, path, DOCUMENT)
 
 

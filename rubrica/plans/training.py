@@ -375,7 +375,7 @@ def shift_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def shape_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread(table(spark, sf_dir, "conversations"), "conv_id")
     users = turns.where("role = 'user'").select("conv_id", "turn", _code_points("text").alias("prompt_ids"))
     replies = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), _code_points("text").alias("output_ids")
@@ -405,8 +405,10 @@ def _sql_pack(order: str) -> str:
 
 def _packed(spark: SparkSession, sf_dir: str, seed: str | None) -> DataFrame:
     scan = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    documents = scan.select("doc_id", _code_points("text").alias("ids"))
-    packed = sequences.pack_sequences(documents, "doc_id", "ids", 128, prefix_ids=[1], suffix_ids=[2], seed=seed)
+    documents = scan.select("doc_id", _code_points("text").alias("ids"), F.length("text").alias("n"))
+    packed = sequences.pack_sequences(
+        documents, "doc_id", "ids", 128, prefix_ids=[1], suffix_ids=[2], seed=seed, length="n"
+    )
     return packed.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), _digest("input_ids"), _digest("labels"))
 
 

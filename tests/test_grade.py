@@ -92,6 +92,37 @@ def test_grade_completions_agrees_with_the_row_wise_reward(spark):
     assert [kept[i].metrics.reward for i in range(len(R1))] == [r for _, r in loose]
 
 
+def test_many_completions_per_prompt(spark):
+    prompts = spark.createDataFrame([(1, ["5"]), (2, ["7"]), (3, ["9"])], "item_id long, truths array<string>")
+    rows = [(1, r, f"x</think> <answer>{r}.0</answer>") for r in range(60)] + [(2, 0, "x</think> <answer>7</answer>")]
+    texts = spark.createDataFrame(rows, "item_id long, rollout long, generated_text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for salt_by in (None, "rollout"):
+            scored = grading.grade_completions(texts, prompts, "item_id", how="left", salt_by=salt_by).collect()
+            got = sorted((r.item_id, -1 if r.rollout is None else r.rollout, r.metrics.reward) for r in scored)
+            assert got == [(1, r, float(r == 5)) for r in range(60)] + [(2, 0, 1.0), (3, -1, 0.0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_metrics_alone_shuffle_no_texts(spark, tmp_path):
+    texts = [(i, f"<think>{i}</think> <answer>{i}</answer>") for i in range(5)]
+    spark.createDataFrame(texts, "item_id long, generated_text string").write.parquet(str(tmp_path / "c"))
+    spark.createDataFrame([(i, [str(i)]) for i in range(5)], "item_id long, truths array<string>").write.parquet(str(tmp_path / "p"))
+    completions, prompts = spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = grading.grade_completions(completions, prompts, "item_id").select("item_id", "metrics")
+        plan = scored._jdf.queryExecution().executedPlan()
+        assert "generated_text" not in plan.toString().split("Exchange")[0]
+        assert all(r.metrics.reward == 1.0 for r in scored.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_python_reward_function(spark):
     fn = G.from_python(lambda response, truths: dict.fromkeys(("format_reward", "answer_reward", "reward"), float(response in truths)))
     df = spark.createDataFrame([("a", ["a", "b"]), ("c", ["a"])], "generated_text string, truths array<string>")

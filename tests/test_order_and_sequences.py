@@ -122,7 +122,7 @@ def test_salted_lookup_equals_the_plain_join(spark, no_broadcast, how):
     )
     small = spark.createDataFrame([(k, f"v{k}") for k in range(0, 60, 2)], "k long, v string")
     salted = skew.lookup_join(big, small, "k", "i", how, hot_rows=40)
-    assert "_part" in salted._jdf.queryExecution().toString() and salted.columns == ["k", "i", "v"]
+    assert "_salt" in salted._jdf.queryExecution().toString() and salted.columns == ["k", "i", "v"]
     plain = big.join(small, "k", how)
     assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
 
@@ -142,6 +142,6 @@ def test_salted_lookup_spreads_the_hot_key(spark, no_broadcast):
 def test_lookup_uses_a_plain_join_for_a_small_table(spark):
     big, small = spark.range(10).withColumn("k", F.lit(1)), spark.range(2).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     plan = skew.lookup_join(big, small, "k", "id")._jdf.queryExecution().toString()
-    assert "_part" not in plan
+    assert "_salt" not in plan
     with pytest.raises(ValueError):
         skew.lookup_join(big, small, "k", "id", how="full")
