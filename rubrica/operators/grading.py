@@ -91,18 +91,22 @@ def score(df: DataFrame, text: str, reward: grade.RewardFn, truths: Column) -> D
     return df.withColumn(text, normalize_gap(F.col(text))).withColumn("metrics", reward(F.col(text), truths))
 
 
-def grade_slow(df: DataFrame, given: str, truth: str) -> DataFrame:
-    """``correct`` by the fast graders, or by the slow grader's own checks with their repetition gate."""
+def grade_answers(df: DataFrame, given: str, truth: str, fast: bool = True) -> DataFrame:
+    """Add ``correct`` for answer and truth columns.
+
+    ``fast=False`` adds the slow grader's own checks with their repetition gate. The algebra it would then call is not
+    part of this engine; ``functions.grade.needs_algebra`` counts the answers that would need it.
+    """
     g, t = F.col(given), F.col(truth)
-    flagged = df.withColumns(
-        {
-            "_g": F.coalesce(repetition_share(F.when(F.length(g) > 128, g)) > REPETITIVE, F.lit(False)),
-            "_t": F.coalesce(repetition_share(F.when(F.length(t) > 128, t)) > REPETITIVE, F.lit(False)),
-        }
-    )
-    fast = grade.grade_any(g, F.array(t))
-    slow = grade.latex_equal(g, t, F.col("_g"), F.col("_t"))
-    return flagged.withColumn("correct", F.when(fast, True).otherwise(slow)).drop("_g", "_t")
+    quick = grade.grade_any(g, F.array(t))
+    if fast:
+        return df.withColumn("correct", quick)
+    repeats = {
+        "_given_repeats": F.coalesce(repetition_share(F.when(F.length(g) > 128, g)) > REPETITIVE, F.lit(False)),
+        "_truth_repeats": F.coalesce(repetition_share(F.when(F.length(t) > 128, t)) > REPETITIVE, F.lit(False)),
+    }
+    slow = grade.latex_equal(g, t, F.col("_given_repeats"), F.col("_truth_repeats"))
+    return df.withColumns(repeats).withColumn("correct", F.when(quick, True).otherwise(slow)).drop(*repeats)
 
 
 def parse_judgements(df: DataFrame, text: str, kind: str, name: str) -> DataFrame:

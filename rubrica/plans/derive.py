@@ -6,11 +6,12 @@ wrong answers both occur in every spelling.
 """
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rubrica.functions.prompts import render
+from rubrica.functions.sqltext import text
 from rubrica.operators.skew import spread
 from rubrica.plans.registry import table
 
@@ -62,60 +63,54 @@ def sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def sql_render(template: str, **values: str) -> str:
-    """The SQL counterpart of functions.prompts.render; values are SQL expressions of type VARCHAR."""
+def sql_render(template: str, literal: Callable[[str], str] = sql_text, **values: str) -> str:
+    """The SQL counterpart of functions.prompts.render; values are SQL expressions of a string type."""
     pieces = re.split("(" + "|".join(re.escape("{%s}" % n) for n in values) + ")", template)
-    terms = [values[p[1:-1]] if i % 2 else sql_text(p) for i, p in enumerate(pieces) if i % 2 or p]
+    terms = [values[p[1:-1]] if i % 2 else literal(p) for i, p in enumerate(pieces) if i % 2 or p]
     return "(" + " || ".join(terms or ["''"]) + ")"
 
 
-def _choose(number: Column, options: list[Column]) -> Column:
-    choice = F.when(F.lit(False), F.lit(""))
-    for i, option in enumerate(options):
-        choice = choice.when(number % len(options) == i, option)
-    return choice
-
-
-def _sql_choose(number: str, options: list[str]) -> str:
+def _choose(number: str, options: list[str]) -> str:
     cases = " ".join(f"WHEN {i} THEN {option}" for i, option in enumerate(options))
     return f"(CASE {number} % {len(options)} {cases} END)"
 
 
+def _spellings(string_type: str, literal: Callable[[str], str]) -> tuple[str, str]:
+    """The given answer and the truth as SQL expressions, for either engine's literals and string type."""
+    a = f"CAST(doc_id % 50 AS {string_type})"
+    b = f"CAST(n_chars % 7 + 2 AS {string_type})"
+    a_truth = f"CAST(doc_id % 50 + CASE WHEN n_chars % 5 = 0 THEN 1 ELSE 0 END AS {string_type})"
+    given = _choose("doc_id", [sql_render(g, literal, a=a, b=b) for g, _ in SPELLINGS])
+    truth = _choose("doc_id", [sql_render(t, literal, a=a_truth, b=b) for _, t in SPELLINGS])
+    return given, truth
+
+
 def answers(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Columns doc_id, given, truth and those asked for."""
-    a = (F.col("doc_id") % 50).cast("string")
-    b = (F.col("n_chars") % 7 + 2).cast("string")
-    a_truth = (F.col("doc_id") % 50 + F.when(F.col("n_chars") % 5 == 0, 1).otherwise(0)).cast("string")
     columns = dict.fromkeys(["doc_id", "n_chars", *keep])
-    return spread(table(spark, sf_dir, "documents").select(*columns), "doc_id").select(
-        "doc_id",
-        *keep,
-        _choose(F.col("doc_id"), [render(g, a=a, b=b) for g, _ in SPELLINGS]).alias("given"),
-        _choose(F.col("doc_id"), [render(t, a=a_truth, b=b) for _, t in SPELLINGS]).alias("truth"),
-    )
+    documents = spread(table(spark, sf_dir, "documents").select(*columns), "doc_id")
+    given, truth = _spellings("STRING", text)
+    return documents.select("doc_id", *keep, F.expr(given).alias("given"), F.expr(truth).alias("truth"))
 
 
 def sql_answers(*keep: str) -> str:
-    a = "CAST(doc_id % 50 AS VARCHAR)"
-    b = "CAST(n_chars % 7 + 2 AS VARCHAR)"
-    a_truth = "CAST(doc_id % 50 + CASE WHEN n_chars % 5 = 0 THEN 1 ELSE 0 END AS VARCHAR)"
-    given = _sql_choose("doc_id", [sql_render(g, a=a, b=b) for g, _ in SPELLINGS])
-    truth = _sql_choose("doc_id", [sql_render(t, a=a_truth, b=b) for _, t in SPELLINGS])
+    given, truth = _spellings("VARCHAR", sql_text)
     columns = ", ".join(["doc_id", *keep, f"{given} AS given", f"{truth} AS truth"])
     return f"SELECT {columns} FROM documents"
 
 
 def completions(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """answers() with the completion text around them."""
-    gap = _choose(F.floor(F.col("doc_id") / 7), [F.lit(g) for g in GAPS])
-    ending = _choose(F.floor(F.col("doc_id") / 11), [F.lit(e) for e in ENDINGS])
-    text = F.concat(F.lit("<think> "), "text", gap, "given", ending)
-    return answers(spark, sf_dir, "text", *keep).withColumn("generated_text", text).drop("text")
+    gap = F.expr(_choose("(doc_id div 7)", [text(g) for g in GAPS]))
+    ending = F.expr(_choose("(doc_id div 11)", [text(e) for e in ENDINGS]))
+    rows = answers(spark, sf_dir, *dict.fromkeys(["text", *keep]))
+    generated = F.concat(F.lit("<think> "), "text", gap, "given", ending)
+    return rows.select("doc_id", *keep, "given", "truth", generated.alias("generated_text"))
 
 
 def sql_completions(*keep: str) -> str:
-    gap = _sql_choose("(doc_id // 7)", [sql_text(g) for g in GAPS])
-    ending = _sql_choose("(doc_id // 11)", [sql_text(e) for e in ENDINGS])
+    gap = _choose("(doc_id // 7)", [sql_text(g) for g in GAPS])
+    ending = _choose("(doc_id // 11)", [sql_text(e) for e in ENDINGS])
     kept = "".join(f", {k}" for k in keep)
     return (
         f"SELECT doc_id{kept}, given, truth, '<think> ' || text || {gap} || given || {ending} AS generated_text "

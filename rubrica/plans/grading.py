@@ -136,7 +136,8 @@ NUMBER_SQL = "CASE WHEN doc_id % 3 = 0 THEN text ELSE text || ' = ' || CAST(doc_
 def parse_last_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = F.concat(F.lit(" = "), (F.col("doc_id") % 9 + 1).cast("string"), F.lit(",204.50 clips"))
     output = F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.concat("text", tail))
-    outputs = table(spark, sf_dir, "documents").select("doc_id", output.alias("output"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    outputs = documents.select("doc_id", output.alias("output"))
     return grading.parse_judgements(outputs, "output", "number", "number").select("doc_id", "number")
 
 
@@ -310,7 +311,7 @@ def grade_slow(spark: SparkSession, sf_dir: str) -> DataFrame:
             "truth": F.when(F.col("doc_id") % 8 == 0, F.col("text")).otherwise(F.col("truth")),
         }
     )
-    return grading.grade_slow(wordy, "given", "truth").select("doc_id", "correct")
+    return grading.grade_answers(wordy, "given", "truth", fast=False).select("doc_id", "correct")
 
 
 def _sql_rewards(source: str, answer: str, keep: str) -> str:
@@ -507,5 +508,4 @@ def url_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("page_id"))
     listed = pages.join(toxic, "page_id").select(F.concat(F.upper("url"), F.lit("/")).alias("listed_url"))
-    listed = listed.select(F.when(F.contains("listed_url", F.lit("#")), F.rtrim(F.col("listed_url"), F.lit("/"))).otherwise(F.col("listed_url")).alias("listed_url"))
     return curate.flag_contaminated(pages, "url", listed, "listed_url", "page_id").select("page_id", "url", "contaminated")

@@ -142,7 +142,11 @@ def test_distinct_normalisation_equals_the_narrow_one(spark):
 def test_slow_grader_refuses_long_repetition(spark):
     long = "ab" * 80
     df = spark.createDataFrame([("5", "5.0"), (long, long), ("x", "y"), (long + "1", long + "2")], "g string, t string")
-    assert [r.correct for r in grading.grade_slow(df, "g", "t").collect()] == [True, True, False, False]
+    for fast in (True, False):
+        assert [r.correct for r in grading.grade_answers(df, "g", "t", fast).collect()] == [True, True, False, False]
+    flag = F.lit(True)
+    refused = df.select(G.latex_equal(F.col("g"), F.col("t"), flag, flag).alias("r")).collect()
+    assert [r.r for r in refused] == [True, False, False, False]
 
 
 def brute_repetition(text):
