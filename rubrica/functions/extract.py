@@ -15,8 +15,11 @@ def normalize_gap(c: Column) -> Column:
 
 
 def strip_think(c: Column) -> Column:
-    """Drop the leading run of ``<think>``, spaces and newlines; tabs and carriage returns stay."""
-    return F.regexp_replace(c, r"\A(?:<think>|[ \n])+", "")
+    """Drop the leading run of ``<think>``, spaces and newlines; tabs and carriage returns stay.
+
+    Possessive repeats keep the matcher's stack flat however long the run is.
+    """
+    return F.regexp_replace(c, r"\A(?:<think>|[ \n]++)++", "")
 
 
 def has_answer_format(c: Column) -> Column:
@@ -36,17 +39,17 @@ def last_boxed(c: Column) -> Column:
     """
 
     def balanced(tail: Column) -> Column:
-        runs = F.regexp_extract_all(tail, F.lit(r"[^{}]*[{}]"), F.lit(0))
+        runs = F.split(tail, r"(?<=[{}])")
         start = F.struct(F.lit(0).alias("seen"), F.lit(0).alias("depth"), F.lit(0).alias("end"))
 
         def step(state: Column, run: Column) -> Column:
-            opens = F.endswith(run, F.lit("{"))
-            depth = state["depth"] + F.when(opens, 1).otherwise(-1)
+            opens, closes = F.endswith(run, F.lit("{")), F.endswith(run, F.lit("}"))
+            depth = state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
             return F.when(state["end"] > 0, state).otherwise(
                 F.struct(
                     (state["seen"] + 1).alias("seen"),
                     depth.alias("depth"),
-                    F.when(~opens & (depth == 0), state["seen"] + 1).otherwise(0).alias("end"),
+                    F.when(closes & (depth == 0), state["seen"] + 1).otherwise(0).alias("end"),
                 )
             )
 

@@ -174,7 +174,8 @@ def mathd(x: str) -> str:
 def minerva(x: str) -> str:
     """The published clean-up of quantitative answers."""
     x = fold(words(MINERVA_REMOVALS), swap(x, *MINERVA_REWRITES), lambda running, gone: f"replace({running}, {gone}, '')")
-    x = sub(x, r"([^\n]*?)\$([^\n]*?)\$([^\n]*)", r"\$$2\$")
+    # of a line with two dollar signs, what is between the first two; anchored, so other lines are passed over once
+    x = sub(x, r"(?dm)^[^\n$]*+\$([^\n$]*+)\$[^\n]*", r"\$$1\$")
     for macro in ("text", "textbf", "overline"):
         x = sub(x, rf"\\{macro}\{{([^\n]*?)\}}", "$1")
     x = sub(x, r"\\boxed\{([^\n]*)\}", "$1")
@@ -184,13 +185,14 @@ def minerva(x: str) -> str:
 
 
 def without_number_commas(x: str) -> str:
-    """Remove thousands commas, repeating until nothing changes.
+    """Remove thousands commas until nothing changes.
 
-    A match eats the character after its three digits, so ``1,234,567,890`` ends as ``1234,567890``; a single
-    look-ahead pass would not. There are at most as many rounds as commas.
+    A match eats the character after its three digits, so of a row of commas the first pass takes every other one:
+    ``1,234,567,890`` becomes ``1234,567890``. A comma left over is now followed by six digits and stays, except a last
+    one, which the second pass takes. A third pass never finds anything.
     """
-    one_round = lambda t, _: sub(t, r"(\p{Nd}),(\p{Nd}{3})(\z|\P{Nd})", "$1$2$3")
-    return let(x, lambda t: f"if({has(t, ',')}, {fold(f'sequence(1, {occurrences(t, ",")})', t, one_round)}, {t})")
+    one_pass = lambda t: sub(t, r"(\p{Nd}),(\p{Nd}{3})(\z|\P{Nd})", "$1$2$3")
+    return one_pass(one_pass(x))
 
 
 def as_float(x: str) -> str:

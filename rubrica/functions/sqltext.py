@@ -11,7 +11,7 @@ from itertools import count
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rubrica.functions.text import SPACE
+from rubrica.functions.text import STRIPPED
 
 _names = count()
 
@@ -71,7 +71,7 @@ def occurrences(x: str, needle: str) -> str:
 
 
 def strip(x: str) -> str:
-    return sub(x, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return sub(x, STRIPPED, "")
 
 
 def column_function(build: Callable[[str], str]) -> Callable[[Column], Column]:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NON_WORD = r"[^\p{L}\p{N}_]"
 
+# A run of white space is tried once, from its first character; otherwise a long run inside a text costs its square.
+STRIPPED = rf"\A[{SPACE}]++|(?<![{SPACE}])[{SPACE}]++\z"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``, however often the body uses it."""
@@ -17,7 +20,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing Unicode white space (Spark's trim removes spaces only)."""
-    return F.regexp_replace(c, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.regexp_replace(c, STRIPPED, "")
 
 
 def drop(c: Column, *needles: str) -> Column:

@@ -60,7 +60,7 @@ def fewshot_prompts(questions: DataFrame, blocks: DataFrame, group: str, questio
 def normalized_url(url: Column) -> Column:
     """Lower case without scheme, ``www.``, fragment and trailing slashes."""
     bare = F.regexp_replace(F.lower(F.trim(url)), r"\A[a-z][a-z0-9+.-]*://", "")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, r"\Awww\.", ""), r"(?s)#.*\z", ""), r"/+\z", "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, r"\Awww\.", ""), r"(?s)#.*\z", ""), r"(?<!/)/++\z", "")
 
 
 def flag_contaminated(items: DataFrame, url: str, listed: DataFrame, listed_url: str, salt_by: str) -> DataFrame:

@@ -449,7 +449,7 @@ def generation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     "render_prompt",
     f"SELECT doc_id, {sql_render(templates.R1_ZERO, question='text')} AS r1_zero, "
     f"{sql_render(templates.QUESTION_ONLY, question='text')} AS question_only, "
-    f"{sql_render(templates.ALPACA_SFT, instruction='source', response='text')} AS alpaca_sft, "
+    f"{sql_render(templates.INSTRUCTION_SFT, instruction='source', response='text')} AS instruction_sft, "
     f"{sql_render(templates.ZERO_SHOT_SYSTEM, instruction='text')} AS zero_shot FROM documents",
 )
 def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,7 +458,7 @@ def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         render(templates.R1_ZERO, question=text).alias("r1_zero"),
         render(templates.QUESTION_ONLY, question=text).alias("question_only"),
-        render(templates.ALPACA_SFT, instruction=source, response=text).alias("alpaca_sft"),
+        render(templates.INSTRUCTION_SFT, instruction=source, response=text).alias("instruction_sft"),
         render(templates.ZERO_SHOT_SYSTEM, instruction=text).alias("zero_shot"),
     )
 

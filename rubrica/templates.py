@@ -14,7 +14,7 @@ R1_ZERO = (
 
 QUESTION_ONLY = "{question}"
 
-ALPACA_SFT = (
+INSTRUCTION_SFT = (
     "Below is an instruction that describes a task. Write a response that appropriately completes the request.\n"
     "\n"
     "### Instruction:\n"

@@ -1,9 +1,9 @@
-import re
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from rubrica.functions import extract, verdicts
+from rubrica.functions.normalize import normalize_mathd, normalize_minerva
+from rubrica.functions.text import strip
 
 QUIET = {"deadline": None, "suppress_health_check": list(HealthCheck)}
 
@@ -89,6 +89,13 @@ def test_judgement_parsers(column):
     ])
 
 
-def test_patterns_do_not_depend_on_the_locale(column):
-    assert re.compile(r"</think>\s*<answer>").search("</think> <answer>")
-    assert column(extract.normalize_gap, ["</think> <answer>"]) == ["</think> <answer>"]
+def test_long_texts_take_linear_time(column):
+    """Runs and tails of a million characters neither overflow the matcher's stack nor cost their square."""
+    big = 1_000_000
+    assert column(extract.strip_think, ["\n" * big + "<think>" * 1000 + "x"]) == ["x"]
+    assert column(strip, ["a" + " " * big + "b "]) == ["a" + " " * big + "b"]
+    assert column(extract.extract_answer, ["\\boxed{7} " + "y" * big]) == ["7"]
+    assert column(extract.normalize_gap, ["</think>" + " " * big + "<answer>"]) == ["</think> <answer>"]
+    assert column(verdicts.last_number, ["1," * (big // 2) + "x"]) == ["1" * (big // 2)]
+    assert len(column(normalize_minerva, ["z" * big])[0]) == big
+    assert len(column(normalize_mathd, ["z " * (big // 20)])[0]) == big // 20

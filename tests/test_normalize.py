@@ -48,7 +48,7 @@ def test_minerva(column):
         (None, None), ("The answer is $x = 5$ dollars", "x=5"), (r"\text{north}", "north"), (r"\textbf{7}", "7"),
         (r"\boxed{\frac{1}{2}}", r"\frac{1}{2}"), (r"\frac12", r"\frac{1}{2}"), (r"\sqrt2", r"\sqrt{2}"),
         ("100,000", "100000"), ("1,2a", "1,2a"), (r"3\text{ m}", "3"), ("12 square ft", "12"), (r"30^\circ", "30"),
-        (r"\overline{AB}", "AB"), ("an apple", "apple"),
+        (r"\overline{AB}", "AB"), ("an apple", "apple"), ("a$1$b$2$\n$3\nx$4$5", "1\n3\n4"),
     ])
 
 
