@@ -97,8 +97,8 @@ def grade_answers(df: DataFrame, given: str, truth: str, fast: bool = True) -> D
     ``fast=False`` adds the slow grader's own checks with their repetition gate. The algebra it would then call is not
     part of this engine; ``functions.grade.needs_algebra`` counts the answers that would need it.
     """
-    g, t = F.col(given), F.col(truth)
-    quick = grade.grade_any(g, F.array(t))
+    g, t = F.col(given), grade.truth_text(F.col(truth))
+    quick = grade.grade_any(g, F.array(truth))
     if fast:
         return df.withColumn("correct", quick)
     repeats = {

@@ -24,7 +24,7 @@ def _key_range(df: DataFrame, key: str, n_ranges: int) -> Column:
     if not bounds:
         return F.lit(0)
     steps = len(bounds).bit_length()
-    table = F.lit(bounds)
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
 
     def halve(s: Column, _: Column) -> Column:

@@ -11,7 +11,12 @@ NULL_PARTS = 4096
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimiser's own size estimate of a table is within spark.sql.autoBroadcastJoinThreshold."""
+    """Whether the optimiser's own size estimate of a table is within spark.sql.autoBroadcastJoinThreshold.
+
+    False where the estimate cannot be read (a remote session), which is the safe answer.
+    """
+    if not hasattr(df, "_jdf"):
+        return False
     limit_bytes = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return limit_bytes >= 0 and size <= limit_bytes

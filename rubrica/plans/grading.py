@@ -303,7 +303,17 @@ def repetition_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("doc_id", F.round("repetition", 9).alias("repetition"), "is_repetitive")
 
 
-@query("grade_slow")
+WORDY_SQL = (
+    "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN text ELSE given END AS given, "
+    f"CASE WHEN doc_id % 8 = 0 THEN text ELSE truth END AS truth FROM ({sql_answers('text')})"
+)
+
+
+@query(
+    "grade_slow",
+    f"SELECT doc_id, true AS correct FROM ({WORDY_SQL}) WHERE given = truth UNION ALL SELECT doc_id, correct FROM "
+    f"({S.graded(f'SELECT * FROM ({WORDY_SQL}) WHERE given <> truth', 'given', 'truth')})",
+)
 def grade_slow(spark: SparkSession, sf_dir: str) -> DataFrame:
     wordy = answers(spark, sf_dir, "text").withColumns(
         {

@@ -190,6 +190,17 @@ def test_group_advantages(spark, by_std):
     assert all(abs(r.s) < 1e-9 for r in free.collect())
 
 
+def test_a_huge_group_is_split_and_gives_the_same_advantages(spark, monkeypatch):
+    from rubrica.operators import skew
+
+    df = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 100).alias("g"), (F.col("id") % 7 / 7).alias("r"))
+    plain = {r.id: r.advantage for r in rollouts.group_advantages(df, "g", "r", "id", normalize_by_std=True).collect()}
+    monkeypatch.setattr(skew, "fits_broadcast", lambda _: False)
+    monkeypatch.setattr(skew.lookup_join, "__defaults__", ("left", 50))
+    split = {r.id: r.advantage for r in rollouts.group_advantages(df, "g", "r", "id", normalize_by_std=True).collect()}
+    assert split.keys() == plain.keys() and all(split[i] == pytest.approx(plain[i], abs=1e-9) for i in plain)
+
+
 def test_single_row_group_has_no_deviation(spark):
     df = spark.createDataFrame([(0, 0, 1.0)], "i long, g long, reward double")
     assert math.isnan(rollouts.group_advantages(df, "g", "reward", "i", normalize_by_std=True).collect()[0].advantage)
