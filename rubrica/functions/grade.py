@@ -295,9 +295,10 @@ def hash_reward(response: Column) -> Column:
 
 def from_python(fn: Callable[[str, list[str]], dict[str, float]]) -> RewardFn:
     """Wrap a user's Python reward function; rows travel in Arrow batches."""
+    names = [f.name for f in schemas.REWARD]
 
     def score(response: pd.Series, truths: pd.Series) -> pd.DataFrame:
         rows = [fn(r, list(t)) for r, t in zip(response, truths, strict=True)]
-        return pd.DataFrame(rows, columns=[f.name for f in schemas.REWARD]).astype("float64")
+        return pd.DataFrame(rows, columns=names).astype("float64")
 
     return F.pandas_udf(score, schemas.REWARD)

@@ -1,11 +1,17 @@
 """Repetition of a text: how much of all its substrings is duplicated."""
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship the helpers inside the task, so that workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: share of repeated substrings above which a text counts as repetitive.
 REPETITIVE = 0.2
 
