@@ -4,8 +4,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rubrica.llm.common import table
+from rubrica.llm.decontam import contaminated
+from rubrica.llm.langid import identify
+from rubrica.llm.permindex import neighbours
+from rubrica.llm.quality import score_documents
+from rubrica.llm.sampling import encode_documents
 from rubrica.llm.secrets import scan_secrets
 from rubrica.llm.simhash import near_duplicates
+from rubrica.llm.urlgraph import judge
+from rubrica.llm.warc import archived_pages
+from rubrica.operators.scratch import scratch_path
+
+#: Where the SentencePiece model of the registered query lies.
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), MODEL_PATH)
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +52,15 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash, op9_secrets)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_warc, op2_decontamination, op3_url_filter, op4_permutation_index, op6_sentencepiece, op7_language, op8_simhash,
+        op9_secrets, op10_quality,
+    )
+}
 ORACLES: dict[str, str] = {}
