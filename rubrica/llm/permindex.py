@@ -14,9 +14,10 @@ from rubrica.llm.common import hash_sample, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PREFIX = 16
+PREFIX = 64
 POSTED = 3
-MOST_PIVOTS = 1024
+LEAST_CANDIDATES = 64
+MOST_PIVOTS = 256
 ROWS_PER_PART = 8192
 QUERIES_PER_PART = 1024
 
@@ -28,12 +29,12 @@ def usable(vector: Column) -> Column:
 
 
 def choose_pivots(vectors: DataFrame, rows: int) -> np.ndarray:
-    """Distinct vectors as pivots: about the square root of the table's rows, 32 at least and 1024 at most.
+    """Distinct vectors as pivots: a quarter of the table's rows, 16 at least and 256 at most.
 
     They come from a hash sample of about sixteen times that many rows, so the driver's share is bounded. A vector that
     many rows hold is one candidate.
     """
-    count = int(min(MOST_PIVOTS, max(32, math.isqrt(rows))))
+    count = min(MOST_PIVOTS, max(16, rows // 4))
     drawn = hash_sample(vectors, "id", 16 * count).groupBy("vector").agg(F.min("id").alias("id"))
     picked = drawn.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(count).select("vector").collect()
     return np.array([r.vector for r in picked], np.float64)
@@ -50,11 +51,12 @@ def nearest_pivots(vectors: DataFrame, pivots: np.ndarray, prefix: int) -> DataF
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                gaps = distances(np.stack(batch["vector"].to_numpy()), pivots)
+                gaps = distances(np.stack(batch["vector"].to_numpy()).astype(np.float64), pivots)
                 order = np.argsort(gaps, axis=1, kind="stable")[:, :prefix].astype(np.int16)
                 yield pd.DataFrame({"id": batch["id"], "vector": batch["vector"], "places": list(order)})
 
-    return vectors.mapInPandas(of, "id long, vector array<double>, places array<short>")
+    kind = vectors.schema["vector"].dataType.simpleString()
+    return vectors.mapInPandas(of, f"id long, vector {kind}, places array<short>")
 
 
 def footrule(queries: np.ndarray, rows: np.ndarray, pivots: int) -> Iterator[np.ndarray]:
@@ -69,8 +71,8 @@ def footrule(queries: np.ndarray, rows: np.ndarray, pivots: int) -> Iterator[np.
         yield np.abs(held - own).sum(1, dtype=np.int32) + whole - (prefix - held).sum(1, dtype=np.int32)
 
 
-def search_part(queries: pd.DataFrame, rows: pd.DataFrame, pivots: int, candidates: int | None, k: int) -> pd.DataFrame:
-    """Of one inverted file part, the ``k`` nearest rows of each query among its ``candidates`` best by footrule.
+def search_part(queries: pd.DataFrame, rows: pd.DataFrame, pivots: int, share: float, k: int) -> pd.DataFrame:
+    """Of one inverted file part, the ``k`` nearest rows of each query among the ``share`` of rows best by footrule.
 
     Equal footrule goes to the smaller id, so a part full of copies of the query keeps the smallest ids.
     """
@@ -78,26 +80,27 @@ def search_part(queries: pd.DataFrame, rows: pd.DataFrame, pivots: int, candidat
     if len(queries) and len(rows):
         rows = rows.sort_values("id", kind="stable")
         ids = rows["id"].to_numpy()
-        vectors = np.stack(rows["vector"].to_numpy())
+        vectors = np.stack(rows["vector"].to_numpy()).astype(np.float64)
+        candidates = max(LEAST_CANDIDATES, math.ceil(share * len(rows)))
         ranked = footrule(np.stack(queries["places"].to_numpy()), np.stack(rows["places"].to_numpy()), pivots)
         for query_id, query, gap in zip(queries["id"], queries["vector"], ranked, strict=True):
             near = np.flatnonzero(ids != query_id)
-            if candidates is not None and len(near) > candidates:
+            if len(near) > candidates:
                 near = near[np.argsort(gap[near], kind="stable")[:candidates]]
-            exact = np.sqrt(((vectors[near] - query) ** 2).sum(1))
+            exact = np.sqrt(((vectors[near] - query.astype(np.float64)) ** 2).sum(1))
             best = np.lexsort((ids[near], exact))[:k]
             out += zip([query_id] * len(best), ids[near[best]].tolist(), exact[best].tolist(), strict=True)
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
 def search(
-    posted: DataFrame, asked: DataFrame, pivots: int, candidates: int | None, k: int
+    posted: DataFrame, asked: DataFrame, pivots: int, share: float, k: int
 ) -> DataFrame:
     """Join the inverted files (place, part) with the queries sent to them, block by block: (query_id, vec_id, score)."""
 
     def of(key: tuple, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         queries = queries.rename(columns=lambda c: c.removeprefix("query_"))
-        return search_part(queries, rows, pivots, candidates, k)
+        return search_part(queries, rows, pivots, share, k)
 
     keys = ["place", "part", "qpart"]
     return posted.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
@@ -124,22 +127,24 @@ def blocks(rows: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def neighbours(
-    embeddings: DataFrame, every: int = 100, k: int = 10, probes: int = 8, candidates: int = 400,
+    embeddings: DataFrame, every: int = 100, k: int = 10, probes: float = 1 / 3, share: float = 0.2,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found of each row whose id is divisible by ``every``.
 
     Score is the Euclidean distance in double precision; ties go to the smaller id. A vector is posted in the inverted
-    files of its 3 nearest pivots and a query reads those of its ``probes`` nearest; both sides of a file are cut into
-    parts of bounded size, so neither a vector that a third of the rows share nor a busy pivot makes a large task. In
-    each part the ``candidates`` best by footrule are measured exactly. A query that finds fewer than ``k`` rows this way
+    files of its 3 nearest pivots and a query reads those of the ``probes`` share of pivots nearest to it; both sides of a
+    file are cut into parts of bounded size, so neither a vector that a third of the rows share nor a busy pivot makes a
+    large task. In each part the ``share`` of rows best by footrule (64 at least) is measured exactly. A query that finds fewer than ``k`` rows this way
     is measured against all rows, in the same blocks.
 
     Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those whose length is
     not the most common one, nor rows with a null id. Rows that repeat an id and vector count once; of different vectors
     under one id each is a row. An empty table gives no rows. Other columns are not read.
     """
-    vector = F.col(vector_col).cast("array<double>")
+    vector = F.col(vector_col)
+    if not str(embeddings.schema[vector_col].dataType.simpleString()) == "array<float>":
+        vector = vector.cast("array<double>")
     clean = embeddings.select(F.col(id_col).cast("long").alias("id"), vector.alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector")))
     clean = written(clean.distinct(), "ann-vectors")
     lengths = clean.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
@@ -153,13 +158,13 @@ def neighbours(
     at = lambda n: F.explode(F.slice("places", 1, min(n, prefix)).cast("array<int>")).alias("place")
     posted = index.select(at(POSTED), "id", "places", "vector")
     named = [F.col(c).alias(f"query_{c}") for c in ("id", "places", "vector")]
-    asked = queries.select(at(probes), *named)
-    found = search(*blocks(posted, asked), len(pivots), candidates, k).dropDuplicates(["query_id", "vec_id"])
+    asked = queries.select(at(math.ceil(probes * len(pivots))), *named)
+    found = search(*blocks(posted, asked), len(pivots), share, k).dropDuplicates(["query_id", "vec_id"])
     found = written(found, "ann-found")
     enough = found.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
     few = queries.select(F.lit(0).alias("place"), *named).join(enough, "query_id", "left_anti")
     if few.limit(1).count():
-        rest = search(*blocks(index.withColumn("place", F.lit(0)), few), len(pivots), None, k)
+        rest = search(*blocks(index.withColumn("place", F.lit(0)), few), len(pivots), 1.0, k)
         found = found.union(rest).dropDuplicates(["query_id", "vec_id"])
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
