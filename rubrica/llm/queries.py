@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from rubrica.llm.common import table
 from rubrica.llm.decontam import contaminated
+from rubrica.llm.fuzzylines import dedup_lines
 from rubrica.llm.langid import identify
 from rubrica.llm.permindex import neighbours
 from rubrica.llm.quality import score_documents
@@ -35,6 +36,10 @@ def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), MODEL_PATH)
 
@@ -59,8 +64,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_warc, op2_decontamination, op3_url_filter, op4_permutation_index, op6_sentencepiece, op7_language, op8_simhash,
-        op9_secrets, op10_quality,
+        op1_warc, op2_decontamination, op3_url_filter, op4_permutation_index, op5_fuzzy_lines, op6_sentencepiece,
+        op7_language, op8_simhash, op9_secrets, op10_quality,
     )
 }
 ORACLES: dict[str, str] = {}
