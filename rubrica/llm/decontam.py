@@ -81,7 +81,7 @@ def make_automaton(items: list[Item]):
     posted: dict[str, list[tuple[int, int]]] = {}
     for n, item in enumerate(items):
         for start, end in pieces_of(len(item.text), item.budget + 1):
-            posted.setdefault(item.text[start:end], []).append((n, start - (end - 1)))
+            posted.setdefault(item.text[start:end], []).append((n, 1 - end))
     automaton = ahocorasick.Automaton()
     for piece, holders in posted.items():
         automaton.add_word(piece, holders)
@@ -105,15 +105,13 @@ def leaks_in(raw: str | None, items: list[Item], automaton) -> list[dict]:
         item = items[n]
         size, budget = len(item.text), item.budget
         best = (budget + 1, 0, 0)
-        low = high = -1
-        windows = []
+        windows: list[list[int]] = []
         for at in sorted(starts):
-            if at - budget > high:
-                if high >= 0:
-                    windows.append((low, high))
-                low = max(0, at - budget)
-            high = at + size + budget
-        windows.append((low, high))
+            low, high = max(0, at - budget), at + size + budget
+            if windows and low <= windows[-1][1]:
+                windows[-1][1] = high
+            else:
+                windows.append([low, high])
         for low, high in windows:
             distance, end = nearest_end(item.masks, size, text[low:high])
             if distance < best[0]:

@@ -79,7 +79,8 @@ def fit(docs: DataFrame, per_language: int = 2500, grams: int = 60_000) -> Model
                 held["script " + script_of(word)] += n
                 for gram in grams_of(word):
                     held[gram] += n
-            yield pd.DataFrame({"lang": lang, "gram": list(held), "n": list(held.values())})
+            if held:
+                yield pd.DataFrame({"lang": lang, "gram": list(held), "n": list(held.values())})
 
     counts = sample.mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     table: dict[str, np.ndarray] = {}
@@ -129,6 +130,8 @@ def best_paths(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pena
 
     Equal paths go to the language that is first by name.
     """
+    if not scores.size:
+        return np.zeros(len(scores), np.uint8)
     order = np.argsort(-lengths, kind="stable")
     starts, falling = starts[order], -lengths[order]
     width = scores.shape[1]

@@ -93,7 +93,8 @@ def vocabulary(sample: DataFrame, words: int, shapes: int, least: int) -> dict[s
         for word, n in seen.items():
             classes[shape_of(word)] += n
         for kind, counter in ((0, seen), (1, classes)):
-            yield pd.DataFrame({"kind": kind, "word": list(counter), "n": list(counter.values())})
+            if counter:
+                yield pd.DataFrame({"kind": kind, "word": list(counter), "n": list(counter.values())})
 
     counts = sample.mapInPandas(count, "kind int, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
     top = counts.where(f"kind = 1 or n >= {least}")

@@ -19,24 +19,58 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLANK = "▁"
 #: Stands for a U+2581 of the text itself; UTF-8 texts hold no lone surrogate.
 LITERAL = "\ud800"
-ESCAPE = str.maketrans({" ": BLANK, BLANK: LITERAL})
 UNIT = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
-GROUP_CHARS = 1_500_000
-CACHE_NODES = 1_500_000
+GROUP_CHARS = 500_000
+CACHE_NODES = 600_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xD1B54A32D192ED03)
 
 
 @dataclass
 class Pieces:
-    """The vocabulary as shipped to tasks: ids and log probabilities by piece, first byte id, bytes by id."""
+    """The vocabulary as shipped to tasks.
 
-    ids: dict[str, int]
-    logs: list[float]
-    bytes_from: int
+    ``classes`` numbers the characters that occur in pieces (0: none). The pieces form a trie in an open-addressed table
+    (``slots``: state * 2^16 + class, -1 if free; ``follow``: next state); ``ends`` holds the piece id of a state or -1. An
+    edge for a character outside the vocabulary carries ``size`` + its code point and is written out as bytes.
+    """
+
+    size: int
+    logs: np.ndarray
     byte_log: float
+    bytes_from: int
     longest: int
     surface: list[bytes]
+    classes: np.ndarray
+    slots: np.ndarray
+    follow: np.ndarray
+    ends: np.ndarray
+
+
+def slot_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys.astype(np.uint64) * GOLD) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def make_trie(ids: dict[str, int], classes: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    steps: dict[int, int] = {}
+    ends = [-1]
+    for piece, piece_id in ids.items():
+        state = 0
+        for c in piece:
+            key = state << 16 | classes[c]
+            if key not in steps:
+                steps[key] = len(ends)
+                ends.append(-1)
+            state = steps[key]
+        ends[state] = piece_id
+    bits = len(steps).bit_length() + 2
+    slots, follow = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+    first = slot_of(np.fromiter(steps, np.int64, len(steps)), bits).tolist()
+    for at, (key, state) in zip(first, steps.items(), strict=True):
+        while slots[at] >= 0:
+            at = (at + 1) & ((1 << bits) - 1)
+        slots[at], follow[at] = key, state
+    return slots, follow, np.array(ends, np.int32)
 
 
 def load_pieces(model_path: str, zipf_shift: float = 10.0, sharpness: float = 1.0) -> Pieces:
@@ -53,21 +87,32 @@ def load_pieces(model_path: str, zipf_shift: float = 10.0, sharpness: float = 1.
     byte_ids = [i for i in range(size) if model.is_byte(i)]
     if len(byte_ids) != 256:
         raise ValueError(f"{model_path} has no byte fallback")
-    ids, ranks, surface = {}, [0.0] * size, [b""] * size
+    ids: dict[str, int] = {}
+    ranks, surface = np.full(size, float(size)), [b""] * size
     for i in range(size):
         if model.is_byte(i):
             surface[i] = bytes([i - byte_ids[0]])
         elif not (model.is_control(i) or model.is_unknown(i)):
             piece = model.id_to_piece(i)
+            if BLANK in piece.lstrip(BLANK):
+                raise ValueError(f"piece {i} crosses a word boundary")
             ids[piece] = i
-            score = -model.get_score(i)
-            ranks[i] = score if score < size else float(size)
+            ranks[i] = min(-model.get_score(i), float(size))
             surface[i] = piece.replace(BLANK, " ").encode()
-    weights = {i: (ranks[i] + zipf_shift) ** -sharpness for i in ids.values()}
-    scale = math.log(sum(weights.values()))
-    logs = [math.log(weights[i]) - scale if i in weights else 0.0 for i in range(size)]
+    logs = -sharpness * np.log(ranks + zipf_shift)
+    scale = float(np.log(np.exp(logs[list(ids.values())]).sum()))
     byte_log = -sharpness * math.log(size + zipf_shift) - scale - math.log(100)
-    return Pieces(ids, logs, byte_ids[0], byte_log, max(map(len, ids)), surface)
+    held = {c: n for n, c in enumerate(sorted({c for piece in ids for c in piece}), 1)}
+    classes = np.zeros(0x110000, np.uint16)
+    classes[[ord(c) for c in held]] = list(held.values())
+    return Pieces(
+        size, logs - scale, byte_log, byte_ids[0], max(map(len, ids)), surface, classes, *make_trie(ids, held)
+    )
+
+
+def units_of(raw: str) -> list[str]:
+    """The text behind its dummy blank, cut into units: a run of blanks and what follows up to the next blank."""
+    return UNIT.findall((" " + raw).replace(BLANK, LITERAL).replace(" ", BLANK)) if raw else []
 
 
 def log_complement(log_p: np.ndarray) -> np.ndarray:
@@ -92,7 +137,8 @@ class Lattices:
     """Edges of the lattices of all units met so far, by source node, with their conditional probabilities.
 
     No piece crosses from one unit (a run of blanks and the word behind it) to the next, so the lattice of a text is the
-    chain of its units' lattices, and a unit's lattice with its backward sums is built once and shared.
+    chain of its units' lattices, and a unit's lattice with its backward sums is built once and shared. A node is a
+    character of a unit; the edges of a node lie together, and ``cum`` rises from the node's number to the next one's.
     """
 
     def __init__(self, pieces: Pieces):
@@ -101,75 +147,104 @@ class Lattices:
 
     def forget(self) -> None:
         self.first: dict[str, int] = {}
-        self.nodes = 0
-        self.parts: dict[str, list] = {"cum": [], "to": [], "piece": [], "log": [], "node": []}
-        self.arrays = {k: np.zeros(0, np.float64 if k in ("cum", "log") else np.int64) for k in self.parts}
-
-    def add(self, unit: str) -> int:
-        """Node at which the unit starts."""
-        if unit in self.first:
-            return self.first[unit]
+        self.nodes = self.edges = 0
+        self.room = {k: np.zeros(1 << 16, np.float64 if k in ("cum", "log") else np.int32) for k in ("cum", "log", "to", "piece", "node")}
+        self.arrays = {k: room[:0] for k, room in self.room.items()}
+
+    def steps(self, states: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Trie states one character further, -1 where there is none."""
         p = self.pieces
-        ids, logs, base, n = p.ids, p.logs, self.nodes, len(unit)
-        edges: list[list[tuple[int, int, float]]] = []
-        chains: list[tuple[int, int, int]] = []
-        extra = n + 1
-        for i in range(n):
-            own = []
-            for j in range(i + 1, min(n, i + p.longest) + 1):
-                piece = ids.get(unit[i:j])
-                if piece is not None:
-                    own.append((j, piece, logs[piece]))
-            if not own or own[0][0] != i + 1:
-                raw = (BLANK if unit[i] == LITERAL else unit[i]).encode("utf-8", "surrogatepass")
-                at = [*range(extra, extra + len(raw) - 1), i + 1]
-                extra += len(raw) - 1
-                own.insert(0, (at[0], p.bytes_from + raw[0], p.byte_log * len(raw)))
-                chains += [(at[k - 1], at[k], p.bytes_from + raw[k]) for k in range(1, len(raw))]
-            edges.append(own)
-        after = [0.0] * extra
-        behind = {source: to for source, to, _ in chains}
-
-        def end_of(node: int) -> int:
-            while node > n:
-                node = behind[node]
-            return node
-
-        cum, to, piece_ids, log_ps, sources = (self.parts[k] for k in ("cum", "to", "piece", "log", "node"))
-        shares: list[list[float]] = [[]] * n
-        for i in range(n - 1, -1, -1):
-            totals = [log_p + after[end_of(j)] for j, _, log_p in edges[i]]
-            most = max(totals)
-            after[i] = most + math.log(sum(math.exp(t - most) for t in totals))
-            shares[i] = [t - after[i] for t in totals]
-        for i in range(n):
-            reached = 0.0
-            for (j, piece, _), share in zip(edges[i], shares[i], strict=True):
-                reached += math.exp(share)
-                cum.append(base + i + reached)
-                to.append(-1 if j == n else base + j)
-                piece_ids.append(piece)
-                log_ps.append(min(share, 0.0))
-                sources.append(base + i)
-            cum[-1] = base + i + 1.0
-            if len(edges[i]) == 1:
-                log_ps[-1] = 0.0
-        for source, j, piece in chains:
-            cum.append(base + source + 1.0)
-            to.append(-1 if j == n else base + j)
-            piece_ids.append(piece)
-            log_ps.append(0.0)
-            sources.append(base + source)
-        self.first[unit] = base
-        self.nodes = base + extra
-        return base
-
-    def settle(self) -> None:
-        """Make the edges added since the last call visible to ``walk``."""
-        for k, new in self.parts.items():
-            if new:
-                self.arrays[k] = np.concatenate([self.arrays[k], np.array(new, self.arrays[k].dtype)])
-                new.clear()
+        bits = len(p.slots).bit_length() - 1
+        keys = states.astype(np.int64) << 16 | classes
+        at = slot_of(keys, bits)
+        held = p.slots[at]
+        out = np.where(held == keys, p.follow[at], -1)
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        while open_.size:
+            at[open_] = (at[open_] + 1) & (len(p.slots) - 1)
+            held = p.slots[at[open_]]
+            hit = held == keys[open_]
+            out[open_[hit]] = p.follow[at[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return out
+
+    def add(self, units: list[str]) -> None:
+        """Build the lattices of new, distinct units, all in step."""
+        p = self.pieces
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        firsts = np.cumsum(lengths) - lengths
+        n = len(codes)
+        left = np.repeat(firsts + lengths, lengths) - np.arange(n)
+        classes = p.classes[codes]
+        counts = np.zeros(n, np.int64)
+        found = []
+        where, states = np.arange(n), np.zeros(n, np.int32)
+        for width in range(1, p.longest + 1):
+            inside = left[where] >= width
+            where, states = where[inside], states[inside]
+            states = self.steps(states, classes[where + width - 1])
+            where, states = where[states >= 0], states[states >= 0]
+            ids = p.ends[states]
+            ended = ids >= 0
+            found.append((where[ended], width, ids[ended]))
+            counts[where[ended]] += 1
+            if width == 1:
+                alone = np.flatnonzero(counts == 0)
+                found.append((alone, 1, (p.size + codes[alone]).astype(np.int32)))
+                counts[alone] += 1
+        offsets = np.cumsum(counts) - counts
+        total = int(counts.sum())
+        target, piece = np.zeros(total, np.int64), np.zeros(total, np.int32)
+        filled = offsets.copy()
+        for at, width, ids in found:
+            target[filled[at]] = np.where(left[at] == width, n, at + width)
+            piece[filled[at]] = ids
+            filled[at] += 1
+        known = piece < p.size
+        weight = np.full(total, p.byte_log)
+        weight[known] = p.logs[piece[known]]
+        long_code = np.where(known, 0, piece - p.size)
+        weight[~known] *= 1 + (long_code[~known] > 0x7F) + (long_code[~known] > 0x7FF) + (long_code[~known] > 0xFFFF)
+        after = np.zeros(n + 1)
+        log, cum = np.zeros(total), np.zeros(total)
+        by_left = np.argsort(left, kind="stable")
+        ends = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 1), side="right")
+        begin = 0
+        for end in ends.tolist():
+            nodes = by_left[begin:end]
+            begin = end
+            if not nodes.size:
+                continue
+            own = counts[nodes]
+            heads = np.cumsum(own) - own
+            edges = np.repeat(offsets[nodes] - heads, own) + np.arange(int(own.sum()))
+            values = weight[edges] + after[target[edges]]
+            most = np.maximum.reduceat(values, heads)
+            sums = np.add.reduceat(np.exp(values - np.repeat(most, own)), heads)
+            after[nodes] = most + np.log(sums)
+            share = np.minimum(values - np.repeat(after[nodes], own), 0.0)
+            share[heads[own == 1]] = 0.0
+            log[edges] = share
+            reached = np.cumsum(np.exp(share))
+            before = reached[heads] - np.exp(share[heads])
+            cum[edges] = reached - np.repeat(before, own)
+        cum = np.minimum(cum, 1.0)
+        cum[offsets + counts - 1] = 1.0
+        source = np.repeat(np.arange(n), counts) + self.nodes
+        new = {
+            "cum": cum + source, "log": log, "piece": piece, "node": source,
+            "to": np.where(target == n, -1, target + self.nodes),
+        }
+        for k, values in new.items():
+            room = self.room[k]
+            if self.edges + total > len(room):
+                self.room[k] = room = np.concatenate([room, np.zeros(max(len(room), total), room.dtype)])
+            room[self.edges : self.edges + total] = values
+            self.arrays[k] = room[: self.edges + total]
+        self.first.update(zip(units, (firsts + self.nodes).tolist(), strict=True))
+        self.edges += total
+        self.nodes += n
 
     def walk(self, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact samples of the rest of many units at once: (edges, one unit after another; edges by unit)."""
@@ -243,12 +318,15 @@ class Sampler:
         """Samples (piece ids, log probability, perturbed log probability, log inclusion probability) of each text."""
         if self.lattices.nodes > CACHE_NODES:
             self.lattices.forget()
-        texts = []
-        for key, raw in rows:
-            units = UNIT.findall((" " + raw).translate(ESCAPE)) if raw else []
-            starts = np.fromiter(map(self.lattices.add, units), np.int64, len(units))
-            texts.append(Text(self.row_key(key), starts, [], []))
-        self.lattices.settle()
+        cut = [units_of(raw) for _, raw in rows]
+        first = self.lattices.first
+        new = dict.fromkeys(u for units in cut for u in units if u not in first)
+        if new:
+            self.lattices.add(list(new))
+        texts = [
+            Text(self.row_key(key), np.fromiter(map(first.__getitem__, units), np.int64, len(units)), [], [])
+            for (key, _), units in zip(rows, cut, strict=True)
+        ]
         log, node, to, piece = (self.lattices.arrays[k] for k in ("log", "node", "to", "piece"))
         empty = np.zeros(0, np.int64)
         for text in texts:
@@ -318,10 +396,25 @@ class Sampler:
             above = 0.0 if left == -np.inf else float(log_complement(np.array([-math.exp(min(log_p - left, 700.0))]))[0])
             if log_p - left < -30 and left != -np.inf:
                 above = log_p - left
-            out.append((piece[path].astype(np.int32), log_p, value, min(above, 0.0)))
+            out.append((self.spelled(piece[path]), log_p, value, min(above, 0.0)))
         return out
 
 
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        """Piece ids with the edges of unknown characters written out as byte pieces."""
+        p = self.lattices.pieces
+        unknown = np.flatnonzero(ids >= p.size)
+        if not unknown.size:
+            return ids.astype(np.int32)
+        parts, at = [], 0
+        for i in unknown.tolist():
+            c = chr(int(ids[i]) - p.size)
+            raw = (BLANK if c == LITERAL else c).encode("utf-8", "surrogatepass")
+            parts += [ids[at:i], np.frombuffer(raw, np.uint8).astype(np.int32) + p.bytes_from]
+            at = i + 1
+        return np.concatenate([*parts, ids[at:]]).astype(np.int32)
+
+
 class HeapEntry(tuple):
     """Ordered by value, then by when it was made, then by place."""
 
@@ -362,19 +455,16 @@ def sampled(key: Column, text: Column, pieces: Pieces, samples: int = 2, seed: i
     def of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         sampler = Sampler(pieces, samples, seed)
         for keys, texts in batches:
-            rows = list(zip(keys.to_pylist(), texts.to_pylist(), strict=True))
-            results: list[list[tuple] | None] = [None] * len(rows)
-            group: list[int] = []
-            size = 0
-            for i, (_, text) in enumerate(rows):
-                if text is not None:
-                    group.append(i)
-                    size += len(text)
-                if group and (size >= GROUP_CHARS or i == len(rows) - 1):
-                    for j, found in zip(group, sampler.run([rows[j] for j in group]), strict=True):
-                        results[j] = found
-                    group, size = [], 0
-            yield as_array(results)
+            at = 0
+            while at < len(texts):
+                rows: list[tuple] = []
+                size = 0
+                while at < len(texts) and size < GROUP_CHARS:
+                    rows.append((keys[at].as_py(), texts[at].as_py()))
+                    size += len(rows[-1][1] or "")
+                    at += 1
+                found = iter(sampler.run([r for r in rows if r[1] is not None]))
+                yield as_array([None if text is None else next(found) for _, text in rows])
 
     of.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
     return F.arrow_udf(of, SAMPLES)(key, text)

@@ -90,11 +90,19 @@ def count_transitions(docs: DataFrame, text_col: str, sample_key: str, sample_ro
     return counts.reshape(shape)
 
 
-def log_ratio(counts: np.ndarray, smoothing: float = 0.5) -> np.ndarray:
-    """log P(next | previous, random) - log P(next | previous, ordinary); zero without any labelled token."""
-    smooth = counts + smoothing
+def log_ratio(counts: np.ndarray, smoothing: float = 0.5, backing: float = 10.0) -> np.ndarray:
+    """log P(next | previous, random) - log P(next | previous, ordinary); zero without any labelled token.
+
+    Rare transitions lean on how often the next character occurs at all in the same model. A transition that occurs once
+    among ordinary tokens counts for nothing there, since a secret that no pattern marked is counted among them.
+    """
+    if not counts.any():
+        return np.zeros(counts.shape[1:])
+    counts = np.maximum(counts - np.array([0, 1])[:, None, None], 0)
+    single = counts.sum(1, keepdims=True) + smoothing
+    smooth = counts + backing * single / single.sum(-1, keepdims=True)
     logs = np.log(smooth / smooth.sum(-1, keepdims=True))
-    return logs[0] - logs[1] if counts.any() else np.zeros(logs.shape[1:])
+    return logs[0] - logs[1]
 
 
 SPANS = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
