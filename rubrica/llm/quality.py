@@ -232,3 +232,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     model = fit(docs, labels, **settings)
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **settings) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns. Row-local after the fit."""
+    return docs.where(score(F.col("text"), fit(docs, labels, **settings)) >= threshold)

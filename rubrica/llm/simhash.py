@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rubrica.llm.common import components, written
@@ -107,6 +107,13 @@ def ring_links(nodes: DataFrame, budget: int = 2, dense: int = 16, name: str = "
     return sparse.select("a", "b").union(thick.select("a", "b")).distinct()
 
 
+def linked(marked: DataFrame) -> DataFrame:
+    """(fp, root) of every distinct fingerprint of ``marked``; the root is the smallest fingerprint of its component."""
+    nodes = written(marked.select("fp").distinct(), "simhash-nodes")
+    roots = components(ring_links(nodes), "simhash")
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """One row per input row: (id, fp BIGINT, component_id).
 
@@ -116,11 +123,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     marked = docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), words).alias("fp"))
     marked = written(marked, "simhash-fingerprints")
-    nodes = written(marked.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    roots = components(ring_links(nodes.select("fp")), "simhash")
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    roots = written(linked(marked), "simhash-roots")
+    held = marked.groupBy("fp").agg(F.min("id").alias("least")).join(roots, "fp")
+    least = held.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = roots.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp", "left").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
+    """The rows of ``docs`` that come first in their component: the smallest ``doc_id``, then by a hash of the text.
+
+    Null ids come last. All columns are kept. Rows that repeat an id and text are one; which of them stays, where other
+    columns differ, is not defined. Only ids and hashes are shuffled to find the first rows; the texts move once, to meet
+    them.
+    """
+    body = F.xxhash64("text")
+    marked = docs.select(F.col("doc_id").alias("id"), body.alias("body"), fingerprint(F.col("text"), words).alias("fp"))
+    marked = written(marked, "simhash-fingerprints")
+    rooted = marked.join(linked(marked), "fp")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "body")
+    first = rooted.groupBy("root").agg(F.min(place).alias("first"))
+    first = written(first.select(F.col("first.id").alias("first_id"), F.col("first.body").alias("first_body")), "simhash-first")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), body.alias("body"))
+    met = rows.join(first, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("body") == F.col("first_body")))
+    repeated = marked.groupBy("id", "body").count().where("count > 1").limit(1).count()
+    if repeated:
+        order = Window.partitionBy("id", "body").orderBy(F.lit(0))
+        met = met.withColumn("turn", F.row_number().over(order)).where("turn = 1")
+    return met.select("row.*")
