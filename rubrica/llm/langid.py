@@ -6,6 +6,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD = re.compile(r"[^\W\d_]+")
 CACHE = 200_000
-GROUP_WORDS = 1_000_000
+GROUP_CHARS = 4_000_000
 BARRED = -30.0
 
 # First code point of each range and its script, in order; letters before the first range are Latin.
@@ -94,7 +95,7 @@ def fit(docs: DataFrame, per_language: int = 2500, grams: int = 60_000) -> Model
         languages,
         {g: np.log((n + 0.5) / totals) for g, n in plain.items()},
         np.log(0.5 / totals),
-        {s: n >= 0.01 * np.maximum(used, 1) for s, n in scripts.items()},
+        {s: n >= 0.01 * np.maximum(used, 1) for s, n in scripts.items() if (n >= 0.01 * np.maximum(used, 1)).any()},
     )
 
 
@@ -103,22 +104,30 @@ class Words(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.table = model, np.zeros((4096, len(model.languages)))
-
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.table):
+        self.model = model
+        self.table = np.zeros((4096, len(model.languages)))
+        self.rows = {g: i for i, g in enumerate(model.grams, 1)}
+        self.logs = np.stack([model.unseen, *model.grams.values()])
+        everyone = np.ones(len(model.languages), bool)
+        self.candidates, self.everyone = model.scripts, everyone
+
+    def learn(self, words: list[str]) -> None:
+        """Score new words together: sums of their trigrams' log probabilities, relative to the best candidate. A script
+        that no language uses says nothing; a language that does not use the word's script is barred."""
+        grams = [grams_of(w) for w in words]
+        counts = np.fromiter(map(len, grams), np.int64, len(grams))
+        rows = np.fromiter((self.rows.get(g, 0) for own in grams for g in own), np.int64, int(counts.sum()))
+        scores = np.add.reduceat(self.logs[rows], np.cumsum(counts) - counts, axis=0)
+        scripts = [script_of(w) for w in words]
+        allowed = np.stack([self.candidates.get(s, self.everyone) for s in scripts])
+        used = np.array([s in self.candidates for s in scripts])
+        best = np.where(allowed, scores, -np.inf).max(1, keepdims=True)
+        scores = np.where(allowed, np.maximum(scores - best, BARRED), BARRED) * used[:, None]
+        first = len(self)
+        while first + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        model = self.model
-        scores = sum((model.grams.get(g, model.unseen) for g in grams_of(word)), np.zeros(len(model.languages)))
-        candidates = model.scripts.get(script_of(word))
-        if candidates is None or not candidates.any():
-            scores = np.zeros(len(model.languages))
-        else:
-            scores = np.where(candidates, scores - scores[candidates].max(), BARRED)
-        self.table[row] = np.maximum(scores, BARRED)
-        self[word] = row
-        return row
+        self.table[first : first + len(words)] = scores
+        self.update(zip(words, range(first, first + len(words)), strict=True))
 
     def trim(self) -> None:
         if len(self) > CACHE:
@@ -187,13 +196,18 @@ def label(text: Column, model: Model, penalty: float = 8.0) -> Column:
     ``und`` with score 0 and no spans for a null text, one without letters, or a model without languages.
     """
 
-    def group(texts: list[str], words: Words) -> list[tuple]:
+    def group(texts: list[str], words: Words | None) -> list[tuple]:
+        if words is None:
+            return [("und", 0.0, [])] * len(texts)
         words.trim()
         found = [WORD.findall(t) for t in texts]
         lengths = np.array([len(f) for f in found], np.int64)
         starts = np.cumsum(lengths) - lengths
-        rows = np.fromiter((words[w] for f in found for w in f), np.int64, int(lengths.sum()))
-        letters = np.fromiter((len(w) for f in found for w in f), np.int64, len(rows))
+        flat = list(chain.from_iterable(found))
+        if new := list(set(flat) - words.keys()):
+            words.learn(new)
+        rows = np.fromiter(map(words.__getitem__, flat), np.int64, len(flat))
+        letters = np.fromiter(map(len, flat), np.int64, len(flat))
         path = best_paths(words.table[rows], starts, lengths, penalty)
         results = []
         for i, text in enumerate(texts):
@@ -208,15 +222,15 @@ def label(text: Column, model: Model, penalty: float = 8.0) -> Column:
         return results
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words = Words(model)
+        words = Words(model) if model.languages else None
         for batch in batches:
-            texts = [t or "" for t in batch] if model.languages else [""] * len(batch)
+            texts = [t or "" for t in batch]
             order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
             results: list = [None] * len(texts)
             at = 0
             while at < len(order):
                 end, size = at, 0
-                while end < len(order) and (end == at or size + len(texts[order[end]]) <= 5 * GROUP_WORDS):
+                while end < len(order) and (end == at or size + len(texts[order[end]]) <= GROUP_CHARS):
                     size += len(texts[order[end]])
                     end += 1
                 for i, r in zip(order[at:end], group([texts[i] for i in order[at:end]], words), strict=True):
