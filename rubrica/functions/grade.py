@@ -32,8 +32,8 @@ RewardFn = Callable[[Column, Column], Column]
 # Characters that open and close tuples and intervals.
 TUPLE_CHARS = r"()\[\]"
 
-# sign-free mixed part, sign, integer digits, decimals, denominator, power of ten
-CONSTANT = r"\A(?:(-?[0-9]{1,9})\+)?(-?)([0-9]{0,9})(?:\.([0-9]{0,6}))?(?:/([0-9]{1,8}))?(?:\*10\^([0-9]))?\z"
+# mixed part, sign, integer digits, decimals, denominator, power of ten
+CONSTANT = r"\A(?:(-?[0-9]++)\+)?(-?)([0-9]*+)(?:\.([0-9]*+))?(?:/([0-9]++))?(?:\*10\^([0-9]++))?\z"
 
 
 def _is_fraction(x: str) -> str:
@@ -62,30 +62,47 @@ def _elements(x: str) -> str:
 
 
 def _constant(x: str) -> str:
-    """Exact numerator and denominator of an integer, decimal, ``a/b``, ``a+b/c`` or ``a*10^k``; NULL for the rest."""
-
-    def part(i: int, default: str) -> str:
-        return f"coalesce(nullif({group(x, CONSTANT, i)}, ''), '{default}')"
-
-    scale = f"CAST(rpad('1', length({part(4, '')}) + 1, '0') AS decimal(7,0))"
-    power = f"CAST(rpad('1', CAST({part(6, '0')} AS int) + 1, '0') AS decimal(10,0))"
-    denominator = f"CAST(CAST({part(5, '1')} AS decimal(8,0)) * {scale} AS decimal(14,0))"
-    digits = f"CAST(concat({part(2, '')}, {part(3, '0')}, {part(4, '')}) AS decimal(15,0))"
-    numerator = f"CAST(CAST({part(1, '0')} AS decimal(9,0)) * {denominator} + {digits} * {power} AS decimal(24,0))"
-    value = let_text(
-        f"named_struct('num', {numerator}, 'den', {denominator})", lambda v: f"if({v}.den <> 0, {v}, NULL)"
+    """Struct of two exact readings of an integer, decimal, ``a/b``, ``a+b/c`` or ``a*10^k``; NULL for any other text.
+
+    ``short`` spells a number without a fraction bar as significant digits and a power of ten, whatever its length.
+    ``num`` and ``den`` hold it as a fraction, or NULL where 38 digits do not suffice.
+    """
+    part = lambda i, default: f"coalesce(nullif({group(x, CONSTANT, i)}, ''), '{default}')"
+    whole, sign, integer, decimals, below, power = (part(i, d) for i, d in enumerate(["0", "", "0", "", "1", "0"], 1))
+    exact = lambda t: f"try_cast({t} AS decimal(38,0))"
+    tens = lambda n: f"if({n} < 38, {exact(f'rpad({text('1')}, CAST({n} AS int) + 1, {text('0')})')}, NULL)"
+
+    def read(v: str) -> str:
+        significant = f"trim(TRAILING '0' FROM {v}.digits)"
+        shift = f"length({v}.digits) - length({significant}) - {v}.places + {v}.power"
+        plain_number = f"{group(x, CONSTANT, 1)} = '' AND {group(x, CONSTANT, 5)} = ''"
+        spelled = f"if({v}.digits = '', '0', concat({v}.sign, {significant}, 'e', {shift}))"
+        digits = exact(f"concat({v}.sign, '0', {v}.digits)")
+        den = f"try_multiply({exact(v + '.below')}, {tens(f'{v}.places')})"
+        upper = f"try_multiply({digits}, {tens(f'{v}.power')})"
+        num = f"try_add(try_multiply({exact(v + '.whole')}, {den}), {upper})"
+        return (
+            f"named_struct('short', if({plain_number} AND {v}.power IS NOT NULL, {spelled}, NULL), "
+            f"'num', {exact(num)}, 'den', nullif({exact(den)}, 0))"
+        )
+
+    fields = (
+        f"named_struct('whole', {whole}, 'sign', {sign}, 'digits', trim(LEADING '0' FROM concat({integer}, {decimals})), "
+        f"'places', CAST(length({decimals}) AS bigint), 'below', {below}, 'power', try_cast({power} AS bigint))"
     )
-    has_digits = matches(x, r"\A(?:-?[0-9]+\+)?-?(?:[0-9]|\.[0-9])")
-    padded = matches(x, r"(?:\A|[+/-])0[0-9]+(?![0-9.])")
-    return f"if({matches(x, CONSTANT)} AND {has_digits} AND NOT {padded}, {value}, NULL)"
+    has_digits = matches(x, r"\A(?:-?[0-9]++\+)?-?(?:[0-9]|\.[0-9])")
+    padded = matches(x, r"(?:\A|[+/-])0[0-9]++(?!\.)")
+    return f"if({matches(x, CONSTANT)} AND {has_digits} AND NOT {padded}, {let_text(fields, read)}, NULL)"
 
 
 def _same_constant(a: str, b: str) -> str:
-    """NULL when either side is no constant."""
-    x = "c"
-    return let_text(
-        f"transform(array({a}, {b}), {x} -> {_constant(x)})", lambda v: f"{v}[0].num * {v}[1].den = {v}[1].num * {v}[0].den"
-    )
+    """NULL when either side is no constant, or when a fraction has too many digits to decide."""
+
+    def compare(v: str) -> str:
+        crossed = f"try_multiply({v}[0].num, {v}[1].den) = try_multiply({v}[1].num, {v}[0].den)"
+        return f"coalesce({v}[0].short = {v}[1].short, {crossed})"
+
+    return let_text(f"transform(array({a}, {b}), c -> {_constant('c')})", compare)
 
 
 def _integerness_differs(a: str, b: str) -> str:

@@ -65,6 +65,20 @@ PLAIN_UNITS = [
 ]
 SCALE_WORDS = [("million", "*10^6"), ("billion", "*10^9"), ("trillion", "*10^12")]
 
+# LaTeX marks without a plain spelling of their own, wrappers of text, and relations and signs.
+LATEX_NOTHING = [r"\\(?:left|right|displaystyle|limits)(?![a-zA-Z])\.?", r"\\[,;:!]"]
+LATEX_BLANKS = r"\\(?:q?quad(?![a-zA-Z])| )|~"
+LATEX_WRAPPERS = r"\\(?:text|textbf|textit|textrm|mathrm|mathbf|mathit|mathsf|mbox|operatorname)\s*\{([^{}]*)\}"
+LATEX_SIGNS = [("leq?", "≤"), ("geq?", "≥"), ("neq?", "≠"), ("lt", "<"), ("gt", ">"), ("pm", "±"), ("mp", "∓"), ("approx", "≈")]
+LATEX_SIGNS += [("in", "∈"), ("cap", "∩"), ("to", "→"), ("ldots", "…"), ("cdots", "⋯"), ("div", "÷"), ("angle", "∠")]
+
+# Greek letters by macro name, in alphabetical order of the names.
+GREEK = {
+    "alpha": "α", "beta": "β", "chi": "χ", "delta": "δ", "epsilon": "ϵ", "eta": "η", "gamma": "γ", "iota": "ι",
+    "kappa": "κ", "lambda": "λ", "mu": "μ", "nu": "ν", "omega": "ω", "phi": "ϕ", "psi": "ψ", "rho": "ρ", "sigma": "σ",
+    "tau": "τ", "theta": "θ", "upsilon": "υ", "varepsilon": "ε", "varphi": "φ", "xi": "ξ", "zeta": "ζ",
+}
+
 # LaTeX symbols and their plain spelling.
 PLAIN_SYMBOLS = [
     (r"\\pi(?![a-zA-Z])", "pi"),
@@ -79,7 +93,9 @@ PLAIN_SYMBOLS = [
     ("[·×]", "*"),
 ]
 
-NUMBER = r"[+-]?(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)(?:[eE][+-]?[0-9]+(?:_[0-9]+)*)?"
+# Repeats are possessive: Java matches them in a loop, where a plain repeated group recurses once per part.
+_DIGITS = r"[0-9]++(?:_[0-9]++)*+"
+NUMBER = rf"[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
 _TWO_60 = 1152921504606846976
 
 
@@ -221,23 +237,43 @@ def is_integer_text(x: str) -> str:
     return let(let(without_number_commas(x), as_float), is_integral)
 
 
+def _nesting(x: str) -> str:
+    """The deepest level of braces in a text."""
+    steps = f"transform(regexp_extract_all({x}, {text('([{}])')}, 1), c -> if(c = '{{', 1, -1))"
+    start = "named_struct('now', 0, 'most', 0)"
+    return (
+        f"aggregate({steps}, {start}, (s, d) -> named_struct('now', s.now + d, 'most', greatest(s.most, s.now + d)), s -> s.most)"
+    )
+
+
 def latex_to_plain(x: str) -> str:
-    """Fractions, roots and common symbols as plain text; any other macro stays as written (see latex_unsupported)."""
+    """Fractions, roots and common symbols as plain text; any other macro stays as written (see latex_unsupported).
+
+    Fractions and roots are rewritten from the inside out, one nesting level a round; once no innermost one is left, a
+    round is a single search.
+    """
+    for pattern in LATEX_NOTHING:
+        x = sub(x, pattern, "")
+    x = sub(sub(x, LATEX_BLANKS, " "), LATEX_WRAPPERS, "$1")
     x = swap(x, ("\\tfrac", "\\frac"), ("\\dfrac", "\\frac"), ("\\frac", " \\frac"))
     x = sub(x, r"\\frac\s*([0-9a-zA-Z])\s*([0-9a-zA-Z])", "$1/$2")
     x = sub(x, r"\\sqrt\s*([0-9a-zA-Z])", "sqrt($1)")
 
     def innermost(running: str, _: str) -> str:
-        running = sub(running, r"\\frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2")
-        return sub(running, r"\\sqrt\s*\{([^{}]*)\}", "sqrt($1)")
-
-    def all_levels(t: str) -> str:
-        return fold(f"sequence(0, {occurrences(t, '\\frac')} + {occurrences(t, '\\sqrt')})", t, innermost)
+        fractions = sub(running, r"\\frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2")
+        both = sub(fractions, r"\\sqrt\s*\{([^{}]*)\}", "sqrt($1)")
+        return f"if({matches(running, r'\\(?:frac|sqrt)\s*\{[^{}]*\}')}, {both}, {running})"
 
-    x = let(x, all_levels)
+    x = let(x, lambda t: fold(f"sequence(0, {_nesting(t)})", t, innermost))
     for pattern, plain_symbol in PLAIN_SYMBOLS:
         x = sub(x, pattern, plain_symbol)
-    return strip(x)
+
+    def marks(t: str) -> str:
+        for name, sign in [*LATEX_SIGNS, *GREEK.items()]:
+            t = sub(t, rf"\\{name}(?![a-zA-Z])", sign)
+        return sub(t, r"\\([{}])", "$1")
+
+    return strip(let(x, lambda t: f"if({has(t, '\\')}, {marks(t)}, {t})"))
 
 
 def _without_plain_units(x: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rubrica import templates
+from rubrica.functions.text import strip
 
 
 def render(template: str, **values: Column) -> Column:
@@ -41,10 +42,10 @@ def chat_text(
     turn_end: str = templates.CHAT_TURN_END,
     add_generation_prompt: bool = True,
 ) -> Column:
-    """Flatten ``ARRAY<STRUCT<role, content>>`` to the text a chat model is given; contents are trimmed."""
+    """Flatten ``ARRAY<STRUCT<role, content>>`` to the text a chat model is given; contents lose white space at both ends."""
     turns = F.transform(
         messages,
-        lambda m: F.concat(F.lit(role_open), m["role"], F.lit(role_close), F.trim(m["content"]), F.lit(turn_end)),
+        lambda m: F.concat(F.lit(role_open), m["role"], F.lit(role_close), strip(m["content"]), F.lit(turn_end)),
     )
     tail = role_open + "assistant" + role_close if add_generation_prompt else ""
     return F.concat(F.lit(begin), F.array_join(turns, ""), F.lit(tail))

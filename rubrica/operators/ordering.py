@@ -92,6 +92,10 @@ def split_positional(df: DataFrame, key: str, fraction: float = 0.6, name: str =
     Only the key column is numbered. The key at the cut comes back as one scalar, and the wide table is then split by a
     comparison, without moving a row.
     """
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction must lie between 0 and 1, not {fraction}")
+    if fraction == 1:
+        return df.withColumn(name, F.lit("train"))
     keys = df.select(key)
     ranked = with_position(keys, key, "_position")
     size = F.floor(keys.agg(F.count(F.lit(1)).cast("double")).scalar() * F.lit(float(fraction)))

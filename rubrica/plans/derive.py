@@ -53,6 +53,16 @@ SPELLINGS = [
     ("{a},{b}", "{b},{a}"),
     ("x+{a}", "{a}+x"),
     (r"\boxed{\frac{{a}}{{b}}}", r"\boxed{{a}/{b}}"),
+    ("0.33333{a}3", "0.33333{a}30"),
+    ("1234567{a}90.5", "1234567{a}90.50"),
+    ("0.123456{b}8", "123456{b}8/10000000"),
+    ("{a}_000_00{b}", "{a}0000{b}"),
+    ("{a}.2{b}*10^12", "{a}2{b}*10^10"),
+    (r"\left( 0.5, {a} \right)", r"(\frac{1}{2}, {a})"),
+    (r"-\frac{3}{4}\,", "-0.75"),
+    (r"x \leq {a}", "x ≤ {a}"),
+    (r"{a} \pm \theta", "{a}±θ"),
+    (r"\mathrm{even}\ {a}", "even{a}"),
 ]
 GAPS = ["</think> <answer>", "</think>\n\n<answer>", "</think><answer>", "</think> \t <answer>", "</think> so <answer>"]
 ENDINGS = ["</answer>", "</answer>", "</answer>", ""]

@@ -114,8 +114,11 @@ def number_commas(x: str) -> str:
     return f"list_reduce({rounds}, lambda t, i: {step}, {x})"
 
 
+FLOAT = r"[-+]?((\d+_)*\d+(\.((\d+_)*\d+)?)?|\.(\d+_)*\d+)([eE][-+]?(\d+_)*\d+)?"
+
+
 def as_float(x: str) -> str:
-    return rf"CASE WHEN regexp_full_match({x}, '\s*{N.NUMBER}\s*') THEN TRY_CAST(replace(trim({x}), '_', '') AS DOUBLE) END"
+    return rf"CASE WHEN regexp_full_match({x}, '\s*{FLOAT}\s*') THEN TRY_CAST(replace(trim({x}), '_', '') AS DOUBLE) END"
 
 
 def is_integral(v: str) -> str:
@@ -130,14 +133,24 @@ def plain(source: str, column: str, name: str) -> str:
         symbols = sub(rf"\\{macro}([^a-zA-Z]|\z)", rf"{word}\1", symbols)
     for mark, word in (("√", "sqrt"), ("π", "pi"), ("∞", "inf"), ("∪", "U"), ("·", "*"), ("×", "*")):
         symbols = f"replace({symbols}, '{mark}', '{word}')"
+    marks = "s"
+    for names, sign in (("leq le", "≤"), ("geq ge", "≥"), ("neq ne", "≠"), ("pm", "±"), ("theta", "θ"), ("alpha", "α")):
+        for macro in names.split():
+            marks = sub(rf"\\{macro}([^a-zA-Z]|\z)", rf"{sign}\1", marks)
     latex_steps = [
+        sub(r"\\(left|right)", ""),
+        sub(r"\\[,;:!]", ""),
+        sub(r"\\(quad|qquad| )", " "),
+        sub(r"\\(text|mathrm)\{([^{}]*)\}", r"\2"),
         swaps([("\\tfrac", "\\frac"), ("\\dfrac", "\\frac"), ("\\frac", " \\frac")]),
         sub(r"\\frac\s*([0-9a-zA-Z])\s*([0-9a-zA-Z])", r"\1/\2"),
         sub(r"\\sqrt\s*([0-9a-zA-Z])", r"sqrt(\1)"),
         innermost,
         innermost,
         innermost,
-        strip(symbols),
+        symbols,
+        marks,
+        strip(sub(r"\\([{}])", r"\1")),
     ]
     steps = [
         f"CASE WHEN regexp_matches(s, {sql_text(text)}) THEN regexp_extract(s, {sql_text(text)}, 1) ELSE s END",
@@ -152,7 +165,7 @@ def plain(source: str, column: str, name: str) -> str:
         sub("([0-9]) +([0-9])", r"\1+\2"),
         f"lower({drops([' ', '{', '}'])})",
     ]
-    head, tail = steps[:-10], steps[-10:]
+    head, tail = steps[: -len(latex_steps) - 3], steps[-len(latex_steps) - 3 :]
     latex = add(chain(add(source, s=column), *head), is_latex="contains(s, '\\')")
     spelled = add(chain(latex, *tail), v=as_float(number_commas("s")))
     whole = f"CAST(CAST(trunc({as_float(drops([',']))}) AS HUGEINT) AS VARCHAR)"
@@ -169,8 +182,8 @@ def elements(x: str) -> str:
 
 
 def _constant(x: str) -> str:
-    """The value of a constant as DOUBLE; the derived numbers are small enough to compare at 1e-9."""
-    pattern = sql_text(r"\A(?:(-?[0-9]{1,9})\+)?(-?[0-9]{0,9}(?:\.[0-9]{0,6})?)(?:/([0-9]{1,8}))?(?:\*10\^([0-9]))?\z")
+    """The value of a constant as DOUBLE; derived numbers that differ do so by far more than its precision."""
+    pattern = sql_text(r"\A(?:(-?[0-9]+)\+)?(-?[0-9]*(?:\.[0-9]*)?)(?:/([0-9]+))?(?:\*10\^([0-9]+))?\z")
     group = lambda i, d: f"coalesce(TRY_CAST(nullif(regexp_extract({x}, {pattern}, {i}), '') AS DOUBLE), {d})"
     return (
         f"CASE WHEN regexp_matches({x}, {pattern}) AND regexp_extract({x}, {pattern}, 2) <> '' "
@@ -187,7 +200,7 @@ def _element_equal(t: str, g: str) -> str:
     return (
         f"CASE WHEN {fraction(t)} AND {fraction(g)} THEN {t} = {g} WHEN {integer(t)} <> {integer(g)} THEN false "
         f"WHEN {letters} <= 2 AND NOT {bad} "
-        f"THEN {t} = {g} OR coalesce(abs({_constant(t)} - {_constant(g)}) < 1e-9, false) ELSE false END"
+        f"THEN {t} = {g} OR coalesce(abs({_constant(t)} - {_constant(g)}) <= 1e-13 * abs({_constant(t)}), false) ELSE false END"
     )
 
 

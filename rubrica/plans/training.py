@@ -464,14 +464,14 @@ def shuffle_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     "chat_template",
     f"""
     SELECT conv_id, {sql_text(templates.CHAT_BEGIN)} || string_agg({sql_text(templates.CHAT_ROLE_OPEN)} || role ||
-           {sql_text(templates.CHAT_ROLE_CLOSE)} || trim(text) || {sql_text(templates.CHAT_TURN_END)}, '' ORDER BY turn) ||
+           {sql_text(templates.CHAT_ROLE_CLOSE)} || regexp_replace(regexp_replace(said, '^\\s+', ''), '\\s+$', '') || {sql_text(templates.CHAT_TURN_END)}, '' ORDER BY turn) ||
            {sql_text(templates.CHAT_ROLE_OPEN + 'assistant' + templates.CHAT_ROLE_CLOSE)} AS prompt
-    FROM conversations GROUP BY conv_id
+    FROM (SELECT *, chr(10) || chr(9) || ' ' || text || chr(10) || chr(10) AS said FROM conversations) GROUP BY conv_id
     """,
 )
 def chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    messages = F.transform(turns, lambda t: message(t["role"], t["text"]))
+    messages = F.transform(turns, lambda t: message(t["role"], F.concat(F.lit("\n\t "), t["text"], F.lit("\n\n"))))
     folded = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(messages.alias("messages"))
     return folded.select("conv_id", chat_text(F.col("messages")).alias("prompt"))
 

@@ -66,7 +66,7 @@ def test_plain(column):
 
 
 def test_latex_flag(column):
-    assert column(N.latex_unsupported, [r"\frac{1}{2}", r"\alpha", "5", r"\sqrt{\pi}"]) == [False, True, False, False]
+    assert column(N.latex_unsupported, [r"\frac{1}{2}", r"\overline", "5", r"\sqrt{\pi}"]) == [False, True, False, False]
 
 
 @settings(max_examples=20, **QUIET)
