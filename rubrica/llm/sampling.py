@@ -21,7 +21,9 @@ BLANK = "▁"
 LITERAL = "\ud800"
 UNIT = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 GROUP_CHARS = 500_000
-CACHE_NODES = 600_000
+CACHE_NODES = 500_000
+#: Places of a path whose leaving sets stand in the heap one by one; those further on are one set.
+HEAD = 48
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xD1B54A32D192ED03)
 
@@ -339,6 +341,9 @@ class Sampler:
                 if not text.heap or text.heap[0][0] == np.inf:
                     continue
                 value, _, path, bounds, at, refused, mass = heapq.heappop(text.heap)
+                if refused is None:
+                    at, mass = self.open_tail(text, turn, -value, path, bounds, at, mass)
+                    refused = (int(path[at]),)
                 head, unit, held = path[:at], 0, empty
                 if refused:
                     source = int(node[path[at]])
@@ -368,26 +373,50 @@ class Sampler:
                 text.paths.append((path, float(steps.sum()), value))
                 # Sets that leave the new path behind its own part of the tree, and the set left at the node of the cut.
                 begin = at + bool(refused)
-                before = np.cumsum(np.concatenate([[mass], steps[at:-1]])) if at < len(path) else np.zeros(0)
-                before = before[begin - at :]
-                open_mass = before + log_complement(steps[begin:])
-                values = cut_gumbel(open_mass, value, self.keys_from(text, 4, turn, len(open_mass)))
-                keep = self.samples - turn
-                best = np.argpartition(-values, keep)[:keep] if len(values) > keep else np.arange(len(values))
-                for i in best.tolist():
-                    where = begin + i
-                    entry = (-float(values[i]), turn * 2 + 1, path, bounds, where, (int(path[where]),), float(before[i]))
-                    text.heap.append(entry)
+                near = steps[at : begin + HEAD]
+                before = mass + np.cumsum(np.concatenate([[0.0], near]))
+                self.push(text, turn, value, path, bounds, begin, steps[begin : begin + HEAD], before[begin - at : -1])
+                if begin + HEAD < len(path):
+                    far = np.array([before[-1]]) + log_complement(np.array([steps[begin + HEAD :].sum()]))
+                    far = cut_gumbel(far, value, self.keys_from(text, 6, turn, 1))[0]
+                    text.heap.append((-float(far), turn * 4 + 3, path, bounds, begin + HEAD, None, float(before[-1])))
                 if refused:
                     gone = math.fsum(math.exp(log[e]) for e in refused)
                     if gone < 1 - 1e-12:
                         left = np.array([mass + math.log1p(-gone)])
                         again = cut_gumbel(left, value, self.keys_from(text, 5, turn, 1))[0]
-                        text.heap.append((-float(again), turn * 2 + 2, path, bounds, at, refused, mass))
+                        text.heap.append((-float(again), turn * 4 + 2, path, bounds, at, refused, mass))
                 text.heap = [HeapEntry(e) for e in text.heap]
                 heapq.heapify(text.heap)
         return [self.finish(text, piece) for text in texts]
 
+    def push(
+        self, text: Text, turn: int, value: float, path: np.ndarray, bounds: np.ndarray, begin: int, steps: np.ndarray, before: np.ndarray
+    ) -> None:
+        """Put the sets that leave a path at ``begin`` and the places after it into the heap, the best few of them."""
+        values = cut_gumbel(before + log_complement(steps), value, self.keys_from(text, 4, turn, len(steps), begin))
+        keep = self.samples - turn
+        best = np.argpartition(-values, keep)[:keep] if len(values) > keep else np.arange(len(values))
+        for i in best.tolist():
+            at = begin + i
+            text.heap.append((-float(values[i]), turn * 4 + 1, path, bounds, at, (int(path[at]),), float(before[i])))
+
+    def open_tail(
+        self, text: Text, turn: int, value: float, path: np.ndarray, bounds: np.ndarray, at: int, mass: float
+    ) -> tuple[int, float]:
+        """Split the set that leaves a path at ``at`` or later: the place that holds its value, and the mass before it.
+
+        The place is drawn by mass; the sets of the other places are cut at the value.
+        """
+        steps = self.lattices.arrays["log"][path[at:]]
+        before = mass + np.concatenate([[0.0], np.cumsum(steps)[:-1]])
+        masses = before + log_complement(steps)
+        weights = np.cumsum(np.exp(masses - masses.max()))
+        chosen = int(np.searchsorted(weights, uniform(self.keys_from(text, 7, turn, 1))[0] * weights[-1], side="right"))
+        self.push(text, turn, value, path, bounds, at, steps[:chosen], before[:chosen])
+        self.push(text, turn, value, path, bounds, at + chosen + 1, steps[chosen + 1 :], before[chosen + 1 :])
+        return at + chosen, float(before[chosen])
+
     def finish(self, text: Text, piece: np.ndarray) -> list[tuple[np.ndarray, float, float, float]]:
         """Inclusion: the chance that a segmentation's perturbed value beats the best one left out."""
         left = -text.heap[0][0] if text.heap else -np.inf
@@ -425,19 +454,26 @@ class HeapEntry(tuple):
         return (self[0], self[1], self[4]) < (other[0], other[1], other[4])
 
 
-SAMPLES = "array<struct<ids:array<int>,log_prob:double,perturbed:double,log_inclusion:double>>"
+SAMPLES = "array<struct<ids:array<int>,log_prob:double,perturbed:double,log_inclusion:double,round_trip:boolean>>"
 SAMPLE_FIELDS = [
     pa.field("ids", pa.list_(pa.int32())), pa.field("log_prob", pa.float64()),
-    pa.field("perturbed", pa.float64()), pa.field("log_inclusion", pa.float64()),
+    pa.field("perturbed", pa.float64()), pa.field("log_inclusion", pa.float64()), pa.field("round_trip", pa.bool_()),
 ]
 
 
+def surface_of(ids: np.ndarray, pieces: Pieces) -> str:
+    """The text that piece ids stand for."""
+    raw = b"".join(map(pieces.surface.__getitem__, ids.tolist()))
+    return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+
+
 def as_array(results: list[list[tuple] | None]) -> pa.Array:
     flat = [s for r in results for s in r or ()]
     ids = [s[0] for s in flat]
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
     values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
     columns = [pa.array(np.array([s[k] for s in flat], np.float64)) for k in (1, 2, 3)]
+    columns.append(pa.array([s[4] for s in flat], pa.bool_()))
     rows = pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, values), *columns], fields=SAMPLE_FIELDS)
     counts = np.concatenate([[0], np.cumsum([len(r or ()) for r in results])]).astype(np.int32)
     mask = pa.array([r is None for r in results])
@@ -464,7 +500,11 @@ def sampled(key: Column, text: Column, pieces: Pieces, samples: int = 2, seed: i
                     size += len(rows[-1][1] or "")
                     at += 1
                 found = iter(sampler.run([r for r in rows if r[1] is not None]))
-                yield as_array([None if text is None else next(found) for _, text in rows])
+                results: list[list[tuple] | None] = []
+                for _, text in rows:
+                    own = None if text is None else next(found)
+                    results.append(own and [(*s, surface_of(s[0], pieces) == text) for s in own])
+                yield as_array(results)
 
     of.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
     return F.arrow_udf(of, SAMPLES)(key, text)
@@ -473,30 +513,21 @@ def sampled(key: Column, text: Column, pieces: Pieces, samples: int = 2, seed: i
 def decoded(ids: Column, pieces: Pieces) -> Column:
     """The text of a list of piece ids; exactly the encoded text. Null for null."""
 
-    surface = pieces.surface
-
     def of(rows: pa.Array) -> pa.Array:
-        out = []
-        for row in rows:
-            if not row.is_valid:
-                out.append(None)
-                continue
-            raw = b"".join([surface[i] for i in row.values.to_numpy(zero_copy_only=False).tolist()])
-            out.append(raw[1:] if raw[:1] == b" " else raw)
-        return pa.array(out, pa.binary())
+        found = [surface_of(r.values.to_numpy(zero_copy_only=False), pieces) if r.is_valid else None for r in rows]
+        return pa.array(found, pa.string())
 
     of.__annotations__ = {"rows": pa.Array, "return": pa.Array}
-    return F.arrow_udf(of, "binary")(ids).cast("string")
+    return F.arrow_udf(of, "string")(ids)
 
 
 def encode_documents(docs: DataFrame, model_path: str, samples: int = 2, seed: int = 1) -> DataFrame:
     """(doc_id, rank, ids, log_prob, perturbed, log_inclusion, round_trip): one row per document and sample.
 
-    Ranks count from 1. A null text gives one row of nulls; an empty table gives no rows. Row-local: no shuffle. The
+    Ranks count from 1; ``round_trip`` says whether the ids decode to the text again. A null text gives one row of nulls; an empty table gives no rows. Row-local: no shuffle. The
     vocabulary, fixed in size, travels with the task. Other columns are not read.
     """
     pieces = load_pieces(model_path)
-    drawn = docs.select("doc_id", "text", sampled(F.col("doc_id"), F.col("text"), pieces, samples, seed).alias("samples"))
-    rows = drawn.select("doc_id", "text", F.posexplode_outer("samples").alias("at", "s"))
-    back = decoded(F.col("s.ids"), pieces)
-    return rows.select("doc_id", (F.col("at") + 1).alias("rank"), "s.*", (back == F.col("text")).alias("round_trip"))
+    drawn = docs.select("doc_id", sampled(F.col("doc_id"), F.col("text"), pieces, samples, seed).alias("samples"))
+    rows = drawn.select("doc_id", F.posexplode_outer("samples").alias("at", "s"))
+    return rows.select("doc_id", (F.col("at") + 1).alias("rank"), "s.*")

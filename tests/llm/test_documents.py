@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rubrica.llm import decontam, langid, quality, sampling, secrets
 from rubrica.llm.queries import MODEL_PATH, QUERIES
@@ -187,6 +188,11 @@ def test_samples_follow_gumbel_top_k(pieces):
     assert abs(np.mean(weights) - 1) < 0.05
 
 
+def test_far_places_are_opened_exactly(pieces, monkeypatch):
+    monkeypatch.setattr(sampling, "HEAD", 1)
+    test_samples_follow_gumbel_top_k(pieces)
+
+
 def test_few_segmentations_and_same_numbers_in_any_batch(pieces):
     one = sampling.Sampler(pieces, 4, 1).run([(1, "͸"), (2, ""), (3, "some words here")])
     assert len(one[0]) < 4 and one[0][0][3] == 0.0 and len(one[1]) == 1 and len(one[1][0][0]) == 0
@@ -199,6 +205,9 @@ def test_sampling_round_trip(spark, odd_docs, no_docs):
     rows = sampling.encode_documents(odd_docs, MODEL_PATH).collect()
     assert all(r.round_trip for r in rows if r["rank"]) and sum(r["rank"] is None for r in rows) == 2
     assert sampling.encode_documents(no_docs, MODEL_PATH).count() == 0
+    pieces = sampling.load_pieces(MODEL_PATH)
+    back = sampling.encode_documents(odd_docs, MODEL_PATH).select("doc_id", sampling.decoded(F.col("ids"), pieces).alias("text"))
+    assert {(r.doc_id, r.text) for r in back.collect()} == {(r.doc_id, r.text) for r in odd_docs.collect()}
     found = QUERIES["op6_sentencepiece"](spark, SF)
     assert found.where("not round_trip").count() == 0
     assert found.select("doc_id", "ids").distinct().count() == found.count()
