@@ -10,8 +10,11 @@ SIMILARITY = 0.8
 SIDE = 4
 LANES = SIDE * SIDE
 STAR_ROUNDS = 3
+FEW = 16
+SIEVE_BITS = 18
 
-#: Lane sets of the bands: the rows, columns and diagonals of a 4 x 4 square of lanes.
+#: Lane sets of the bands: the rows, columns and diagonals of a 4 x 4 square of lanes. Of pairs of lines at similarity
+#: 0.8 they bring 98.0 % together, at 0.85 99.5 %, at 0.9 99.9 % (simulated).
 BANDS = (
     [[SIDE * i + j for j in range(SIDE)] for i in range(SIDE)]
     + [[SIDE * i + j for i in range(SIDE)] for j in range(SIDE)]
@@ -38,6 +41,10 @@ def shingles(code_points: str) -> str:
     return f"transform(sequence(0, {last}), i -> xxhash64(substring({code_points}, 4 * i + 1, {width})))"
 
 
+#: SQL for the set of shingles of the text in column ``{line}``; the text is coded once.
+SHINGLE_SET = f"array_distinct(element_at(transform(array(encode({{line}}, 'UTF-32')), c -> {shingles('c')}), 1))"
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, body, pos, line) of every line that is not blank; ``body`` tells apart rows that share an id."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
@@ -65,11 +72,35 @@ def signatures(lines: DataFrame) -> DataFrame:
     return lanes.select("h", F.array(*keys).alias("keys"))
 
 
+def sieved(rows: DataFrame, column: str, wanted: DataFrame, name: str) -> DataFrame:
+    """Rows whose hash may be among the wanted ones: all that are, and few others while the wanted are not too many.
+
+    The wanted hashes set bits in a table of 2^18 words, whose size is fixed, so it can be broadcast at any scale. What
+    passes is still to be joined; with very many wanted hashes more rows pass, and the result stays the same.
+    """
+    mixed = lambda c: F.xxhash64(F.lit(5), c)
+    slot = lambda c: F.shiftrightunsigned(mixed(c), 64 - SIEVE_BITS).cast("int")
+    bit = lambda c: F.expr(f"shiftleft(1L, CAST(xxhash64(5, {c}) & 63 AS INT))")
+    table = wanted.select(slot(column).alias("_slot"), bit(column).alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
+    table = written(table, name)
+    met = rows.withColumn("_slot", slot(column)).join(F.broadcast(table), "_slot")
+    return met.where(F.col("_bits").bitwiseAND(bit(column)) != 0).drop("_slot", "_bits")
+
+
 def shared_bands(lines: DataFrame) -> DataFrame:
-    """(key, h) of the band keys that at least two lines have."""
-    posted = written(signatures(lines), "lines-signatures").select("h", F.explode("keys").alias("key"))
-    repeated = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return written(posted.join(repeated, "key").distinct(), "lines-bands")
+    """(key, h, n) of the band keys that ``n`` > 1 distinct lines have.
+
+    Map-side partial counts keep a key that many lines share from meeting in one task; a key of two lines is known by its
+    least and greatest line, and only members of larger ones are fetched by a join, which adaptive execution can split.
+    """
+    signed = written(signatures(lines), "lines-signatures")
+    posted = signed.select("h", F.explode("keys").alias("key"))
+    counts = posted.groupBy("key").agg(F.min("h").alias("x"), F.max("h").alias("y"), F.count("*").alias("n"))
+    counts = written(counts.where("n > 1"), "lines-keys")
+    pairs = counts.where("n = 2").select("key", F.explode(F.array("x", "y")).alias("h"), "n")
+    large = counts.where("n > 2").select("key", "n")
+    members = sieved(posted, "key", large, "lines-sieve").join(large, "key").select("key", "h", "n")
+    return written(pairs.union(members).distinct(), "lines-bands")
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -77,50 +108,50 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     The similarity is exact, over the sets of shingles. Lines whose shingle counts alone rule it out are not compared.
     """
-    side = lambda c: texts.select(F.col("h").alias(c), F.col("node").alias(f"{c}_node"), F.col("set").alias(f"{c}_set"))
+    side = lambda c: texts.select(F.col("h").alias(c), F.col("node").alias(f"{c}_node"), F.col("line").alias(f"{c}_line"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").where("a_node <> b_node")
-    low, high = F.least(F.size("a_set"), F.size("b_set")), F.greatest(F.size("a_set"), F.size("b_set"))
-    near = both.where(low >= F.lit(SIMILARITY) * high)
-    common = F.size(F.array_intersect("a_set", "b_set"))
-    enough = common >= F.lit(SIMILARITY) * (F.size("a_set") + F.size("b_set") - common)
-    return near.where(enough).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    a, b = (SHINGLE_SET.format(line=f"{c}_line") for c in "ab")
+    # Each set and the common size are bound once, so that no rewriting of the plan computes them again.
+    enough = (
+        f"element_at(transform(array(named_struct('a', {a}, 'b', {b})), v -> "
+        f"CASE WHEN least(size(v.a), size(v.b)) < {SIMILARITY} * greatest(size(v.a), size(v.b)) THEN false ELSE "
+        "element_at(transform(array(size(array_intersect(v.a, v.b))), "
+        f"c -> c >= {SIMILARITY} * (size(v.a) + size(v.b) - c)), 1) END), 1)"
+    )
+    return both.where(enough).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def fuzzy_links(lines: DataFrame) -> DataFrame:
     """(node, root) of every line that is similar to another one, by exact components of the similarity graph.
 
-    Candidates are lines that share a band. They are not joined with each other at first: in each of three rounds one
-    line of a band, another one each time, is compared with all those of the band that are not yet in its component.
-    What then remains apart inside a band is compared pair by pair across components, so no link that could join two
-    components is left out, while a band full of copies of one line costs a few comparisons per line.
+    Candidates are lines that share a band. Bands of up to 16 lines are compared pair by pair. In a larger one a single
+    line, another one each round, is compared with all those that are not yet in its component, for three rounds; what
+    then remains apart in it is compared pair by pair across components. So no link that could join two components is
+    left out, while a band full of copies of one line costs a few comparisons per line.
     """
     bands = shared_bands(lines)
     wanted = bands.select("h").distinct()
-    found = hashed(lines, "line").join(wanted, "h").dropDuplicates(["h", "g"])
-    sets = F.expr(f"array_distinct(element_at(transform(array(encode(line, 'UTF-32')), c -> {shingles('c')}), 1))")
+    found = sieved(hashed(lines, "line"), "h", wanted, "lines-sieve").join(wanted, "h").dropDuplicates(["h", "g"])
     node = F.concat(F.lpad(F.hex("h"), 16, "0"), F.lpad(F.hex("g"), 16, "0"))
-    texts = written(found.select("h", node.alias("node"), sets.alias("set")), "lines-texts")
-    nodes = texts.select("h", "node")
-    edges = roots = None
+    texts = written(found.select("h", node.alias("node"), "line"), "lines-texts")
+    few = bands.where(F.col("n") <= FEW)
+    pairs = few.select("key", F.col("h").alias("a")).join(few.select("key", F.col("h").alias("b")), "key").where("a < b")
+    edges = written(similar(pairs.select("a", "b").distinct(), texts), "lines-edges")
+    roots = components(edges, "lines")
+    many = written(bands.where(F.col("n") > FEW).join(texts.select("h", "node"), "h").select("key", "h", "node"), "lines-many")
     for turn in range(STAR_ROUNDS + 1):
-        members = bands.join(nodes, "h")
-        if roots is not None:
-            members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        else:
-            members = members.withColumn("root", F.col("node"))
-        if turn:
-            apart = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-            members = written(members.join(apart.select("key"), "key"), "lines-apart")
-            if not members.limit(1).count():
-                break
+        members = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+        members = written(members.join(apart, "key"), "lines-apart")
+        if not members.limit(1).count():
+            break
         one = members.select("key", F.col("h").alias("a"), F.col("root").alias("a_root"))
         if turn < STAR_ROUNDS:
             first = F.min_by(F.struct("a", "a_root"), F.xxhash64(F.lit(turn), "a"))
             one = one.groupBy("key").agg(first.alias("f")).select("key", "f.*")
         met = one.join(members.select("key", F.col("h").alias("b"), F.col("root").alias("b_root")), "key")
         met = met.where("a_root <> b_root and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = similar(met, texts)
-        edges = written(new if edges is None else edges.union(new), "lines-edges")
+        edges = written(edges.union(similar(met, texts)), "lines-edges")
         roots = components(edges, "lines")
     return roots
 
