@@ -54,7 +54,7 @@ def fewshot_blocks(exemplars: DataFrame, group: str, order: str, text: Column, k
 def fewshot_prompts(questions: DataFrame, blocks: DataFrame, group: str, question: str, salt_by: str, separator: str = "\n\n") -> DataFrame:
     """Add ``prompt``: the exemplar block of the question's group, if any, then the question."""
     prompt = F.concat(F.coalesce(F.concat(F.col("block"), F.lit(separator)), F.lit("")), F.col(question))
-    return lookup_join(questions, blocks, group, salt_by, how="left").withColumn("prompt", prompt).drop("block")
+    return lookup_join(questions, blocks, group, salt_by, how="left", keys_from=questions).withColumn("prompt", prompt).drop("block")
 
 
 def normalized_url(url: Column) -> Column:
@@ -67,5 +67,5 @@ def flag_contaminated(items: DataFrame, url: str, listed: DataFrame, listed_url:
     """Add ``contaminated``: the item's URL is in the list. Filter on it to drop or to audit."""
     known = listed.select(normalized_url(F.col(listed_url)).alias("_url")).where(F.col("_url").isNotNull()).distinct()
     keyed = items.withColumn("_url", normalized_url(F.col(url)))
-    joined = lookup_join(keyed, known.withColumn("contaminated", F.lit(True)), "_url", salt_by, how="left")
+    joined = lookup_join(keyed, known.withColumn("contaminated", F.lit(True)), "_url", salt_by, how="left", keys_from=keyed)
     return joined.withColumn("contaminated", F.coalesce("contaminated", F.lit(False))).drop("_url")

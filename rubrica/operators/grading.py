@@ -44,7 +44,7 @@ def normalize_answers(df: DataFrame, answer: str, form: str, distinct: bool = Fa
     if salt_by is None:
         raise ValueError("distinct=True needs salt_by, a column that spreads the rows of one answer")
     once = df.select(answer).where(F.col(answer).isNotNull()).distinct().withColumns(added)
-    return lookup_join(df, once, answer, salt_by, how="left")
+    return lookup_join(df, once, answer, salt_by, how="left", keys_from=df)
 
 
 def prepare_prompts(prompts: DataFrame, truths: str = "truths") -> DataFrame:
@@ -77,7 +77,7 @@ def grade_completions(
     if salt_by is None:
         joined = parsed.join(prepared, on, "right" if how == "left" else "inner")
     else:
-        joined = lookup_join(parsed, prepared, on, salt_by, how="inner")
+        joined = lookup_join(parsed, prepared, on, salt_by, how="inner", keys_from=completions)
         if how == "left":
             unserved = prepared.join(completions.select(on).distinct(), on, "left_anti")
             joined = joined.unionByName(unserved, allowMissingColumns=True)

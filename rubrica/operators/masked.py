@@ -125,9 +125,14 @@ def grpo_grad(
     batch: str = "batch_id",
     seq: str = "seq_id",
     pos: str = "pos",
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
-    """d loss / d lp of every token row; NaN in a batch whose mask is empty."""
-    counts = tokens.groupBy(batch).agg(F.sum(F.col("mask").cast("bigint")).alias("_count"))
+    """d loss / d lp of every token row; NaN in a batch whose mask is empty.
+
+    ``counts_from`` names a base table with the batch and mask of the same tokens, so that the joins behind ``tokens``
+    are not run again to count them.
+    """
+    counts = (tokens if counts_from is None else counts_from).groupBy(batch).agg(F.sum(F.col("mask").cast("bigint")).alias("_count"))
     slope = policy_gradient_slope(loss_type, F.col("lp"), **_loss_arguments(loss_type, cliprange))
     grad = _ratio(slope * F.col("mask").cast("double"), F.col("_count") * F.lit(accumulation))
     return lookup_join(tokens, counts, batch, [seq, pos], how="inner").withColumn("grad", grad).drop("_count")

@@ -19,7 +19,7 @@ def positional_group(position: Column, group_size: int) -> Column:
 
 def fan_out(rollouts: DataFrame, prompts: DataFrame, on: str, salt_by: str | list[str]) -> DataFrame:
     """Attach the prompt's columns to each of its rollouts."""
-    return lookup_join(rollouts, prompts, on, salt_by, how="inner")
+    return lookup_join(rollouts, prompts, on, salt_by, how="inner", keys_from=rollouts)
 
 
 def group_advantages(
@@ -45,7 +45,7 @@ def group_advantages(
     if group_size is not None:
         centred = F.when(F.col("_count") < group_size, 0.0).otherwise(centred)
     return (
-        lookup_join(rollouts, stats, group, salt_by, how="inner")
+        lookup_join(rollouts, stats, group, salt_by, how="inner", keys_from=rollouts)
         .withColumn("advantage", centred)
         .drop("_mean", "_std", "_count")
     )

@@ -29,37 +29,43 @@ def lookup_join(
     salt_by: str | list[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``small``, which has at most one row per key, with no task bound to one hot key.
 
-    When the estimate says ``small`` fits a broadcast, this is a plain join and Spark broadcasts it. Otherwise keys with
-    more than ``hot_rows`` rows in ``big`` are found by a key-only aggregate; there are at most rows / hot_rows of them,
-    which bounds the one table broadcast here. Each hot key is cut into parts by a hash of ``salt_by`` (stable columns,
-    so a recomputed task sends its rows to the same part) and its lookup row is copied once per part. Rows without a key
-    match nothing and are spread as well.
+    When the estimate says ``small`` fits a broadcast, this is a plain join and Spark broadcasts it. So it is without
+    ``keys_from``; adaptive execution then splits a skewed partition of ``big``. ``keys_from`` names a cheap base table
+    with the keys of ``big``, for keys too hot to be left to that: those with more than ``hot_rows`` rows in it are cut
+    into parts by a hash of ``salt_by`` (stable columns, so a recomputed task sends its rows to the same part), and their
+    lookup row is copied once per part. ``big`` itself is read once. Hot keys travel as hashes, 12 bytes each and at most
+    rows / hot_rows of them, which bounds the table broadcast here; a key that shares a hot key's hash is cut up as well,
+    on both sides alike. Rows without a key match nothing and are spread too.
     """
     keys = [on] if isinstance(on, str) else list(on)
     salts = [salt_by] if isinstance(salt_by, str) else list(salt_by)
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner, not {how!r}")
-    if fits_broadcast(small):
+    if keys_from is None or fits_broadcast(small):
         return big.join(small, keys, how)
+    key_hash = F.xxhash64(*keys).alias("_key_hash")
     hot = (
-        big.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_salt_rows"))
-        .where(F.col("_salt_rows") > hot_rows)
-        .select(*keys, F.ceil(F.col("_salt_rows") / F.lit(hot_rows)).cast("int").alias("_salt_parts"))
+        keys_from.select(key_hash)
+        .groupBy("_key_hash")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > hot_rows)
+        .select("_key_hash", F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salt_parts"))
     )
     parts = F.coalesce(F.col("_salt_parts"), F.lit(1))
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     choices = F.when(no_key, F.lit(NULL_PARTS)).otherwise(parts)
-    left = big.join(F.broadcast(hot), keys, "left").withColumn(
+    left = big.withColumn("_key_hash", key_hash).join(F.broadcast(hot), "_key_hash", "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*[F.col(s) for s in salts]), choices.cast("bigint")).cast("int")
     )
-    right = small.join(F.broadcast(hot), keys, "left").withColumn(
+    right = small.withColumn("_key_hash", key_hash).join(F.broadcast(hot), "_key_hash", "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), parts - 1))
     )
-    return left.drop("_salt_parts").join(right.drop("_salt_parts"), [*keys, "_salt"], how).drop("_salt")
+    gone = ["_salt_parts", "_key_hash"]
+    return left.drop(*gone).join(right.drop(*gone), [*keys, "_salt"], how).drop("_salt")
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:

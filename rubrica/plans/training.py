@@ -232,7 +232,9 @@ def grpo_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"(sum(mask::INT) OVER (PARTITION BY batch_id) * {STEPS}), 8) + 0.0 AS grad FROM ({SCORED_TOKENS_SQL})",
 )
 def grpo_grad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grads = masked.grpo_grad(_scored_tokens(spark, sf_dir), "grpo_clip", STEPS, CLIP)
+    grads = masked.grpo_grad(
+        _scored_tokens(spark, sf_dir), "grpo_clip", STEPS, CLIP, counts_from=_tokens(spark, sf_dir)
+    )
     return grads.select("seq_id", "pos", (F.round("grad", 8) + 0.0).alias("grad"))
 
 

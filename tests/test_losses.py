@@ -196,7 +196,7 @@ def test_a_huge_group_is_split_and_gives_the_same_advantages(spark, monkeypatch)
     df = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 100).alias("g"), (F.col("id") % 7 / 7).alias("r"))
     plain = {r.id: r.advantage for r in rollouts.group_advantages(df, "g", "r", "id", normalize_by_std=True).collect()}
     monkeypatch.setattr(skew, "fits_broadcast", lambda _: False)
-    monkeypatch.setattr(skew.lookup_join, "__defaults__", ("left", 50))
+    monkeypatch.setattr(skew.lookup_join, "__defaults__", ("left", 50, None))
     split = {r.id: r.advantage for r in rollouts.group_advantages(df, "g", "r", "id", normalize_by_std=True).collect()}
     assert split.keys() == plain.keys() and all(split[i] == pytest.approx(plain[i], abs=1e-9) for i in plain)
 

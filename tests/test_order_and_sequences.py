@@ -121,7 +121,7 @@ def test_salted_lookup_equals_the_plain_join(spark, no_broadcast, how):
         spark.createDataFrame([(5000, None)], "i long, k long")
     )
     small = spark.createDataFrame([(k, f"v{k}") for k in range(0, 60, 2)], "k long, v string")
-    salted = skew.lookup_join(big, small, "k", "i", how, hot_rows=40)
+    salted = skew.lookup_join(big, small, "k", "i", how, hot_rows=40, keys_from=big)
     assert "_salt" in salted._jdf.queryExecution().toString() and salted.columns == ["k", "i", "v"]
     plain = big.join(small, "k", how)
     assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
@@ -132,7 +132,7 @@ def test_salted_lookup_spreads_the_hot_key(spark, no_broadcast):
     small = spark.createDataFrame([(1, "x")], "k int, v string")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.lookup_join(big, small, "k", "id", "inner", hot_rows=100)
+        joined = skew.lookup_join(big, small, "k", "id", "inner", hot_rows=100, keys_from=big)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -145,3 +145,11 @@ def test_lookup_uses_a_plain_join_for_a_small_table(spark):
     assert "_salt" not in plan
     with pytest.raises(ValueError):
         skew.lookup_join(big, small, "k", "id", how="full")
+
+
+@pytest.mark.parametrize(("name", "scans", "joins"), [("grpo_grad", 8, 4), ("grpo_loss", 6, 3), ("shape_sequences", 4, 3)])
+def test_plans_do_not_multiply_without_broadcasts(spark, no_broadcast, name, scans, joins):
+    import __spark_entry__ as contract
+
+    plan = contract.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") <= scans and plan.count("SortMergeJoin") <= joins
