@@ -91,22 +91,20 @@ def score(df: DataFrame, text: str, reward: grade.RewardFn, truths: Column) -> D
     return df.withColumn(text, normalize_gap(F.col(text))).withColumn("metrics", reward(F.col(text), truths))
 
 
-def grade_answers(df: DataFrame, given: str, truth: str, fast: bool = True) -> DataFrame:
-    """Add ``correct`` for answer and truth columns.
+def grade_answers(df: DataFrame, given: str, truth: str) -> DataFrame:
+    """Add ``correct`` for answer and truth columns. ``functions.grade.needs_algebra`` tells which verdicts "wrong" rest on
+    algebra that is not part of this engine."""
+    return df.withColumn("correct", grade.grade_any(F.col(given), F.array(truth)))
 
-    ``fast=False`` adds the slow grader's own checks with their repetition gate. The algebra it would then call is not
-    part of this engine; ``functions.grade.needs_algebra`` counts the answers that would need it.
-    """
+
+def latex_equal_answers(df: DataFrame, given: str, truth: str, name: str = "latex_equal") -> DataFrame:
+    """Add whether two answers are equal in the plain form, where an answer of over 128 characters that repeats itself is
+    refused first, whatever it says."""
     g, t = F.col(given), grade.truth_text(F.col(truth))
-    quick = grade.grade_any(g, F.array(truth))
-    if fast:
-        return df.withColumn("correct", quick)
-    repeats = {
-        "_given_repeats": F.coalesce(repetition_share(F.when(F.length(g) > 128, g)) > REPETITIVE, F.lit(False)),
-        "_truth_repeats": F.coalesce(repetition_share(F.when(F.length(t) > 128, t)) > REPETITIVE, F.lit(False)),
-    }
-    slow = grade.latex_equal(g, t, F.col("_given_repeats"), F.col("_truth_repeats"))
-    return df.withColumns(repeats).withColumn("correct", F.when(quick, True).otherwise(slow)).drop(*repeats)
+    long_part = lambda c: F.coalesce(repetition_share(F.when(F.length(c) > 128, c)) > REPETITIVE, F.lit(False))
+    repeats = {"_given_repeats": long_part(g), "_truth_repeats": long_part(t)}
+    same = grade.latex_equal(g, t, F.col("_given_repeats"), F.col("_truth_repeats"))
+    return df.withColumns(repeats).withColumn(name, same).drop(*repeats)
 
 
 def parse_judgements(df: DataFrame, text: str, kind: str, name: str) -> DataFrame:

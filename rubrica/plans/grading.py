@@ -303,6 +303,51 @@ def repetition_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("doc_id", F.round("repetition", 9).alias("repetition"), "is_repetitive")
 
 
+def sql_repetition(source: str, keys: str, column: str) -> str:
+    """Share of repeated substrings of each text: sorted suffixes, and the common prefix of neighbours by halving steps."""
+    steps = f"SELECT *, 0 AS common FROM (SELECT {keys}, {column} AS whole, s, lag(s) OVER (PARTITION BY {keys} ORDER BY s) AS b FROM " \
+        f"(SELECT *, unnest(list_transform(range(1, length({column}) + 1), lambda i: substr({column}, i))) AS s FROM ({source})))"
+    for size in (2048, 1024, 512, 256, 128, 64, 32, 16, 8, 4, 2, 1):
+        same = f"length(s) >= common + {size} AND substr(s, common + 1, {size}) = substr(b, common + 1, {size})"
+        steps = f"SELECT * EXCLUDE (common), common + CASE WHEN {same} THEN {size} ELSE 0 END AS common FROM ({steps})"
+    share = "CASE WHEN any_value(length(whole)) < 2 THEN 0.0 ELSE 2.0 * sum(common) / (any_value(length(whole)) * (any_value(length(whole)) + 1.0)) END"
+    return f"SELECT {keys}, {share} AS share FROM ({steps}) GROUP BY {keys}"
+
+
+@query(
+    "repetition_turns",
+    "SELECT conv_id, turn, round(share, 9) AS repetition, share > 0.2 AS is_repetitive FROM "
+    f"({sql_repetition('SELECT * FROM conversations', 'conv_id, turn', 'text')})",
+)
+def repetition_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id")
+    return repetition.flag_repetition(turns, "text").select(
+        "conv_id", "turn", F.round("repetition", 9).alias("repetition"), "is_repetitive"
+    )
+
+
+GATED_SQL = (
+    "SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN text WHEN 1 THEN repeat(left(text, 3), 50) ELSE 'x = ' || turn END AS given, "
+    "CASE turn % 3 WHEN 0 THEN ' ' || text WHEN 1 THEN repeat(left(text, 3), 50) ELSE turn || '.0' END AS truth FROM conversations"
+)
+
+
+@query(
+    "latex_equal",
+    "SELECT conv_id, turn, CASE WHEN length(given) > 128 AND (sg > 0.2 OR st > 0.2) THEN false ELSE gp = tp END AS latex_equal "
+    f"FROM ({S.plain(S.plain(GATED_SQL, 'given', 'gp'), 'truth', 'tp')}) "
+    f"JOIN (SELECT conv_id, turn, share AS sg FROM ({sql_repetition(GATED_SQL, 'conv_id, turn', 'given')})) USING (conv_id, turn) "
+    f"JOIN (SELECT conv_id, turn, share AS st FROM ({sql_repetition(GATED_SQL, 'conv_id, turn', 'truth')})) USING (conv_id, turn)",
+)
+def latex_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id")
+    kind, looped = F.col("turn") % 3, F.repeat(F.substring("text", 1, 3), F.lit(50))
+    given = F.when(kind == 0, F.col("text")).when(kind == 1, looped).otherwise(F.concat(F.lit("x = "), F.col("turn")))
+    truth = F.when(kind == 0, F.concat(F.lit(" "), F.col("text"))).when(kind == 1, looped).otherwise(F.concat(F.col("turn"), F.lit(".0")))
+    pairs = turns.select("conv_id", "turn", given.alias("given"), truth.alias("truth"))
+    return grading.latex_equal_answers(pairs, "given", "truth").select("conv_id", "turn", "latex_equal")
+
+
 WORDY_SQL = (
     "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN text ELSE given END AS given, "
     f"CASE WHEN doc_id % 8 = 0 THEN text ELSE truth END AS truth FROM ({sql_answers('text')})"
@@ -321,7 +366,7 @@ def grade_slow(spark: SparkSession, sf_dir: str) -> DataFrame:
             "truth": F.when(F.col("doc_id") % 8 == 0, F.col("text")).otherwise(F.col("truth")),
         }
     )
-    return grading.grade_answers(wordy, "given", "truth", fast=False).select("doc_id", "correct")
+    return grading.grade_answers(wordy, "given", "truth").select("doc_id", "correct")
 
 
 def _sql_rewards(source: str, answer: str, keep: str) -> str:
