@@ -5,26 +5,47 @@ range is numbered by itself, and the running total of the range sizes (one row p
 is a pure function of its key, so the numbers survive the loss of any executor without a checkpoint.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+SAMPLED_PER_RANGE = 100
+
 
 def _range_count(df: DataFrame, n_ranges: int | None) -> int:
     """Several ranges per shuffle partition, so that hashing ranges to partitions evens out."""
     return n_ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _literal(value) -> Column:
+    """A literal of a key value; rows (composite keys) field by field."""
+    if isinstance(value, Row):
+        return F.struct(*[_literal(v).alias(n) for n, v in value.asDict().items()])
+    return F.lit(value)
+
+
+def _range_bounds(df: DataFrame, key: str, n_ranges: int) -> list:
+    """Up to ``n_ranges`` - 1 rising bounds from about 100 keys per range, taken by a hash of the key.
+
+    The sample's size does not grow with the table, and it is the same on any partitioning. It only balances the ranges;
+    no position depends on it.
+    """
+    keys = df.select(F.col(key).alias("k"))
+    share = int(1e9 * min(1.0, SAMPLED_PER_RANGE * n_ranges / max(1, keys.count())))
+    drawn = keys.where(F.pmod(F.xxhash64(F.lit(3), "k"), F.lit(10**9)) < share).where(F.col("k").isNotNull())
+    found = [r.k for r in drawn.orderBy("k").collect()]
+    picked = [found[len(found) * i // n_ranges] for i in range(1, n_ranges)] if found else []
+    return [v for i, v in enumerate(picked) if not i or v != picked[i - 1]]
+
+
 def _key_range(df: DataFrame, key: str, n_ranges: int) -> Column:
-    """The range of an integer key: quantile bounds are read once (n_ranges numbers), then searched by halving."""
+    """The range of a key of any type with an order: bounds are read once, then searched by halving."""
     if n_ranges < 2:
         return F.lit(0)
-    probabilities = [i / n_ranges for i in range(1, n_ranges)]
-    found = df.agg(F.percentile_approx(key, probabilities, max(10_000, 10 * n_ranges)).alias("q")).first()["q"]
-    bounds = sorted(set(found or []))
+    bounds = _range_bounds(df, key, n_ranges)
     if not bounds:
         return F.lit(0)
     steps = len(bounds).bit_length()
-    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    table = F.array(*map(_literal, bounds)).cast(f"array<{df.select(key).schema[0].dataType.simpleString()}>")
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
 
     def halve(s: Column, _: Column) -> Column:
@@ -59,7 +80,10 @@ def _running_total(df: DataFrame, bucket: Column, order: list[str], weight: Colu
 def with_position(
     df: DataFrame, key: str, name: str = "position", weight: Column | None = None, n_ranges: int | None = None
 ) -> DataFrame:
-    """0-based position by a unique integer key, or the running total of ``weight`` before each row."""
+    """0-based position by a unique key, or the running total of ``weight`` before each row.
+
+    The key is a column of any type with an order; a composite key is a struct column.
+    """
     bucket = _key_range(df, key, _range_count(df, n_ranges))
     return _running_total(df, bucket, [key], F.lit(1) if weight is None else weight, name)
 

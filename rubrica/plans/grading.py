@@ -251,6 +251,15 @@ def strip_commas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers(spark, sf_dir, "n_chars").select("doc_id", normalize.strip_number_commas(text).alias("stripped"))
 
 
+@query(
+    "normalize_distinct",
+    f"SELECT doc_id, given, norm_given FROM ({S.mathd(sql_answers(), 'given', 'norm_given')})",
+)
+def normalize_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    once = grading.normalize_answers(answers(spark, sf_dir), "given", "mathd", distinct=True, salt_by="doc_id")
+    return once.select("doc_id", "given", F.col("norm_answer").alias("norm_given"))
+
+
 # --- graders ----------------------------------------------------------------------------------------------------
 
 

@@ -459,6 +459,25 @@ def shuffle_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.with_shuffled_position(table(spark, sf_dir, "documents").select("doc_id"), 42, "doc_id")
 
 
+@query(
+    "position_by_url",
+    "SELECT page_id, row_number() OVER (ORDER BY url, page_id) - 1 AS position FROM pages",
+)
+def position_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = table(spark, sf_dir, "pages").select("page_id", F.struct("url", "page_id").alias("place"))
+    return ordering.with_position(keyed, "place").select("page_id", "position")
+
+
+@query(
+    "split_by_text_key",
+    "SELECT url_key, CASE WHEN row_number() OVER (ORDER BY url_key) <= floor(count(*) OVER () * 0.25) THEN 'train' ELSE 'validation' END "
+    "AS split FROM (SELECT url || '#' || page_id AS url_key FROM pages)",
+)
+def split_by_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = table(spark, sf_dir, "pages").select(F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("url_key"))
+    return ordering.split_positional(keyed, "url_key", 0.25)
+
+
 # --- chats ----------------------------------------------------------------------------------------------------------
 
 

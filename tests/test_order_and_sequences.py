@@ -153,3 +153,20 @@ def test_plans_do_not_multiply_without_broadcasts(spark, no_broadcast, name, sca
 
     plan = contract.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("FileScan") <= scans and plan.count("SortMergeJoin") <= joins
+
+
+def test_split_fractions_at_the_ends(spark):
+    df = spark.range(10).select(F.col("id").alias("k"))
+    split = lambda f: [r.split for r in ordering.split_positional(df, "k", f).orderBy("k").collect()]
+    assert split(1.0) == ["train"] * 10 and split(0.0) == ["validation"] * 10 and split(0.6).count("train") == 6
+    with pytest.raises(ValueError):
+        ordering.split_positional(df, "k", 1.5)
+
+
+def test_positions_by_text_and_composite_keys(spark):
+    rows = [(f"k{i * 37 % 101:03d}", i % 3) for i in range(101)]
+    df = spark.createDataFrame(rows, "t string, n int").withColumn("both", F.struct("n", "t"))
+    by_text = {r.t: r.position for r in ordering.with_position(df, "t", n_ranges=7).collect()}
+    assert by_text == {t: i for i, t in enumerate(sorted(t for t, _ in rows))}
+    both = {(r.n, r.t): r.position for r in ordering.with_position(df, "both", n_ranges=7).collect()}
+    assert both == {k: i for i, k in enumerate(sorted((n, t) for t, n in rows))}
