@@ -9,8 +9,13 @@ _RANKED = r"""\{\s*['"]model['"]\s*:\s*['"]([^'"]*)['"]\s*,\s*['"]rank['"]\s*:\s
 
 
 def choice_letter(c: Column) -> Column:
-    """The option letter of "the correct answer is X", else NULL."""
-    return F.nullif(F.regexp_extract(c, r"(?i:correct answer is)\s*\(?([A-D])(?![\p{L}\p{N}_])", 1), F.lit(""))
+    """The option letter of "the (correct) answer is X", "Answer: X" or an output that is a letter alone, else NULL.
+
+    Brackets and bold marks around the letter do not matter. Of several phrases the first with a letter counts.
+    """
+    said = F.regexp_extract(c, r"(?i:answer(?: is|:))[\s*(]*+([A-D])(?![\p{L}\p{N}_])", 1)
+    alone = F.regexp_extract(c, r"\A[\s*(]*+([A-D])[\s*).:]*+\z", 1)
+    return F.when(said != "", said).when(alone != "", alone)
 
 
 def last_number(c: Column) -> Column:

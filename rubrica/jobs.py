@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rubrica import schemas, templates
+from rubrica.functions.grade import RewardFn, zero_reward
 from rubrica.functions.prompts import chat_text, render, safety_judge_messages
 from rubrica.operators import curate, grading, ordering, report
 from rubrica.sources import files
@@ -44,8 +45,13 @@ def evaluate(
     output: str,
     template: str = templates.R1_ZERO,
     mode: str = "r1_zero",
+    reward: RewardFn | None = None,
 ) -> DataFrame:
-    """Score one completion per problem and report sums and means; a problem without a completion scores zero."""
+    """Score one completion per problem and report sums and means; a problem without a completion scores zero.
+
+    ``reward`` is any reward function of a response and its truths, such as one made by ``grade.from_python``; by default
+    answers are graded by ``mode``.
+    """
     items = files.read_jsonl(spark, problems, PROBLEMS).select(
         "item_id",
         render(template, question=F.col("problem")).alias("prompt"),
@@ -53,7 +59,13 @@ def evaluate(
         F.array("solution").alias("truths"),
     )
     texts = files.read_jsonl(spark, completions, COMPLETIONS)
-    scored = grading.grade_completions(texts, items, "item_id", mode=mode, how="left")
+    if reward is None:
+        scored = grading.grade_completions(texts, items, "item_id", mode=mode, how="left")
+    else:
+        rows = items.join(texts, "item_id", "left").withColumn("_served", F.col("generated_text").isNotNull())
+        rows = rows.withColumn("generated_text", F.coalesce("generated_text", F.lit("")))
+        rated = grading.score(rows, "generated_text", reward, F.col("truths"))
+        scored = rated.withColumn("metrics", F.when(F.col("_served"), F.col("metrics")).otherwise(zero_reward()))
     files.write_jsonl(scored.select(SCORED.names), output, order_by="item_id")
     return report.metric_report(files.read_jsonl(spark, output, SCORED))
 

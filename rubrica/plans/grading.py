@@ -90,21 +90,36 @@ def extract_boxed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LETTER_SQL = "substr('ABCDE', CAST(doc_id % 5 AS INTEGER) + 1, 1)"
-CHOICE_SQL = f"text || ' The correct answer is ' || {LETTER_SQL} || CASE WHEN doc_id % 3 = 0 THEN 'x' ELSE '.' END"
+CHOICE_SQL = (
+    f"CASE doc_id % 7 WHEN 0 THEN text || ' The correct answer is ' || {LETTER_SQL} || 'x' "
+    f"WHEN 1 THEN text || ' The correct answer is ' || {LETTER_SQL} || '.' WHEN 2 THEN text || ' So the answer is (' || {LETTER_SQL} || ').' "
+    f"WHEN 3 THEN text || chr(10) || 'Answer: ' || {LETTER_SQL} WHEN 4 THEN '**' || {LETTER_SQL} || '**' WHEN 5 THEN {LETTER_SQL} || '.' "
+    f"ELSE text || ' ANSWER IS **' || {LETTER_SQL} || '** then 10000' END"
+)
 
 
 def _choice_output() -> Column:
     letter = F.substring(F.lit("ABCDE"), (F.col("doc_id") % 5 + 1).cast("int"), F.lit(1))
-    ending = F.when(F.col("doc_id") % 3 == 0, "x").otherwise(".")
-    return F.concat("text", F.lit(" The correct answer is "), letter, ending)
+    shapes = [
+        ("text", " The correct answer is ", "x"), ("text", " The correct answer is ", "."), ("text", " So the answer is (", ")."),
+        ("text", "\nAnswer: ", ""), (None, "**", "**"), (None, "", "."), ("text", " ANSWER IS **", "** then 10000"),
+    ]
+    output = F.when(F.lit(False), F.lit(""))
+    for i, (before, lead, ending) in enumerate(shapes):
+        start = [F.col(before)] if before else []
+        output = output.when(F.col("doc_id") % len(shapes) == i, F.concat(*start, F.lit(lead), letter, F.lit(ending)))
+    return output
 
 
-_CHOICE_PATTERN = sql_text(r"(?i:correct answer is)\s*\(?([A-D])(?:[^\p{L}\p{N}_]|$)")
+def _choice_sql(output: str) -> str:
+    said = sql_text(r"(?i)(?:answer is|answer:)(?-i)[\s*(]*([A-D])(?:[^\p{L}\p{N}_]|$)")
+    alone = sql_text(r"^[\s*(]*([A-D])[\s*).:]*$")
+    return f"coalesce(nullif(regexp_extract({output}, {said}, 1), ''), nullif(regexp_extract({output}, {alone}, 1), ''))"
 
 
 @query(
     "parse_mcq",
-    f"SELECT doc_id, nullif(regexp_extract({CHOICE_SQL}, {_CHOICE_PATTERN}, 1), '') AS choice FROM documents",
+    f"SELECT doc_id, {_choice_sql('output')} AS choice FROM (SELECT doc_id, {CHOICE_SQL} AS output FROM documents)",
 )
 def parse_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
     outputs = table(spark, sf_dir, "documents").select("doc_id", _choice_output().alias("output"))
@@ -114,8 +129,8 @@ def parse_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "mcq_accuracy",
     f"SELECT lang AS subject, avg(CASE WHEN choice = gold THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n FROM ("
-    f"SELECT lang, regexp_extract({CHOICE_SQL}, {_CHOICE_PATTERN}, 1) AS choice, "
-    f"substr('ABCD', CAST(n_chars % 4 AS INTEGER) + 1, 1) AS gold FROM documents) GROUP BY ROLLUP (lang)",
+    f"SELECT lang, {_choice_sql('output')} AS choice, substr('ABCD', CAST(n_chars % 4 AS INTEGER) + 1, 1) AS gold "
+    f"FROM (SELECT *, {CHOICE_SQL} AS output FROM documents)) GROUP BY ROLLUP (lang)",
 )
 def mcq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = F.substring(F.lit("ABCD"), (F.col("n_chars") % 4 + 1).cast("int"), F.lit(1))

@@ -76,7 +76,9 @@ def test_last_boxed_equals_a_scan(column, texts):
 def test_judgement_parsers(column):
     check(column, verdicts.choice_letter, [
         ("The correct answer is B. There is one.", "B"), ("The correct answer is 10000 things.", None),
-        ("the CORRECT answer is (C)", "C"), ("The correct answer is Bob", None), ("B", None),
+        ("the CORRECT answer is (C)", "C"), ("The correct answer is Bob", None), ("B", "B"),
+        ("So the answer is (B).", "B"), ("Answer: D", "D"), ("**C**", "C"), ("B.", "B"), ("Be careful", None),
+        ("The answer is 10000", None), ("I answer is E", None),
     ])
     check(column, verdicts.last_number, [
         ("sold 48/2 = 24 clips. sold 48+24 = 72 clips.", "72"), ("seventy-two clips", None),

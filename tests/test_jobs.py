@@ -54,3 +54,13 @@ def test_safety(spark, tmp_path):
     short = put(tmp_path / "short.jsonl", [{"item_id": 0, "model_response": "False"}])
     with pytest.raises(ValueError):
         jobs.judge_safety(spark, predictions, short, str(tmp_path / "out2"), "judge")
+
+
+def test_evaluate_with_a_reward_of_the_user(spark, tmp_path):
+    from rubrica.functions import grade
+
+    problems = put(tmp_path / "p.jsonl", [{"item_id": i, "problem": "q", "solution": "abc"} for i in range(3)])
+    completions = put(tmp_path / "c.jsonl", [{"item_id": 0, "generated_text": "abc"}, {"item_id": 1, "generated_text": ""}])
+    length = grade.from_python(lambda text, truths: dict.fromkeys(["format_reward", "answer_reward", "reward"], float(len(text))))
+    got = jobs.evaluate(spark, problems, completions, str(tmp_path / "scored"), reward=length).first()
+    assert (got.n, got.sum_reward) == (3, 3.0)
