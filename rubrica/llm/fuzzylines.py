@@ -9,7 +9,7 @@ SHINGLE = 8
 SIMILARITY = 0.8
 SIDE = 4
 LANES = SIDE * SIDE
-STAR_ROUNDS = 3
+STAR_ROUNDS = 5
 FEW = 16
 SIEVE_BITS = 18
 
@@ -121,13 +121,42 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.where(enough).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
+def leaders(members: DataFrame, turn: int) -> DataFrame:
+    """(key, a, a_root): of each band, one line of the component that holds most of its lines, another one each turn."""
+    held = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.min_by("h", F.xxhash64(F.lit(turn), "h")).alias("a"))
+    best = F.max_by(F.struct("a", F.col("root").alias("a_root")), F.struct("n", "root"))
+    return held.groupBy("key").agg(best.alias("f")).select("key", "f.*")
+
+
+def apart_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): the pairs of lines of different components that can be similar at all.
+
+    Of two sets of similarity 0.8 or more, ordered from the rarest shingle on, the first fifths (and one more) share a
+    shingle. A line whose own wording makes up a fifth of it meets no other here, so what no round could join is mostly
+    settled without a comparison.
+    """
+    lines = members.select("node", "root").distinct().join(texts, "node")
+    sets = lines.select("h", "root", F.expr(SHINGLE_SET.format(line="line")).alias("set"))
+    each = written(sets.select("h", "root", F.size("set").alias("size"), F.explode("set").alias("s")), "lines-shingles")
+    counts = each.groupBy("s").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y"))
+    rare = F.sort_array(F.collect_list(F.struct("n", "s", "x", "y"))).alias("rare")
+    ordered = each.join(counts, "s").groupBy("h", "root", "size").agg(rare)
+    first = F.expr(f"slice(rare, 1, size - CAST(ceil({SIMILARITY} * size) AS INT) + 1)")
+    front = ordered.select("h", "root", "size", F.explode(first).alias("p")).where("p.x <> p.y")
+    front = written(front.select("h", "root", "size", "p.s"), "lines-front")
+    side = lambda c: front.select("s", *[F.col(k).alias(f"{c}_{k}") for k in ("h", "root", "size")])
+    met = side("a").join(side("b"), "s").where("a_h < b_h and a_root <> b_root")
+    met = met.where(f"least(a_size, b_size) >= {SIMILARITY} * greatest(a_size, b_size)")
+    return met.select(F.col("a_h").alias("a"), F.col("b_h").alias("b")).distinct()
+
+
 def fuzzy_links(lines: DataFrame) -> DataFrame:
     """(node, root) of every line that is similar to another one, by exact components of the similarity graph.
 
-    Candidates are lines that share a band. Bands of up to 16 lines are compared pair by pair. In a larger one a single
-    line, another one each round, is compared with all those that are not yet in its component, for three rounds; what
-    then remains apart in it is compared pair by pair across components. So no link that could join two components is
-    left out, while a band full of copies of one line costs a few comparisons per line.
+    Candidates are lines that share a band. Bands of up to 16 lines are compared pair by pair. In a larger one a line of
+    its largest component, another one each round, is compared with those outside that component, for five rounds; what
+    then remains apart in it is compared across components, as far as its rarest shingles allow a similarity. So no link
+    that could join two components is left out, while a band full of copies of one line costs a few comparisons a line.
     """
     bands = shared_bands(lines)
     wanted = bands.select("h").distinct()
@@ -145,12 +174,11 @@ def fuzzy_links(lines: DataFrame) -> DataFrame:
         members = written(members.join(apart, "key"), "lines-apart")
         if not members.limit(1).count():
             break
-        one = members.select("key", F.col("h").alias("a"), F.col("root").alias("a_root"))
         if turn < STAR_ROUNDS:
-            first = F.min_by(F.struct("a", "a_root"), F.xxhash64(F.lit(turn), "a"))
-            one = one.groupBy("key").agg(first.alias("f")).select("key", "f.*")
-        met = one.join(members.select("key", F.col("h").alias("b"), F.col("root").alias("b_root")), "key")
-        met = met.where("a_root <> b_root and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            met = leaders(members, turn).join(members.select("key", F.col("h").alias("b"), F.col("root").alias("b_root")), "key")
+            met = met.where("a_root <> b_root").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        else:
+            met = apart_pairs(members, texts)
         edges = written(edges.union(similar(met, texts)), "lines-edges")
         roots = components(edges, "lines")
     return roots
