@@ -6,6 +6,7 @@ import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ class Pieces:
 
     ``classes`` numbers the characters that occur in pieces (0: none). The pieces form a trie in an open-addressed table
     (``slots``: state * 2^16 + class, -1 if free; ``follow``: next state); ``ends`` holds the piece id of a state or -1. An
-    edge for a character outside the vocabulary carries ``size`` + its code point and is written out as bytes.
+    edge for a character outside the vocabulary is its byte piece, or, if it has several bytes, carries ``size`` + its
+    code point and is written out as bytes later.
     """
 
     size: int
@@ -104,6 +106,7 @@ def load_pieces(model_path: str, zipf_shift: float = 10.0, sharpness: float = 1.
     logs = -sharpness * np.log(ranks + zipf_shift)
     scale = float(np.log(np.exp(logs[list(ids.values())]).sum()))
     byte_log = -sharpness * math.log(size + zipf_shift) - scale - math.log(100)
+    logs[byte_ids] = byte_log + scale
     held = {c: n for n, c in enumerate(sorted({c for piece in ids for c in piece}), 1)}
     classes = np.zeros(0x110000, np.uint16)
     classes[[ord(c) for c in held]] = list(held.values())
@@ -120,7 +123,7 @@ def units_of(raw: str) -> list[str]:
 def log_complement(log_p: np.ndarray) -> np.ndarray:
     """log(1 - p) from log p, minus infinity at p = 1."""
     with np.errstate(divide="ignore"):
-        return np.where(log_p > -0.7, np.log(-np.expm1(np.minimum(log_p, 0))), np.log1p(-np.exp(log_p)))
+        return np.log(-np.expm1(np.minimum(log_p, 0)))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -193,7 +196,8 @@ class Lattices:
             counts[where[ended]] += 1
             if width == 1:
                 alone = np.flatnonzero(counts == 0)
-                found.append((alone, 1, (p.size + codes[alone]).astype(np.int32)))
+                below = codes[alone] < 0x80
+                found.append((alone, 1, np.where(below, p.bytes_from, p.size).astype(np.int32) + codes[alone].astype(np.int32)))
                 counts[alone] += 1
         offsets = np.cumsum(counts) - counts
         total = int(counts.sum())
@@ -322,9 +326,8 @@ class Sampler:
             self.lattices.forget()
         cut = [units_of(raw) for _, raw in rows]
         first = self.lattices.first
-        new = dict.fromkeys(u for units in cut for u in units if u not in first)
-        if new:
-            self.lattices.add(list(new))
+        if new := dict.fromkeys(chain.from_iterable(cut)).keys() - first.keys():
+            self.lattices.add(sorted(new))
         texts = [
             Text(self.row_key(key), np.fromiter(map(first.__getitem__, units), np.int64, len(units)), [], [])
             for (key, _), units in zip(rows, cut, strict=True)
@@ -336,7 +339,7 @@ class Sampler:
             # value, tie-break, path it leaves, edge of that path at which it leaves, edges refused there, log mass before
             text.heap.append((-root, 0, empty, empty, 0, (), 0.0))
         for turn in range(self.samples):
-            work, starts, keys = [], [], []
+            work, starts, begins = [], [], []
             for text in texts:
                 if not text.heap or text.heap[0][0] == np.inf:
                     continue
@@ -358,10 +361,15 @@ class Sampler:
                     held = np.append(held, len(head)) if to[edge] < 0 else held
                 work.append((text, -value, head, held, at, refused, mass, len(rest)))
                 starts.append(rest)
-                keys.append(self.keys_from(text, 3, turn, len(rest), unit))
+                begins.append(unit)
             if not work:
                 break
-            edges, counts = self.lattices.walk(np.concatenate(starts), np.concatenate(keys))
+            lengths = np.array([w[-1] for w in work])
+            rows_key = np.array([w[0].key for w in work], np.uint64)
+            heads = mixed((rows_key ^ np.uint64(3 * 1_000_003 + turn)) + SALT)
+            place = np.arange(int(lengths.sum())) + np.repeat(np.array(begins) - np.cumsum(lengths) + lengths, lengths)
+            keys = mixed(np.repeat(heads, lengths) + place.astype(np.uint64) * SALT)
+            edges, counts = self.lattices.walk(np.concatenate(starts), keys)
             units_at = np.cumsum([0] + [w[-1] for w in work])
             edges_at = np.concatenate([[0], np.cumsum(counts)])[units_at]
             for n, (text, value, head, held, at, refused, mass, _) in enumerate(work):
