@@ -68,4 +68,15 @@ QUERIES = {
         op7_language, op8_simhash, op9_secrets, op10_quality,
     )
 }
-ORACLES: dict[str, str] = {}
+#: The other queries rest on trained models, hashes or searches that SQL does not have; tests hold them against brute force.
+ORACLES: dict[str, str] = {
+    "op1_warc": """
+    WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+    o AS (SELECT d, max(page_id) AS owner FROM p WHERE n >= 1000 GROUP BY d HAVING count(*) > 1)
+    SELECT page_id, n AS payload_bytes, d AS payload_digest,
+           CASE WHEN owner IS NULL OR owner IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN owner IS DISTINCT FROM page_id THEN owner END AS refers_to,
+           replace(replace(url, chr(13), '%0D'), chr(10), '%0A') AS url
+    FROM p LEFT JOIN o USING (d)
+    """
+}
