@@ -60,13 +60,14 @@ def host_links(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return links.groupBy("src", "dst").agg(F.count("*").alias("pages"))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 20, tolerance: float = 1e-4) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4) -> DataFrame:
     """(host, trust, distrust) of every host that either kind of mass reaches.
 
     Personalised PageRank with restart at the seeds (``kind`` trust along the links, ``kind`` distrust against them), both
     in one walk: a step is a join of the mass with the outgoing shares and a sum with map-side partials. Each round is
-    written to the shared folder; the walk ends after ``rounds`` or when the mass moved falls under ``tolerance`` of the
-    seeds' mass. Mass of a host without links is not carried on.
+    written to the shared folder; the walk ends when no host is new and the mass moved is at most ``tolerance`` of the
+    seeds' mass. Each round moves at most ``damping`` of what the last one moved, and no mass reaches a host later than
+    the longest of all shortest link paths from the seeds. Mass of a host without links is not carried on.
     """
     ways = links.selectExpr("'trust' as kind", "src as host", "dst as to", "pages").union(
         links.selectExpr("'distrust' as kind", "dst as host", "src as to", "pages")
@@ -78,7 +79,8 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
     mass = restart
     if ways.limit(1).count():
         total = seeds.count()
-        for _ in range(rounds):
+        reached = 0
+        while True:
             moved = mass.join(ways, ["kind", "host"]).select(
                 "kind", F.col("to").alias("host"), (F.lit(damping) * F.col("mass") * F.col("share")).alias("new"), F.lit(0.0).alias("old")
             )
@@ -86,10 +88,11 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
             held = mass.select("kind", "host", F.lit(0.0).alias("new"), F.col("mass").alias("old"))
             step = reduce(DataFrame.union, [moved, still, held]).groupBy("kind", "host")
             step = written(step.agg(F.sum("new").alias("mass"), F.sum("old").alias("old")), "url-mass")
-            change = step.agg(F.sum(F.abs(F.col("mass") - F.col("old")))).first()[0] or 0.0
+            change, hosts = step.agg(F.sum(F.abs(F.col("mass") - F.col("old"))), F.count("*")).first()
             mass = step.select("kind", "host", "mass")
-            if change <= tolerance * total:
+            if hosts == reached and (change or 0.0) <= tolerance * total:
                 break
+            reached = hosts
     part = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)).alias(kind)
     return mass.groupBy("host").agg(part("trust"), part("distrust"))
 

@@ -178,6 +178,13 @@ def test_distrust_and_trust_travel(spark):
     assert got[4].trust == pytest.approx(0.85 * 0.15) and got[5].distrust == pytest.approx(0.85**2 * 0.15)
 
 
+def test_distrust_travels_as_far_as_links_go(spark):
+    links = spark.createDataFrame([(f"h{i + 1}", f"h{i}", 1) for i in range(23)], "src string, dst string, pages long")
+    seeds = spark.createDataFrame([("distrust", "h0")], "kind string, host string")
+    got = {r.host: r.distrust for r in urlgraph.propagate(links, seeds, tolerance=0.05).collect()}
+    assert got == pytest.approx({f"h{i}": 0.15 * 0.85**i for i in range(24)})
+
+
 # Nearest neighbours
 
 
