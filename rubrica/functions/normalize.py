@@ -238,12 +238,11 @@ def is_integer_text(x: str) -> str:
 
 
 def _nesting(x: str) -> str:
-    """The deepest level of braces in a text."""
+    """The deepest level of braces in a text; a closing brace without an opening one leaves the level at zero."""
     steps = f"transform(regexp_extract_all({x}, {text('([{}])')}, 1), c -> if(c = '{{', 1, -1))"
     start = "named_struct('now', 0, 'most', 0)"
-    return (
-        f"aggregate({steps}, {start}, (s, d) -> named_struct('now', s.now + d, 'most', greatest(s.most, s.now + d)), s -> s.most)"
-    )
+    step = "named_struct('now', greatest(0, s.now + d), 'most', greatest(s.most, s.now + d))"
+    return f"aggregate({steps}, {start}, (s, d) -> {step}, s -> s.most)"
 
 
 def latex_to_plain(x: str) -> str:

@@ -85,3 +85,9 @@ def test_unknown_form_is_refused():
 
     with pytest.raises(ValueError):
         N.normalize(None, "other")
+
+
+def test_unmatched_closing_braces_hide_no_level(column):
+    check(column, N.normalize_plain, [
+        (r"}}\frac{\frac{1}{2}}{3}", "1/2/3"), (r"}}}\sqrt{\frac{\frac{1}{2}}{3}}", "sqrt(1/2/3)"), (r"\frac{\frac{1}{2}}{3}", "1/2/3"),
+    ])
