@@ -1,4 +1,4 @@
-"""SimHash fingerprints, their near-duplicate components by pigeonring filtering, and exact near-dedup of whole texts."""
+"""SimHash fingerprints and their near-duplicate components by pigeonring filtering."""
 
 import sys
 
@@ -6,11 +6,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rubrica.llm.common import components, hash_sample, written
-from rubrica.llm.fuzzylines import leaders, sieved
+from rubrica.llm.common import components, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -131,148 +130,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(named, "fp", "left").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def shingle_hashes(text: str | None, words: int) -> np.ndarray:
-    """The distinct 64-bit hashes of the word shingles of a whole text, ascending; a short text is one shingle."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
-    width = min(words, len(tokens))
-    if not width:
-        return np.zeros(0, np.int64)
-    digest = xxhash.xxh64_intdigest
-    runs = (b" ".join(tokens[i : i + width]) for i in range(len(tokens) - width + 1))
-    return np.unique(np.fromiter(map(digest, runs), np.uint64).view(np.int64))
-
-
-def word_sets(text: Column, words: int) -> Column:
-    """The set of shingle hashes of each text."""
-
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_hashes(t, words) for t in texts])
-
-    return F.pandas_udf(of, "array<long>")(text)
-
-
-def set_fronts(text: Column, words: int, usual: np.ndarray) -> Column:
-    """Struct (node, n, front): 128 bits of hash for the set of shingles, its size, and its first fifth and one more.
-
-    Sets are ordered by hash, the ``usual`` hashes (ascending) last. Of two sets of a similarity of 0.8 or more, the
-    fronts share a shingle, whatever that order is.
-    """
-
-    def of(texts: pd.Series) -> pd.DataFrame:
-        nodes, sizes, fronts = [], [], []
-        for t in texts:
-            held = shingle_hashes(t, words)
-            nodes.append(xxhash.xxh3_128_digest(held.tobytes()))
-            sizes.append(len(held))
-            late = np.isin(held, usual, assume_unique=True)
-            fronts.append(np.concatenate([held[~late], held[late]])[: len(held) // 5 + 1])
-        return pd.DataFrame({"node": nodes, "n": sizes, "front": fronts})
-
-    return F.pandas_udf(of, "node binary, n long, front array<long>")(text)
-
-
-def usual_shingles(docs: DataFrame, words: int, sample: int = 5_000, most: int = 200_000) -> np.ndarray:
-    """Hashes of shingles that several documents of a sample share. They only order the sets; no result depends on them."""
-    some = hash_sample(docs.select("text"), "text", sample)
-    counts = some.select(F.explode(word_sets(F.col("text"), words)).alias("s")).groupBy("s").count().where("count > 2")
-    rows = counts.orderBy(F.desc("count"), "s").limit(most).select("s").collect()
-    return np.sort(np.array([r.s for r in rows], np.int64))
-
-
-def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (a, b) of nodes whose sets have a Jaccard similarity of 0.8 or more; exact."""
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"{c}_set"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.where("5 * least(size(a_set), size(b_set)) >= 4 * greatest(size(a_set), size(b_set))")
-    return both.where("9 * size(array_intersect(a_set, b_set)) >= 4 * (size(a_set) + size(b_set))").select("a", "b")
-
-
-def rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): the pairs of nodes of different components that can be similar at all, by their rarest shingles."""
-    held = members.select("node", "root").distinct().join(sets, "node")
-    each = written(held.select("node", "root", F.size("set").alias("n"), F.explode("set").alias("s")), "near-shingles")
-    counts = each.groupBy("s").agg(F.count("*").alias("df"), F.min("root").alias("x"), F.max("root").alias("y"))
-    rare = F.sort_array(F.collect_list(F.struct("df", "s", "x", "y"))).alias("rare")
-    front = each.join(counts, "s").groupBy("node", "root", "n").agg(rare)
-    front = front.select("node", "root", "n", F.explode(F.expr("slice(rare, 1, n div 5 + 1)")).alias("p")).where("p.x <> p.y")
-    front = written(front.select("node", "root", "n", "p.s"), "near-front")
-    side = lambda c: front.select("s", *[F.col(k).alias(f"{c}_{k}") for k in ("node", "root", "n")])
-    met = side("a").join(side("b"), "s").where("a_node < b_node and a_root <> b_root")
-    met = met.where("5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)")
-    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-
-
-def similar_sets(marked: DataFrame, docs: DataFrame, words: int, few: int = 16, rounds: int = 5) -> DataFrame:
-    """(node, root) of every node that is similar to another one, by exact components of the similarity graph.
-
-    ``marked`` has (body, node, n, front) of every row of ``docs``. Nodes that share a shingle of their fronts are candidates,
-    and no similar pair does not. Those of a shingle of up to ``few`` nodes are compared pair by pair, if what lies behind
-    the first shingle they share is enough for a similarity of 0.8. In a larger one a node of
-    its largest component, another one each round, is compared with those outside that component; what then remains apart
-    is compared across components, as far as the rarest shingles allow a similarity. So no link that could join two
-    components is left out, while a large group of near copies costs a few comparisons a node.
-    """
-    bodies = marked.groupBy("node").agg(F.min("body").alias("body"), F.first("n").alias("n"), F.first("front").alias("front"))
-    bodies = written(bodies, "near-nodes")
-    posted = bodies.select("node", "n", F.posexplode("front").alias("at", "key"))
-    counts = written(posted.groupBy("key").agg(F.count("*").alias("held")).where("held > 1"), "near-keys")
-    shared = written(sieved(posted, "key", counts, "near-sieve").join(counts, "key"), "near-shared")
-    small = shared.where(F.col("held") <= few)
-    side = lambda c: small.select("key", *[F.col(k).alias(f"{c}_{k}") for k in ("node", "n", "at")])
-    met = side("a").join(side("b"), "key").where("a_node < b_node and 5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)")
-    met = met.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n")
-    met = met.agg(F.min("a_at").alias("a_at"), F.min("b_at").alias("b_at"))
-    # The first shingle in common leaves no more than these; if it has many nodes, the pair is met among them.
-    pairs = written(met.where("9 * least(a_n - a_at, b_n - b_at) >= 4 * (a_n + b_n)").select("a", "b"), "near-pairs")
-    many = shared.where(F.col("held") > few).select("key", "node")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(many.select("node")).distinct()
-    wanted = written(wanted.join(bodies.select("node", "body"), "node"), "near-wanted")
-    texts = docs.select(F.xxhash64("text").alias("body"), "text")
-    found = sieved(texts, "body", wanted, "near-sieve").join(wanted, "body").dropDuplicates(["node"])
-    sets = written(found.select("node", word_sets(F.col("text"), words).alias("set")), "near-sets")
-    edges = written(alike(pairs, sets), "near-edges")
-    roots = components(edges, "near")
-    for turn in range(rounds + 1):
-        members = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        apart = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        members = written(members.join(apart, "key"), "near-apart")
-        if not members.limit(1).count():
-            break
-        if turn < rounds:
-            first = leaders(members.withColumnRenamed("node", "h"), turn)
-            met = first.join(members.select("key", F.col("node").alias("b"), F.col("root").alias("b_root")), "key")
-            met = met.where("a_root <> b_root").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        else:
-            met = rare_pairs(members, sets)
-        edges = written(edges.union(alike(met, sets)), "near-edges")
-        roots = components(edges, "near")
-    return roots
-
-
-def keep_one(docs: DataFrame, words: int = 5) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
     """The rows of ``docs`` that come first in their component: the smallest ``doc_id``, then by a hash of the text.
 
-    Two texts are linked if their sets of shingles of ``words`` words (ASCII letters in lower case; a shorter text is one
-    shingle) have a Jaccard similarity of 0.8 or more. All such pairs are found, not only likely ones: fingerprints of 64
-    bits differ in 5 to 13 bits there, too many for a key of any use, so the candidates come from the sets themselves.
-    Texts without words, null or not, are alike. Null ids come last. All columns are kept. Rows that repeat an id and
-    text are one; which of them stays, where other columns differ, is not defined. Only ids, hashes and the fronts of the
-    sets are shuffled to find the candidates; the texts move to be compared, if they are candidates, and to meet the
-    first rows.
+    Components are those of :func:`near_duplicates`: fingerprints of shingles of ``words`` words, linked at 2 or fewer
+    differing bits. Null, empty and wordless texts share fingerprint 0 and are one group like any other. Null ids come
+    last. All columns are kept. Rows that repeat an id and text are one; which of them stays, where other columns differ,
+    is not defined. An empty table stays empty. Fingerprints and ids are shuffled to find the groups; the texts move once,
+    to meet the first rows.
     """
     body = F.xxhash64("text")
-    usual = usual_shingles(docs, words)
-    marked = docs.select(F.col("doc_id").alias("id"), body.alias("body"), set_fronts(F.col("text"), words, usual).alias("m"))
-    marked = written(marked.select("id", "body", "m.node", "m.n", "m.front"), "near-marked")
-    roots = similar_sets(marked, docs, words)
-    rooted = marked.select("id", "body", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    marked = docs.select(F.col("doc_id").alias("id"), body.alias("body"), fingerprint(F.col("text"), words).alias("fp"))
+    marked = written(marked, "near-marked")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "body")
-    first = rooted.groupBy("root").agg(F.min(place).alias("first"))
-    first = written(first.select(F.col("first.id").alias("first_id"), F.col("first.body").alias("first_body")), "near-first")
+    held = marked.groupBy("fp").agg(F.min(place).alias("first"))
+    least = held.join(linked(marked), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    first = written(least.select(F.col("first.id").alias("first_id"), F.col("first.body").alias("first_body")), "near-first")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), body.alias("body"))
     met = rows.join(first, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("body") == F.col("first_body")))
     repeated = marked.groupBy("id", "body").count().where("count > 1").limit(1).count()
-    if repeated:
-        order = Window.partitionBy("id", "body").orderBy(F.lit(0))
-        met = met.withColumn("turn", F.row_number().over(order)).where("turn = 1")
-    return met.select("row.*")
+    return (met.dropDuplicates(["id", "body"]) if repeated else met).select("row.*")
