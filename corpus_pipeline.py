@@ -25,7 +25,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more of the sets of five-word shingles."""
+    """One document of each group of fingerprints of three-word shingles, linked at two or fewer differing bits."""
     return simhash.keep_one(docs)
 
 
