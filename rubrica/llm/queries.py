@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 from rubrica.llm.common import table
 from rubrica.llm.decontam import contaminated
 from rubrica.llm.fuzzylines import dedup_lines
+from rubrica.llm.hardneg import hard_negatives
 from rubrica.llm.langid import identify
+from rubrica.llm.packing import pack_documents
 from rubrica.llm.permindex import neighbours
 from rubrica.llm.quality import score_documents
+from rubrica.llm.ranked import search
 from rubrica.llm.sampling import encode_documents
 from rubrica.llm.secrets import scan_secrets
 from rubrica.llm.simhash import near_duplicates
@@ -18,6 +21,8 @@ from rubrica.operators.scratch import scratch_path
 
 #: Where the SentencePiece model of the registered query lies.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+#: Where the byte-level BPE vocabulary of the packing query lies.
+TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +66,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives(rows.withColumn("label", label))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(table(spark, sf_dir, "documents"), TOKENIZER_PATH)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_decontamination, op3_url_filter, op4_permutation_index, op5_fuzzy_lines, op6_sentencepiece,
-        op7_language, op8_simhash, op9_secrets, op10_quality,
+        op7_language, op8_simhash, op9_secrets, op10_quality, op11_hard_negatives, op12_packing, op13_ranked_search,
     )
 }
 #: The other queries rest on trained models, hashes or searches that SQL does not have; tests hold them against brute force.
@@ -78,5 +98,43 @@ ORACLES: dict[str, str] = {
            CASE WHEN owner IS DISTINCT FROM page_id THEN owner END AS refers_to,
            replace(replace(url, chr(13), '%0D'), chr(10), '%0A') AS url
     FROM p LEFT JOIN o USING (d)
-    """
+    """,
+    "op11_hard_negatives": """
+    WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = o.label AS same, o.vec_id AS other_id,
+                 list_inner_product(a.v, o.v)::BIGINT AS score
+          FROM r a JOIN r o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id),
+    p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+    n AS (SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS rank
+          FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+           AND 100 * s.score BETWEEN 80 * p.positive_score AND 100 * p.positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+    """,
+    "op13_ranked_search": r"""
+    WITH w AS (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents),
+    i AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+    c AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS tokens FROM w WHERE len(terms) > 0),
+    f AS (SELECT doc_id, n, term, count(*) AS tf
+          FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM w) GROUP BY doc_id, n, term),
+    g AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM f, c GROUP BY term, docs),
+    s AS (SELECT item_id, doc_id,
+                 sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // tokens)))))::BIGINT AS score
+          FROM i JOIN f USING (term) JOIN g USING (term), c GROUP BY item_id, doc_id),
+    k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+          FROM s WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
+    """,
 }
