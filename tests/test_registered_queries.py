@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from rubrica.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = [
@@ -30,10 +31,12 @@ def canonical(value):
         return ""
     if isinstance(value, bool) or isinstance(value, str):
         return str(value)
+    if isinstance(value, (list, tuple)):
+        return str([canonical(v) for v in value])
     return repr(round(float(value), 9) + 0.0)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     result = contract.queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)
