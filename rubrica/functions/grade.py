@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from rubrica import schemas
 from rubrica.functions import normalize
+from rubrica.functions.algebra import same_value
 from rubrica.functions.extract import BOXED, extract_answer, has_answer_format, tagged_answer
 from rubrica.functions.normalize import normalize_mathd, normalize_plain
 from rubrica.functions.sqltext import (
     column_function,
     column_predicate,
     drop,
-    group,
     matches,
     strip,
     text,
@@ -32,9 +32,6 @@ RewardFn = Callable[[Column, Column], Column]
 # Characters that open and close tuples and intervals.
 TUPLE_CHARS = r"()\[\]"
 
-# mixed part, sign, integer digits, decimals, denominator, power of ten
-CONSTANT = r"\A(?:(-?[0-9]++)\+)?(-?)([0-9]*+)(?:\.([0-9]*+))?(?:/([0-9]++))?(?:\*10\^([0-9]++))?\z"
-
 
 def _is_fraction(x: str) -> str:
     return matches(x, r"\A-?[0-9]+[^\n]?/0*[1-9][0-9]*[^\n]?\n?\z")
@@ -61,50 +58,6 @@ def _elements(x: str) -> str:
     return let_text(normalize.without_number_commas(x), cut)
 
 
-def _constant(x: str) -> str:
-    """Struct of two exact readings of an integer, decimal, ``a/b``, ``a+b/c`` or ``a*10^k``; NULL for any other text.
-
-    ``short`` spells a number without a fraction bar as significant digits and a power of ten, whatever its length.
-    ``num`` and ``den`` hold it as a fraction, or NULL where 38 digits do not suffice.
-    """
-    part = lambda i, default: f"coalesce(nullif({group(x, CONSTANT, i)}, ''), '{default}')"
-    whole, sign, integer, decimals, below, power = (part(i, d) for i, d in enumerate(["0", "", "0", "", "1", "0"], 1))
-    exact = lambda t: f"try_cast({t} AS decimal(38,0))"
-    tens = lambda n: f"if({n} < 38, {exact(f'rpad({text('1')}, CAST({n} AS int) + 1, {text('0')})')}, NULL)"
-
-    def read(v: str) -> str:
-        significant = f"trim(TRAILING '0' FROM {v}.digits)"
-        shift = f"length({v}.digits) - length({significant}) - {v}.places + {v}.power"
-        plain_number = f"{group(x, CONSTANT, 1)} = '' AND {group(x, CONSTANT, 5)} = ''"
-        spelled = f"if({v}.digits = '', '0', concat({v}.sign, {significant}, 'e', {shift}))"
-        digits = exact(f"concat({v}.sign, '0', {v}.digits)")
-        den = f"try_multiply({exact(v + '.below')}, {tens(f'{v}.places')})"
-        upper = f"try_multiply({digits}, {tens(f'{v}.power')})"
-        num = f"try_add(try_multiply({exact(v + '.whole')}, {den}), {upper})"
-        return (
-            f"named_struct('short', if({plain_number} AND {v}.power IS NOT NULL, {spelled}, NULL), "
-            f"'num', {exact(num)}, 'den', nullif({exact(den)}, 0))"
-        )
-
-    fields = (
-        f"named_struct('whole', {whole}, 'sign', {sign}, 'digits', trim(LEADING '0' FROM concat({integer}, {decimals})), "
-        f"'places', CAST(length({decimals}) AS bigint), 'below', {below}, 'power', try_cast({power} AS bigint))"
-    )
-    has_digits = matches(x, r"\A(?:-?[0-9]++\+)?-?(?:[0-9]|\.[0-9])")
-    padded = matches(x, r"(?:\A|[+/-])0[0-9]++(?!\.)")
-    return f"if({matches(x, CONSTANT)} AND {has_digits} AND NOT {padded}, {let_text(fields, read)}, NULL)"
-
-
-def _same_constant(a: str, b: str) -> str:
-    """NULL when either side is no constant, or when a fraction has too many digits to decide."""
-
-    def compare(v: str) -> str:
-        crossed = f"try_multiply({v}[0].num, {v}[1].den) = try_multiply({v}[1].num, {v}[0].den)"
-        return f"coalesce({v}[0].short = {v}[1].short, {crossed})"
-
-    return let_text(f"transform(array({a}, {b}), c -> {_constant('c')})", compare)
-
-
 def _integerness_differs(a: str, b: str) -> str:
     return let_text(f"transform(array({a}, {b}), n -> {normalize.is_integer_text('n')})", lambda v: f"{v}[0] <> {v}[1]")
 
@@ -116,14 +69,14 @@ def _difference(truth: str, given: str) -> str:
 def _element_equal(truth: str, given: str) -> str:
     """Equality of two tuple elements.
 
-    Fractions must be spelled alike and an integer only equals an integer. Of what is left, identical texts and equal
-    constants match; anything that would need algebra does not (see ``needs_algebra``).
+    Fractions must be spelled alike and an integer only equals an integer. Of what is left, identical texts match and so
+    do expressions of equal value (``functions.algebra``); one that is not understood does not (see ``needs_algebra``).
     """
     return (
         f"CASE WHEN {_is_fraction(truth)} AND {_is_fraction(given)} THEN {truth} = {given} "
         f"WHEN {_integerness_differs(truth, given)} THEN false "
         f"WHEN {let_text(_difference(truth, given), _may_evaluate)} "
-        f"THEN {truth} = {given} OR coalesce({_same_constant(truth, given)}, false) ELSE false END"
+        f"THEN {truth} = {given} OR coalesce({same_value(truth, given)}, false) ELSE false END"
     )
 
 
@@ -132,7 +85,7 @@ def _element_needs_algebra(truth: str, given: str) -> str:
         f"CASE WHEN {_is_fraction(truth)} AND {_is_fraction(given)} THEN false "
         f"WHEN {_integerness_differs(truth, given)} THEN false "
         f"ELSE {let_text(_difference(truth, given), _may_evaluate)} AND {truth} <> {given} "
-        f"AND {_same_constant(truth, given)} IS NULL END"
+        f"AND {same_value(truth, given)} IS NULL END"
     )
 
 
@@ -168,7 +121,7 @@ split_tuple = column_function(_elements)
 
 
 def needs_algebra(given: Column, truth: Column) -> Column:
-    """True when the verdict "not equal" rests on an expression only a computer algebra system could decide."""
+    """True when the verdict "not equal" rests on an expression that the test by value does not understand."""
     return column_predicate(_algebra_open)(normalize_plain(given), normalize_plain(truth))
 
 

@@ -68,7 +68,7 @@ SCALE_WORDS = [("million", "*10^6"), ("billion", "*10^9"), ("trillion", "*10^12"
 # LaTeX marks without a plain spelling of their own, wrappers of text, and relations and signs.
 LATEX_NOTHING = [r"\\(?:left|right|displaystyle|limits)(?![a-zA-Z])\.?", r"\\[,;:!]"]
 LATEX_BLANKS = r"\\(?:q?quad(?![a-zA-Z])| )|~"
-LATEX_WRAPPERS = r"\\(?:text|textbf|textit|textrm|mathrm|mathbf|mathit|mathsf|mbox|operatorname)\s*\{([^{}]*)\}"
+LATEX_WRAPPER = r"\\(?:text|textbf|textit|textrm|mathrm|mathbf|mathit|mathsf|mbox|operatorname)\s*\{"
 LATEX_SIGNS = [("leq?", "≤"), ("geq?", "≥"), ("neq?", "≠"), ("lt", "<"), ("gt", ">"), ("pm", "±"), ("mp", "∓"), ("approx", "≈")]
 LATEX_SIGNS += [("in", "∈"), ("cap", "∩"), ("to", "→"), ("ldots", "…"), ("cdots", "⋯"), ("div", "÷"), ("angle", "∠")]
 
@@ -108,20 +108,52 @@ def any_unit_pattern() -> str:
     return rf"(?:\A|{NON_WORD})(?:{'|'.join(dict.fromkeys(unit_words()))})(?:\z|{NON_WORD})"
 
 
+_PARTS = rf"[\p{{L}}\p{{N}}_]++|{NON_WORD}"
+
+
+def _is_word(unit: str) -> bool:
+    return all(c.isalnum() or c == "_" for c in unit)
+
+
 def without_units(x: str) -> str:
     """Remove every unit in order, twice over; a removal that would leave nothing is skipped.
 
-    The plan holds one literal list, not one expression per unit. A text no unit pattern matches is returned at once
-    (one regex), and inside the fold a unit costs a substring test unless its fixed part occurs.
+    A text without any unit is returned at once (one regex over all of them). Of any other the words are looked up in a map
+    from units to their places in the list, so the fold visits only units that occur, in order; units with blanks, dots or
+    signs are few and always visited, behind a substring test. A unit that is one word is cut out of the parts of the text;
+    as a match takes the characters on its both sides with it, a second one right behind it stays for the next round.
     """
-
-    def step(running: str, unit: str) -> str:
+    units = unit_words()
+    places: dict[str, list[int]] = {}
+    for n, unit in enumerate(units):
+        places.setdefault(unit, []).append(n)
+    entries = [f"{u}={','.join(map(str, at))}" for u, at in places.items() if _is_word(u)]
+    known = f"str_to_map({text(chr(9).join(entries))}, {text(chr(9))}, '=')"
+    odd = f"array({', '.join(str(n) for n, u in enumerate(units) if not _is_word(u))})"
+    parts = lambda t: f"regexp_extract_all({t}, {text(_PARTS)}, 0)"
+
+    def without_word(running: str, unit: str) -> str:
+        # free: what stands left of a word is not part of a match yet
+        cut = (
+            f"aggregate({parts(running)}, named_struct('out', '', 'free', true, 'cut', false), (s, p) -> "
+            f"CASE WHEN p = {unit} AND s.free THEN named_struct('out', s.out, 'free', false, 'cut', true) "
+            f"ELSE named_struct('out', concat(s.out, p), 'free', NOT s.cut, 'cut', false) END, s -> s.out)"
+        )
+        return let(cut, lambda t: f"if({t} <> '', {t}, {running})")
+
+    def without_phrase(running: str, unit: str) -> str:
         pattern = f"concat({text(rf'(\A|{NON_WORD})')}, {unit}, {text(rf'(\z|{NON_WORD})')})"
         cut = let(f"regexp_replace({running}, {pattern}, '$1$2')", lambda t: f"if({t} <> '', {t}, {running})")
         return f"if(contains({running}, substring_index({unit}, '.', 1)), {cut}, {running})"
 
+    def step(running: str, place: str) -> str:
+        one = lambda u: f"if({u} rlike {text(r'^[\p{L}\p{N}_]+$')}, {without_word(running, u)}, {without_phrase(running, u)})"
+        return let(f"element_at({words(units)}, {place} + 1)", one)
+
     def one_round(running: str, _: str) -> str:
-        return f"if({matches(running, any_unit_pattern())}, {fold(words(unit_words()), running, step)}, {running})"
+        met = f"flatten(transform(array_distinct({parts(running)}), p -> coalesce(split(try_element_at({known}, p), ','), array())))"
+        visited = f"array_sort(concat({odd}, transform({met}, n -> CAST(n AS int))))"
+        return f"if({matches(running, any_unit_pattern())}, {fold(visited, running, step)}, {running})"
 
     return fold("array(1, 2)", x, one_round)
 
@@ -237,33 +269,72 @@ def is_integer_text(x: str) -> str:
     return let(let(without_number_commas(x), as_float), is_integral)
 
 
-def _nesting(x: str) -> str:
-    """The deepest level of braces in a text; a closing brace without an opening one leaves the level at zero."""
-    steps = f"transform(regexp_extract_all({x}, {text('([{}])')}, 1), c -> if(c = '{{', 1, -1))"
-    start = "named_struct('now', 0, 'most', 0)"
-    step = "named_struct('now', greatest(0, s.now + d), 'most', greatest(s.most, s.now + d))"
-    return f"aggregate({steps}, {start}, (s, d) -> {step}, s -> s.most)"
+def _without_groups(x: str) -> str:
+    """Fractions and roots of any depth as ``a/b`` and ``sqrt(a)``, text wrappers and braces dropped, in one fold.
 
+    The fold goes over tokens with a stack of open groups, each 4 * the token's number + a kind: 1 and 2 for the arguments of
+    a fraction, 3 for a root, 0 for any other group. Closing the last group of a fraction or root notes what becomes of its
+    tokens, as 8 * number + role; one that never closes stays as written. Roles then meet the tokens in the order of numbers.
+    """
+    fraction, root = r"\\frac\s*\{", r"\\sqrt\s*(?:\[[^\]]*\]\s*)?\{"
+    pieces = [fraction, root, LATEX_WRAPPER, r"\{", r"\\[{}]", r"\}\s*\{", r"\}", r"[^\\{}]+", r"\\[a-zA-Z]*"]
+    tokens = f"regexp_extract_all({x}, {text('(?s)' + '|'.join(pieces))}, 0)"
+    is_group = lambda t: f"(right({t}, 1) IN ('{{', '}}') AND NOT (length({t}) = 2 AND left({t}, 1) = {text(chr(92))}))"
+    begins = lambda t, macro: f"startswith({t}, {text(chr(92) + macro)})"
+    macro, middle, opening_of_root, end_of_root, usual = range(5)
+
+    def step(s: str, t: str) -> str:
+        def state(groups: str, done: str = f"{s}.done") -> str:
+            return f"named_struct('n', {s}.n + 1, 'open', {groups}, 'done', {done})"
+
+        pushed = lambda groups, kind: f"concat({groups}, array(4 * {s}.n + {kind}))"
+        role = lambda number, of: f"8 * ({number}) + {of}"
+        top, below = f"{s}.open[size({s}.open) - 1]", f"{s}.open[size({s}.open) - 2]"
+        kind = f"if(size({s}.open) = 0, -1, {top} & 3)"
+        left = f"slice({s}.open, 1, size({s}.open) - CASE {kind} WHEN -1 THEN 0 WHEN 2 THEN 2 ELSE 1 END)"
+        done = (
+            f"CASE {kind} WHEN 2 THEN concat({s}.done, array({role(f'{below} div 4', macro)}, {role(f'{top} div 4', middle)})) "
+            f"WHEN 3 THEN concat({s}.done, array({role(f'{top} div 4', opening_of_root)}, {role(f'{s}.n', end_of_root)})) ELSE {s}.done END"
+        )
+        opened = f"CASE WHEN {begins(t, 'frac')} THEN 1 WHEN {begins(t, 'sqrt')} THEN 3 ELSE 0 END"
+        seam = f"if({kind} = 1, {pushed(f'{s}.open', 2)}, {pushed(left, 0)})"
+        return (
+            f"CASE WHEN NOT {is_group(t)} THEN {state(f'{s}.open')} WHEN {t} = '}}' THEN {state(left, done)} "
+            f"WHEN left({t}, 1) = '}}' THEN {state(seam, done)} ELSE {state(pushed(f'{s}.open', opened))} END"
+        )
+
+    def spelled(t: str, role: str) -> str:
+        blank = f"replace(replace({t}, '{{', ''), '}}', '')"
+        kept = " ".join(f"WHEN {begins(t, m)} THEN {text(chr(92) + m)}" for m in ("frac", "sqrt"))
+        return (
+            f"CASE {role} WHEN {macro} THEN '' WHEN {middle} THEN '/' WHEN {opening_of_root} THEN 'sqrt(' "
+            f"WHEN {end_of_root} THEN concat(')', {blank}) "
+            f"ELSE CASE WHEN NOT {is_group(t)} THEN {t} {kept} WHEN {begins(t, '')} THEN '' ELSE {blank} END END"
+        )
+
+    def joined(v: str) -> str:
+        none = "CAST(array() AS array<bigint>)"
+        done = fold(v, f"named_struct('n', 0L, 'open', {none}, 'done', {none})", step) + ".done"
+        # a role noted sorts before the usual one of the same token
+        every = f"array_sort(concat({done}, transform({v}, (t, i) -> 8L * i + {usual})))"
+        roles = let(every, lambda r: f"filter({r}, (e, k) -> k = 0 OR e div 8 <> {r}[greatest(k, 1) - 1] div 8)")
+        return f"array_join(zip_with({v}, {roles}, (t, e) -> {spelled('t', 'pmod(e, 8)')}), '')"
+
+    return f"if({matches(x, r'[{}]')}, {let(tokens, joined)}, {x})"
 
-def latex_to_plain(x: str) -> str:
-    """Fractions, roots and common symbols as plain text; any other macro stays as written (see latex_unsupported).
 
-    Fractions and roots are rewritten from the inside out, one nesting level a round; once no innermost one is left, a
-    round is a single search.
-    """
+def latex_to_plain(x: str) -> str:
+    """Fractions, roots and common symbols as plain text without braces; any other macro stays as written (see
+    latex_unsupported)."""
     for pattern in LATEX_NOTHING:
         x = sub(x, pattern, "")
-    x = sub(sub(x, LATEX_BLANKS, " "), LATEX_WRAPPERS, "$1")
+    x = sub(x, LATEX_BLANKS, " ")
     x = swap(x, ("\\tfrac", "\\frac"), ("\\dfrac", "\\frac"), ("\\frac", " \\frac"))
     x = sub(x, r"\\frac\s*([0-9a-zA-Z])\s*([0-9a-zA-Z])", "$1/$2")
+    x = sub(x, r"\\frac\s*([0-9a-zA-Z])\s*\{", r"\\frac{$1}{")
+    x = sub(x, r"(\\frac\s*\{[^{}]*\})\s*([0-9a-zA-Z])", "$1{$2}")
     x = sub(x, r"\\sqrt\s*([0-9a-zA-Z])", "sqrt($1)")
-
-    def innermost(running: str, _: str) -> str:
-        fractions = sub(running, r"\\frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2")
-        both = sub(fractions, r"\\sqrt\s*\{([^{}]*)\}", "sqrt($1)")
-        return f"if({matches(running, r'\\(?:frac|sqrt)\s*\{[^{}]*\}')}, {both}, {running})"
-
-    x = let(x, lambda t: fold(f"sequence(0, {_nesting(t)})", t, innermost))
+    x = let(x, _without_groups)
     for pattern, plain_symbol in PLAIN_SYMBOLS:
         x = sub(x, pattern, plain_symbol)
 

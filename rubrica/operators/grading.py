@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rubrica.functions import grade, verdicts
 from rubrica.functions.extract import extract_answer, normalize_gap
 from rubrica.functions.normalize import latex_unsupported, normalize
-from rubrica.operators.repetition import REPETITIVE, repetition_share
+from rubrica.operators.repetition import REPETITIVE, with_shares
 from rubrica.operators.skew import lookup_join
 
 _PARTS = {"r1_zero": grade.r1_zero_parts, "question_only": grade.question_only_parts}
@@ -91,20 +91,24 @@ def score(df: DataFrame, text: str, reward: grade.RewardFn, truths: Column) -> D
     return df.withColumn(text, normalize_gap(F.col(text))).withColumn("metrics", reward(F.col(text), truths))
 
 
-def grade_answers(df: DataFrame, given: str, truth: str) -> DataFrame:
-    """Add ``correct`` for answer and truth columns. ``functions.grade.needs_algebra`` tells which verdicts "wrong" rest on
-    algebra that is not part of this engine."""
-    return df.withColumn("correct", grade.grade_any(F.col(given), F.array(truth)))
+def grade_answers(df: DataFrame, given: str, truth: str, flag: str | None = None) -> DataFrame:
+    """Add ``correct`` for answer and truth columns and, under the name ``flag``, whether a verdict "wrong" rests on an
+    expression that the test by value does not understand (``functions.grade.needs_algebra``)."""
+    graded = df.withColumn("correct", grade.grade_any(F.col(given), F.array(truth)))
+    if flag is None:
+        return graded
+    return graded.withColumn(flag, grade.needs_algebra(F.col(given), grade.truth_text(F.col(truth))))
 
 
 def latex_equal_answers(df: DataFrame, given: str, truth: str, name: str = "latex_equal") -> DataFrame:
     """Add whether two answers are equal in the plain form, where an answer of over 128 characters that repeats itself is
     refused first, whatever it says."""
-    g, t = F.col(given), grade.truth_text(F.col(truth))
-    long_part = lambda c: F.coalesce(repetition_share(F.when(F.length(c) > 128, c)) > REPETITIVE, F.lit(False))
-    repeats = {"_given_repeats": long_part(g), "_truth_repeats": long_part(t)}
-    same = grade.latex_equal(g, t, F.col("_given_repeats"), F.col("_truth_repeats"))
-    return df.withColumns(repeats).withColumn(name, same).drop(*repeats)
+    long_part = lambda c: F.when(F.length(c) > 128, F.col(c))
+    named = df.withColumns({"_given": F.col(given), "_truth": grade.truth_text(F.col(truth))})
+    shares = with_shares(named, {"_given_share": long_part("_given"), "_truth_share": long_part("_truth")})
+    repeats = [F.coalesce(F.col(c) > REPETITIVE, F.lit(False)) for c in ("_given_share", "_truth_share")]
+    judged = shares.withColumn(name, grade.latex_equal(F.col("_given"), F.col("_truth"), *repeats))
+    return judged.drop("_given", "_truth", "_given_share", "_truth_share")
 
 
 def parse_judgements(df: DataFrame, text: str, kind: str, name: str) -> DataFrame:

@@ -80,7 +80,7 @@ def sql_render(template: str, literal: Callable[[str], str] = sql_text, **values
     return "(" + " || ".join(terms or ["''"]) + ")"
 
 
-def _choose(number: str, options: list[str]) -> str:
+def choose(number: str, options: list[str]) -> str:
     cases = " ".join(f"WHEN {i} THEN {option}" for i, option in enumerate(options))
     return f"(CASE {number} % {len(options)} {cases} END)"
 
@@ -90,8 +90,8 @@ def _spellings(string_type: str, literal: Callable[[str], str]) -> tuple[str, st
     a = f"CAST(doc_id % 50 AS {string_type})"
     b = f"CAST(n_chars % 7 + 2 AS {string_type})"
     a_truth = f"CAST(doc_id % 50 + CASE WHEN n_chars % 5 = 0 THEN 1 ELSE 0 END AS {string_type})"
-    given = _choose("doc_id", [sql_render(g, literal, a=a, b=b) for g, _ in SPELLINGS])
-    truth = _choose("doc_id", [sql_render(t, literal, a=a_truth, b=b) for _, t in SPELLINGS])
+    given = choose("doc_id", [sql_render(g, literal, a=a, b=b) for g, _ in SPELLINGS])
+    truth = choose("doc_id", [sql_render(t, literal, a=a_truth, b=b) for _, t in SPELLINGS])
     return given, truth
 
 
@@ -111,16 +111,16 @@ def sql_answers(*keep: str) -> str:
 
 def completions(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """answers() with the completion text around them."""
-    gap = F.expr(_choose("(doc_id div 7)", [text(g) for g in GAPS]))
-    ending = F.expr(_choose("(doc_id div 11)", [text(e) for e in ENDINGS]))
+    gap = F.expr(choose("(doc_id div 7)", [text(g) for g in GAPS]))
+    ending = F.expr(choose("(doc_id div 11)", [text(e) for e in ENDINGS]))
     rows = answers(spark, sf_dir, *dict.fromkeys(["text", *keep]))
     generated = F.concat(F.lit("<think> "), "text", gap, "given", ending)
     return rows.select("doc_id", *keep, "given", "truth", generated.alias("generated_text"))
 
 
 def sql_completions(*keep: str) -> str:
-    gap = _choose("(doc_id // 7)", [sql_text(g) for g in GAPS])
-    ending = _choose("(doc_id // 11)", [sql_text(e) for e in ENDINGS])
+    gap = choose("(doc_id // 7)", [sql_text(g) for g in GAPS])
+    ending = choose("(doc_id // 11)", [sql_text(e) for e in ENDINGS])
     kept = "".join(f", {k}" for k in keep)
     return (
         f"SELECT doc_id{kept}, given, truth, '<think> ' || text || {gap} || given || {ending} AS generated_text "

@@ -1,15 +1,18 @@
 """Extraction, normal forms, graders and reports over completions derived from documents."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rubrica import templates
 from rubrica.functions import extract, grade, normalize, numerics, verdicts
 from rubrica.functions.prompts import render
+from rubrica.functions.sqltext import text
 from rubrica.operators import curate, grading, repetition, report
 from rubrica.operators.skew import spread
 from rubrica.plans import sqlforms as S
-from rubrica.plans.derive import answers, completions, sql_answers, sql_completions, sql_render, sql_text
+from rubrica.plans.derive import answers, choose, completions, sql_answers, sql_completions, sql_render, sql_text
 from rubrica.plans.registry import query, table
 
 GAP_SQL = r"regexp_replace(generated_text, '</think>\s*<answer>', '</think> <answer>', 'g')"
@@ -321,6 +324,46 @@ def grade_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers(spark, sf_dir).select("doc_id", grade.grade_any(F.col("given"), truths).alias("correct"))
 
 
+# (given, truth, whether they are equal, not, or open to this engine); x and y are unknowns
+ALGEBRA = [
+    ("x+{a}", "{a}+x", "equal"),
+    ("2(x+{a})", "2x+{h}", "equal"),
+    ("(x+{a})(x-{a})", "x^2-{q}", "equal"),
+    ("-x+{b}", "{b}-x", "equal"),
+    ("1/(x-{b}y)", "-1/({b}y-x)", "equal"),
+    ("{a}.5x", "{k}x/2", "equal"),
+    (r"{b}\sqrt{2}", r"\sqrt{{d}}", "equal"),
+    (r"\frac{x}{{b}}", "{b}^-1x", "equal"),
+    ("x^2+{a}x", "x(x+{a})", "open"),
+    ("{b}^x", "x^{b}", "open"),
+    ("x+{a}y+z", "z+x+{a}y", "other"),
+    ("x+{a}", "x-{a}-1", "other"),
+]
+
+
+def _algebra(string_type: str, literal: Callable[[str], str]) -> list[str]:
+    """Columns of expressions over row numbers, in either engine's SQL; of every fifth row the truth is one more."""
+    a, b = "(doc_id % 50)", "(n_chars % 7 + 2)"
+    numbers = {"a": a, "b": b, "h": f"(2 * {a})", "k": f"(2 * {a} + 1)", "q": f"({a} * {a})", "d": f"(2 * {b} * {b})"}
+    values = {n: f"CAST({v} AS {string_type})" for n, v in numbers.items()}
+    pick = lambda i: choose("doc_id", [sql_render(t[i], literal, **values) for t in ALGEBRA])
+    one_more = f"{literal('1+(')} || {pick(1)} || {literal(')')}"
+    kind = choose("doc_id", [literal(t[2]) for t in ALGEBRA])
+    truth = f"CASE WHEN n_chars % 5 = 0 THEN {one_more} ELSE {pick(1)} END"
+    return ["doc_id", "n_chars", f"{pick(0)} AS given", f"{truth} AS truth", f"{kind} AS kind"]
+
+
+@query(
+    "grade_algebra",
+    "SELECT doc_id, given, truth, kind = 'equal' AND n_chars % 5 <> 0 AS correct, kind = 'open' AS needs_algebra "
+    f"FROM (SELECT {', '.join(_algebra('VARCHAR', sql_text))} FROM documents)",
+)
+def grade_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
+    pairs = documents.selectExpr(*_algebra("STRING", text))
+    return grading.grade_answers(pairs, "given", "truth", flag="needs_algebra").select("doc_id", "given", "truth", "correct", "needs_algebra")
+
+
 @query("repetition_flag")
 def repetition_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = repetition.flag_repetition(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), "text")

@@ -197,10 +197,13 @@ def _element_equal(t: str, g: str) -> str:
     joined = f"('(' || {t} || ')-(' || {g} || ')')"
     letters = rf"len(list_distinct(regexp_extract_all({drops(['sqrt', 'frac'], joined)}, '\p{{L}}')))"
     bad = rf"regexp_matches({joined}, '\^\{{|\^\(|\^[0-9]+\^|\^[0-9][0-9]+')"
+    sum_ = lambda x: rf"regexp_full_match({x}, '[a-z0-9]+(\+[a-z0-9]+)+')"
+    terms = lambda x: f"list_sort(string_split({x}, '+'))"
+    same_sum = f"({sum_(t)} AND {sum_(g)} AND {terms(t)} = {terms(g)})"
     return (
         f"CASE WHEN {fraction(t)} AND {fraction(g)} THEN {t} = {g} WHEN {integer(t)} <> {integer(g)} THEN false "
         f"WHEN {letters} <= 2 AND NOT {bad} "
-        f"THEN {t} = {g} OR coalesce(abs({_constant(t)} - {_constant(g)}) <= 1e-13 * abs({_constant(t)}), false) ELSE false END"
+        f"THEN {t} = {g} OR {same_sum} OR coalesce(abs({_constant(t)} - {_constant(g)}) <= 1e-13 * abs({_constant(t)}), false) ELSE false END"
     )
 
 
