@@ -79,19 +79,9 @@ GREEK = {
     "tau": "τ", "theta": "θ", "upsilon": "υ", "varepsilon": "ε", "varphi": "φ", "xi": "ξ", "zeta": "ζ",
 }
 
-# LaTeX symbols and their plain spelling.
-PLAIN_SYMBOLS = [
-    (r"\\pi(?![a-zA-Z])", "pi"),
-    (r"\\infty(?![a-zA-Z])", "inf"),
-    (r"\\cup(?![a-zA-Z])", "U"),
-    (r"\\cdot(?![a-zA-Z])", "*"),
-    (r"\\times(?![a-zA-Z])", "*"),
-    ("√", "sqrt"),
-    ("π", "pi"),
-    ("∞", "inf"),
-    ("∪", "U"),
-    ("[·×]", "*"),
-]
+# LaTeX symbols, and the plain spelling of such characters.
+LATEX_SYMBOLS = [("pi", "π"), ("infty", "∞"), ("cup", "∪"), ("cdot", "·"), ("times", "×")]
+PLAIN_SYMBOLS = [("√", "sqrt"), ("π", "pi"), ("∞", "inf"), ("∪", "U"), ("·", "*"), ("×", "*")]
 
 # Repeats are possessive: Java matches them in a loop, where a plain repeated group recurses once per part.
 _DIGITS = r"[0-9]++(?:_[0-9]++)*+"
@@ -335,15 +325,16 @@ def latex_to_plain(x: str) -> str:
     x = sub(x, r"(\\frac\s*\{[^{}]*\})\s*([0-9a-zA-Z])", "$1{$2}")
     x = sub(x, r"\\sqrt\s*([0-9a-zA-Z])", "sqrt($1)")
     x = let(x, _without_groups)
-    for pattern, plain_symbol in PLAIN_SYMBOLS:
-        x = sub(x, pattern, plain_symbol)
 
     def marks(t: str) -> str:
         for name, sign in [*LATEX_SIGNS, *GREEK.items()]:
             t = sub(t, rf"\\{name}(?![a-zA-Z])", sign)
         return sub(t, r"\\([{}])", "$1")
 
-    return strip(let(x, lambda t: f"if({has(t, '\\')}, {marks(t)}, {t})"))
+    # signs first and their words last, so that no macro runs into a word
+    for name, sign in LATEX_SYMBOLS:
+        x = sub(x, rf"\\{name}(?![a-zA-Z])", sign)
+    return strip(swap(let(x, lambda t: f"if({has(t, '\\')}, {marks(t)}, {t})"), *PLAIN_SYMBOLS))
 
 
 def _without_plain_units(x: str) -> str:

@@ -8,14 +8,27 @@ from rubrica.functions.text import let, strip
 _RANKED = r"""\{\s*['"]model['"]\s*:\s*['"]([^'"]*)['"]\s*,\s*['"]rank['"]\s*:\s*([0-9]+)\s*\}"""
 
 
+# What may stand between "the answer is" and its letter, and around a letter that stands alone.
+_FILLER = r"(?:\s*+(?i:the\s++)?(?i:option|choice|letter)(?![\p{L}\p{N}_])\s*+:?+)?"
+_OPENERS = r"(?:[\s*(\[{$\"'`]|\\(?:boxed|text|textbf|mathrm|mathbf)\s*\{)*+"
+_CLOSERS = r"[\s*)\]}$\"'`.:]*+"
+# A lower-case word right behind "A" makes it an article, unless the word goes on about the answer.
+_GOES_ON = "because|since|as|so|for|and|but|which|due|given|based|by"
+_LETTER = rf"([B-D]|A(?!\s++(?!(?:{_GOES_ON})(?![\p{{L}}]))\p{{Ll}}))(?![\p{{L}}\p{{N}}_])"
+_SAID = rf"(?i:answer(?:\s++is\s*+:?+|\s*+:)){_FILLER}{_OPENERS}{_LETTER}"
+_BOXED = r"\\boxed\s*\{\s*(?:\\(?:text|textbf|mathrm|mathbf)\s*\{)?[\s(]*+([A-D])[\s).]*+\}"
+_ALONE = rf"\A(?:(?i:option|choice)(?![\p{{L}}\p{{N}}_]))?{_OPENERS}([A-D]){_CLOSERS}\z"
+
+
 def choice_letter(c: Column) -> Column:
-    """The option letter of "the (correct) answer is X", "Answer: X" or an output that is a letter alone, else NULL.
+    """The option letter of "the answer is X" or "Answer: X", else of a boxed letter, else of an output that is a letter
+    alone, else NULL.
 
-    Brackets and bold marks around the letter do not matter. Of several phrases the first with a letter counts.
+    "Option", "choice" or "letter" may stand before it and brackets, quotes, dollar signs, bold marks and LaTeX wrappers
+    around it. Of several phrases the first with a letter counts. An "A" before a lower-case word is taken as the article.
     """
-    said = F.regexp_extract(c, r"(?i:answer(?: is|:))[\s*(]*+([A-D])(?![\p{L}\p{N}_])", 1)
-    alone = F.regexp_extract(c, r"\A[\s*(]*+([A-D])[\s*).:]*+\z", 1)
-    return F.when(said != "", said).when(alone != "", alone)
+    found = [F.regexp_extract(c, pattern, 1) for pattern in (_SAID, _BOXED, _ALONE)]
+    return F.coalesce(*[F.nullif(f, F.lit("")) for f in found])
 
 
 def last_number(c: Column) -> Column:

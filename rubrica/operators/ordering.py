@@ -110,21 +110,38 @@ def with_shuffled_position(
     return _running_total(keyed, bucket, ["_hash", id_col], w, name).drop("_hash")
 
 
+def key_at(df: DataFrame, key: str, fraction: float, n_ranges: int | None = None):
+    """The key at position floor(rows * fraction) of all rows in the order of the key; None past the last row.
+
+    Distributed selection: rows are counted per key range, and only the range that holds the position is sorted. A range
+    holds an even share of a hash sample's keys, so one that many rows share leaves its range to few others.
+    """
+    keys = df.select(F.col(key).alias("k"))
+    bucket = _key_range(keys, "k", _range_count(df, n_ranges))
+    counts = sorted((r.b, r.n) for r in keys.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect())
+    before, target = 0, int(float(sum(n for _, n in counts)) * fraction)
+    for number, size in counts:
+        if before + size > target:
+            ends = keys.where(bucket == number).agg(F.min("k").alias("low"), F.max("k").alias("high")).first()
+            if ends.low == ends.high:
+                return ends.low
+            return keys.where(bucket == number).orderBy("k").offset(target - before).limit(1).first().k
+        before += size
+    return None
+
+
 def split_positional(df: DataFrame, key: str, fraction: float = 0.6, name: str = "split") -> DataFrame:
     """Label the first ``int(n * fraction)`` rows by key "train" and the rest "validation".
 
-    Only the key column is numbered. The key at the cut comes back as one scalar, and the wide table is then split by a
+    The key at the cut is found by selection, without sorting or numbering the keys; the wide table is then split by a
     comparison, without moving a row.
     """
     if not 0 <= fraction <= 1:
         raise ValueError(f"fraction must lie between 0 and 1, not {fraction}")
     if fraction == 1:
         return df.withColumn(name, F.lit("train"))
-    keys = df.select(key)
-    ranked = with_position(keys, key, "_position")
-    size = F.floor(keys.agg(F.count(F.lit(1)).cast("double")).scalar() * F.lit(float(fraction)))
-    cut = ranked.where(F.col("_position") == size).agg(F.min(key)).scalar()
-    return df.withColumn(name, F.when(F.col(key) < cut, "train").otherwise("validation"))
+    cut = key_at(df, key, fraction)
+    return df.withColumn(name, F.when(F.col(key) < _literal(cut), "train").otherwise("validation"))
 
 
 def assign_batches(df: DataFrame, key: str, batch_size: int, seed: str | int | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rubrica.operators.ordering import with_position, with_shuffled_position
@@ -62,14 +62,23 @@ def pack_sequences(
     )
 
 
-def shift_labels(tokens: DataFrame, seq: str = "seq_id", pos: str = "pos", token: str = "token_id") -> DataFrame:
-    """Add the next token of the same sequence as ``label`` (NULL at the end); positions have no gaps.
+def shift_labels(
+    tokens: DataFrame, seq: str = "seq_id", pos: str = "pos", token: str = "token_id", block: int = 4096
+) -> DataFrame:
+    """Add the token of the next position of the same sequence as ``label``, NULL where there is none.
 
-    An equi-join on (sequence, position) spreads even one very long sequence over all tasks; a window per sequence
-    would sort it in one.
+    Positions are whole numbers and occur once in a sequence. A sequence is cut into blocks of positions, and the first row
+    of a block is copied into the one before as well, so that each block finds its labels by itself: one shuffle, and even
+    one very long sequence is spread over all tasks. Rows without a sequence or position have no label.
     """
-    following = tokens.select(seq, (F.col(pos) - 1).alias(pos), F.col(token).alias("label"))
-    return tokens.join(following, [seq, pos], "left")
+    own = F.floor(F.col(pos) / block)
+    first = F.col(pos) % block == 0
+    blocks = F.when(first, F.array(own, own - 1)).otherwise(F.array(own))
+    order = Window.partitionBy(seq, "_block").orderBy(pos)
+    follows = F.col(seq).isNotNull() & (F.lead(pos).over(order) == F.col(pos) + 1)
+    placed = tokens.withColumn("_block", F.explode(blocks))
+    labelled = placed.withColumn("label", F.when(follows, F.lead(token).over(order)))
+    return labelled.where(F.col("_block").eqNullSafe(own)).drop("_block")
 
 
 def shift_labels_wide(ids: Column) -> Column:

@@ -10,10 +10,12 @@ from rubrica.functions import extract, grade, normalize, numerics, verdicts
 from rubrica.functions.prompts import render
 from rubrica.functions.sqltext import text
 from rubrica.operators import curate, grading, repetition, report
+from rubrica.operators.scratch import scratch_path
 from rubrica.operators.skew import spread
 from rubrica.plans import sqlforms as S
 from rubrica.plans.derive import answers, choose, completions, sql_answers, sql_completions, sql_render, sql_text
 from rubrica.plans.registry import query, table
+from rubrica.sources import files
 
 GAP_SQL = r"regexp_replace(generated_text, '</think>\s*<answer>', '</think> <answer>', 'g')"
 
@@ -59,6 +61,15 @@ def extract_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completions(spark, sf_dir).select("doc_id", tagged.alias("answer"))
 
 
+TAGGED_SQL = f"SELECT doc_id, {R1_ANSWER_SQL} AS a FROM (SELECT doc_id, {GAP_SQL} AS t FROM ({sql_completions()}))"
+
+
+@query("extract_answers", f"SELECT doc_id, CASE WHEN contains(a, '\\boxed') THEN {S.simple_box('a')} ELSE a END AS answer FROM ({TAGGED_SQL})")
+def extract_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    completed = completions(spark, sf_dir).withColumn("generated_text", extract.normalize_gap(F.col("generated_text")))
+    return grading.extract_answers(completed, "generated_text", "r1_zero").select("doc_id", "answer")
+
+
 BOX_SHAPES = [
     r"So \boxed{{given}} then",
     r"\boxed{1} and \boxed{\text{{given}} {}}",
@@ -93,47 +104,57 @@ def extract_boxed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LETTER_SQL = "substr('ABCDE', CAST(doc_id % 5 AS INTEGER) + 1, 1)"
-CHOICE_SQL = (
-    f"CASE doc_id % 7 WHEN 0 THEN text || ' The correct answer is ' || {LETTER_SQL} || 'x' "
-    f"WHEN 1 THEN text || ' The correct answer is ' || {LETTER_SQL} || '.' WHEN 2 THEN text || ' So the answer is (' || {LETTER_SQL} || ').' "
-    f"WHEN 3 THEN text || chr(10) || 'Answer: ' || {LETTER_SQL} WHEN 4 THEN '**' || {LETTER_SQL} || '**' WHEN 5 THEN {LETTER_SQL} || '.' "
-    f"ELSE text || ' ANSWER IS **' || {LETTER_SQL} || '** then 10000' END"
-)
+# (starts with the text, before the letter, behind it, letters that count)
+CHOICE_SHAPES = [
+    (True, " The correct answer is ", "x", ""),
+    (True, " The correct answer is ", ".", "ABCD"),
+    (True, " So the answer is (", ").", "ABCD"),
+    (True, "\nAnswer: ", "", "ABCD"),
+    (False, "**", "**", "ABCD"),
+    (False, "", ".", "ABCD"),
+    (True, " ANSWER IS **", "** then 10000", "ABCD"),
+    (True, " The answer is: ", "\nbecause", "ABCD"),
+    (True, " The answer is option ", ".", "ABCD"),
+    (True, " Thus the answer is the choice (", ")", "ABCD"),
+    (True, " The answer is $", "$.", "ABCD"),
+    (True, " The answer is ", " good idea", "BCD"),
+    (True, " The answer is ", " because it is", "ABCD"),
+    (True, " so \\boxed{", "} holds", "ABCD"),
+    (True, " The final answer is $\\boxed{\\text{(", ")}}$", "ABCD"),
+    (True, " answers ", " are many", ""),
+]
 
 
-def _choice_output() -> Column:
-    letter = F.substring(F.lit("ABCDE"), (F.col("doc_id") % 5 + 1).cast("int"), F.lit(1))
-    shapes = [
-        ("text", " The correct answer is ", "x"), ("text", " The correct answer is ", "."), ("text", " So the answer is (", ")."),
-        ("text", "\nAnswer: ", ""), (None, "**", "**"), (None, "", "."), ("text", " ANSWER IS **", "** then 10000"),
-    ]
-    output = F.when(F.lit(False), F.lit(""))
-    for i, (before, lead, ending) in enumerate(shapes):
-        start = [F.col(before)] if before else []
-        output = output.when(F.col("doc_id") % len(shapes) == i, F.concat(*start, F.lit(lead), letter, F.lit(ending)))
-    return output
+def _shaped(literal: Callable[[str], str]) -> str:
+    """The output of a row in either engine's SQL."""
+    letter = LETTER_SQL.replace("'ABCDE'", literal("ABCDE"))
+    newline = lambda t: " || chr(10) || ".join(literal(part) for part in t.split("\n"))
+    return choose("doc_id", [f"({'text || ' if whole else ''}{newline(lead)} || {letter} || {newline(end)})" for whole, lead, end, _ in CHOICE_SHAPES])
 
 
-def _choice_sql(output: str) -> str:
-    said = sql_text(r"(?i)(?:answer is|answer:)(?-i)[\s*(]*([A-D])(?:[^\p{L}\p{N}_]|$)")
-    alone = sql_text(r"^[\s*(]*([A-D])[\s*).:]*$")
-    return f"coalesce(nullif(regexp_extract({output}, {said}, 1), ''), nullif(regexp_extract({output}, {alone}, 1), ''))"
+CHOICE_SQL = _shaped(sql_text)
+#: The letter, where the shape of the output lets it count.
+CHOSEN_SQL = f"CASE WHEN contains({choose('doc_id', [sql_text(c) for *_, c in CHOICE_SHAPES])}, {LETTER_SQL}) THEN {LETTER_SQL} END"
+
+
+def _choice_output() -> Column:
+    return F.expr(_shaped(text))
 
 
 @query(
     "parse_mcq",
-    f"SELECT doc_id, {_choice_sql('output')} AS choice FROM (SELECT doc_id, {CHOICE_SQL} AS output FROM documents)",
+    f"SELECT doc_id, {CHOICE_SQL} AS output, {CHOSEN_SQL} AS choice FROM documents",
 )
 def parse_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
     outputs = table(spark, sf_dir, "documents").select("doc_id", _choice_output().alias("output"))
-    return grading.parse_judgements(outputs, "output", "choice", "choice").select("doc_id", "choice")
+    return grading.parse_judgements(outputs, "output", "choice", "choice").select("doc_id", "output", "choice")
 
 
 @query(
     "mcq_accuracy",
     f"SELECT lang AS subject, avg(CASE WHEN choice = gold THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n FROM ("
-    f"SELECT lang, {_choice_sql('output')} AS choice, substr('ABCD', CAST(n_chars % 4 AS INTEGER) + 1, 1) AS gold "
-    f"FROM (SELECT *, {CHOICE_SQL} AS output FROM documents)) GROUP BY ROLLUP (lang)",
+    f"SELECT lang, {CHOSEN_SQL} AS choice, substr('ABCD', CAST(n_chars % 4 AS INTEGER) + 1, 1) AS gold FROM documents) "
+    f"GROUP BY ROLLUP (lang)",
 )
 def mcq_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = F.substring(F.lit("ABCD"), (F.col("n_chars") % 4 + 1).cast("int"), F.lit(1))
@@ -454,6 +475,40 @@ def sql_r1_zero(keep: str, *columns: str) -> str:
     return _sql_rewards(formatted, answer, keep)
 
 
+def _length_reward(response: str, truths: list[str]) -> dict[str, float]:
+    """A user's own reward: the response names a truth, and how short it is."""
+    named = float(any(t in response for t in truths))
+    return {"format_reward": 1.0, "answer_reward": named, "reward": named / (1 + len(response) // 1000)}
+
+
+@query(
+    "reward_user",
+    "SELECT doc_id, 1.0::DOUBLE AS format_reward, contains(g, truth)::INTEGER::DOUBLE AS answer_reward, "
+    "contains(g, truth)::INTEGER::DOUBLE / (1 + length(g) // 1000) AS reward "
+    f"FROM (SELECT *, {GAP_SQL} AS g FROM ({sql_completions()}))",
+)
+def reward_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reward = grade.from_python(_length_reward)
+    return _metrics(grading.score(completions(spark, sf_dir), "generated_text", reward, F.array("truth")), "doc_id")
+
+
+LATEX_SHAPES = [(r"\frac{{a}}{\sqrt{{b}}}", False), (r"\overline{{a}}", True), (r"{a}\times\pi", False), (r"\binom{{a}}{{b}}", True), ("{a}", False)]
+
+
+def _latex(string_type: str, literal: Callable[[str], str]) -> str:
+    values = {"a": f"CAST(doc_id % 50 AS {string_type})", "b": f"CAST(n_chars % 7 AS {string_type})"}
+    return choose("doc_id", [sql_render(shape, literal, **values) for shape, _ in LATEX_SHAPES])
+
+
+@query(
+    "latex_unsupported",
+    f"SELECT doc_id, {_latex('VARCHAR', sql_text)} AS given, {choose('doc_id', [str(open_).lower() for _, open_ in LATEX_SHAPES])} AS latex_unsupported FROM documents",
+)
+def latex_unsupported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "documents").select("doc_id", F.expr(_latex("STRING", text)).alias("given"))
+    return grading.normalize_answers(given, "given", "plain").select("doc_id", "given", "latex_unsupported")
+
+
 @query("reward_r1_zero", sql_r1_zero("doc_id"))
 def reward_r1_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = grading.score(completions(spark, sf_dir), "generated_text", grade.r1_zero_reward, F.array("truth"))
@@ -585,6 +640,18 @@ def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "template_file",
+    f"SELECT item_id, {sql_render(templates.R1_ZERO, question='text')} AS prompt FROM benchmark",
+)
+def template_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts by a template that is read from its file."""
+    path = scratch_path(spark, "template")
+    spark.createDataFrame([(templates.R1_ZERO,)], "value string").coalesce(1).write.option("lineSep", "\0").text(path)
+    template = files.read_template(spark, path).removesuffix("\0")
+    return table(spark, sf_dir, "benchmark").select("item_id", render(template, question=F.col("text")).alias("prompt"))
+
+
 @query(
     "pairwise_prompt",
     f"SELECT doc_id, {sql_render(templates.PAIRWISE_JUDGE, instruction='source', output_1='text', output_2='lang')} "
@@ -630,4 +697,8 @@ def url_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("page_id"))
     listed = pages.join(toxic, "page_id").select(F.concat(F.upper("url"), F.lit("/")).alias("listed_url"))
-    return curate.flag_contaminated(pages, "url", listed, "listed_url", "page_id").select("page_id", "url", "contaminated")
+    path = scratch_path(spark, "urls")
+    # a list file: one URL a line, with blank lines and blanks around
+    listed.select(F.concat(F.lit("  "), "listed_url", F.lit("\n")).alias("value")).write.text(path)
+    lines = files.read_lines(spark, path, "listed_url")
+    return curate.flag_contaminated(pages, "url", lines, "listed_url", "page_id").select("page_id", "url", "contaminated")

@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rubrica.operators.scratch import scratch_path
+from rubrica.operators.ordering import with_position
+from rubrica.operators.scratch import scratch_path, written
 from rubrica.operators.skew import spread
 from rubrica.plans.registry import query, table
 from rubrica.sources import files
@@ -37,6 +38,20 @@ def scan_jsonl_gz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_trip(spark, sf_dir, "gzip")
 
 
+@query(
+    "ordered_sink",
+    "SELECT doc_id, key, row_number() OVER (ORDER BY key) - 1 AS position FROM (SELECT doc_id, md5(doc_id::VARCHAR) AS key FROM documents)",
+)
+def ordered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in the order of a key over all part files; the position is that of the line in the files."""
+    path = scratch_path(spark, "ordered-jsonl")
+    keyed = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("doc_id").cast("string")).alias("key"))
+    files.write_jsonl(keyed, path, order_by="key")
+    lines = files.read_jsonl(spark, path, keyed.schema)
+    place = F.struct("_metadata.file_name", F.monotonically_increasing_id().alias("line"))
+    return with_position(written(lines.select("*", place.alias("place")), "ordered-lines"), "place").select("doc_id", "key", "position")
+
+
 def _write_csv(df: DataFrame, path: str, header: bool) -> None:
     (
         df.write.option("quoteAll", True)

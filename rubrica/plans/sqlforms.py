@@ -144,6 +144,8 @@ def plain(source: str, column: str, name: str) -> str:
         sub(r"\\(text|mathrm)\{([^{}]*)\}", r"\2"),
         swaps([("\\tfrac", "\\frac"), ("\\dfrac", "\\frac"), ("\\frac", " \\frac")]),
         sub(r"\\frac\s*([0-9a-zA-Z])\s*([0-9a-zA-Z])", r"\1/\2"),
+        sub(r"\\frac\s*([0-9a-zA-Z])\s*\{", r"\\frac{\1}{"),
+        sub(r"(\\frac\s*\{[^{}]*\})\s*([0-9a-zA-Z])", r"\1{\2}"),
         sub(r"\\sqrt\s*([0-9a-zA-Z])", r"sqrt(\1)"),
         innermost,
         innermost,

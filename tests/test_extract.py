@@ -78,7 +78,10 @@ def test_judgement_parsers(column):
         ("The correct answer is B. There is one.", "B"), ("The correct answer is 10000 things.", None),
         ("the CORRECT answer is (C)", "C"), ("The correct answer is Bob", None), ("B", "B"),
         ("So the answer is (B).", "B"), ("Answer: D", "D"), ("**C**", "C"), ("B.", "B"), ("Be careful", None),
-        ("The answer is 10000", None), ("I answer is E", None),
+        ("The answer is 10000", None), ("I answer is E", None), ("The answer is: B", "B"), ("answer is option B", "B"),
+        ("The answer is $B$", "B"), (r"so \boxed{B}.", "B"), (r"The answer is \boxed{\text{C}}", "C"), ("The answer is A good idea", None),
+        ("The answer is A because", "A"), ("The answer is A.", "A"), ("The answer is B good", "B"), ("Option C", "C"), ("(D)", "D"),
+        ("The answer is the letter A", "A"), ("answers A", None), ("Answer : **A**", "A"), ("a good idea", None), ("The answer is A", "A"),
     ])
     check(column, verdicts.last_number, [
         ("sold 48/2 = 24 clips. sold 48+24 = 72 clips.", "72"), ("seventy-two clips", None),

@@ -97,7 +97,7 @@ def test_latex_groups_of_any_kind_and_depth(column):
     check(column, N.normalize_plain, [
         (r"\frac{{a}}{b}", "a/b"), (r"\frac{1}2", "1/2"), (r"\frac1{2}", "1/2"), (r"\frac{x_{1}}{\sqrt{y_{2}}}", "x_1/sqrt(y_2)"),
         (r"\sqrt[3]{8}", "sqrt(8)"), (r"1+\text{a \text{b}}\frac{1}{2}", "1+ab1/2"), (r"\frac{1}{2", r"\frac12"), (r"\sqrt{2", r"\sqrt2"),
-        (r"\frac{\frac{1}{2}", r"\frac1/2"), (r"\{1,2\}", "1,2"), (r"\frac{1}{2}{3}", "1/23"), (r"\sqrt{4}{5}", "sqrt(4)5"),
+        (r"\frac{\frac{1}{2}", r"\frac1/2"), (r"\{1,2\}", "1,2"), (r"\frac{1}{2}{3}", "1/23"), (r"\sqrt{4}{5}", "sqrt(4)5"), (r"2\times\pi\theta", "2*piθ"),
     ])
 
 

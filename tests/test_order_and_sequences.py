@@ -170,3 +170,22 @@ def test_positions_by_text_and_composite_keys(spark):
     assert by_text == {t: i for i, t in enumerate(sorted(t for t, _ in rows))}
     both = {(r.n, r.t): r.position for r in ordering.with_position(df, "both", n_ranges=7).collect()}
     assert both == {k: i for i, k in enumerate(sorted((n, t) for t, n in rows))}
+
+
+def test_labels_over_block_borders_need_one_shuffle(spark, capsys):
+    rows = [(s, p, 100 * (s or 9) + p) for s in (1, 2, None) for p in range(25) if (s, p) != (2, 7)] + [(1, None, 5)]
+    df = spark.createDataFrame(rows, "seq_id long, pos long, token_id long")
+    labelled = sequences.shift_labels(df, block=4)
+    got = sorted(((r.seq_id or 0, -1 if r.pos is None else r.pos), r.label) for r in labelled.collect())
+    held = {(s, p): t for s, p, t in rows if s is not None and p is not None}
+    assert got == sorted(((s or 0, -1 if p is None else p), held.get((s, p + 1)) if p is not None else None) for s, p, _ in rows)
+    sequences.shift_labels(df, block=4).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1
+
+
+def test_selection_finds_the_key_at_any_cut(spark):
+    keys = [i * i % 211 for i in range(300)] + [7] * 200
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for fraction in (0.0, 0.1, 0.33, 0.5, 0.77, 0.999):
+        assert ordering.key_at(df, "k", fraction, 8) == sorted(keys)[int(500 * fraction)]
+    assert ordering.key_at(df, "k", 1.0, 8) is None and ordering.key_at(df.limit(0), "k", 0.5) is None
