@@ -1,7 +1,9 @@
 """Token sequences of one length: descending documents go to the sequence of least cost that still has room."""
 
 import heapq
+import json
 import os
+import re
 import sys
 from collections.abc import Iterator
 
@@ -17,10 +19,15 @@ CAPACITY = 1024
 #: Sequences packed at a time, and characters given to the tokenizer at a time.
 BLOCK = 512
 CHUNK_CHARS = 1_000_000
+LONG_PIECE = 64
 ROWS_OUT = 2048
 #: Width of the model whose cost is estimated: a token costs 1 for its matrices, and len / (6 * width) for attention.
 WIDTH = 4096
 
+WORDS = re.compile(r"\s*\S+|\s+")
+ODD_SPACE = re.compile(r"[^\S \n\t\r]")
+CUTS = re.compile(r"(?<=\S)(?=[ \n\t\r])")
+
 PIECES = pa.schema([
     ("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -70,45 +77,59 @@ def assign(lengths: list[int], rooms: list[int], width: int = WIDTH) -> tuple[li
     return placed, left
 
 
-def safe_parts(text: str, most: int = CHUNK_CHARS) -> list[str]:
-    """A text cut before single blanks between other characters, about every ``most`` characters.
+class WordCache:
+    """Token ids of whole texts as little-endian unsigned 32-bit bytes, by way of their words.
 
-    No token of a byte-level pattern reaches over such a place. A stretch without one stays whole.
+    A byte-level pattern never lets a token reach from a character that is no white space into a white space behind it, and
+    looks only ahead. So a text is cut at such places, each different piece is encoded once while it is remembered, and the
+    ids are joined. A text that spells a special token is encoded whole, and so is any text if the tokenizer normalises or
+    cuts by another rule.
     """
-    parts, at = [], 0
-    while len(text) - at > most:
-        cut = at + most
-        while cut < len(text) - 1 and not (text[cut] == " " and not text[cut - 1].isspace() and not text[cut + 1].isspace()):
-            cut += 1
-        if cut >= len(text) - 1:
-            break
-        parts.append(text[at:cut])
-        at = cut
-    return [*parts, text[at:]]
-
-
-def token_ids(tokenizer, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
-    """The ids of each whole text and the end id, encoded in calls of bounded size."""
-    group: list[str] = []
-    ends: list[int] = []
-    held = 0
-
-    def encoded() -> Iterator[np.ndarray]:
-        ids = [e.ids for e in tokenizer.encode_batch_fast(group, add_special_tokens=False)]
-        at = 0
-        for end in ends:
-            yield np.array([i for part in ids[at:end] for i in part] + [end_id], "<u4")
-            at = end
 
+    def __init__(self, tokenizer, remembered: int = 200_000):
+        settings = json.loads(tokenizer.to_str())
+        rule = settings["pre_tokenizer"] or {}
+        plain = rule.get("type") == "ByteLevel" and not rule.get("add_prefix_space") and rule.get("use_regex", True)
+        self.by_words = plain and not settings["normalizer"]
+        self.special = [t["content"] for t in settings["added_tokens"]]
+        self.tokenizer, self.remembered = tokenizer, remembered
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def pieces(self, text: str) -> list[str]:
+        if not self.by_words or any(s in text for s in self.special):
+            return [text]
+        # white space that only some libraries call so stays inside its piece
+        return CUTS.split(text) if ODD_SPACE.search(text) else WORDS.findall(text)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        cut = [self.pieces(t) for t in texts]
+        if len(self.known) > self.remembered:
+            self.known = {}
+        new = list({p for pieces in cut for p in pieces} - self.known.keys())
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            self.known.update(zip(part, self.encode(part), strict=True))
+        out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+        for piece in new:
+            if len(piece) > LONG_PIECE:
+                del self.known[piece]
+        return out
+
+
+def groups_of(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[list[str]]:
+    """Consecutive texts of about ``most`` characters together."""
+    group, held = [], 0
     for text in texts:
-        parts = safe_parts(text)
-        group += parts
-        ends.append(len(group))
+        group.append(text)
         held += len(text)
-        if held >= CHUNK_CHARS:
-            yield from encoded()
-            group, ends, held = [], [], 0
-    yield from encoded()
+        if held >= most:
+            yield group
+            group, held = [], 0
+    yield group
 
 
 class Packer:
@@ -178,8 +199,8 @@ def pack_documents(
     two: nothing is padded. Nothing is shuffled, so no source, document or group of copies weighs on one task, and memory
     is a block of ids and one batch of texts.
 
-    A null or empty text is the end id alone. A null id is carried along. Repeated rows are documents of their own. A very
-    long text is encoded in parts cut where no token can reach over. Equal lengths go in the order of the scan, equal costs
+    A null or empty text is the end id alone. A null id is carried along. Repeated rows are documents of their own. A text
+    is encoded by its words (:class:`WordCache`), a very long one too. Equal lengths go in the order of the scan, equal costs
     to the lower sequence. ``sequence_id`` counts up from a number per partition: unique, not gapless. An empty table gives
     no rows. Other columns are not read.
     """
@@ -188,14 +209,15 @@ def pack_documents(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of parallel work
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
+        words, end = WordCache(Tokenizer.from_file(tokenizer_path)), np.array([end_id], "<u4").tobytes()
         packer = Packer(TaskContext.get().partitionId(), capacity, block)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 texts = [t or "" for t in rows.column(1).to_pylist()]
-                for doc_id, ids in zip(rows.column(0).to_pylist(), token_ids(tokenizer, texts, end_id), strict=True):
-                    packer.add(doc_id, ids)
+                found = (ids for group in groups_of(texts) for ids in words(group))
+                for doc_id, ids in zip(rows.column(0).to_pylist(), found, strict=True):
+                    packer.add(doc_id, np.frombuffer(ids + end, "<u4"))
                     yield from packer.batches(ROWS_OUT)
         packer.finish()
         yield from packer.batches(0)

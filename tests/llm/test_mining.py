@@ -168,13 +168,17 @@ def test_assignment_fills_every_sequence_and_balances_cost():
     assert placed == [(0, 0, 600, 0), (1, 0, 500, 1), (2, 0, 400, 1), (3, 0, 300, 0)]
 
 
-def test_long_texts_are_encoded_in_safe_parts(tokenizer):
+def test_words_give_the_ids_of_whole_texts(tokenizer):
     draw = random.Random(4)
-    words = ["word", "it's", "12", "...", "\n", "  ", "<|endoftext|>", "é", "\t x"]
-    text = "".join(draw.choice(words) + " " * draw.randrange(3) for _ in range(4000))
-    parts = packing.safe_parts(text, 100)
-    assert "".join(parts) == text and len(parts) > 50
-    assert [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids] == tokenizer.encode(text, add_special_tokens=False).ids
+    words = ["word", "it's", "12", "...", "\n", "  ", "é", "\t x", "日本語", "\u00a0", "\x1c", "\u2003 ", "\r\n", "!", "\U0001f600", "'ll", "x" * 90]
+    texts = ["".join(draw.choice(words) + " " * draw.randrange(3) for _ in range(draw.randrange(60))) for _ in range(400)]
+    texts += ["", " ", "a <|endoftext|> b", "\n\n", " a", "a "]
+    cache = packing.WordCache(tokenizer, remembered=300)
+    assert cache.by_words
+    for at in range(0, len(texts), 50):
+        part = texts[at : at + 50]
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+        assert cache(part) == want
 
 
 # Ranked search
