@@ -16,17 +16,16 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 1024
-#: Sequences packed at a time, and characters given to the tokenizer at a time.
+#: Sequences packed at a time.
 BLOCK = 512
-CHUNK_CHARS = 1_000_000
-LONG_PIECE = 64
 ROWS_OUT = 2048
 #: Width of the model whose cost is estimated: a token costs 1 for its matrices, and len / (6 * width) for attention.
 WIDTH = 4096
 
-WORDS = re.compile(r"\s*\S+|\s+")
-ODD_SPACE = re.compile(r"[^\S \n\t\r]")
-CUTS = re.compile(r"(?<=\S)(?=[ \n\t\r])")
+# Fixed value: the pattern that cuts texts of byte-level vocabularies before their merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: ASCII; Latin with accents and marks, Greek, Cyrillic; dashes and quotes; kana, Han, Hangul.
+STABLE = re.compile("[ -~\n\t\r¡-\u03ff\u0400-\u04ff\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
 
 PIECES = pa.schema([
     ("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
@@ -77,59 +76,53 @@ def assign(lengths: list[int], rooms: list[int], width: int = WIDTH) -> tuple[li
     return placed, left
 
 
-class WordCache:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes, by way of their words.
+def byte_merger(settings: dict):
+    """tiktoken on the vocabulary of a tokenizer file; None where it may not agree with the file's own rule.
 
-    A byte-level pattern never lets a token reach from a character that is no white space into a white space behind it, and
-    looks only ahead. So a text is cut at such places, each different piece is encoded once while it is remembered, and the
-    ids are joined. A text that spells a special token is encoded whole, and so is any text if the tokenizer normalises or
-    cuts by another rule.
+    It must be a byte-level BPE with the usual pattern, one token a merge and ids that rise with the order of the merges.
+    tiktoken joins the pair whose token has the lowest id, the file's rule the pair of the first merge. Up to the rank of a
+    token the parts inside its place are joined as they are in the token alone, so both take the same pair.
     """
+    import tiktoken
+
+    model, rule = settings["model"], settings["pre_tokenizer"] or {}
+    usual = rule.get("type") == "ByteLevel" and not rule.get("add_prefix_space") and rule.get("use_regex", True)
+    vocab, merges = model.get("vocab", {}), [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+    special = {t["content"] for t in settings["added_tokens"]}
+    made = [vocab.get(a + b, -1) for a, b in merges]
+    rising = bool(made) and made[0] >= 0 and all(a < b for a, b in zip(made, made[1:]))
+    other = settings["normalizer"] or model.get("dropout") or model.get("ignore_merges")
+    if other or not (usual and rising) or len(made) + 256 != len(set(vocab) - special):
+        return None
+    # the printable characters that a byte-level vocabulary writes for the 256 bytes, by rule
+    direct = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in direct} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in direct)}
+    ranks = {bytes(byte[c] for c in token): n for token, n in vocab.items() if token not in special}
+    return tiktoken.Encoding("of the file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+class TextEncoder:
+    """Token ids of whole texts: those of the tokenizer file, by the faster of two ways that agree.
+
+    A text of characters whose classes are the same in every version of the Unicode tables, and that spells no special
+    token, is encoded by :func:`byte_merger`; any other by the file's own library.
+    """
+
+    def __init__(self, tokenizer_path: str):
+        from tokenizers import Tokenizer
 
-    def __init__(self, tokenizer, remembered: int = 200_000):
-        settings = json.loads(tokenizer.to_str())
-        rule = settings["pre_tokenizer"] or {}
-        plain = rule.get("type") == "ByteLevel" and not rule.get("add_prefix_space") and rule.get("use_regex", True)
-        self.by_words = plain and not settings["normalizer"]
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        settings = json.loads(self.tokenizer.to_str())
         self.special = [t["content"] for t in settings["added_tokens"]]
-        self.tokenizer, self.remembered = tokenizer, remembered
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def pieces(self, text: str) -> list[str]:
-        if not self.by_words or any(s in text for s in self.special):
-            return [text]
-        # white space that only some libraries call so stays inside its piece
-        return CUTS.split(text) if ODD_SPACE.search(text) else WORDS.findall(text)
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        if len(self.known) > self.remembered:
-            self.known = {}
-        new = list({p for pieces in cut for p in pieces} - self.known.keys())
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            self.known.update(zip(part, self.encode(part), strict=True))
-        out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
-        for piece in new:
-            if len(piece) > LONG_PIECE:
-                del self.known[piece]
-        return out
-
-
-def groups_of(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[list[str]]:
-    """Consecutive texts of about ``most`` characters together."""
-    group, held = [], 0
-    for text in texts:
-        group.append(text)
-        held += len(text)
-        if held >= most:
-            yield group
-            group, held = [], 0
-    yield group
+        self.merger = byte_merger(settings)
+
+    def own(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def __call__(self, text: str) -> np.ndarray:
+        if not self.merger or not STABLE.fullmatch(text) or any(s in text for s in self.special):
+            return self.own(text)
+        return self.merger.encode_to_numpy(text).astype("<u4")
 
 
 class Packer:
@@ -199,25 +192,21 @@ def pack_documents(
     two: nothing is padded. Nothing is shuffled, so no source, document or group of copies weighs on one task, and memory
     is a block of ids and one batch of texts.
 
-    A null or empty text is the end id alone. A null id is carried along. Repeated rows are documents of their own. A text
-    is encoded by its words (:class:`WordCache`), a very long one too. Equal lengths go in the order of the scan, equal costs
+    A null or empty text is the end id alone. A null id is carried along. Repeated rows are documents of their own. A very
+    long text is encoded whole like any other (:class:`TextEncoder`). Equal lengths go in the order of the scan, equal costs
     to the lower sequence. ``sequence_id`` counts up from a number per partition: unique, not gapless. An empty table gives
     no rows. Other columns are not read.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of parallel work
-        from tokenizers import Tokenizer
-
-        words, end = WordCache(Tokenizer.from_file(tokenizer_path)), np.array([end_id], "<u4").tobytes()
+        encode, end = TextEncoder(tokenizer_path), np.uint32(end_id)
         packer = Packer(TaskContext.get().partitionId(), capacity, block)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                found = (ids for group in groups_of(texts) for ids in words(group))
-                for doc_id, ids in zip(rows.column(0).to_pylist(), found, strict=True):
-                    packer.add(doc_id, np.frombuffer(ids + end, "<u4"))
+                for doc_id, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                    packer.add(doc_id, np.append(encode(text or ""), end))
                     yield from packer.batches(ROWS_OUT)
         packer.finish()
         yield from packer.batches(0)

@@ -168,17 +168,28 @@ def test_assignment_fills_every_sequence_and_balances_cost():
     assert placed == [(0, 0, 600, 0), (1, 0, 500, 1), (2, 0, 400, 1), (3, 0, 300, 0)]
 
 
-def test_words_give_the_ids_of_whole_texts(tokenizer):
+def test_both_encoders_agree(tokenizer):
     draw = random.Random(4)
     words = ["word", "it's", "12", "...", "\n", "  ", "é", "\t x", "日本語", "\u00a0", "\x1c", "\u2003 ", "\r\n", "!", "\U0001f600", "'ll", "x" * 90]
+    words += ["Ünïcode", "n\u0303", "ждать", "½", "²", "–", "“", "한국", "_", "A1b2"]
     texts = ["".join(draw.choice(words) + " " * draw.randrange(3) for _ in range(draw.randrange(60))) for _ in range(400)]
+    stable = [w for w in words if packing.STABLE.fullmatch(w)]
+    texts += ["".join(draw.choice(stable) + " " * draw.randrange(3) for _ in range(60)) for _ in range(400)]
     texts += ["", " ", "a <|endoftext|> b", "\n\n", " a", "a "]
-    cache = packing.WordCache(tokenizer, remembered=300)
-    assert cache.by_words
-    for at in range(0, len(texts), 50):
-        part = texts[at : at + 50]
-        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
-        assert cache(part) == want
+    encode = packing.TextEncoder(TOKENIZER_PATH)
+    assert encode.merger and len(stable) > 12
+    for t in texts:
+        assert encode(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    assert all(packing.STABLE.fullmatch(t) for t in texts[400:800])
+
+
+def test_every_character_of_the_stable_set_is_cut_alike(tokenizer):
+    encode = packing.TextEncoder(TOKENIZER_PATH)
+    characters = [c for c in map(chr, range(0x10000)) if packing.STABLE.fullmatch(c)]
+    for at in range(0, len(characters), 64):
+        part = characters[at : at + 64]
+        text = "".join(f"a{c}1{c} {c}{c}.{c}b" for c in part)
+        assert encode(text).tolist() == encode.own(text).tolist()
 
 
 # Ranked search
