@@ -86,7 +86,6 @@ PLAIN_SYMBOLS = [("√", "sqrt"), ("π", "pi"), ("∞", "inf"), ("∪", "U"), ("
 # Repeats are possessive: Java matches them in a loop, where a plain repeated group recurses once per part.
 _DIGITS = r"[0-9]++(?:_[0-9]++)*+"
 NUMBER = rf"[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
-_TWO_60 = 1152921504606846976
 
 
 def unit_words() -> list[str]:
@@ -241,18 +240,38 @@ def as_float(x: str) -> str:
 
 def is_integral(v: str) -> str:
     """Within 1e-7 of an integer; NULL and infinities are not."""
-    return f"coalesce(abs({v}) < 1e300D AND abs({v} - rint({v})) <= 1e-7D, false)"
+    return f"coalesce(abs({v}) < double('inf') AND abs({v} - rint({v})) <= 1e-7D, false)"
 
 
-def integer_text(v: str) -> str:
-    """The decimal digits of an integral double; exact below 2**123, scientific beyond."""
-    high = f"floor({v} / {_TWO_60}.0D)"
-    low = f"CAST({v} - CAST({high} AS double) * {_TWO_60}.0D AS bigint)"
-    wide = f"CAST({high} AS decimal(19,0)) * CAST({_TWO_60} AS decimal(19,0)) + CAST({low} AS decimal(19,0))"
-    return (
-        f"CASE WHEN abs({v}) < 9.0e18D THEN CAST(CAST({v} AS bigint) AS string) "
-        f"WHEN abs({v}) < 1.0e37D THEN CAST(CAST({wide} AS decimal(38,0)) AS string) ELSE CAST({v} AS string) END"
+def _times_power(limbs: str, shift: str) -> str:
+    """Limbs of nine decimal digits, lowest first, times 2 ** shift for a shift of at most 29."""
+    step = (
+        f"named_struct('out', concat(s.out, array((l * shiftleft(1L, {shift}) + s.carry) % 1000000000L)), "
+        f"'carry', (l * shiftleft(1L, {shift}) + s.carry) div 1000000000L)"
     )
+    start = "named_struct('out', CAST(array() AS array<bigint>), 'carry', 0L)"
+    return f"aggregate({limbs}, {start}, (s, l) -> {step}, s -> if(s.carry > 0, concat(s.out, array(s.carry)), s.out))"
+
+
+def _wide_integer_text(v: str) -> str:
+    """The digits of a finite double of at least 2 ** 55 in size: its 53 bits as limbs, doubled as often as its exponent says."""
+
+    def digits(e: str) -> str:
+        bits = f"CAST(abs({v}) / pow(2D, {e}) AS bigint)"
+        limbs = f"array({bits} % 1000000000L, {bits} div 1000000000L)"
+        shifts = f"concat(array_repeat(29, CAST({e} div 29 AS int)), array({e} % 29))"
+        grown = fold(shifts, limbs, _times_power)
+        spelled = "transform(reverse(g), (l, i) -> if(i = 0, CAST(l AS string), lpad(CAST(l AS string), 9, '0')))"
+        whole = f"element_at(transform(array({grown}), g -> array_join({spelled}, '')), 1)"
+        return f"concat(if({v} < 0, '-', ''), trim(LEADING '0' FROM {whole}))"
+
+    # one less than the exponent of the lowest bit, in case the logarithm is rounded up
+    return let(f"CAST(floor(log2(abs({v}))) AS int) - 53", digits)
+
+
+def integer_text(v: str) -> str:
+    """The decimal digits of a finite integral double of any size."""
+    return f"if(abs({v}) < 9.0e18D, CAST(CAST({v} AS bigint) AS string), {_wide_integer_text(v)})"
 
 
 def is_integer_text(x: str) -> str:
@@ -353,7 +372,7 @@ def _whole_float(x: str) -> str:
 
 def _one_integer_spelling(x: str) -> str:
     """An integer, with or without thousands commas, in one spelling; the fraction left over is cut off."""
-    cut = lambda v: f"if(abs({v}) < 9.0e15D, CAST(if({v} < 0, ceil({v}), floor({v})) AS double), {v})"
+    cut = lambda v: f"({v} - {v} % 1D)"
     whole = let(let(let(drop(x, ","), as_float), cut), integer_text)
     may_be_number = matches(x, rf"\A[{SPACE}0-9+.,_eE-]+\z")
     return f"if({may_be_number} AND {is_integer_text(x)}, {whole}, {x})"

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from rubrica import schemas, templates
 from rubrica.functions.grade import RewardFn, zero_reward
 from rubrica.functions.prompts import chat_text, render, safety_judge_messages
-from rubrica.operators import curate, grading, ordering, report
+from rubrica.operators import curate, grading, masked, ordering, report, rollouts, sequences
+from rubrica.operators.scratch import written
 from rubrica.sources import files
 
 PROBLEMS = T.StructType([T.StructField("item_id", T.LongType()), *schemas.PROBLEM])
@@ -32,6 +33,33 @@ JUDGED = T.StructType(
 )
 
 
+ROLLOUTS = T.StructType(
+    [
+        T.StructField("item_id", T.LongType()),
+        T.StructField("rollout", T.LongType()),
+        T.StructField("prompt", T.StringType()),
+        T.StructField("generated_text", T.StringType()),
+        T.StructField("metrics", schemas.REWARD),
+        T.StructField("raw_reward", T.DoubleType()),
+        T.StructField("advantage", T.DoubleType()),
+    ]
+)
+LOSSES = T.StructType(
+    [T.StructField("batch_id", T.LongType()), T.StructField("loss", T.DoubleType()), T.StructField("tokens", T.LongType())]
+)
+TOKEN_LINES = T.StructType(
+    [
+        T.StructField("item_id", T.LongType()),
+        T.StructField("prompt_ids", T.ArrayType(T.IntegerType())),
+        T.StructField("output_ids", T.ArrayType(T.IntegerType())),
+    ]
+)
+GENERATIONS = T.StructType([T.StructField("item_id", T.LongType()), *schemas.SCORED.fields[:3]])
+LOGS = T.StructType(
+    [*GENERATIONS, T.StructField("metrics", schemas.REWARD), T.StructField("length", T.LongType()), T.StructField("entropy", T.DoubleType())]
+)
+
+
 def render_problems(spark: SparkSession, problems: str, output: str, template: str = templates.R1_ZERO) -> None:
     """Prompts for the generator: JSON lines ``{item_id, prompt}`` in key order."""
     rows = files.read_jsonl(spark, problems, PROBLEMS)
@@ -77,6 +105,78 @@ def build_sft(spark: SparkSession, scored: str, output: str) -> DataFrame:
     return report.keep_rate(rows)
 
 
+def build_rollouts(
+    spark: SparkSession, problems: str, completions: str, output: str, group_size: int, normalize_by_std: bool = True,
+    template: str = templates.R1_ZERO, mode: str = "r1_zero", eps: float = 1e-6,
+) -> DataFrame:
+    """Scored rollouts with group advantages from problems and their completions; returns the metric report.
+
+    The output has a line per rollout: prompt, response, rewards, raw reward and advantage. A group that is not full has
+    advantage 0, as an incomplete group trains nothing.
+    """
+    items = files.read_jsonl(spark, problems, PROBLEMS).select(
+        "item_id",
+        render(template, question=F.col("problem")).alias("prompt"),
+        F.array("solution").alias("truths"),
+    )
+    texts = files.read_jsonl(spark, completions, schemas.COMPLETIONS)
+    graded = grading.grade_completions(texts, items, "item_id", mode=mode, salt_by="rollout")
+    # graded rows are written once; advantages need their group statistics and the rows themselves
+    rated = written(graded.select("item_id", "rollout", "prompt", "generated_text", "metrics"), "rollouts")
+    rated = rated.withColumn("raw_reward", F.col("metrics.reward"))
+    advised = rollouts.group_advantages(
+        rated, "item_id", "raw_reward", "rollout", eps=eps, normalize_by_std=normalize_by_std, group_size=group_size
+    )
+    files.write_jsonl(advised.select(ROLLOUTS.names), output)
+    return report.metric_report(rated)
+
+
+def policy_losses(
+    spark: SparkSession, scored: str, policy: str, old: str, output: str, loss_type: str = "grpo_clip",
+    accumulation: int = 1, cliprange: float = 0.2, batch_rollouts: int = 16,
+) -> DataFrame:
+    """One line per microbatch with its loss and number of response tokens, from scored rollouts and token log-probabilities.
+
+    ``policy`` and ``old`` are Parquet token tables (item_id, rollout, pos, lp) of the policy and the one that sampled; the
+    policy's also has ``mask``. Microbatches are runs of ``batch_rollouts`` rollouts in the order of item and number.
+    """
+    keys = ["item_id", "rollout"]
+    place = F.struct(*keys)
+    rows = files.read_jsonl(spark, scored, ROLLOUTS).select(*keys, "raw_reward", "advantage", place.alias("_place"))
+    numbered = ordering.with_position(rows, "_place", "seq_id").drop("_place")
+    numbered = written(numbered.withColumn("batch_id", rollouts.positional_group(F.col("seq_id"), batch_rollouts)), "rollout-order")
+    scalars = numbered.select(*keys, "seq_id", "batch_id", "raw_reward", "advantage")
+    tokens = files.read_parquet(spark, policy).join(scalars, keys)
+    before = files.read_parquet(spark, old).select(*keys, "pos", F.col("lp").alias("lp_old"))
+    aligned = tokens.join(before, [*keys, "pos"])
+    losses = masked.grpo_loss(aligned, loss_type, accumulation, cliprange)
+    sizes = aligned.groupBy("batch_id").agg(F.sum(F.col("mask").cast("bigint")).alias("tokens"))
+    files.write_jsonl(losses.join(sizes, "batch_id"), output, order_by="batch_id")
+    return files.read_jsonl(spark, output, LOSSES)
+
+
+def build_sft_batches(spark: SparkSession, token_lines: str, output: str, batch_size: int, pad_id: int, seed: int | None = None) -> None:
+    """Padded training batches from lines of token ids: inputs, labels and response masks, a line per example.
+
+    Examples are put in order or in a seeded shuffle, dealt out into batches and padded to the longest of their batch.
+    """
+    rows = files.read_jsonl(spark, token_lines, TOKEN_LINES)
+    batched = ordering.assign_batches(rows, "item_id", batch_size, seed)
+    shaped = sequences.shape_sequences(batched, "prompt_ids", "output_ids", pad_id, "batch_id", "item_id")
+    files.write_jsonl(shaped.select("batch_id", "slot", "item_id", "input_ids", "labels", "response_mask"), output)
+
+
+def log_generations(spark: SparkSession, generations: str, tokens: str, output: str) -> DataFrame:
+    """A line per generation with its rewards, length and entropy, and the averages over all of them.
+
+    ``generations`` are lines {item_id, prompt, answer, generated_text}; ``tokens`` is a Parquet table of their response
+    tokens (item_id, entropy, mask).
+    """
+    log = report.generation_log(files.read_jsonl(spark, generations, GENERATIONS), files.read_parquet(spark, tokens), "item_id")
+    files.write_jsonl(log.select(LOGS.names), output, order_by="item_id")
+    return report.generation_report(files.read_jsonl(spark, output, LOGS), F.col("metrics.reward"))
+
+
 def split_dataset(spark: SparkSession, parquet: str, key: str, train: str, validation: str, fraction: float = 0.6) -> None:
     """The first part of a table by key as training lines, the rest as validation lines."""
     labelled = ordering.split_positional(files.read_parquet(spark, parquet), key, fraction, "_split")

@@ -7,7 +7,7 @@ from rubrica.functions import grade, verdicts
 from rubrica.functions.extract import extract_answer, normalize_gap
 from rubrica.functions.normalize import latex_unsupported, normalize
 from rubrica.operators.repetition import REPETITIVE, with_shares
-from rubrica.operators.skew import lookup_join
+from rubrica.operators.skew import fits_broadcast, lookup_join
 
 _PARTS = {"r1_zero": grade.r1_zero_parts, "question_only": grade.question_only_parts}
 _ANSWER = {"r1_zero": grade.r1_zero_answer, "question_only": extract_answer}
@@ -66,18 +66,18 @@ def grade_completions(
 
     Truths are normalised on the prompt side of the join and answers are cut out of the completions before it, so a plan
     that needs only the metrics shuffles answers, not texts. Answers are normalised as far as cheap checks leave them
-    open. Where prompts have many completions each, ``salt_by`` names what tells them apart (the rollout number), and a
-    prompt with a large share of all completions is spread over tasks; without it the join is taken as one to one.
+    open. Prompts that do not fit a broadcast meet their completions by a join in which one with a large share of all
+    completions is spread over tasks by ``salt_by``, the rollout number or else the text of the completion.
     ``how="left"`` also keeps prompts without a completion, with empty text and zero metrics.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     prepared = prepare_prompts(prompts, truths)
     parsed = completions.withColumn(text, normalize_gap(F.col(text))).withColumn("_parts", _mode(mode, _PARTS)(F.col(text)))
-    if salt_by is None:
+    if fits_broadcast(prepared):
         joined = parsed.join(prepared, on, "right" if how == "left" else "inner")
     else:
-        joined = lookup_join(parsed, prepared, on, salt_by, how="inner", keys_from=completions)
+        joined = lookup_join(parsed, prepared, on, salt_by or text, how="inner", keys_from=completions)
         if how == "left":
             unserved = prepared.join(completions.select(on).distinct(), on, "left_anti")
             joined = joined.unionByName(unserved, allowMissingColumns=True)

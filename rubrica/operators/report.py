@@ -4,6 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rubrica import schemas
+from rubrica.functions.grade import RewardFn, r1_zero_reward
+from rubrica.operators import masked
+from rubrica.operators.grading import score
 
 METRICS = tuple(f.name for f in schemas.REWARD)
 
@@ -38,6 +41,20 @@ def generation_report(generations: DataFrame, reward: Column, by: tuple[str, ...
     )
 
 
+def generation_log(
+    generations: DataFrame, tokens: DataFrame, key: str, text: str = "generated_text", answer: str = "answer",
+    reward: RewardFn = r1_zero_reward,
+) -> DataFrame:
+    """One row per generation: its columns, ``metrics``, ``length`` and ``entropy`` (the mean over its unmasked tokens).
+
+    ``tokens`` has a row per response token (key, entropy, mask). They are summed per key before they meet the texts, so no
+    text travels with a token. A generation without tokens has length 0 and no entropy.
+    """
+    stats = masked.sequence_stats(tokens, F.col("entropy"), F.col("mask"), key)
+    scored = score(generations, text, reward, F.array(answer))
+    return scored.join(stats, key, "left").withColumn("length", F.coalesce("length", F.lit(0).cast("bigint")))
+
+
 def win_rate(judged: DataFrame, winner: str, model: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Share of parsed comparisons the model won, with the number parsed and the number of all."""
     return judged.groupBy(*by).agg(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+HOT_KEYS, HOT_TRACKED = 10_000, 100_000
 NULL_PARTS = 4096
 
 
@@ -22,6 +23,17 @@ def fits_broadcast(df: DataFrame) -> bool:
     return limit_bytes >= 0 and size <= limit_bytes
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """(_key_hash, _rows): keys with more than ``hot_rows`` rows, as hashes, from a sketch of the most frequent ones.
+
+    Each task keeps a bounded sketch and only sketches travel. At most ``HOT_KEYS`` keys come back, which bounds what is
+    broadcast; a key counts up to rows / ``HOT_TRACKED`` too many.
+    """
+    hashes = df.select(F.xxhash64(*keys).alias("_hash"))
+    top = hashes.agg(F.expr(f"approx_top_k(_hash, {HOT_KEYS}, {HOT_TRACKED})").alias("_top")).select(F.expr("inline(_top)"))
+    return top.where(F.col("count") > hot_rows).select(F.col("item").alias("_key_hash"), F.col("count").alias("_rows"))
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -37,9 +49,11 @@ def lookup_join(
     ``keys_from``; adaptive execution then splits a skewed partition of ``big``. ``keys_from`` names a cheap base table
     with the keys of ``big``, for keys too hot to be left to that: those with more than ``hot_rows`` rows in it are cut
     into parts by a hash of ``salt_by`` (stable columns, so a recomputed task sends its rows to the same part), and their
-    lookup row is copied once per part. ``big`` itself is read once. Hot keys travel as hashes, 12 bytes each and at most
-    rows / hot_rows of them, which bounds the table broadcast here; a key that shares a hot key's hash is cut up as well,
-    on both sides alike. Rows without a key match nothing and are spread too.
+    lookup row is copied once per part. ``big`` itself is read once. Rows without a key match nothing and are spread too.
+
+    Hot keys are found by a sketch of the most frequent hashes, built in the scan of ``keys_from`` without shuffling keys
+    (``hot_keys``). It may overstate a count, which only cuts a key into more parts, and a key that shares a hot key's hash
+    is cut up as well, on both sides alike; results never depend on it.
     """
     keys = [on] if isinstance(on, str) else list(on)
     salts = [salt_by] if isinstance(salt_by, str) else list(salt_by)
@@ -48,13 +62,7 @@ def lookup_join(
     if keys_from is None or fits_broadcast(small):
         return big.join(small, keys, how)
     key_hash = F.xxhash64(*keys).alias("_key_hash")
-    hot = (
-        keys_from.select(key_hash)
-        .groupBy("_key_hash")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select("_key_hash", F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salt_parts"))
-    )
+    hot = hot_keys(keys_from, keys, hot_rows).select("_key_hash", F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salt_parts"))
     parts = F.coalesce(F.col("_salt_parts"), F.lit(1))
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     choices = F.when(no_key, F.lit(NULL_PARTS)).otherwise(parts)

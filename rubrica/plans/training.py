@@ -1,14 +1,19 @@
 """Rollouts, losses, gradients, sequences and order over the driver tables."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rubrica.functions import grade, losses, numerics
 from rubrica.functions.prompts import chat_text, message, safety_judge_messages
-from rubrica.operators import masked, ordering, rollouts, sequences
+from rubrica.operators import masked, ordering, report, rollouts, sequences
+from rubrica.operators.scratch import scratch_path
 from rubrica.operators.skew import spread
-from rubrica.plans.derive import sql_render, sql_text
+from rubrica.plans.derive import completions, sql_render, sql_text
+from rubrica.plans.grading import sql_r1_zero
 from rubrica.plans.registry import query, table
+from rubrica.sources import tables
 from rubrica import templates
 
 CLIP = 0.02
@@ -102,6 +107,20 @@ def sequence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("seq_id", "length", _r6("entropy"))
 
 
+@query(
+    "generation_log",
+    f"SELECT doc_id AS item_id, reward, coalesce(length, 0) AS length, round(entropy, 6) AS entropy FROM ({sql_r1_zero('doc_id')}) LEFT JOIN ("
+    "SELECT seq_id AS doc_id, sum(mask::INT)::BIGINT AS length, sum(value * mask::INT) / sum(mask::INT) AS entropy "
+    f"FROM ({TOKENS_SQL}) GROUP BY seq_id) USING (doc_id)",
+)
+def generation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per generation: its reward, the number of its tokens and their mean entropy."""
+    texts = completions(spark, sf_dir).select(F.col("doc_id").alias("item_id"), "generated_text", F.col("truth").alias("answer"))
+    tokens = _tokens(spark, sf_dir).withColumnsRenamed({"seq_id": "item_id", "value": "entropy"})
+    log = report.generation_log(texts, tokens, "item_id")
+    return log.select("item_id", "metrics.reward", "length", _r6("entropy"))
+
+
 @query(
     "sft_loss",
     f"SELECT batch_id, round(-sum(lp * mask::INT) / 42.0 / count(DISTINCT seq_id) / {STEPS}, 6) AS loss "
@@ -217,6 +236,22 @@ def grpo_clip_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("seq_id", (F.round("loss", 6) + 0.0).alias("loss"))
 
 
+def _bucketed(df: DataFrame, name: str, buckets: int = 8) -> DataFrame:
+    unique = f"{name}_{uuid.uuid4().hex}"
+    return tables.write_token_table(df, unique, scratch_path(df.sparkSession, unique), buckets)
+
+
+@query(
+    "align_bucketed",
+    f"SELECT seq_id, pos, round({RATIO_SQL}, 6) AS ratio FROM ({TOKENS_SQL})",
+)
+def align_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy and old log-probabilities as bucketed tables, aligned without an exchange."""
+    policy, old = _bucketed(_tokens(spark, sf_dir), "policy_tokens"), _bucketed(_old_tokens(spark, sf_dir), "old_tokens")
+    aligned = rollouts.align_log_probs(policy, old)
+    return aligned.select("seq_id", "pos", F.round(F.exp(F.col("lp") - F.col("lp_old")), 6).alias("ratio"))
+
+
 @query(
     "grpo_loss",
     f"SELECT batch_id, round(sum({CLIP_LOSS_SQL} * mask::INT) / sum(mask::INT) / {STEPS}, 6) AS loss "

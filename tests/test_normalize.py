@@ -109,3 +109,16 @@ def test_deep_nesting_takes_one_pass(column):
     began = time.time()
     assert column(N.normalize_plain, [deep]) == ["1" + "/2" * 2000]
     assert time.time() - began < 5
+
+
+def test_integers_of_any_size(column):
+    import random
+
+    draw = random.Random(3)
+    numbers = [f"{draw.randrange(1, 10)}{draw.choice(['', '.5'])}e{draw.randrange(0, 309)}" for _ in range(60)]
+    numbers += [str(draw.randrange(10**n)) for n in (16, 19, 20, 25, 38, 39, 40, 77, 150, 308)] + ["1e400", "-1e23", "1e22", str(2**63), str(2**55 - 1), str(2**1000)]
+    want = []
+    for n in numbers:
+        value = float(n)
+        want.append(n if value == float("inf") or abs(value - round(value)) > 1e-7 else str(int(value)))
+    assert column(N.normalize_plain, numbers) == want
