@@ -69,23 +69,36 @@ _MCQ_SQL = """
 """
 
 
+MCQ_SQL = " UNION ALL ".join(
+    _MCQ_SQL.format(name=name, split=part, key=key) for name, part, key in (("benchmark", "dev", "item_id"), ("documents", "test", "doc_id"))
+)
+
+
 @query(
     "scan_mcq_csv",
-    _MCQ_SQL.format(name="benchmark", split="dev", key="item_id")
-    + " UNION ALL "
-    + _MCQ_SQL.format(name="documents", split="test", key="doc_id"),
+    MCQ_SQL,
 )
 def scan_mcq_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mcq(spark, sf_dir, split=False)
+
+
+@query("scan_mcq_csv_split", MCQ_SQL)
+def scan_mcq_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files by byte ranges, records put together from lines by the parity of their quotes."""
+    return _mcq(spark, sf_dir, split=True)
+
+
+def _mcq(spark: SparkSession, sf_dir: str, split: bool) -> DataFrame:
     folder = scratch_path(spark, "mcq")
-    for name, split, key in (("benchmark", "dev", "item_id"), ("documents", "test", "doc_id")):
+    for name, part, key in (("benchmark", "dev", "item_id"), ("documents", "test", "doc_id")):
         letter = F.substring(F.lit("ABCD"), (F.col(key) % 4 + 1).cast("int"), F.lit(1))
         rows = table(spark, sf_dir, name).select(
             F.concat("text", F.lit('\nPick "one".')).alias("question"), F.lit("a,1").alias("a"),
             F.col(key).cast("string").alias("b"), F.lit('"c"').alias("c"), F.lit("d").alias("d"),
             F.concat(letter, F.when(F.col(key) % 2 == 0, "\r").otherwise("")).alias("answer"),
         )
-        _write_csv(rows, f"{folder}/{name}_{split}.csv", header=False)
-    return files.read_mcq_csv(spark, f"{folder}/*.csv").withColumn("options", F.array_join("options", ";"))
+        _write_csv(rows, f"{folder}/{name}_{part}.csv", header=False)
+    return files.read_mcq_csv(spark, f"{folder}/*.csv", split).withColumn("options", F.array_join("options", ";"))
 
 
 @query(

@@ -161,3 +161,38 @@ def test_stream_scores_like_the_batch(spark, tmp_path):
 def test_reward_struct_has_the_fixed_schema(spark):
     df = spark.range(1).select(grade.zero_reward().alias("m"))
     assert [f.name for f in df.schema["m"].dataType] == [f.name for f in schemas.REWARD]
+
+
+def test_large_csv_by_ranges_equals_the_whole_file(spark, tmp_path):
+    import csv
+    import random
+
+    from rubrica import schemas
+    from rubrica.sources import files
+
+    draw = random.Random(5)
+    text = lambda: "".join(draw.choice(['a', 'é', ',', '"', '\n', ' ', '""', '\n\n', 'word']) for _ in range(draw.randrange(40)))
+    rows = [[f"{i}{text()}", text() + ".", "b", "c" + text(), "d", "ABCD"[i % 4]] for i in range(400)]
+    path = tmp_path / "history_test.csv"
+    with path.open("w", newline="", encoding="utf-8") as f:
+        csv.writer(f, lineterminator="\n").writerows(rows)
+    limits = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        whole = files.read_mcq_csv(spark, str(path)).collect()
+        ranged = files.read_mcq_csv(spark, str(path), split=True)
+        assert files.csv_records(spark, str(path)).select("record").count() == 400
+        assert sorted(map(str, ranged.collect())) == sorted(map(str, whole)) and len(whole) == 400
+        assert {r.question: r.answer for r in ranged.collect()} == {r[0]: r[5] for r in rows}
+        with (tmp_path / "safety.csv").open("w", newline="", encoding="utf-8") as f:
+            f.write("\r\n" + ",".join(schemas.SAFETY_PROMPTS.names) + "\r\n")
+            csv.writer(f).writerows([[str(i), "area", text() + "x", "c", text() + "y"] for i in range(200)])
+        got = files.read_safety_csv(spark, str(tmp_path / "safety.csv"), split=True)
+        assert got.columns == schemas.SAFETY_PROMPTS.names and {r.id for r in got.collect()} == {str(i) for i in range(200)}
+        with pytest.raises(Exception, match="header differs"):
+            files.read_split_csv(spark, str(path), schemas.MCQ_FILE, header=True).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
