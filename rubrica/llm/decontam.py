@@ -28,6 +28,7 @@ class Item:
     budget: int
     masks: dict[str, int]
     reversed_masks: dict[str, int]
+    whole_words: bool = False
 
 
 def masks_of(pattern: str) -> dict[str, int]:
@@ -72,8 +73,9 @@ def make_items(rows: list[tuple[int, str | None]], rate: float, min_chars: int)
     items = []
     for item_id, raw in rows:
         text = normal(raw)
-        if item_id is not None and len(text) >= max(1, min_chars):
-            items.append(Item(item_id, text, int(rate * len(text)), masks_of(text), masks_of(text[::-1])))
+        short = len(text) < min_chars
+        if item_id is not None and text:
+            items.append(Item(item_id, text, 0 if short else int(rate * len(text)), masks_of(text), masks_of(text[::-1]), short))
     return items
 
 
@@ -89,6 +91,12 @@ def make_automaton(items: list[Item]):
     return automaton
 
 
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """No letter or digit goes on over either border of a place that has one there itself."""
+    joined = lambda a, b: text[a].isalnum() and text[b].isalnum()
+    return not (start > 0 and joined(start - 1, start)) and not (end < len(text) and joined(end - 1, end))
+
+
 def leaks_in(raw: str | None, items: list[Item], automaton) -> list[dict]:
     """The best match of each item in one whole text, in order of item.
 
@@ -104,6 +112,11 @@ def leaks_in(raw: str | None, items: list[Item], automaton) -> list[dict]:
     for n, starts in places.items():
         item = items[n]
         size, budget = len(item.text), item.budget
+        if item.whole_words:
+            at = next((s for s in sorted(starts) if stands_alone(text, s, s + size)), None)
+            if at is not None:
+                found.append({"item_id": item.item_id, "distance": 0, "start": at, "end": at + size})
+            continue
         best = (budget + 1, 0, 0)
         windows: list[list[int]] = []
         for at in sorted(starts):
@@ -138,7 +151,7 @@ def leaks(text: Column, rows: list[tuple[int, str | None]], rate: float, min_cha
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str | None]]]:
     """The stated query set in blocks of at most about ``block_chars`` characters, so that a task's automaton is bounded
-    however large the benchmark is. One block is on the driver at a time."""
+    however large the benchmark is. Every block ends up in the plan, as one pass over the texts."""
     items = benchmark.where("text is not null").select("item_id", "text")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = total // block_chars + 1
@@ -151,8 +164,9 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str, rate: float =
     """The rows with one more column: the matches (item, distance, start, end) of their whole text.
 
     Texts and items are compared in lower case with white space runs as one blank; offsets are code points of that form,
-    the end exclusive. An item of ``n`` characters has a budget of ``floor(rate * n)`` edits; items shorter than
-    ``min_chars`` are not searched, since they occur by chance. Repeated items with one id each count as matches. Null
+    the end exclusive. An item of ``n`` characters has a budget of ``floor(rate * n)`` edits; one shorter than
+    ``min_chars`` is only found letter by letter, between word borders. Items without text match nothing. Very long texts
+    are searched whole. Repeated items with one id each count as matches. Null
     texts, empty texts and an empty benchmark give empty arrays. Row-local: no text is shuffled.
     """
     text = F.col("text")

@@ -2,6 +2,7 @@
 
 import re
 import sys
+import unicodedata
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -11,14 +12,16 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rubrica.llm.common import held_out
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-WORD = re.compile(r"[^\W\d_]+")
+# Numbers that are neither digits nor letters (fractions, powers, Roman numerals) count as word characters to ``re``.
+NUMERALS = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl"))
+WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
 CACHE = 200_000
 GROUP_CHARS = 4_000_000
 BARRED = -30.0
@@ -54,11 +57,11 @@ def grams_of(word: str) -> list[str]:
     return [marked[i : i + 3] for i in range(len(marked) - 2)]
 
 
-def fit(docs: DataFrame, per_language: int = 2500, grams: int = 60_000) -> Model:
+def fit(docs: DataFrame, per_language: int = 2500, grams: int = 15_000) -> Model:
     """Trigram and script counts by language from documents outside the held-out fifth that have a language.
 
-    About ``per_language`` documents of each language are taken by a hash of the id, whole; the bound is a parameter. The
-    ``grams`` most frequent (language, trigram) counts reach the driver.
+    About ``per_language`` documents of each language are taken by a hash of the id, whole; the bound is a parameter. Of each
+    language the ``grams`` most frequent trigrams and all scripts reach the driver.
     """
     known = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
@@ -85,7 +88,8 @@ def fit(docs: DataFrame, per_language: int = 2500, grams: int = 60_000) -> Model
 
     counts = sample.mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     table: dict[str, np.ndarray] = {}
-    for r in counts.orderBy(F.desc("n"), "lang", "gram").limit(grams).collect():
+    order = Window.partitionBy("lang", F.startswith("gram", F.lit("script "))).orderBy(F.desc("n"), "gram")
+    for r in counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= grams).collect():
         table.setdefault(r.gram, np.zeros(len(languages)))[languages.index(r.lang)] = r.n
     scripts = {g.removeprefix("script "): n for g, n in table.items() if g.startswith("script ")}
     plain = {g: n for g, n in table.items() if not g.startswith("script ")}
@@ -139,14 +143,15 @@ def best_paths(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pena
 
     Equal paths go to the language that is first by name.
     """
+    states = np.min_scalar_type(max(1, scores.shape[1]))
     if not scores.size:
-        return np.zeros(len(scores), np.uint8)
+        return np.zeros(len(scores), states)
     order = np.argsort(-lengths, kind="stable")
     starts, falling = starts[order], -lengths[order]
     width = scores.shape[1]
-    own = np.arange(width, dtype=np.uint8)
+    own = np.arange(width, dtype=states)
     best = np.zeros((len(starts), width))
-    back = np.zeros((len(scores), width), np.uint8)
+    back = np.zeros((len(scores), width), states)
     steps = int(-falling[0]) if len(falling) else 0
     active = np.searchsorted(falling, -np.arange(steps), side="left")
     for t in range(steps):
@@ -156,11 +161,11 @@ def best_paths(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pena
         if t:
             switch = held.max(1, keepdims=True) - penalty
             stay = held >= switch
-            back[rows] = np.where(stay, own, held.argmax(1).astype(np.uint8)[:, None])
+            back[rows] = np.where(stay, own, held.argmax(1).astype(states)[:, None])
             held = np.where(stay, held, switch)
         best[:n] = held + scores[rows]
-    path = np.zeros(len(scores), np.uint8)
-    state = best.argmax(1).astype(np.uint8)
+    path = np.zeros(len(scores), states)
+    state = best.argmax(1).astype(states)
     for t in range(steps - 1, -1, -1):
         n = active[t]
         rows = starts[:n] + t
@@ -245,7 +250,8 @@ def label(text: Column, model: Model, penalty: float = 8.0) -> Column:
 def identify(docs: DataFrame, **settings) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, spans) for every row, row-local after a bounded training sample.
 
-    Repeated rows repeat; a null id is not held out; an empty table gives no rows. Other columns are not read, and
+    Null and empty texts are ``und``; very long ones are read whole. Repeated rows repeat; a null id is not held out; an
+    empty table gives no rows. Other columns are not read, and
     ``lang`` only to learn.
     """
     model = fit(docs, **settings)

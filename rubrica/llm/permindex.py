@@ -3,6 +3,7 @@
 import math
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -138,20 +139,27 @@ def neighbours(
     large task. In each part the ``share`` of rows best by footrule (64 at least) is measured exactly. A query that finds fewer than ``k`` rows this way
     is measured against all rows, in the same blocks.
 
-    Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those whose length is
-    not the most common one, nor rows with a null id. Rows that repeat an id and vector count once; of different vectors
-    under one id each is a row. An empty table gives no rows. Other columns are not read.
+    Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows with a null id.
+    Vectors of different lengths have no distance: each length is searched by itself. Rows that repeat an id and vector
+    count once; of different vectors under one id the nearest counts, from the nearest query vector of an id. An empty table gives no rows. Other columns are not read.
     """
     vector = F.col(vector_col)
     if not str(embeddings.schema[vector_col].dataType.simpleString()) == "array<float>":
         vector = vector.cast("array<double>")
     clean = embeddings.select(F.col(id_col).cast("long").alias("id"), vector.alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector")))
     clean = written(clean.distinct(), "ann-vectors")
-    lengths = clean.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not lengths:
+    sizes = clean.groupBy(F.size("vector").alias("d")).count().orderBy("d").collect()
+    found = [nearest_of_size(clean.where(F.size("vector") == r.d), r["count"], every, k, probes, share) for r in sizes if r["count"] > 1]
+    if not found:
         return clean.selectExpr("id as query_id", "1 as rank", "id as vec_id", "0D as score").limit(0)
-    clean = clean.where(F.size("vector") == lengths[0].d)
-    pivots = choose_pivots(clean, lengths[0]["count"])
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def nearest_of_size(clean: DataFrame, rows: int, every: int, k: int, probes: float, share: float) -> DataFrame:
+    """(query_id, vec_id, score) of the vectors of one length."""
+    pivots = choose_pivots(clean, rows)
     prefix = min(PREFIX, len(pivots))
     index = written(nearest_pivots(clean, pivots, prefix), "ann-index")
     queries = index.where(F.pmod("id", F.lit(every)) == 0)
@@ -159,12 +167,11 @@ def neighbours(
     posted = index.select(at(POSTED), "id", "places", "vector")
     named = [F.col(c).alias(f"query_{c}") for c in ("id", "places", "vector")]
     asked = queries.select(at(math.ceil(probes * len(pivots))), *named)
-    found = search(*blocks(posted, asked), len(pivots), share, k).dropDuplicates(["query_id", "vec_id"])
-    found = written(found, "ann-found")
+    once = lambda df: df.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    found = written(once(search(*blocks(posted, asked), len(pivots), share, k)), "ann-found")
     enough = found.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
     few = queries.select(F.lit(0).alias("place"), *named).join(enough, "query_id", "left_anti")
     if few.limit(1).count():
         rest = search(*blocks(index.withColumn("place", F.lit(0)), few), len(pivots), 1.0, k)
-        found = found.union(rest).dropDuplicates(["query_id", "vec_id"])
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found = once(found.union(rest))
+    return found

@@ -46,13 +46,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def free_tokens(text: str, taken: list[tuple[int, int, int]], least: int) -> Iterator[tuple[int, int]]:
-    """Runs of the alphabet of at least ``least`` characters that no span in ``taken``, in order, touches."""
+    """What the spans in ``taken``, in order, leave of the runs of the alphabet, if at least ``least`` characters."""
     starts = [s for s, _, _ in taken]
     reach = list(accumulate((e for _, _, e in taken), max))
     for m in TOKEN.finditer(text):
-        before = bisect_left(starts, m.end())
-        if m.end() - m.start() >= least and not (before and reach[before - 1] > m.start()):
-            yield m.start(), m.end()
+        first = bisect_left(reach, m.start() + 1)
+        at = m.start()
+        for n in range(first, bisect_left(starts, m.end())):
+            if starts[n] - at >= least:
+                yield at, starts[n]
+            at = max(at, reach[n])
+        if m.end() - at >= least:
+            yield at, m.end()
 
 
 def transitions(token: str) -> tuple[np.ndarray, np.ndarray]:

@@ -42,6 +42,11 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def node_of(host: Column) -> Column:
+    """The name of a host in the link graph, for pages and link targets alike: without user and port."""
+    return F.regexp_replace(F.regexp_replace(F.translate(host, UPPER, UPPER.lower()), "^.*@", ""), ":[0-9]*$", "")
+
+
 def rule_for(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     """Struct (rule, verdict) of the longest rule that fits, null if none; of equal names the first."""
     choice = F.lit(None).cast("struct<rule:string,verdict:string>")
@@ -54,9 +59,8 @@ def rule_for(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
 def host_links(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """(src, dst, pages): how many pages of a host link to another host. Links inside a host carry nothing."""
     target = F.explode(F.array_distinct(F.regexp_extract_all(F.col(html_col), F.lit(LINK), 1)))
-    named = pages.select(F.col("host").alias("src"), target.alias("raw")).where("src <> ''")
-    bare = F.regexp_replace(F.regexp_replace(F.col("raw"), "^[^@]*@", ""), ":[0-9]*$", "")
-    links = named.select("src", F.translate(bare, UPPER, UPPER.lower()).alias("dst")).where("dst <> '' and dst <> src")
+    named = pages.select(F.col("node").alias("src"), target.alias("raw")).where("src <> ''")
+    links = named.select("src", node_of(F.col("raw")).alias("dst")).where("dst <> '' and dst <> src")
     return links.groupBy("src", "dst").agg(F.count("*").alias("pages"))
 
 
@@ -64,7 +68,7 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
     """(host, trust, distrust) of every host that either kind of mass reaches.
 
     Personalised PageRank with restart at the seeds (``kind`` trust along the links, ``kind`` distrust against them), both
-    in one walk: a step is a join of the mass with the outgoing shares and a sum with map-side partials. Each round is
+    in one walk. The seeds of a kind share a mass of 1, so that a kind does not weigh more by having more seeds: a step is a join of the mass with the outgoing shares and a sum with map-side partials. Each round is
     written to the shared folder; the walk ends when no host is new and the mass moved is at most ``tolerance`` of the
     seeds' mass. Each round moves at most ``damping`` of what the last one moved, and no mass reaches a host later than
     the longest of all shortest link paths from the seeds. Mass of a host without links is not carried on.
@@ -75,10 +79,11 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
     out = ways.groupBy("kind", "host").agg(F.sum("pages").alias("total"))
     ways = ways.join(out, ["kind", "host"]).selectExpr("kind", "host", "to", "pages / total as share")
     ways = written(ways, "url-links")
-    restart = seeds.select("kind", "host", F.lit(1.0).alias("mass"))
+    counts = seeds.groupBy("kind").agg(F.count("*").alias("seeds"))
+    restart = written(seeds.join(counts, "kind").selectExpr("kind", "host", "1D / seeds as mass"), "url-restart")
     mass = restart
     if ways.limit(1).count():
-        total = seeds.count()
+        total = 1.0
         reached = 0
         while True:
             moved = mass.join(ways, ["kind", "host"]).select(
@@ -107,14 +112,14 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, spam_share: float =
     null html has no links. Other columns are not read.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
-    placed = pages.select("page_id", "url", "html").withColumns({"host": host, "path": path})
+    placed = pages.select("page_id", "url", "html").withColumns({"host": host, "path": path, "node": node_of(host)})
     ruled = placed.withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
     share = lambda verdict: F.avg(F.when(F.col("found.verdict") == verdict, 1.0).otherwise(0.0)).alias(verdict)
-    hosts = ruled.where("host <> ''").groupBy("host").agg(share("allow"), share("block"))
+    hosts = ruled.where("node <> ''").groupBy(F.col("node").alias("host")).agg(share("allow"), share("block"))
     kind = F.when(F.col("allow") > 0.5, "trust").when(F.col("block") > 0.5, "distrust")
     seeds = written(hosts.select("host", kind.alias("kind")).where("kind is not null"), "url-seeds")
     mass = propagate(host_links(placed), seeds)
-    joined = ruled.select("page_id", "host", "path", "found").join(mass, "host", "left")
+    joined = ruled.select("page_id", "host", "path", "found", "node").join(mass.withColumnRenamed("host", "node"), "node", "left")
     none = F.lit(0.0)
     trust, distrust = F.coalesce("trust", none), F.coalesce("distrust", none)
     carried = F.when(distrust > F.lit(spam_share) * (trust + distrust), "block").otherwise("allow")

@@ -178,6 +178,50 @@ def test_distrust_and_trust_travel(spark):
     assert got[4].trust == pytest.approx(0.85 * 0.15) and got[5].distrust == pytest.approx(0.85**2 * 0.15)
 
 
+def test_walk_against_plain_power_iteration(spark):
+    draw = random.Random(9)
+    hosts = [f"h{i}" for i in range(14)]
+    edges = sorted({(draw.choice(hosts), draw.choice(hosts)) for _ in range(40)})
+    edges = [(a, b, draw.randrange(1, 4)) for a, b in edges if a != b]
+    seeds = {"trust": ["h0", "h1", "h2"], "distrust": ["h3"]}
+    want = {}
+    for kind, names in seeds.items():
+        out = defaultdict(dict)
+        for a, b, n in edges:
+            src, dst = (a, b) if kind == "trust" else (b, a)
+            out[src][dst] = out[src].get(dst, 0) + n
+        restart = {h: 1 / len(names) if h in names else 0.0 for h in hosts}
+        mass = dict(restart)
+        for _ in range(400):
+            new = {h: 0.15 * restart[h] for h in hosts}
+            for src, to in out.items():
+                for dst, n in to.items():
+                    new[dst] += 0.85 * mass[src] * n / sum(to.values())
+            mass = new
+        want[kind] = mass
+    rows = [(k, h) for k, names in seeds.items() for h in names]
+    found = urlgraph.propagate(
+        spark.createDataFrame(edges, "src string, dst string, pages long"), spark.createDataFrame(rows, "kind string, host string"), tolerance=1e-9
+    )
+    got = {r.host: (r.trust, r.distrust) for r in found.collect()}
+    for h in hosts:
+        assert got.get(h, (0.0, 0.0)) == pytest.approx((want["trust"][h], want["distrust"][h]), abs=1e-7)
+
+
+def test_ports_and_users_name_one_host(spark):
+    rows = [(1, "http://bad.net/es/", ""), (2, "http://me@farm.org:8080/", "<a href='http://bad.net/x'>"), (3, "http://far.org/", "<a href=//farm.org:8080/>")]
+    found = urlgraph.judge(spark.createDataFrame([*rows, rows[2]], "page_id long, url string, html string")).collect()
+    assert {(r.page_id, r.host, r.verdict) for r in found} == {(1, "bad.net", "block"), (2, "me@farm.org:8080", "block"), (3, "far.org", "block")}
+    assert len(found) == 4
+
+
+def test_seeds_of_a_kind_share_their_mass(spark):
+    link = lambda *hosts: " ".join(f"<a href='http://{h}/p'>" for h in hosts)
+    rows = [(1, "http://a.com/", link("x.org")), (2, "http://b.com/", ""), (3, "http://c.com/", ""), (4, "http://bad.net/es/", ""), (5, "http://x.org/", link("bad.net"))]
+    got = {r.page_id: r for r in urlgraph.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5].verdict == "block" and got[5].distrust > got[5].trust > 0
+
+
 def test_distrust_travels_as_far_as_links_go(spark):
     links = spark.createDataFrame([(f"h{i + 1}", f"h{i}", 1) for i in range(23)], "src string, dst string, pages long")
     seeds = spark.createDataFrame([("distrust", "h0")], "kind string, host string")
@@ -205,6 +249,23 @@ def test_neighbours_odd(spark):
     assert permindex.neighbours(docs.limit(0)).count() == 0
 
 
+def test_each_length_of_vectors_is_searched(spark):
+    rows = [(i, [float(i), 1.0, 2.0]) for i in range(0, 600, 50)] + [(i, [float(i), 1.0]) for i in range(25, 1000, 75)] + [(7, [1.0] * 5)]
+    rows += [(100, [3.0, 1.0, 2.0]), (150, [3.5, 1.0, 2.0])]
+    got = defaultdict(list)
+    for r in permindex.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got[r.query_id].append((r.score, r.vec_id))
+    for q in {i for i, _ in rows if i % 100 == 0}:
+        near = {}
+        for i, v in rows:
+            gaps = [np.linalg.norm(np.subtract(v, w)) for j, w in rows if j == q and len(w) == len(v)]
+            if i != q and gaps:
+                near[i] = min(gaps)
+        want = sorted((d, i) for i, d in near.items())[:10]
+        assert [i for _, i in sorted(got[q])] == [i for _, i in want]
+        assert [d for d, _ in sorted(got[q])] == pytest.approx([float(d) for d, _ in want])
+
+
 def test_footrule():
     draw = np.random.default_rng(0)
     order = np.argsort(draw.random((6, 12)), axis=1)[:, :5].astype(np.int16)

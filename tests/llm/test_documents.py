@@ -280,3 +280,36 @@ def test_items_in_blocks_match_as_one(spark, monkeypatch):
     assert sorted(decontam.contaminated(docs, benchmark).collect()) == whole and whole
 
 
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    benchmark = spark.createDataFrame([(1, "Ten chars!"), (2, "cat"), (3, " "), (4, "")], "item_id long, text string")
+    texts = ["say ten  CHARS! now", "concatenate", "a cat, sat", "catcat cat", "often chars!", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance, r.start, r.end) for r in decontam.contaminated(docs, benchmark).collect())
+    assert got == [(0, 1, 0, 4, 14), (2, 2, 0, 2, 5), (3, 2, 0, 7, 10)]
+
+
+def test_what_a_base_span_leaves_of_a_run_is_free():
+    text = "x AKIA" + "Q" * 16 + "/" + "k" * 40 + " end"
+    spans = secrets.base_spans(text)
+    assert [text[a:b] for a, b in secrets.free_tokens(text, spans, 8)] == ["/" + "k" * 40]
+    text = "abcdefgh-" + "0" * 30 + "+ijklmnop"
+    assert [text[a:b] for a, b in secrets.free_tokens(text, secrets.base_spans(text), 8)] == ["abcdefgh-", "+ijklmnop"]
+    assert list(secrets.free_tokens("plain-token here", [], 8)) == [(0, 11)]
+
+
+def test_a_rare_language_keeps_its_grams_and_numerals_are_no_letters(spark):
+    docs = [(i, f"common words of the usual kind number w{'abcdefghij'[i % 10]}{'klmnop'[i % 6]} and more of them", "en") for i in range(400)]
+    docs += [(1000 + i, "редкие слова другого языка", "ru") for i in range(6)]
+    docs += [(2000, "редкие слова", None), (2001, "½ ² ³ Ⅷ", None), (2002, "the usual words", None)]
+    found = langid.identify(spark.createDataFrame(docs, "doc_id long, text string, lang string"), grams=40)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in found.collect()}
+    assert got[2000][0] == "ru" and got[2001] == ("und", 0.0) and got[2002][0] == "en"
+
+
+def test_more_languages_than_a_byte_counts():
+    draw = np.random.default_rng(2)
+    scores = draw.normal(size=(6, 300))
+    scores[:, 299] += 50
+    assert langid.best_paths(scores, np.array([0]), np.array([6]), 8.0).tolist() == [299] * 6
