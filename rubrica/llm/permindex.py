@@ -82,6 +82,7 @@ def search_part(queries: pd.DataFrame, rows: pd.DataFrame, pivots: int, share: f
         rows = rows.sort_values("id", kind="stable")
         ids = rows["id"].to_numpy()
         vectors = np.stack(rows["vector"].to_numpy()).astype(np.float64)
+        repeated = len(np.unique(ids)) < len(ids)
         candidates = max(LEAST_CANDIDATES, math.ceil(share * len(rows)))
         ranked = footrule(np.stack(queries["places"].to_numpy()), np.stack(rows["places"].to_numpy()), pivots)
         for query_id, query, gap in zip(queries["id"], queries["vector"], ranked, strict=True):
@@ -89,7 +90,10 @@ def search_part(queries: pd.DataFrame, rows: pd.DataFrame, pivots: int, share: f
             if len(near) > candidates:
                 near = near[np.argsort(gap[near], kind="stable")[:candidates]]
             exact = np.sqrt(((vectors[near] - query.astype(np.float64)) ** 2).sum(1))
-            best = np.lexsort((ids[near], exact))[:k]
+            best = np.lexsort((ids[near], exact))
+            if repeated:  # the nearest vector of each id
+                best = best[np.sort(np.unique(ids[near[best]], return_index=True)[1])]
+            best = best[:k]
             out += zip([query_id] * len(best), ids[near[best]].tolist(), exact[best].tolist(), strict=True)
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
@@ -152,11 +156,16 @@ def neighbours(
     found = [nearest_of_size(clean.where(F.size("vector") == r.d), r["count"], every, k, probes, share) for r in sizes if r["count"] > 1]
     if not found:
         return clean.selectExpr("id as query_id", "1 as rank", "id as vec_id", "0D as score").limit(0)
+    every_length = found[0] if len(found) == 1 else nearest_once(reduce(DataFrame.union, found))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(order))
+    ranked = every_length.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def nearest_once(found: DataFrame) -> DataFrame:
+    return found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+
+
 def nearest_of_size(clean: DataFrame, rows: int, every: int, k: int, probes: float, share: float) -> DataFrame:
     """(query_id, vec_id, score) of the vectors of one length."""
     pivots = choose_pivots(clean, rows)
@@ -167,11 +176,10 @@ def nearest_of_size(clean: DataFrame, rows: int, every: int, k: int, probes: flo
     posted = index.select(at(POSTED), "id", "places", "vector")
     named = [F.col(c).alias(f"query_{c}") for c in ("id", "places", "vector")]
     asked = queries.select(at(math.ceil(probes * len(pivots))), *named)
-    once = lambda df: df.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    found = written(once(search(*blocks(posted, asked), len(pivots), share, k)), "ann-found")
+    found = written(nearest_once(search(*blocks(posted, asked), len(pivots), share, k)), "ann-found")
     enough = found.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
     few = queries.select(F.lit(0).alias("place"), *named).join(enough, "query_id", "left_anti")
     if few.limit(1).count():
         rest = search(*blocks(index.withColumn("place", F.lit(0)), few), len(pivots), 1.0, k)
-        found = once(found.union(rest))
+        found = nearest_once(found.union(rest))
     return found
