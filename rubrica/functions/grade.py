@@ -69,11 +69,12 @@ def _difference(truth: str, given: str) -> str:
 def _element_equal(truth: str, given: str) -> str:
     """Equality of two tuple elements.
 
-    Fractions must be spelled alike and an integer only equals an integer. Of what is left, identical texts match and so
+    Fractions and plainly written integers must be spelled alike and an integer only equals an integer. Of what is left, identical texts match and so
     do expressions of equal value (``functions.algebra``); one that is not understood does not (see ``needs_algebra``).
     """
+    numbers = matches(f"concat({truth}, ' ', {given})", r"\A-?[1-9][0-9]*+ -?[1-9][0-9]*+\z")
     return (
-        f"CASE WHEN {_is_fraction(truth)} AND {_is_fraction(given)} THEN {truth} = {given} "
+        f"CASE WHEN {numbers} OR {_is_fraction(truth)} AND {_is_fraction(given)} THEN {truth} = {given} "
         f"WHEN {_integerness_differs(truth, given)} THEN false "
         f"WHEN {let_text(_difference(truth, given), _may_evaluate)} "
         f"THEN {truth} = {given} OR coalesce({same_value(truth, given)}, false) ELSE false END"

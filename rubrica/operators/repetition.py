@@ -4,6 +4,7 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -62,6 +63,16 @@ def _duplicate_share(text: str) -> float:
     return float(2 * int(shared.sum()) / (n * (n + 1)))
 
 
+def _share(text: Column) -> Column:
+    """The share of one column by itself; only its texts go to Arrow. Its argument must be free of lambdas, which Spark may
+    copy into expressions that no longer count as the same (see ``with_shares``)."""
+
+    def batch(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else _duplicate_share(t)).astype("float64")
+
+    return F.pandas_udf(batch, T.DoubleType())(text)
+
+
 def with_shares(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
     """Add the share of repeated substrings of each text under its name; NULL for a null text.
 
@@ -190,8 +201,8 @@ def flag_repetition(df: DataFrame, text: str, longer_than: int = 0, rows_over: i
     is_long = F.coalesce((size > longer_than) & (size > rows_over), F.lit(False))
     some_long = df.where(is_long).limit(1).count() > 0
     short = df.where(~is_long) if some_long else df
-    short = with_shares(short, {"repetition": F.when(F.length(text) > longer_than, F.col(text))})
-    short = short.withColumn("repetition", F.coalesce(F.nanvl("repetition", F.lit(0.0)), F.lit(0.0)))
+    share = _share(F.when(F.length(text) > longer_than, F.col(text)))
+    short = short.withColumn("repetition", F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0)))
     if some_long:
         keyed = df.where(is_long).withColumn("_long_key", F.sha2(F.col(text), 256))
         once = keyed.select(F.col("_long_key").alias("key"), F.col(text).alias("text")).dropDuplicates(["key"])
