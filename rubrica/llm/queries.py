@@ -34,7 +34,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "pages"))
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +99,45 @@ ORACLES: dict[str, str] = {
            replace(replace(url, chr(13), '%0D'), chr(10), '%0A') AS url
     FROM p LEFT JOIN o USING (d)
     """,
+    # the walk in 80 rounds, where verdicts have long settled
+    "op3_url_filter": r"""
+    WITH RECURSIVE p AS (
+        SELECT page_id, html, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+               coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+    r(verdict, rhost, rpath) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                                        ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+    d AS (
+        SELECT page_id, html, host, path, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS node,
+               (SELECT arg_max(rhost || rpath, length(rhost || rpath)) FROM r
+                WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS rule,
+               (SELECT arg_max(verdict, length(rhost || rpath)) FROM r
+                WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS decided
+        FROM p),
+    h AS (SELECT node, avg((decided IS NOT DISTINCT FROM 'allow')::INT) AS a, avg((decided IS NOT DISTINCT FROM 'block')::INT) AS b
+          FROM d WHERE node <> '' GROUP BY node),
+    k AS (SELECT CASE WHEN a > 0.5 THEN 'trust' ELSE 'distrust' END AS kind, node FROM h WHERE a > 0.5 OR b > 0.5),
+    restart AS (SELECT kind, node, 1.0::DOUBLE / count(*) OVER (PARTITION BY kind) AS mass FROM k),
+    t AS (SELECT page_id, node AS src, unnest(list_distinct(regexp_extract_all(
+              html, '(?i)\bhref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s<>]+)', 1))) AS raw FROM d WHERE node <> ''),
+    l AS (SELECT src, dst, count(*) AS n FROM (SELECT src, regexp_replace(regexp_replace(translate(raw,
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^.*@', ''), ':[0-9]*$', '') AS dst FROM t)
+          WHERE dst <> '' AND dst <> src GROUP BY src, dst),
+    ways AS (SELECT kind, node, dst, n / sum(n) OVER (PARTITION BY kind, node) AS share
+             FROM (SELECT 'trust' AS kind, src AS node, dst, n FROM l UNION ALL SELECT 'distrust', dst, src, n FROM l)),
+    walk AS (
+        SELECT 0 AS round, kind, node, mass FROM restart
+        UNION ALL
+        (WITH now AS (SELECT * FROM walk WHERE round < 80)
+         SELECT round + 1, kind, node, sum(mass) FROM (
+             SELECT now.round, now.kind, ways.dst AS node, 0.85 * now.mass * ways.share AS mass FROM now JOIN ways ON now.kind = ways.kind AND now.node = ways.node
+             UNION ALL SELECT o.round, restart.kind, restart.node, 0.15 * restart.mass FROM restart, (SELECT DISTINCT round FROM now) o)
+         GROUP BY round, kind, node)),
+    m AS (SELECT node, sum(CASE WHEN kind = 'trust' THEN mass ELSE 0 END) AS trust, sum(CASE WHEN kind = 'distrust' THEN mass ELSE 0 END) AS distrust
+          FROM walk WHERE round = 80 GROUP BY node)
+    SELECT page_id, host, path, rule,
+           coalesce(decided, CASE WHEN coalesce(distrust, 0) > 0.5 * (coalesce(trust, 0) + coalesce(distrust, 0)) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM d LEFT JOIN m USING (node)
+""",
     "op11_hard_negatives": """
     WITH r AS (
         SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rubrica.llm import common, fuzzylines, permindex, simhash, urlgraph, warc
-from rubrica.llm.queries import QUERIES
+from rubrica.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -222,6 +222,26 @@ def test_seeds_of_a_kind_share_their_mass(spark):
     assert got[5].verdict == "block" and got[5].distrust > got[5].trust > 0
 
 
+def test_url_oracle_on_linked_pages(spark):
+    import duckdb
+
+    draw = random.Random(12)
+    names = ["a.com", "b.com", "bad.net", "x.org", "y.org:81", "me@z.org", "worse.net", "w.org", "v.org"]
+    rows = []
+    for i in range(60):
+        host = draw.choice(names)
+        html = " ".join(f"<a href='//{draw.choice(names)}/q'>" for _ in range(draw.randrange(3)))
+        rows.append((i, f"http://{host}/{draw.choice(['es/', 'en/', 'fr/', ''])}", draw.choice([html, None])))
+    rows.append((100, "http://lone.org/", None))
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    connection.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    want = Counter(connection.execute(ORACLES["op3_url_filter"]).fetchall())
+    found = urlgraph.judge(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert Counter(tuple(r) for r in found.select("page_id", "host", "path", "rule", "verdict").collect()) == want
+    assert len({(r[3] is None, r[4]) for r in want}) == 4
+
+
 def test_distrust_travels_as_far_as_links_go(spark):
     links = spark.createDataFrame([(f"h{i + 1}", f"h{i}", 1) for i in range(23)], "src string, dst string, pages long")
     seeds = spark.createDataFrame([("distrust", "h0")], "kind string, host string")
