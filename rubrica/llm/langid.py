@@ -19,9 +19,13 @@ from rubrica.llm.common import held_out
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+WORD = re.compile(r"[^\W\d_]+")
 # Numbers that are neither digits nor letters (fractions, powers, Roman numerals) count as word characters to ``re``.
-NUMERALS = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl"))
-WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
+_NUMERALS = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl")]
+# One set for each side of U+FFFF: only a set below it is searched at once, the other is for texts with such characters.
+NUMERAL = re.compile("[" + "".join(c for c in _NUMERALS if c <= "\uffff") + "]")
+HIGH = re.compile("[\U00010000-\U0010ffff]")
+HIGH_NUMERAL = re.compile("[" + "".join(c for c in _NUMERALS if c > "\uffff") + "]")
 CACHE = 200_000
 GROUP_CHARS = 4_000_000
 BARRED = -30.0
@@ -47,6 +51,12 @@ class Model:
     scripts: dict[str, np.ndarray]
 
 
+def lettered(text: str | None) -> str:
+    """The text with blanks in place of such numerals, so that its words are letters only; offsets stay."""
+    text = NUMERAL.sub(" ", text or "")
+    return HIGH_NUMERAL.sub(" ", text) if HIGH.search(text) else text
+
+
 def script_of(word: str) -> str:
     return SCRIPTS[bisect_right(FIRSTS, ord(word[0])) - 1][1]
 
@@ -76,7 +86,7 @@ def fit(docs: DataFrame, per_language: int = 2500, grams: int = 15_000) -> Model
         words: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                words.setdefault(lang, Counter()).update(WORD.findall(text or ""))
+                words.setdefault(lang, Counter()).update(WORD.findall(lettered(text)))
         for lang, seen in words.items():
             held: Counter = Counter()
             for word, n in seen.items():
@@ -229,7 +239,7 @@ def label(text: Column, model: Model, penalty: float = 8.0) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words = Words(model) if model.languages else None
         for batch in batches:
-            texts = [t or "" for t in batch]
+            texts = [lettered(t) for t in batch]
             order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
             results: list = [None] * len(texts)
             at = 0
