@@ -369,6 +369,30 @@ def test_near_copies_of_one_line(spark, monkeypatch, rounds):
     assert got == plain_dedup(rows) and 1 < sum("\n" in t for t in got.values()) < 40
 
 
+def test_pairs_of_a_family_stay_few(spark):
+    """Versions of one line that are all just under the similarity, and four copies of some with one word more."""
+    draw = random.Random(5)
+    base = ["".join(draw.choice("abcdefghijk") for _ in range(draw.randint(4, 9))) for _ in range(80)]
+    lines = []
+    for _ in range(120):
+        words = list(base)
+        for at in draw.sample(range(0, 80, 2), 6):
+            words[at] = "".join(draw.choice("lmnopqrst") for _ in range(6))
+        lines.append(" ".join(words))
+    lines += [f"{x} more" for x in lines[:4]]
+    rows = [(i, f"n{i:03}", x) for i, x in enumerate(lines)]
+    texts = spark.createDataFrame(rows, "h long, node string, line string")
+    members = texts.select(F.lit(1).alias("key"), "h", "node", F.col("node").alias("root"))
+    sketched = fuzzylines.sketches(texts)
+    met = fuzzylines.apart_pairs(members, texts, sketched)
+    sets = [shingle_set(x) for x in lines]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    got = {(r.a, r.b) for r in met.collect()}
+    assert {(i, 120 + i) for i in range(4)} <= want <= got and len(got) < len(want) + 0.1 * len(lines) ** 2 / 2
+    found = {(int(r.a[1:]), int(r.b[1:])) for r in fuzzylines.similar(met, texts, sketched).collect()}
+    assert found == want
+
+
 def test_lines_odd(odd_docs, no_docs, odd_ids):
     got = fuzzylines.dedup_lines(odd_docs)
     assert got.columns == odd_docs.columns and got.dtypes == odd_docs.dtypes
