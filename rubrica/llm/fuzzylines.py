@@ -181,8 +181,9 @@ def fuzzy_links(lines: DataFrame) -> DataFrame:
     """(node, root) of every line that is similar to another one, by exact components of the similarity graph.
 
     Candidates are lines that share a band. Bands of up to 16 lines are compared pair by pair. In a larger one a line of
-    its largest component, another one each round, is compared with those outside that component, for five rounds; what
-    then remains apart in it is compared across components, as far as its rarest shingles allow a similarity. So no link
+    its largest component, another one each round, is compared with those outside that component, for five rounds at most
+    and while that joins lines; what then remains apart in it is compared across components, as far as its rarest shingles
+    and sketches allow a similarity. So no link
     that could join two components is left out, while a band full of copies of one line costs a few comparisons a line.
     """
     bands = shared_bands(lines)
