@@ -21,7 +21,7 @@ BLANK = "▁"
 #: Stands for a U+2581 of the text itself; UTF-8 texts hold no lone surrogate.
 LITERAL = "\ud800"
 UNIT = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
-GROUP_CHARS = 500_000
+GROUP_CHARS = 200_000
 CACHE_NODES = 500_000
 #: Places of a path whose leaving sets stand in the heap one by one; those further on are one set.
 HEAD = 48
@@ -143,7 +143,8 @@ class Lattices:
 
     No piece crosses from one unit (a run of blanks and the word behind it) to the next, so the lattice of a text is the
     chain of its units' lattices, and a unit's lattice with its backward sums is built once and shared. A node is a
-    character of a unit; the edges of a node lie together, and ``cum`` rises from the node's number to the next one's.
+    character of a unit; its edges lie together, from ``offset`` of the node to that of the next one, shortest piece
+    first, and ``below`` is the probability of the edges before an edge.
     """
 
     def __init__(self, pieces: Pieces):
@@ -153,7 +154,8 @@ class Lattices:
     def forget(self) -> None:
         self.first: dict[str, int] = {}
         self.nodes = self.edges = 0
-        self.room = {k: np.zeros(1 << 16, np.float64 if k in ("cum", "log") else np.int32) for k in ("cum", "log", "to", "piece", "node")}
+        kinds = {"below": np.float64, "log": np.float64, **dict.fromkeys(("to", "piece", "node", "offset"), np.int32)}
+        self.room = {k: np.zeros(1 << 16, kind) for k, kind in kinds.items()}
         self.arrays = {k: room[:0] for k, room in self.room.items()}
 
     def steps(self, states: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -173,112 +175,148 @@ class Lattices:
             open_ = open_[~hit & (held >= 0)]
         return out
 
+    def found(self, codes: np.ndarray, left: np.ndarray) -> list[tuple[np.ndarray, int, np.ndarray]]:
+        """(places, characters, piece ids) of the pieces from each place on, by their number of characters.
+
+        ``left``: the characters up to the unit's end.
+        """
+        p = self.pieces
+        classes = p.classes[codes]
+        out = []
+        where, states = np.arange(len(codes)), np.zeros(len(codes), np.int32)
+        for width in range(1, p.longest + 1):
+            if width > 1:
+                inside = np.flatnonzero(left[where] >= width)
+                where, states = where[inside], states[inside]
+            states = self.steps(states, classes[where + (width - 1)])
+            on = np.flatnonzero(states >= 0)
+            where, states = where[on], states[on]
+            ids = p.ends[states]
+            ended = np.flatnonzero(ids >= 0)
+            at, ids = where[ended], ids[ended]
+            if width == 1:
+                alone = np.ones(len(codes), bool)
+                alone[at] = False
+                alone = np.flatnonzero(alone)
+                raw = codes[alone].astype(np.int32)
+                at = np.concatenate([at, alone])
+                ids = np.concatenate([ids, np.where(raw < 0x80, p.bytes_from, p.size).astype(np.int32) + raw])
+            out.append((at, width, ids))
+        return out
+
     def add(self, units: list[str]) -> None:
-        """Build the lattices of new, distinct units, all in step."""
+        """Build the lattices of new, distinct units, all in step.
+
+        Nodes are numbered by what is left behind them, so that those of one step and their edges lie together.
+        """
         p = self.pieces
         lengths = np.fromiter(map(len, units), np.int64, len(units))
-        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4")
         firsts = np.cumsum(lengths) - lengths
         n = len(codes)
         left = np.repeat(firsts + lengths, lengths) - np.arange(n)
-        classes = p.classes[codes]
+        by_left = np.argsort(left.astype(np.uint16) if n and left.max() < 1 << 16 else left, kind="stable")
+        rank = np.full(n + 1, n)
+        rank[by_left] = np.arange(n)
+        found = self.found(codes, left)
         counts = np.zeros(n, np.int64)
-        found = []
-        where, states = np.arange(n), np.zeros(n, np.int32)
-        for width in range(1, p.longest + 1):
-            inside = left[where] >= width
-            where, states = where[inside], states[inside]
-            states = self.steps(states, classes[where + width - 1])
-            where, states = where[states >= 0], states[states >= 0]
-            ids = p.ends[states]
-            ended = ids >= 0
-            found.append((where[ended], width, ids[ended]))
-            counts[where[ended]] += 1
-            if width == 1:
-                alone = np.flatnonzero(counts == 0)
-                below = codes[alone] < 0x80
-                found.append((alone, 1, np.where(below, p.bytes_from, p.size).astype(np.int32) + codes[alone].astype(np.int32)))
-                counts[alone] += 1
+        for at, _, _ in found:
+            counts[at] += 1
+        counts = counts[by_left]
         offsets = np.cumsum(counts) - counts
         total = int(counts.sum())
-        target, piece = np.zeros(total, np.int64), np.zeros(total, np.int32)
-        filled = offsets.copy()
+        target, piece = np.empty(total, np.int64), np.empty(total, np.int32)
+        filled = offsets[rank[:-1]]
         for at, width, ids in found:
-            target[filled[at]] = np.where(left[at] == width, n, at + width)
-            piece[filled[at]] = ids
-            filled[at] += 1
+            edges = filled[at]
+            target[edges] = np.where(left[at] == width, n, rank[at + width])
+            piece[edges] = ids
+            filled[at] = edges + 1
         known = piece < p.size
-        weight = np.full(total, p.byte_log)
-        weight[known] = p.logs[piece[known]]
-        long_code = np.where(known, 0, piece - p.size)
-        weight[~known] *= 1 + (long_code[~known] > 0x7F) + (long_code[~known] > 0x7FF) + (long_code[~known] > 0xFFFF)
+        weight = p.logs[np.where(known, piece, 0)]
+        other = np.flatnonzero(~known)
+        if other.size:
+            code = piece[other] - p.size
+            weight[other] = p.byte_log * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
         after = np.zeros(n + 1)
-        log, cum = np.zeros(total), np.zeros(total)
-        by_left = np.argsort(left, kind="stable")
-        ends = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 1), side="right")
-        begin = 0
-        for end in ends.tolist():
-            nodes = by_left[begin:end]
-            begin = end
-            if not nodes.size:
+        log = np.empty(total)
+        ends = np.cumsum(np.bincount(left)) if n else np.zeros(0, np.int64)
+        begin, low = 0, 0
+        for end in ends[1:].tolist():
+            if end == begin:
                 continue
-            own = counts[nodes]
-            heads = np.cumsum(own) - own
-            edges = np.repeat(offsets[nodes] - heads, own) + np.arange(int(own.sum()))
-            values = weight[edges] + after[target[edges]]
+            own = counts[begin:end]
+            high = int(offsets[end]) if end < n else total
+            heads = offsets[begin:end] - low
+            values = weight[low:high] + after[target[low:high]]
             most = np.maximum.reduceat(values, heads)
             sums = np.add.reduceat(np.exp(values - np.repeat(most, own)), heads)
-            after[nodes] = most + np.log(sums)
-            share = np.minimum(values - np.repeat(after[nodes], own), 0.0)
-            share[heads[own == 1]] = 0.0
-            log[edges] = share
-            reached = np.cumsum(np.exp(share))
-            before = reached[heads] - np.exp(share[heads])
-            cum[edges] = reached - np.repeat(before, own)
-        cum = np.minimum(cum, 1.0)
-        cum[offsets + counts - 1] = 1.0
-        source = np.repeat(np.arange(n), counts) + self.nodes
-        new = {
-            "cum": cum + source, "log": log, "piece": piece, "node": source,
-            "to": np.where(target == n, -1, target + self.nodes),
-        }
-        for k, values in new.items():
-            room = self.room[k]
-            if self.edges + total > len(room):
-                self.room[k] = room = np.concatenate([room, np.zeros(max(len(room), total), room.dtype)])
-            room[self.edges : self.edges + total] = values
-            self.arrays[k] = room[: self.edges + total]
-        self.first.update(zip(units, (firsts + self.nodes).tolist(), strict=True))
+            after[begin:end] = sums = most + np.log(sums)
+            np.minimum(values - np.repeat(sums, own), 0.0, out=log[low:high])
+            begin, low = end, high
+        log[offsets[counts == 1]] = 0.0
+        below = np.zeros(total)
+        share = np.exp(log)
+        more = offsets[counts > 1]
+        widths = counts[counts > 1]
+        for turn in range(1, int(counts.max(initial=0))):
+            if turn > 1:
+                on = np.flatnonzero(widths > turn)
+                more, widths = more[on], widths[on]
+            here = more + turn
+            below[here] = below[here - 1] + share[here - 1]
+        to = np.where(target == n, -1, target + self.nodes)
+        node = np.repeat(np.arange(self.nodes, self.nodes + n), counts)
+        self.keep(self.edges, below=below, log=log, piece=piece, to=to, node=node)
+        # The end of a node's edges is where the next one's begin, which the last node has too.
+        self.keep(self.nodes, offset=np.append(offsets, total) + self.edges)
+        self.first.update(zip(units, (rank[firsts] + self.nodes).tolist(), strict=True))
         self.edges += total
         self.nodes += n
 
+    def keep(self, begin: int, **new: np.ndarray) -> None:
+        """Put values behind those that are held."""
+        for k, values in new.items():
+            room, end = self.room[k], begin + len(values)
+            if end > len(room):
+                self.room[k] = grown = np.empty(max(end, 2 * len(room)), room.dtype)
+                grown[:begin] = room[:begin]
+                room = grown
+            room[begin:end] = values
+            self.arrays[k] = room[:end]
+
     def walk(self, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact samples of the rest of many units at once: (edges, one unit after another; edges by unit)."""
-        cum, to = self.arrays["cum"], self.arrays["to"]
-        at = starts.copy()
+        below, to, offset = (self.arrays[k] for k in ("below", "to", "offset"))
+        at = starts
         active = np.arange(len(starts))
         counts = np.zeros(len(starts), np.int64)
         steps = []
-        keys = keys.copy()
         while active.size:
-            keys[active] += GOLD
-            edges = np.searchsorted(cum, at[active] + uniform(keys[active]), side="right")
+            keys = keys + GOLD
+            drawn = uniform(keys)
+            # From the longest piece, mostly the likeliest, down to the one whose share holds the number.
+            edges = offset[at + 1].astype(np.int64) - 1
+            over = np.flatnonzero(below[edges] > drawn)
+            while over.size:
+                lower = edges[over] - 1
+                edges[over] = lower
+                over = over[below[lower] > drawn[over]]
             steps.append((active, edges))
             counts[active] += 1
-            following = to[edges]
-            alive = following >= 0
-            active = active[alive]
-            at[active] = following[alive]
+            following = to[edges].astype(np.int64)
+            alive = np.flatnonzero(following >= 0)
+            active, at, keys = active[alive], following[alive], keys[alive]
         offsets = np.cumsum(counts) - counts
-        out = np.zeros(int(counts.sum()), np.int64)
+        out = np.zeros(int(counts.sum()), np.int32)
         for n, (units, edges) in enumerate(steps):
             out[offsets[units] + n] = edges
         return out, counts
 
     def choose(self, node: int, refused: tuple[int, ...], key: np.uint64) -> int:
         """An edge of the node other than the refused ones, by conditional probability."""
-        cum, log = self.arrays["cum"], self.arrays["log"]
-        low, high = np.searchsorted(cum, node, side="right"), np.searchsorted(cum, node + 1, side="left") + 1
+        log = self.arrays["log"]
+        low, high = self.arrays["offset"][node : node + 2].tolist()
         edges = np.array([e for e in range(low, high) if e not in refused])
         weights = np.cumsum(np.exp(log[edges] - log[edges].max()))
         return int(edges[np.searchsorted(weights, uniform(np.array([key]))[0] * weights[-1], side="right")])
@@ -315,10 +353,15 @@ class Sampler:
     def row_key(self, key: object) -> np.uint64:
         return np.uint64(xxhash.xxh64_intdigest(repr(key).encode("utf-8", "surrogatepass"), self.seed))
 
-    def keys_from(self, text: Text, kind: int, turn: int, count: int, skip: int = 0) -> np.ndarray:
-        """``count`` keys for one use (``kind``) in one turn of a text."""
-        head = mixed(np.array([text.key ^ np.uint64(kind * 1_000_003 + turn)], np.uint64) + SALT)[0]
-        return mixed(head + np.arange(skip, skip + count, dtype=np.uint64) * SALT)
+    def keys_from(self, texts: list[Text], kind: int, turn: int, counts: np.ndarray, skips: np.ndarray | int = 0) -> np.ndarray:
+        """For each text, the next ``counts`` of its keys for one use (``kind``) in one turn, behind the first ``skips``."""
+        heads = np.fromiter((t.key for t in texts), np.uint64, len(texts)) ^ np.uint64(kind * 1_000_003 + turn)
+        place = np.arange(int(counts.sum())) + np.repeat(skips - np.cumsum(counts) + counts, counts)
+        return mixed(np.repeat(mixed(heads + SALT), counts) + place.astype(np.uint64) * SALT)
+
+    def cut(self, texts: list[Text], kind: int, turn: int, location: np.ndarray, limit: np.ndarray | float) -> list[float]:
+        """A Gumbel variable for each text, cut at its limit."""
+        return cut_gumbel(location, limit, self.keys_from(texts, kind, turn, np.ones(len(texts), np.int64))).tolist()
 
     def run(self, rows: list[tuple[object, str]]) -> list[list[tuple[np.ndarray, float, float, float]]]:
         """Samples (piece ids, log probability, perturbed log probability, log inclusion probability) of each text."""
@@ -326,16 +369,17 @@ class Sampler:
             self.lattices.forget()
         cut = [units_of(raw) for _, raw in rows]
         first = self.lattices.first
-        if new := dict.fromkeys(chain.from_iterable(cut)).keys() - first.keys():
-            self.lattices.add(sorted(new))
+        if new := [u for u in dict.fromkeys(chain.from_iterable(cut)) if u not in first]:
+            self.lattices.add(new)
         texts = [
             Text(self.row_key(key), np.fromiter(map(first.__getitem__, units), np.int64, len(units)), [], [])
             for (key, _), units in zip(rows, cut, strict=True)
         ]
+        if not texts:
+            return []
         log, node, to, piece = (self.lattices.arrays[k] for k in ("log", "node", "to", "piece"))
         empty = np.zeros(0, np.int64)
-        for text in texts:
-            root = cut_gumbel(np.zeros(1), np.inf, self.keys_from(text, 1, 0, 1))[0]
+        for text, root in zip(texts, self.cut(texts, 1, 0, np.zeros(len(texts)), np.inf), strict=True):
             # value, tie-break, path it leaves, edge of that path at which it leaves, edges refused there, log mass before
             text.heap.append((-root, 0, empty, empty, 0, (), 0.0))
         for turn in range(self.samples):
@@ -350,7 +394,7 @@ class Sampler:
                 head, unit, held = path[:at], 0, empty
                 if refused:
                     source = int(node[path[at]])
-                    edge = self.lattices.choose(source, refused, self.keys_from(text, 2, turn, 1)[0])
+                    edge = self.lattices.choose(source, refused, self.keys_from([text], 2, turn, np.ones(1, np.int64))[0])
                     head = np.append(head, edge)
                     unit = int(np.searchsorted(bounds, at, side="right"))
                     held = bounds[:unit]
@@ -365,49 +409,74 @@ class Sampler:
             if not work:
                 break
             lengths = np.array([w[-1] for w in work])
-            rows_key = np.array([w[0].key for w in work], np.uint64)
-            heads = mixed((rows_key ^ np.uint64(3 * 1_000_003 + turn)) + SALT)
-            place = np.arange(int(lengths.sum())) + np.repeat(np.array(begins) - np.cumsum(lengths) + lengths, lengths)
-            keys = mixed(np.repeat(heads, lengths) + place.astype(np.uint64) * SALT)
+            keys = self.keys_from([w[0] for w in work], 3, turn, lengths, np.array(begins))
             edges, counts = self.lattices.walk(np.concatenate(starts), keys)
-            units_at = np.cumsum([0] + [w[-1] for w in work])
-            edges_at = np.concatenate([[0], np.cumsum(counts)])[units_at]
+            units_at = np.concatenate([[0], np.cumsum(lengths)])
+            places = np.cumsum(counts)
+            edges_at = np.concatenate([[0], places])[units_at].tolist()
+            units_at = units_at.tolist()
+            paths, fresh, places_of, tails, again = [], [], [], [], []
             for n, (text, value, head, held, at, refused, mass, _) in enumerate(work):
-                own = edges[edges_at[n] : edges_at[n + 1]]
-                path = np.concatenate([head, own])
-                ends = len(head) + np.cumsum(counts[units_at[n] : units_at[n + 1]])
-                bounds = np.concatenate([held, ends])
+                path = edges[edges_at[n] : edges_at[n + 1]]
+                ends = places[units_at[n] : units_at[n + 1]] - (edges_at[n] - len(head))
+                if len(head):
+                    path, ends = np.concatenate([head, path]), np.concatenate([held, ends])
                 steps = log[path]
                 text.paths.append((path, float(steps.sum()), value))
                 # Sets that leave the new path behind its own part of the tree, and the set left at the node of the cut.
                 begin = at + bool(refused)
                 near = steps[at : begin + HEAD]
-                before = mass + np.cumsum(np.concatenate([[0.0], near]))
-                self.push(text, turn, value, path, bounds, begin, steps[begin : begin + HEAD], before[begin - at : -1])
+                before = np.concatenate([[0.0], near]).cumsum()
+                before += mass
+                paths.append((text, path, ends))
+                places_of.append(begin)
+                fresh.append((steps[begin : begin + HEAD], before[begin - at : -1]))
                 if begin + HEAD < len(path):
-                    far = np.array([before[-1]]) + log_complement(np.array([steps[begin + HEAD :].sum()]))
-                    far = cut_gumbel(far, value, self.keys_from(text, 6, turn, 1))[0]
-                    text.heap.append((-float(far), turn * 4 + 3, path, bounds, begin + HEAD, None, float(before[-1])))
+                    tails.append((n, begin + HEAD, float(before[-1]), steps[begin + HEAD :].sum()))
                 if refused:
                     gone = math.fsum(math.exp(log[e]) for e in refused)
                     if gone < 1 - 1e-12:
-                        left = np.array([mass + math.log1p(-gone)])
-                        again = cut_gumbel(left, value, self.keys_from(text, 5, turn, 1))[0]
-                        text.heap.append((-float(again), turn * 4 + 2, path, bounds, at, refused, mass))
+                        again.append((n, at, refused, mass, math.log1p(-gone)))
+            limits = np.array([w[1] for w in work])
+            self.push(paths, turn, limits, np.array(places_of), fresh)
+            if tails:
+                far = np.array([t[2] for t in tails]) + log_complement(np.array([t[3] for t in tails]))
+                far = self.cut([work[t[0]][0] for t in tails], 6, turn, far, limits[[t[0] for t in tails]])
+                for (n, begin, mass, _), value in zip(tails, far, strict=True):
+                    text, path, bounds = paths[n]
+                    text.heap.append((-value, turn * 4 + 3, path, bounds, begin, None, mass))
+            if again:
+                left = np.array([mass + rest for _, _, _, mass, rest in again])
+                left = self.cut([work[a[0]][0] for a in again], 5, turn, left, limits[[a[0] for a in again]])
+                for (n, at, refused, mass, _), value in zip(again, left, strict=True):
+                    text, path, bounds = paths[n]
+                    text.heap.append((-value, turn * 4 + 2, path, bounds, at, refused, mass))
+            for text, _, _ in paths:
                 text.heap = [HeapEntry(e) for e in text.heap]
                 heapq.heapify(text.heap)
-        return [self.finish(text, piece) for text in texts]
+        return self.finish(texts, piece)
 
     def push(
-        self, text: Text, turn: int, value: float, path: np.ndarray, bounds: np.ndarray, begin: int, steps: np.ndarray, before: np.ndarray
-    ) -> None:
-        """Put the sets that leave a path at ``begin`` and the places after it into the heap, the best few of them."""
-        values = cut_gumbel(before + log_complement(steps), value, self.keys_from(text, 4, turn, len(steps), begin))
+        self, paths: list[tuple[Text, np.ndarray, np.ndarray]], turn: int, limits: np.ndarray, begins: np.ndarray,
+        sets: list[tuple[np.ndarray, np.ndarray]],
+    ) -> None:
+        """Put the sets that leave each path at its begin and the places after it into the heap of its text, the best few.
+
+        ``sets``: of each path, the steps at those places and the log mass before them.
+        """
+        lengths = np.array([len(steps) for steps, _ in sets])
+        steps, before = (np.concatenate([s[k] for s in sets]) for k in (0, 1))
+        keys = self.keys_from([text for text, _, _ in paths], 4, turn, lengths, begins)
+        values = cut_gumbel(before + log_complement(steps), np.repeat(limits, lengths), keys)
         keep = self.samples - turn
-        best = np.argpartition(-values, keep)[:keep] if len(values) > keep else np.arange(len(values))
-        for i in best.tolist():
-            at = begin + i
-            text.heap.append((-float(values[i]), turn * 4 + 1, path, bounds, at, (int(path[at]),), float(before[i])))
+        end = 0
+        for (text, path, bounds), begin, (steps, before) in zip(paths, begins.tolist(), sets, strict=True):
+            own = values[end : end + len(steps)]
+            end += len(steps)
+            best = np.argpartition(-own, keep)[:keep] if len(own) > keep else np.arange(len(own))
+            for i in best.tolist():
+                at = begin + i
+                text.heap.append((-float(own[i]), turn * 4 + 1, path, bounds, at, (int(path[at]),), float(before[i])))
 
     def open_tail(
         self, text: Text, turn: int, value: float, path: np.ndarray, bounds: np.ndarray, at: int, mass: float
@@ -420,22 +489,17 @@ class Sampler:
         before = mass + np.concatenate([[0.0], np.cumsum(steps)[:-1]])
         masses = before + log_complement(steps)
         weights = np.cumsum(np.exp(masses - masses.max()))
-        chosen = int(np.searchsorted(weights, uniform(self.keys_from(text, 7, turn, 1))[0] * weights[-1], side="right"))
-        self.push(text, turn, value, path, bounds, at, steps[:chosen], before[:chosen])
-        self.push(text, turn, value, path, bounds, at + chosen + 1, steps[chosen + 1 :], before[chosen + 1 :])
+        chosen = int(np.searchsorted(weights, uniform(self.keys_from([text], 7, turn, np.ones(1, np.int64)))[0] * weights[-1], side="right"))
+        sets = [(steps[:chosen], before[:chosen]), (steps[chosen + 1 :], before[chosen + 1 :])]
+        self.push([(text, path, bounds)] * 2, turn, np.full(2, value), np.array([at, at + chosen + 1]), sets)
         return at + chosen, float(before[chosen])
 
-    def finish(self, text: Text, piece: np.ndarray) -> list[tuple[np.ndarray, float, float, float]]:
+    def finish(self, texts: list[Text], piece: np.ndarray) -> list[list[tuple[np.ndarray, float, float, float]]]:
         """Inclusion: the chance that a segmentation's perturbed value beats the best one left out."""
-        left = -text.heap[0][0] if text.heap else -np.inf
-        out = []
-        for path, log_p, value in text.paths:
-            above = 0.0 if left == -np.inf else float(log_complement(np.array([-math.exp(min(log_p - left, 700.0))]))[0])
-            if log_p - left < -30 and left != -np.inf:
-                above = log_p - left
-            out.append((self.spelled(piece[path]), log_p, value, min(above, 0.0)))
-        return out
-
+        lefts = [-text.heap[0][0] if text.heap else -np.inf for text in texts]
+        margins = np.array([log_p - left for text, left in zip(texts, lefts, strict=True) for _, log_p, _ in text.paths])
+        above = iter(np.minimum(np.where(margins < -30, margins, log_complement(-np.exp(np.minimum(margins, 700.0)))), 0.0).tolist())
+        return [[(self.spelled(piece[path]), log_p, value, next(above)) for path, log_p, value in text.paths] for text in texts]
 
     def spelled(self, ids: np.ndarray) -> np.ndarray:
         """Piece ids with the edges of unknown characters written out as byte pieces."""
@@ -469,10 +533,14 @@ SAMPLE_FIELDS = [
 ]
 
 
-def surface_of(ids: np.ndarray, pieces: Pieces) -> str:
-    """The text that piece ids stand for."""
-    raw = b"".join(map(pieces.surface.__getitem__, ids.tolist()))
-    return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+def surfaces_of(ids: list[np.ndarray], pieces: Pieces) -> list[str]:
+    """The texts that lists of piece ids stand for."""
+    spelled = pa.array(pieces.surface, pa.large_binary()).take(pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+    _, offsets, raw = spelled.buffers()
+    at = np.frombuffer(offsets, np.int64)[np.cumsum([0, *map(len, ids)])].tolist()
+    raw = memoryview(raw) if raw else b""
+    texts = (bytes(raw[begin:end]) for begin, end in zip(at, at[1:], strict=False))
+    return [str(t[1:] if t[:1] == b" " else t, "utf-8", "replace") for t in texts]
 
 
 def as_array(results: list[list[tuple] | None]) -> pa.Array:
@@ -508,10 +576,9 @@ def sampled(key: Column, text: Column, pieces: Pieces, samples: int = 2, seed: i
                     size += len(rows[-1][1] or "")
                     at += 1
                 found = iter(sampler.run([r for r in rows if r[1] is not None]))
-                results: list[list[tuple] | None] = []
-                for _, text in rows:
-                    own = None if text is None else next(found)
-                    results.append(own and [(*s, surface_of(s[0], pieces) == text) for s in own])
+                results: list[list[tuple] | None] = [None if text is None else next(found) for _, text in rows]
+                back = iter(surfaces_of([s[0] for own in results for s in own or ()], pieces))
+                results = [own and [(*s, next(back) == text) for s in own] for own, (_, text) in zip(results, rows, strict=True)]
                 yield as_array(results)
 
     of.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
@@ -522,8 +589,9 @@ def decoded(ids: Column, pieces: Pieces) -> Column:
     """The text of a list of piece ids; exactly the encoded text. Null for null."""
 
     def of(rows: pa.Array) -> pa.Array:
-        found = [surface_of(r.values.to_numpy(zero_copy_only=False), pieces) if r.is_valid else None for r in rows]
-        return pa.array(found, pa.string())
+        ids = [r.values.to_numpy(zero_copy_only=False) for r in rows if r.is_valid]
+        back = iter(surfaces_of(ids, pieces))
+        return pa.array([next(back) if r.is_valid else None for r in rows], pa.string())
 
     of.__annotations__ = {"rows": pa.Array, "return": pa.Array}
     return F.arrow_udf(of, "string")(ids)

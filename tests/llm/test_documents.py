@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -201,6 +202,27 @@ def test_few_segmentations_and_same_numbers_in_any_batch(pieces):
     assert np.allclose([a[1:] for a in alone], [a[1:] for a in one[2]])
 
 
+def test_largest_numbers_stay_in_their_node(pieces, monkeypatch):
+    """A number next to 1 is lost in a sum with the node's number, and then leads to the next node's edges."""
+    lattices = sampling.Lattices(pieces)
+    lattices.add(sampling.units_of("some words here"))
+    monkeypatch.setattr(sampling, "uniform", lambda keys: np.full(len(keys), 1 - 2.0**-53))
+    starts = np.array([lattices.first[u] for u in sampling.units_of("some words here")])
+    edges, counts = lattices.walk(starts, np.arange(3, dtype=np.uint64))
+    ids = lattices.arrays["piece"][edges]
+    assert len(ids) == counts.sum() and sampling.surfaces_of([ids], pieces) == ["some words here"]
+
+
+def test_memory_of_a_group_of_new_words(pieces):
+    text = " ".join(f"word{i}x" for i in range(sampling.GROUP_CHARS // 10))
+    sampler = sampling.Sampler(pieces, 2, 1)
+    tracemalloc.start()
+    found = sampler.run([(1, text)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) == 2 and peak < 100e6
+
+
 def test_sampling_round_trip(spark, odd_docs, no_docs):
     rows = sampling.encode_documents(odd_docs, MODEL_PATH).collect()
     assert all(r.round_trip for r in rows if r["rank"]) and sum(r["rank"] is None for r in rows) == 2
