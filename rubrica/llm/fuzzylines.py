@@ -11,6 +11,8 @@ IN, OF = 4, 5
 SIDE = 4
 LANES = SIDE * SIDE
 STAR_ROUNDS = 5
+#: A band has leaders from so many of its largest components, and so many of each.
+LED, LEADERS = 8, 4
 FEW = 16
 SIEVE_BITS = 18
 WORDS = 16
@@ -136,10 +138,24 @@ def similar(pairs: DataFrame, texts: DataFrame, sketched: DataFrame) -> DataFram
 
 
 def leaders(members: DataFrame, turn: int) -> DataFrame:
-    """(key, a, a_root): of each band, one line of the component that holds most of its lines, another one each turn."""
-    held = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.min_by("h", F.xxhash64(F.lit(turn), "h")).alias("a"))
-    best = F.max_by(F.struct("a", F.col("root").alias("a_root")), F.struct("n", "root"))
-    return held.groupBy("key").agg(best.alias("f")).select("key", "f.*")
+    """(key, root, h): of each band, a few lines of each of its largest components, other ones each turn."""
+    by = lambda *c: F.xxhash64(F.lit(turn), *c)
+    some = F.array(*[F.min_by("h", by(F.lit(n), "h")) for n in range(LEADERS)])
+    held = members.groupBy("key", "root").agg(F.count("*").alias("n"), some.alias("some"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), by("root"), "root"))
+    best = held.withColumn("place", place).where(F.col("place") <= LED)
+    return best.select("key", "root", F.explode(F.array_distinct("some")).alias("h"))
+
+
+def led_pairs(members: DataFrame, sketched: DataFrame, turn: int) -> DataFrame:
+    """(a, b): the leaders of each band with those of its lines, of other components, that their sketches allow."""
+
+    def side(rows: DataFrame, c: str) -> DataFrame:
+        known = rows.select("key", "h", F.xxhash64("root").alias("root")).join(sketched, "h")
+        return known.select("key", *[F.col(k).alias(f"{c}_{k}") for k in known.columns if k != "key"])
+
+    met = side(leaders(members, turn), "a").join(side(members, "b"), "key").where("a_root <> b_root").where(SIZES_FIT).where(ODD_FIT)
+    return met.select(F.least("a_h", "b_h").alias("a"), F.greatest("a_h", "b_h").alias("b")).distinct()
 
 
 def apart_pairs(members: DataFrame, texts: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -180,11 +196,11 @@ def joined(roots: DataFrame, edges: DataFrame) -> DataFrame:
 def fuzzy_links(lines: DataFrame) -> DataFrame:
     """(node, root) of every line that is similar to another one, by exact components of the similarity graph.
 
-    Candidates are lines that share a band. Bands of up to 16 lines are compared pair by pair. In a larger one a line of
-    its largest component, another one each round, is compared with those outside that component, for five rounds at most
-    and while that joins lines; what then remains apart in it is compared across components, as far as its rarest shingles
-    and sketches allow a similarity. So no link
-    that could join two components is left out, while a band full of copies of one line costs a few comparisons a line.
+    Candidates are lines that share a band. Bands of up to 16 lines are compared pair by pair. In a larger one a few
+    lines of each of its largest components, other ones each round, are compared with those outside that component, for
+    five rounds at most and while that joins lines; what then remains apart in it is compared across components, as far as
+    its rarest shingles and sketches allow a similarity. So no link that could join two components is left out, while a
+    band full of copies of one line costs a few comparisons a line.
     """
     bands = shared_bands(lines)
     wanted = bands.select("h").distinct()
@@ -193,12 +209,14 @@ def fuzzy_links(lines: DataFrame) -> DataFrame:
     texts = written(found.select("h", node.alias("node"), "line"), "lines-texts")
     few = bands.where(F.col("n") <= FEW)
     pairs = few.select("key", F.col("h").alias("a")).join(few.select("key", F.col("h").alias("b")), "key").where("a < b")
-    sketched = written(sketches(texts), "lines-sketches")
-    edges = written(similar(pairs.select("a", "b").distinct(), texts, sketched), "lines-edges")
-    roots = components(edges, "lines")
+    pairs = pairs.select("a", "b")
     many = written(bands.where(F.col("n") > FEW).join(texts.select("h", "node"), "h").select("key", "h", "node"), "lines-many")
+    sketched = written(sketches(texts), "lines-sketches")
     stars = STAR_ROUNDS
-    for turn in range(STAR_ROUNDS + 1):
+    if stars:
+        pairs = pairs.union(led_pairs(many.withColumn("root", F.col("node")), sketched, 0))
+    roots = components(written(similar(pairs.distinct(), texts, sketched), "lines-edges"), "lines")
+    for turn in range(min(1, stars), STAR_ROUNDS + 1):
         members = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         apart = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
         members = written(members.join(apart, "key"), "lines-apart")
@@ -206,8 +224,7 @@ def fuzzy_links(lines: DataFrame) -> DataFrame:
         if not size:
             break
         if turn < stars:
-            met = leaders(members, turn).join(members.select("key", F.col("h").alias("b"), F.col("root").alias("b_root")), "key")
-            met = met.where("a_root <> b_root").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            met = led_pairs(members, sketched, turn)
         else:
             met = apart_pairs(members, texts, sketched)
         edges = written(similar(met, texts, sketched), "lines-edges")

@@ -393,6 +393,24 @@ def test_pairs_of_a_family_stay_few(spark):
     assert found == want
 
 
+def test_leaders_of_several_components(spark):
+    """Three components in one band: the two smaller ones are similar to each other, none to the largest."""
+    draw = random.Random(7)
+    words = [["".join(draw.choice(letters) for _ in range(7)) for _ in range(60)] for letters in ("abcdefgh", "mnopqrst")]
+    lines = [("A", f"{' '.join(words[0])} {i}") for i in range(12)]
+    lines += [(root, f"{' '.join(words[1])} {root * 9} {i}") for root, n in (("B", 8), ("C", 6)) for i in range(n)]
+    rows = [(i, f"n{i:02}", root, x) for i, (root, x) in enumerate(lines)]
+    texts = spark.createDataFrame(rows, "h long, node string, root string, line string")
+    members = texts.select(F.lit(1).alias("key"), "h", "node", "root")
+    sketched = fuzzylines.sketches(texts)
+    heads = Counter(r.root for r in fuzzylines.leaders(members, 1).collect())
+    assert set(heads) == {"A", "B", "C"} and max(heads.values()) <= fuzzylines.LEADERS
+    met = {(r.a, r.b) for r in fuzzylines.led_pairs(members, sketched, 1).collect()}
+    assert met and {(lines[a][0], lines[b][0]) for a, b in met} == {("B", "C")}
+    found = {(r.a, r.b) for r in fuzzylines.similar(spark.createDataFrame(sorted(met), "a long, b long"), texts, sketched).collect()}
+    assert found == {(f"n{a:02}", f"n{b:02}") for a, b in met}
+
+
 def test_lines_odd(odd_docs, no_docs, odd_ids):
     got = fuzzylines.dedup_lines(odd_docs)
     assert got.columns == odd_docs.columns and got.dtypes == odd_docs.dtypes
