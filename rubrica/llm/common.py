@@ -49,7 +49,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(large.distinct(), f"{name}-large")
+        large = written(large, f"{name}-large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = written(small.union(least.select("a", F.col("m").alias("b"))).distinct(), f"{name}-links")

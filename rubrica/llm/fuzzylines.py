@@ -14,6 +14,8 @@ STAR_ROUNDS = 5
 #: A band has leaders from so many of its largest components, and so many of each.
 LED, LEADERS = 8, 4
 FEW = 16
+#: Shingles a row of the signatures' input takes: one look-up of its line and one update of each lane for all of them.
+STEP = 4
 SIEVE_BITS = 18
 WORDS = 16
 #: A round of leaders is followed by another one if it joined at least this share of the lines it compared.
@@ -71,15 +73,17 @@ def hashed(lines: DataFrame, *columns: str) -> DataFrame:
 def signatures(lines: DataFrame) -> DataFrame:
     """(h, band keys) of each distinct line.
 
-    Every shingle is one row; its hash meets each lane's mask, and the lane keeps the least. Map-side partial minima keep
-    the shuffle to one row per distinct line and task. For any set of lines, each shingle is equally likely to be the
-    least of a lane, so two lines agree in a lane with the probability of their Jaccard similarity.
+    Every ``STEP`` shingles are one row; their hashes meet each lane's mask, and the lane keeps the least. A row behind the
+    last shingle repeats it, which changes no minimum. Map-side partial minima keep the shuffle to one row per distinct
+    line and task. For any set of lines, each shingle is equally likely to be the least of a lane, so two lines agree in
+    a lane with the probability of their Jaccard similarity.
     """
-    coded = hashed(lines, F.expr("encode(line, 'UTF-32')").alias("code"))
-    width = 4 * SHINGLE
-    each = coded.select("h", "g", "code", F.explode(F.expr(f"sequence(0, greatest(length(code) div 4 - {SHINGLE}, 0))")).alias("i"))
-    each = each.select("h", "g", F.expr(f"xxhash64(substring(code, 4 * i + 1, {width}))").alias("s"))
-    lanes = each.groupBy("h", "g").agg(*[F.min(F.expr(f"s ^ ({lane_mask(n)}L)")).alias(f"m{n}") for n in range(LANES)])
+    coded = hashed(lines, F.expr("coalesce(encode(line, 'UTF-32'), X'')").alias("code"))
+    last = f"greatest(length(code) div 4 - {SHINGLE}, 0)"
+    steps = coded.select("h", "g", "code", F.explode(F.expr(f"sequence(0, {last}, {STEP})")).alias("i"))
+    each = [F.expr(f"xxhash64(substring(code, 4 * least(i + {k}, {last}) + 1, {4 * SHINGLE}))").alias(f"s{k}") for k in range(STEP)]
+    least = [F.least(*[F.expr(f"s{k} ^ ({lane_mask(n)}L)") for k in range(STEP)]) for n in range(LANES)]
+    lanes = steps.select("h", "g", *each).groupBy("h", "g").agg(*[F.min(m).alias(f"m{n}") for n, m in enumerate(least)])
     keys = [F.xxhash64(F.lit(n), *[f"m{lane}" for lane in band]) for n, band in enumerate(BANDS)]
     return lanes.select("h", F.array(*keys).alias("keys"))
 
@@ -117,10 +121,12 @@ def shared_bands(lines: DataFrame) -> DataFrame:
 
 def sketches(texts: DataFrame) -> DataFrame:
     """(h, size, b0, b1, ...): of each line, the number of its shingles and the parity of their number in 1024 places."""
-    each = texts.select("h", F.explode(F.expr(SHINGLE_SET.format(line="line"))).alias("s"))
-    bit = "shiftleft(1L, CAST(s & 63 AS INT))"
-    words = [F.bit_xor(F.expr(f"CASE WHEN (s >> 6) & {WORDS - 1} = {n} THEN {bit} ELSE 0L END")).alias(f"b{n}") for n in range(WORDS)]
-    return each.groupBy("h").agg(F.count("*").cast("int").alias("size"), *words)
+    sets = texts.select("h", F.expr(SHINGLE_SET.format(line="line")).alias("set")).withColumn("size", F.size("set"))
+    steps = sets.select("h", "set", "size", F.explode(F.expr(f"sequence(0, size - 1, {STEP})")).alias("i"))
+    each = steps.select("h", "size", *[F.expr(f"get(set, i + {k})").alias(f"s{k}") for k in range(STEP)])
+    bit = lambda k, n: f"CASE WHEN (s{k} >> 6) & {WORDS - 1} = {n} THEN shiftleft(1L, CAST(s{k} & 63 AS INT)) ELSE 0L END"
+    words = [F.bit_xor(F.expr(" ^ ".join(bit(k, n) for k in range(STEP)))).alias(f"b{n}") for n in range(WORDS)]
+    return each.groupBy("h").agg(F.max("size").alias("size"), *words)
 
 
 def similar(pairs: DataFrame, texts: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -274,7 +280,7 @@ def dedup_lines(docs: DataFrame, length_col: str | None = "n_chars") -> DataFram
         F.col("doc_id").alias("drop_id"), F.col("body").alias("drop_body"), "places"
     )
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("body"))
-    joined = rows.join(drops, F.col("id").eqNullSafe(F.col("drop_id")) & (F.col("body") == F.col("drop_body")), "left")
+    joined = rows.join(drops.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("drop_id")) & (F.col("body") == F.col("drop_body")), "left")
     pieces = F.split("row.text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), "places")
     cut = F.expr("array_join(transform(kept, i -> pieces[i]), '\n')")

@@ -411,6 +411,17 @@ def test_leaders_of_several_components(spark):
     assert found == {(f"n{a:02}", f"n{b:02}") for a, b in met}
 
 
+@pytest.mark.parametrize("chars", [1, 7, 8, 9, 11, 12, 30])
+def test_signatures_hold_every_shingle(spark, chars):
+    """Rows of a few shingles each give the minima over all of them, also behind the last full row."""
+    line = "".join(chr(0x1F600 + i) if i % 5 == 0 else chr(97 + i % 23) for i in range(chars))
+    lines = spark.createDataFrame([(line,)], "line string")
+    parts = spark.createDataFrame([(x,) for x in shingle_set(line)], "x string").select(F.expr("xxhash64(encode(x, 'UTF-32')) AS s"))
+    least = parts.agg(*[F.min(F.expr(f"s ^ ({fuzzylines.lane_mask(n)}L)")).alias(f"m{n}") for n in range(fuzzylines.LANES)])
+    want = least.select(*[F.xxhash64(F.lit(n), *[f"m{lane}" for lane in band]) for n, band in enumerate(fuzzylines.BANDS)]).first()
+    assert fuzzylines.signatures(lines).first()["keys"] == list(want)
+
+
 def test_lines_odd(odd_docs, no_docs, odd_ids):
     got = fuzzylines.dedup_lines(odd_docs)
     assert got.columns == odd_docs.columns and got.dtypes == odd_docs.dtypes
