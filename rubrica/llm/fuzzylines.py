@@ -37,16 +37,11 @@ def lane_mask(lane: int) -> int:
     return mask - 2**64 if mask >= 2**63 else mask
 
 
-def plain(line: Column) -> Column:
-    """How lines are compared: lower case, without blanks at the ends."""
-    return F.lower(F.trim(line))
-
-
 def shingles(code_points: str) -> str:
     """SQL for the hashes of the character shingles of a text given as UTF-32 bytes; a short text is one shingle."""
     width = 4 * SHINGLE
-    last = f"greatest(length({code_points}) div 4 - {SHINGLE}, 0)"
-    return f"transform(sequence(0, {last}), i -> xxhash64(substring({code_points}, 4 * i + 1, {width})))"
+    last = f"4 * greatest(length({code_points}) div 4 - {SHINGLE}, 0) + 1"
+    return f"transform(sequence(1, {last}, 4), i -> xxhash64(substring({code_points}, i, {width})))"
 
 
 #: SQL for the shingles of the text in column ``{line}``, repeats included; the text is coded once.
@@ -60,9 +55,14 @@ ODD_FIT = f"{OF + IN} * ({' + '.join(f'bit_count(a_b{n} ^ b_b{n})' for n in rang
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, body, pos, line) of every line that is not blank; ``body`` tells apart rows that share an id."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    return lines.select("doc_id", "body", "pos", plain(F.col("raw")).alias("line")).where("line <> ''")
+    """(doc_id, body, pos, line) of every line that is not blank; ``body`` tells apart rows that share an id.
+
+    Lines are compared in lower case, without blanks at the ends. Whole texts are hashed and put in lower case before they
+    are cut: behind the cut Spark would do the first for every line and the second twice.
+    """
+    texts = docs.select("doc_id", F.xxhash64("text").alias("body"), F.lower("text").alias("low"))
+    lines = texts.select("doc_id", "body", F.posexplode(F.split("low", "\n")).alias("pos", "raw")).where("trim(raw) <> ''")
+    return lines.select("doc_id", "body", "pos", F.trim("raw").alias("line"))
 
 
 def hashed(lines: DataFrame, *columns: str) -> DataFrame:
@@ -124,7 +124,9 @@ def sketches(texts: DataFrame) -> DataFrame:
     sets = texts.select("h", F.expr(SHINGLE_SET.format(line="line")).alias("set")).withColumn("size", F.size("set"))
     steps = sets.select("h", "set", "size", F.explode(F.expr(f"sequence(0, size - 1, {STEP})")).alias("i"))
     each = steps.select("h", "size", *[F.expr(f"get(set, i + {k})").alias(f"s{k}") for k in range(STEP)])
-    bit = lambda k, n: f"CASE WHEN (s{k} >> 6) & {WORDS - 1} = {n} THEN shiftleft(1L, CAST(s{k} & 63 AS INT)) ELSE 0L END"
+    place = [F.expr(f"(s{k} >> 6) & {WORDS - 1}").alias(f"w{k}") for k in range(STEP)]
+    each = each.select("h", "size", *place, *[F.expr(f"shiftleft(1L, CAST(s{k} & 63 AS INT))").alias(f"v{k}") for k in range(STEP)])
+    bit = lambda k, n: f"IF(w{k} = {n}, v{k}, 0L)"
     words = [F.bit_xor(F.expr(" ^ ".join(bit(k, n) for k in range(STEP)))).alias(f"b{n}") for n in range(WORDS)]
     return each.groupBy("h").agg(F.max("size").alias("size"), *words)
 
@@ -164,6 +166,17 @@ def led_pairs(members: DataFrame, sketched: DataFrame, turn: int) -> DataFrame:
     return met.select(F.least("a_h", "b_h").alias("a"), F.greatest("a_h", "b_h").alias("b")).distinct()
 
 
+def member_shingles(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(h, root, size, s): the shingles of each member's line.
+
+    No set is empty; the outer explode keeps Spark from building the sets of all texts, to filter out empty ones, before
+    the join.
+    """
+    lines = members.select("node", F.xxhash64("root").alias("root")).distinct().join(texts, "node")
+    sets = lines.select("h", "root", F.expr(SHINGLE_SET.format(line="line")).alias("set"))
+    return sets.select("h", "root", F.size("set").alias("size"), F.explode_outer("set").alias("s"))
+
+
 def apart_pairs(members: DataFrame, texts: DataFrame, sketched: DataFrame) -> DataFrame:
     """(a, b): the pairs of lines of different components that can be similar at all.
 
@@ -172,9 +185,7 @@ def apart_pairs(members: DataFrame, texts: DataFrame, sketched: DataFrame) -> Da
     meet, and behind the first place where they meet both must have what the two are to share. A line whose own wording
     makes up a ninth of it meets no larger line here.
     """
-    lines = members.select("node", F.xxhash64("root").alias("root")).distinct().join(texts, "node")
-    sets = lines.select("h", "root", F.expr(SHINGLE_SET.format(line="line")).alias("set"))
-    each = written(sets.select("h", "root", F.size("set").alias("size"), F.explode("set").alias("s")), "lines-shingles")
+    each = written(member_shingles(members, texts), "lines-shingles")
     counts = each.groupBy("s").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y"))
     at = (F.row_number().over(Window.partitionBy("h").orderBy("n", "s")) - 1).alias("at")
     ordered = each.join(counts, "s").select("h", "root", "size", "s", F.expr("x <> y").alias("apart"), at)
@@ -276,24 +287,22 @@ def dedup_lines(docs: DataFrame, length_col: str | None = "n_chars") -> DataFram
     largest; repeated rows stay and lose the same lines; an empty table stays empty. All columns are kept; if one is
     named ``length_col`` it gets the new length where the text changed.
     """
+    own = "_" * (1 + max(len(c) for c in docs.columns))
+    id_, body, places, new = (own + c for c in ("id", "body", "places", "new"))
     drops = duplicate_lines(docs).select(
-        F.col("doc_id").alias("drop_id"), F.col("body").alias("drop_body"), "places"
+        F.col("doc_id").alias(id_), F.col("body").alias(f"{body}2"), F.col("places").alias(places)
     )
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("body"))
-    joined = rows.join(drops.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("drop_id")) & (F.col("body") == F.col("drop_body")), "left")
-    pieces = F.split("row.text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), "places")
-    cut = F.expr("array_join(transform(kept, i -> pieces[i]), '\n')")
-    joined = joined.withColumn("pieces", pieces).withColumn("kept", left)
-    text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(cut)
-    out = joined.select("row", "places", text.alias("new"))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(body) == F.col(f"{body}2"))
+    joined = docs.withColumn(body, F.xxhash64("text")).join(drops.hint("shuffle_hash"), same, "left")
+    left = F.expr(f"array_join(filter(split(text, '\n'), (x, i) -> NOT array_contains({places}, i)), '\n')")
+    out = joined.withColumn(new, F.when(F.col(places).isNull(), F.col("text")).otherwise(left))
     shown = []
     for c in docs.columns:
         if c == "text":
-            shown.append(F.col("new").alias(c))
+            shown.append(F.col(new).alias(c))
         elif c == length_col:
             kind = docs.schema[c].dataType
-            shown.append(F.when(F.col("places").isNull(), F.col(f"row.{c}")).otherwise(F.length("new").cast(kind)).alias(c))
+            shown.append(F.when(F.col(places).isNull(), F.col(f"`{c}`")).otherwise(F.length(new).cast(kind)).alias(c))
         else:
-            shown.append(F.col(f"row.`{c}`").alias(c))
+            shown.append(F.col(f"`{c}`"))
     return out.select(*shown)

@@ -422,6 +422,30 @@ def test_signatures_hold_every_shingle(spark, chars):
     assert fuzzylines.signatures(lines).first()["keys"] == list(want)
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_are_hashed_and_lowered_before_they_are_cut(spark):
+    """Once a text: the hash of a text is not taken for each of its lines, nor a line put in lower case twice."""
+    docs = spark.createDataFrame([(1, "  \u00c9T\u00c9 \u039f\u0394\u039f\u03a3 \n\n \n\tb\u0130\u03a3\nOne", "x")], "doc_id long, text string, lang string")
+    lines = fuzzylines.lines_of(docs.repartition(2))
+    above, below = optimized(lines).split("Generate posexplode", 1)
+    assert "xxhash64(text" not in above and "lower(" not in above
+    assert below.count("xxhash64(text") == 1 and below.count("lower(") == 1
+    assert [(r.pos, r.line) for r in lines.orderBy("pos").collect()] == [(0, "\u00e9t\u00e9 \u03bf\u03b4\u03bf\u03c2"), (3, "\tbi\u0307\u03c2"), (4, "one")]
+
+
+def test_sets_are_built_for_members_only(spark, tmp_path):
+    rows = [(i, f"n{i}", f"line {i} of several") for i in range(20)]
+    spark.createDataFrame(rows, "h long, node string, line string").write.parquet(str(tmp_path / "texts"))
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    members = spark.createDataFrame([(1, 3, "n3", "n3"), (2, 3, "n3", "n3"), (1, 5, "n5", "n3")], "key long, h long, node string, root string")
+    each = fuzzylines.member_shingles(members, texts)
+    assert "transform(" not in optimized(each).split("Join", 1)[1]
+    assert Counter((r.h, r.size) for r in each.collect()) == {(3, 10): 10, (5, 10): 10}
+
+
 def test_lines_odd(odd_docs, no_docs, odd_ids):
     got = fuzzylines.dedup_lines(odd_docs)
     assert got.columns == odd_docs.columns and got.dtypes == odd_docs.dtypes
