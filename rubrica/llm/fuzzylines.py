@@ -94,13 +94,20 @@ def sieved(rows: DataFrame, column: str, wanted: DataFrame, name: str) -> DataFr
     The wanted hashes set bits in a table of 2^18 words, whose size is fixed, so it can be broadcast at any scale. What
     passes is still to be joined; with very many wanted hashes more rows pass, and the result stays the same.
     """
+    return sieve(rows, column, wanted, name, "_")[0]
+
+
+def sieve(rows: DataFrame, column: str, wanted: DataFrame, name: str, own: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that ``sieved`` returns, and all others; ``own`` begins names that no column of the rows has."""
     mixed = lambda c: F.xxhash64(F.lit(5), c)
     slot = lambda c: F.shiftrightunsigned(mixed(c), 64 - SIEVE_BITS).cast("int")
     bit = lambda c: F.expr(f"shiftleft(1L, CAST(xxhash64(5, {c}) & 63 AS INT))")
-    table = wanted.select(slot(column).alias("_slot"), bit(column).alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
-    table = written(table, name)
-    met = rows.withColumn("_slot", slot(column)).join(F.broadcast(table), "_slot")
-    return met.where(F.col("_bits").bitwiseAND(bit(column)) != 0).drop("_slot", "_bits")
+    at, bits = f"{own}slot", f"{own}bits"
+    table = wanted.select(slot(column).alias(at), bit(column).alias("_bit")).groupBy(at).agg(F.bit_or("_bit").alias(bits))
+    table = F.broadcast(written(table, name))
+    met = rows.withColumn(at, slot(column)).join(table, at, "left")
+    hit = F.col(bits).bitwiseAND(bit(column)) != 0
+    return met.where(hit).drop(at, bits), met.where(~F.coalesce(hit, F.lit(False))).drop(at, bits)
 
 
 def shared_bands(lines: DataFrame) -> DataFrame:
@@ -169,8 +176,8 @@ def led_pairs(members: DataFrame, sketched: DataFrame, turn: int) -> DataFrame:
 def member_shingles(members: DataFrame, texts: DataFrame) -> DataFrame:
     """(h, root, size, s): the shingles of each member's line.
 
-    No set is empty; the outer explode keeps Spark from building the sets of all texts, to filter out empty ones, before
-    the join.
+    No set is empty. With a plain explode Spark would build the sets once more to filter out empty ones, and those of all
+    texts where it can do so before the join.
     """
     lines = members.select("node", F.xxhash64("root").alias("root")).distinct().join(texts, "node")
     sets = lines.select("h", "root", F.expr(SHINGLE_SET.format(line="line")).alias("set"))
@@ -292,8 +299,11 @@ def dedup_lines(docs: DataFrame, length_col: str | None = "n_chars") -> DataFram
     drops = duplicate_lines(docs).select(
         F.col("doc_id").alias(id_), F.col("body").alias(f"{body}2"), F.col("places").alias(places)
     )
+    drops = written(drops, "lines-drops")
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(body) == F.col(f"{body}2"))
-    joined = docs.withColumn(body, F.xxhash64("text")).join(drops.hint("shuffle_hash"), same, "left")
+    wanted = drops.select(F.col(f"{body}2").alias(body))
+    cut, whole = sieve(docs.withColumn(body, F.xxhash64("text")), body, wanted, "lines-sieve", own)
+    joined = cut.join(drops.hint("shuffle_hash"), same, "left")
     left = F.expr(f"array_join(filter(split(text, '\n'), (x, i) -> NOT array_contains({places}, i)), '\n')")
     out = joined.withColumn(new, F.when(F.col(places).isNull(), F.col("text")).otherwise(left))
     shown = []
@@ -305,4 +315,4 @@ def dedup_lines(docs: DataFrame, length_col: str | None = "n_chars") -> DataFram
             shown.append(F.when(F.col(places).isNull(), F.col(f"`{c}`")).otherwise(F.length(new).cast(kind)).alias(c))
         else:
             shown.append(F.col(f"`{c}`"))
-    return out.select(*shown)
+    return out.select(*shown).union(whole.select(*[F.col(f"`{c}`") for c in docs.columns]))
